@@ -141,7 +141,7 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Surviving anchors, each with the name of all the bytes that its windows span."""
-        types = {"k": long, "doc": long, "v": long, "first": int_, "last": int_}
+        types = {"h": long, "k": long, "doc": long, "v": long, "first": int_, "last": int_}
         for batch in batches:
             ids, vs, hs = batch.column("doc").to_numpy(), batch.column("v").to_numpy(), batch.column("hs")
             out: dict[str, list] = {k: [] for k in types}
@@ -155,6 +155,7 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
                 sums = prefix_sums(data)
                 key = (sums[last + whole] - sums[first]) * powers(BASE_INVERSE, len(sums))[first]
                 key = mix(mix(key) + ((at - first) * whole + (last - first)).astype(np.uint64) * np.uint64(PAIR))
+                out["h"].append(name[hit].view(np.int64))
                 out["k"].append(key.view(np.int64))
                 out["doc"].append(np.full(len(key), ids[i]))
                 out["v"].append(np.full(len(key), vs[i]))
@@ -163,14 +164,16 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
             yield _frame(out, types)
 
     ranged = stages.save(
-        docs.join(shared, "doc").mapInArrow(spans, "k long, doc long, v long, first int, last int"), "spans"
+        docs.join(shared, "doc").mapInArrow(spans, "h long, k long, doc long, v long, first int, last int"), "spans"
     )
     stages.drop("shared")
     least = ranged.groupBy("k").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    whole_runs = ranged.join(least, "k", "left").select("doc", "v", "first", "last", F.coalesce(F.expr("least < doc"), F.lit(False)).alias("all"))
+    whole_runs = ranged.join(least, "k", "left").select("h", "k", "doc", "v", "first", "last", F.coalesce(F.expr("least < doc"), F.lit(False)).alias("all"))
     ranged = stages.save(whole_runs, "ranged")
     del least, whole_runs
     stages.drop("spans")
+    # where all the positions of a name span the same bytes, its one open position has nothing to be compared with
+    mixed = ranged.groupBy("h").agg(F.min("k").alias("k1"), F.max("k").alias("k2")).where("k1 <> k2").select("h")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Round two: the name of a window is the pair of names at its offsets 0 and half."""
@@ -192,9 +195,9 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
                 out["p"].append(p)
             yield _frame(out, types)
 
-    open_ = ranged.where("not all").groupBy("doc", "v").agg(F.collect_list(F.struct("first", "last")).alias("open"))
+    open_ = ranged.where("not all").join(mixed, "h").groupBy("doc", "v").agg(F.collect_list(F.struct("first", "last")).alias("open"))
     single = stages.save(docs.join(open_, ["doc", "v"]).mapInArrow(pairs, "k long, doc long, v long, p int"), "single")
-    del open_
+    del open_, mixed
     stages.release()
     least = single.groupBy("k").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
     some = single.join(least, "k").where("least < doc").select("doc", "v", F.col("p").alias("start"), (F.col("p") + length).alias("end"))
