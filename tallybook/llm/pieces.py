@@ -23,10 +23,3 @@ def spans(text: str, pattern: str) -> str:
         (a, m) -> struct(a.at + m.gap + m.len as at, concat(a.found, array(struct(a.at + m.gap as s, a.at + m.gap + m.len as e, m.x as x))) as found),
         a -> a.found) else {empty} end"""
 
-
-def rewritten(text: str, pattern: str, replacement: str) -> str:
-    """SQL for the text with every match ``m`` replaced by the SQL expression ``replacement``."""
-    p = quoted(pattern)
-    return f"""case when {text} rlike {p} then array_join(zip_with(
-        split({text}, {p}, -1), concat(transform(regexp_extract_all({text}, {p}, 0), m -> {replacement}), array('')),
-        (part, put) -> concat(part, put)), '') else {text} end"""

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import quoted, rewritten, spans
+from .pieces import quoted
 
 ROUNDS = 8
 EMAIL = r"(?i)[a-z0-9][a-z0-9._%+-]*@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}"
@@ -112,16 +112,18 @@ def _which(m: str) -> str:
 def pseudonymise(df: DataFrame, key: str = "change-this-key", text: str = "text") -> DataFrame:
     """``df`` with its text rewritten, and n_<kind> counts of the values replaced."""
     out = "case " + " ".join(f"when {_which('m')} = '{k}' then {pseudonym(k, 'm', key)}" for k in ("email", "date", "day", "ip", "phone", "ssn")) + f" else {pseudonym('card', 'm', key)} end"
-    column = f"`{text}`"
-    pieces = spans(f"cast({column} as string)", ANY)
-    valid = f"""case {_which('v.x')} when 'email' then true when 'phone' then true
-        when 'ip' then forall(split(v.x, '[.]'), o -> cast(o as int) <= 255)
-        when 'card' then {luhn("regexp_replace(v.x, '[^0-9]', '')")} % 10 = 0
-        when 'ssn' then substring(v.x, 1, 3) not in ('000', '666') and substring(v.x, 5, 2) <> '00' and right(v.x, 4) <> '0000'
-        when 'date' then try_cast(v.x as date) is not null
-        else try_cast(concat_ws('-', substring(v.x, 7, 4), substring(v.x, 4, 2), substring(v.x, 1, 2)) as date) is not null end"""
-    kinds = f"transform(filter({pieces}, v -> {valid}), v -> {_which('v.x')})"
-    return df.withColumns({
-        text: F.expr(rewritten(f"cast({column} as string)", ANY, out)),
-        **{f"n_{k}": F.expr(f"cast(case when {column} is null then 0 else size(filter({kinds}, k -> k = '{k}' {'or k = ' + chr(39) + 'day' + chr(39) if k == 'date' else ''})) end as bigint)") for k in ("email", "ip", "phone", "card", "ssn", "date")},
-    })
+    column = f"cast(`{text}` as string)"
+    valid = f"""case {_which('v')} when 'email' then true when 'phone' then true
+        when 'ip' then forall(split(v, '[.]'), o -> cast(o as int) <= 255)
+        when 'card' then {luhn("regexp_replace(v, '[^0-9]', '')")} % 10 = 0
+        when 'ssn' then substring(v, 1, 3) not in ('000', '666') and substring(v, 5, 2) <> '00' and right(v, 4) <> '0000'
+        when 'date' then try_cast(v as date) is not null
+        else try_cast(concat_ws('-', substring(v, 7, 4), substring(v, 4, 2), substring(v, 1, 2)) as date) is not null end"""
+    # every kind holds a digit or an at sign: texts without either need no pattern at all
+    found = f"case when {column} rlike '[0-9@]' then regexp_extract_all({column}, {quoted(ANY)}, 0) else array() end"
+    kinds = f"transform(filter(_found, v -> {valid}), v -> replace({_which('v')}, 'day', 'date'))"
+    rebuilt = f"""case when size(_found) > 0 then array_join(zip_with(split({column}, {quoted(ANY)}, -1), concat(transform(_found, m -> {out}), array('')),
+        (part, put) -> concat(part, put)), '') else {column} end"""
+    df = df.withColumn("_found", F.expr(found)).withColumn("_kinds", F.expr(kinds))
+    count = lambda k: F.expr(f"cast(coalesce(size(filter(_kinds, k -> k = '{k}')), 0) as bigint)")
+    return df.withColumns({text: F.expr(rebuilt), **{f"n_{k}": count(k) for k in ("email", "ip", "phone", "card", "ssn", "date")}}).drop("_found", "_kinds")
