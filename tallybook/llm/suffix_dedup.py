@@ -163,17 +163,58 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
                 out["last"].append(last)
             yield _frame(out, types)
 
-    ranged = stages.save(
-        docs.join(shared, "doc").mapInArrow(spans, "h long, k long, doc long, v long, first int, last int"), "spans"
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """From rows sorted by (h, k, doc): those covered whole by a smaller doc, and those still open.
+
+        The first row of each k is open, the others of larger docs are covered.  Where all rows of an h have
+        one k, its open row has nothing to be compared with and goes; so the first
+        open row of an h waits until a second k turns up.
+        """
+        names = ("doc", "v", "first", "last")
+        h0 = k0 = d0 = waiting = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            h, k, d = (batch.column(c).to_numpy() for c in ("h", "k", "doc"))
+            cols = [batch.column(c).to_numpy() for c in names]
+            n = len(h)
+            new_h = np.concatenate([[h0 is None or h[0] != h0], h[1:] != h[:-1]])
+            new_k = new_h | np.concatenate([[k0 is None or k[0] != k0], k[1:] != k[:-1]])
+            start = np.maximum.accumulate(np.where(new_k, np.arange(n), -1))
+            first_doc = np.where(start >= 0, d[np.maximum(start, 0)], d0 if d0 is not None else 0)
+            covered = ~new_k & (first_doc < d)
+            # an equal doc repeats an open row; it opens only where the row before did, which changes nothing
+            second = new_k & ~new_h
+            opened = second.copy()
+            heads = np.flatnonzero(new_h)
+            follows = np.searchsorted(np.flatnonzero(second), heads)
+            nexts = np.append(np.flatnonzero(second), n)
+            limit = np.append(heads[1:], n)
+            opened[heads] = nexts[follows] < limit
+            carried = []
+            if waiting is not None:
+                lead = heads[0] if len(heads) else n
+                if second[:lead].any():
+                    carried, waiting = [waiting], None
+                elif lead < n:
+                    waiting = None
+            if len(heads) and not opened[heads[-1]]:
+                waiting = tuple(c[heads[-1]] for c in cols)
+            elif len(heads):
+                waiting = None
+            keep = covered | opened
+            out = [np.concatenate([np.array([w[i] for w in carried], dtype=c.dtype), c[keep]]) for i, c in enumerate(cols)]
+            flags = np.concatenate([np.zeros(len(carried), bool), covered[keep]])
+            h0, k0, d0 = h[-1], k[-1], first_doc[-1]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in out), pa.array(flags)], names=[*names, "all"])
+
+    sorted_spans = (
+        docs.join(shared, "doc").mapInArrow(spans, "h long, k long, doc long, v long, first int, last int")
+        .repartition("h").sortWithinPartitions("h", "k", "doc")
     )
+    ranged = stages.save(sorted_spans.mapInArrow(settle, "doc long, v long, first int, last int, all boolean"), "ranged")
+    del sorted_spans
     stages.drop("shared")
-    least = ranged.groupBy("k").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    whole_runs = ranged.join(least, "k", "left").select("h", "k", "doc", "v", "first", "last", F.coalesce(F.expr("least < doc"), F.lit(False)).alias("all"))
-    ranged = stages.save(whole_runs, "ranged")
-    del least, whole_runs
-    stages.drop("spans")
-    # where all the positions of a name span the same bytes, its one open position has nothing to be compared with
-    mixed = ranged.groupBy("h").agg(F.min("k").alias("k1"), F.max("k").alias("k2")).where("k1 <> k2").select("h")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Round two: the name of a window is the pair of names at its offsets 0 and half."""
@@ -195,9 +236,9 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
                 out["p"].append(p)
             yield _frame(out, types)
 
-    open_ = ranged.where("not all").join(mixed, "h").groupBy("doc", "v").agg(F.collect_list(F.struct("first", "last")).alias("open"))
+    open_ = ranged.where("not all").groupBy("doc", "v").agg(F.collect_list(F.struct("first", "last")).alias("open"))
     single = stages.save(docs.join(open_, ["doc", "v"]).mapInArrow(pairs, "k long, doc long, v long, p int"), "single")
-    del open_, mixed
+    del open_
     stages.release()
     least = single.groupBy("k").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
     some = single.join(least, "k").where("least < doc").select("doc", "v", F.col("p").alias("start"), (F.col("p") + length).alias("end"))
