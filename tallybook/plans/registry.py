@@ -1,6 +1,256 @@
-"""Registered queries and their DuckDB oracles."""
+"""Registered queries over whole tables, and the DuckDB SQL that must give the same rows."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallybook.functions.text import percent, tokens
+from tallybook.operators import cdc, match, normalize, reconcile, report
+from tallybook.sources import ledger
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+_OBS = f"WITH obs AS ({ledger.OBSERVATIONS}), "
+_LATEST = "latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY rcno ORDER BY observed_at DESC, item_id DESC) rn FROM obs) WHERE rn = 1)"
+_ITEMS = f"WITH items AS ({ledger.ITEMS}) "
+_RECON = f"""WITH syn_keys AS ({ledger.KEYS}), syn_pages AS ({ledger.PAGES}),
+p AS (SELECT task_id, attempt, item_code, count(*) pages, min(page_no) a, max(page_no) b, count(DISTINCT page_no) nos, min(total) total, max(total) mt, sum(parsed_rows) parsed FROM syn_pages GROUP BY ALL),
+k AS (SELECT task_id, attempt, item_code, count(*) stored, count(DISTINCT rcno) uk, sha256(string_agg(r, chr(10) ORDER BY r)) sha FROM (SELECT *, CAST(rcno AS VARCHAR) r FROM syn_keys) GROUP BY ALL),
+recon AS (SELECT p.task_id, p.attempt, p.item_code, total, pages, coalesce(uk, 0) unique_keys, sha key_sha,
+ CASE WHEN total <> mt THEN 'total_differs' WHEN a <> 1 OR b <> nos OR pages <> nos THEN 'pages_not_contiguous' WHEN pages <> greatest(1, ceil(total / 2.0)) THEN 'page_count'
+ WHEN parsed <> total THEN 'parsed_rows' WHEN coalesce(stored, 0) <> parsed THEN 'stored_rows' WHEN coalesce(uk, 0) <> total THEN 'unique_keys' END reason FROM p LEFT JOIN k USING (task_id, attempt, item_code)) """
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _latest(spark: SparkSession, d: str) -> DataFrame:
+    return cdc.latest_by_key(ledger.observations(spark, d), "rcno", "observed_at", "item_id")
+
+
+def _state(spark: SparkSession, d: str) -> DataFrame:
+    """State as of the first half of the observations, every fourth key done."""
+    obs = ledger.observations(spark, d).where("item_id % 2 = 0")
+    done = F.when(F.col("rcno") % 4 == 0, "NORMALIZED").when(F.col("rcno") % 4 == 1, "STALE").otherwise("PENDING")
+    return cdc.latest_by_key(obs, "rcno", "observed_at", "item_id").select("rcno", F.col("item_id").alias("source_item_id"), F.sha2("semantic_text", 256).alias("semantic_sha256"), done.alias("status"))
+
+
+_STATE = """state AS (SELECT rcno, item_id source_item_id, sha256(semantic_text) semantic_sha256, CASE rcno % 4 WHEN 0 THEN 'NORMALIZED' WHEN 1 THEN 'STALE' ELSE 'PENDING' END status
+ FROM (SELECT *, row_number() OVER (PARTITION BY rcno ORDER BY observed_at DESC, item_id DESC) rn FROM obs WHERE item_id % 2 = 0) WHERE rn = 1)"""
+
+
+@query(_OBS + _LATEST + " SELECT rcno, item_id, processed_date, semantic_text FROM latest")
+def b1_latest_by_key(spark, d):
+    return _latest(spark, d).select("rcno", "item_id", "processed_date", "semantic_text")
+
+
+def _next(spark, d):
+    return _latest(spark, d).select("rcno", F.col("item_id").alias("source_item_id"), F.sha2("semantic_text", 256).alias("semantic_sha256"), "processed_date")
+
+
+@query(_OBS + _LATEST + ", " + _STATE + """ SELECT coalesce(s.rcno, l.rcno) rcno, coalesce(l.item_id, s.source_item_id) source_item_id, coalesce(sha256(l.semantic_text), s.semantic_sha256) semantic_sha256,
+ CASE WHEN s.rcno IS NULL THEN 'PENDING' WHEN l.rcno IS NULL OR s.semantic_sha256 = sha256(l.semantic_text) THEN s.status ELSE 'STALE' END status,
+ s.rcno IS NULL OR (l.rcno IS NOT NULL AND s.semantic_sha256 <> sha256(l.semantic_text)) changed FROM state s FULL JOIN latest l ON s.rcno = l.rcno""")
+def b2_sync_declarations(spark, d):
+    return cdc.sync_declarations(_state(spark, d), _next(spark, d))
+
+
+@query(_OBS + _STATE + " SELECT rcno, CASE WHEN status = 'NORMALIZED' THEN 'STALE' ELSE status END status FROM state")
+def b3_force_requeue(spark, d):
+    return cdc.force_requeue(_state(spark, d)).select("rcno", "status")
+
+
+@query(_OBS + _LATEST + ", " + _STATE + """ SELECT l.rcno, l.item_id source_item_id, l.processed_date, s.status FROM latest l LEFT JOIN state s USING (rcno)
+ WHERE s.status IS NULL OR s.status IN ('PENDING', 'STALE') ORDER BY l.processed_date DESC, l.item_id DESC LIMIT 100""")
+def b4_select_work(spark, d):
+    return cdc.select_work(_next(spark, d).drop("semantic_sha256"), _state(spark, d), 100).select("rcno", "source_item_id", "processed_date", "status")
+
+
+@query(_OBS + _STATE + """ SELECT (SELECT count(DISTINCT rcno) FROM obs WHERE rcno NOT IN (SELECT rcno FROM state)) missing,
+ (SELECT count(*) FROM state WHERE status = 'PENDING') pending, (SELECT count(*) FROM state WHERE status = 'STALE') stale""")
+def b5_remaining(spark, d):
+    return cdc.remaining(ledger.observations(spark, d), _state(spark, d))
+
+
+@query(_OBS + _LATEST + ", " + _STATE + """ SELECT s.rcno, CASE WHEN l.item_id = s.source_item_id THEN 'PARTIAL' ELSE s.status END status, coalesce(l.item_id = s.source_item_id, false) applied
+ FROM state s LEFT JOIN latest l USING (rcno)""")
+def b6_apply_results(spark, d):
+    results = _next(spark, d).select("rcno", "source_item_id", F.lit("PARTIAL").alias("status"))
+    return cdc.apply_results(_state(spark, d), results, "rcno", ["source_item_id"], ["status"]).select("rcno", "status", "applied")
+
+
+@query(_OBS + _STATE + " SELECT s.rcno, s.source_item_id, o.processed_date source_processed_date, o.queried_item_name source_queried_item_name FROM state s JOIN obs o ON s.source_item_id = o.item_id")
+def b10_declaration_details(spark, d):
+    state = _state(spark, d).withColumnRenamed("source_item_id", "source_item_id_ref")
+    out = cdc.declaration_details(state.drop("semantic_sha256"), ledger.observations(spark, d))
+    return out.select("rcno", F.col("source_item_id_ref").alias("source_item_id"), "source_processed_date", "source_queried_item_name")
+
+
+@query(_OBS + _STATE + " SELECT s.rcno, s.source_item_id FROM state s LEFT JOIN (SELECT * FROM obs WHERE attempt_no = 1 AND rcno % 3 = 0) o ON s.source_item_id = o.item_id WHERE s.rcno IS DISTINCT FROM o.rcno")
+def b11_orphans(spark, d):
+    kept = ledger.observations(spark, d).where("attempt_no = 1 and rcno % 3 = 0")
+    return cdc.orphans(_state(spark, d), kept).select("rcno", "source_item_id")
+
+
+@query("""SELECT event_id, CAST(unnest(generate_series(CAST(ts AS DATE), CAST(ts AS DATE) + CAST(event_id % 7 AS INTEGER), INTERVAL 1 DAY)) AS DATE) task_date, CAST(event_id % 7 + 1 AS BIGINT) total FROM events""")
+def a12_expand_dates(spark, d):
+    events = spark.read.parquet(f"{d}/events.parquet").select("event_id", F.to_date("ts").alias("first"), F.expr("date_add(to_date(ts), cast(event_id % 7 as int))").alias("last"))
+    return cdc.expand_dates(events, "first", "last").select("event_id", "task_date", "total")
+
+
+@query(_OBS + "old AS (SELECT * FROM obs WHERE item_id % 3 = 0) SELECT DISTINCT rcno, semantic_text FROM obs o WHERE item_id % 3 <> 0 AND NOT EXISTS (SELECT 1 FROM old WHERE old.rcno = o.rcno AND old.semantic_text = o.semantic_text)")
+def a11_append_new(spark, d):
+    obs = ledger.observations(spark, d)
+    keys = ["rcno", "semantic_text"]
+    return cdc.append_new(obs.where("item_id % 3 = 0"), obs.where("item_id % 3 <> 0"), keys).select(*keys)
+
+
+def _recon(spark, d):
+    return reconcile.reconcile_items(ledger.pages(spark, d), ledger.keys(spark, d), 2)
+
+
+@query(_RECON + "SELECT *, reason IS NULL AS valid FROM recon")
+def c1_reconcile_items(spark, d):
+    return _recon(spark, d)
+
+
+_PREV = """, prev AS (SELECT r.*, r.reason IS NULL valid, last_value(CASE WHEN r.reason IS NULL THEN attempt END IGNORE NULLS) OVER w pa FROM recon r
+ WINDOW w AS (PARTITION BY task_id, item_code ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) """
+
+
+@query(_RECON + _PREV + "SELECT task_id, attempt, item_code, valid, pa prev_attempt FROM prev")
+def c3_previous_valid(spark, d):
+    return reconcile.previous_valid(_recon(spark, d)).select("task_id", "attempt", "item_code", "valid", "prev_attempt")
+
+
+@query(f"""WITH syn_keys AS ({ledger.KEYS}), a AS (SELECT DISTINCT task_id, item_code, rcno FROM syn_keys WHERE attempt = 1), b AS (SELECT DISTINCT task_id, item_code, rcno FROM syn_keys WHERE attempt = 2)
+ SELECT *, 'missing' AS side FROM (FROM a EXCEPT FROM b) UNION ALL SELECT *, 'unexpected' FROM (FROM b EXCEPT FROM a)""")
+def c4_key_diff(spark, d):
+    return reconcile.key_diff(ledger.keys(spark, d), 1, 2)
+
+
+@query(_RECON + _PREV + """SELECT p.task_id, p.attempt, CASE WHEN bool_or(NOT p.valid) THEN 'RECONCILIATION_FAILED' WHEN bool_or(p.pages > 1 AND p.pa IS NULL) THEN 'VERIFICATION_REQUIRED'
+ WHEN bool_or(p.pages > 1 AND (q.total <> p.total OR q.key_sha <> p.key_sha)) THEN 'SET_CHANGED' ELSE 'COMPLETE' END verdict
+ FROM prev p LEFT JOIN recon q ON q.task_id = p.task_id AND q.item_code = p.item_code AND q.attempt = p.pa GROUP BY p.task_id, p.attempt""")
+def c5_reconcile_tasks(spark, d):
+    return reconcile.reconcile_tasks(_recon(spark, d))
+
+
+def _normalized(spark, d):
+    return normalize.normalize(ledger.items(spark, d))
+
+
+_VOL = """CASE item_id % 14 WHEN 0 THEN 700 WHEN 1 THEN 1750 WHEN 2 THEN 500 WHEN 3 THEN 4000 WHEN 4 THEN 250 WHEN 6 THEN 700 WHEN 9 THEN 1750 WHEN 11 THEN 700 WHEN 12 THEN 700 WHEN 13 THEN 150 END"""
+_STATUS = "CASE WHEN item_id % 14 = 8 THEN 'REVIEW_REQUIRED' WHEN item_id % 5 = 4 THEN 'PARTIAL' ELSE 'NORMALIZED' END"
+
+
+@query(_ITEMS + f"""SELECT item_id, CAST({_VOL} AS INTEGER) unit_volume_ml, CAST(CASE WHEN item_id % 14 = 4 THEN 24 END AS INTEGER) package_count FROM items""")
+def d1_volume(spark, d):
+    return _normalized(spark, d).select("item_id", "unit_volume_ml", "package_count")
+
+
+@query(_ITEMS + "SELECT item_id, CAST(CASE item_id % 14 WHEN 1 THEN 12 WHEN 12 THEN 15 END AS INTEGER) age_years, CAST(nullif(regexp_extract(product_name_en, '([0-9]+) PROOF', 1), '') AS DOUBLE) proof FROM items")
+def d8_age_proof(spark, d):
+    return _normalized(spark, d).select("item_id", "age_years", "proof")
+
+
+@query(_ITEMS + "SELECT item_id, CAST(nullif(regexp_extract(product_name_en, 'BATCH ([0-9]+)', 1), '') AS BIGINT) batch_number, CASE WHEN item_id % 14 = 11 THEN 'CASK STRENGTH' END strength_type, CASE WHEN contains(product_name_ko, '구형') THEN '구형' END version_marker FROM items")
+def d14_batch_strength_version(spark, d):
+    return _normalized(spark, d).select("item_id", "batch_number", "strength_type", "version_marker")
+
+
+@query(_ITEMS + """SELECT item_id, try_cast(nullif(regexp_extract(expiry_text, '^([^~]*?)\\s*~', 1), '') AS DATE) expiry_first, try_cast(nullif(regexp_extract(expiry_text, '~\\s*(.*)$', 1), '') AS DATE) expiry_last FROM items""")
+def d17_expiry(spark, d):
+    return _normalized(spark, d).select("item_id", "expiry_first", "expiry_last")
+
+
+@query(_ITEMS + """SELECT item_id, trim(importer_name) importer_base, CASE WHEN starts_with(importer_name, '주식회사') THEN '주식회사' WHEN starts_with(importer_name, '(주)') THEN '(주)' END legal_form,
+ CASE item_name WHEN '위스키' THEN 'Whisky' WHEN '브랜디' THEN 'Brandy' WHEN '일반증류주' THEN 'Spirits' ELSE 'Liqueur' END category_en FROM items""")
+def d18_company_category(spark, d):
+    return _normalized(spark, d).select("item_id", "importer_base", "legal_form", "category_en")
+
+
+@query(_ITEMS + f"SELECT item_id, {_STATUS} normalization_status FROM items")
+def d29_status(spark, d):
+    return _normalized(spark, d).select("item_id", "normalization_status")
+
+
+@query(_ITEMS + f"""SELECT count(*) total, count(*) FILTER (item_id % 14 = 8) review, round(count(*) FILTER (item_id % 14 = 8) * 100.0 / count(*), 2) review_pct, CAST('2026-08-26' AS DATE) latest FROM items""")
+def h1_overview(spark, d):
+    return report.overview(_normalized(spark, d))
+
+
+@query(_ITEMS + f"SELECT {_STATUS} normalization_status, count(*) n FROM items GROUP BY 1")
+def h2_status_counts(spark, d):
+    return report.counts_by(_normalized(spark, d), "normalization_status")
+
+
+@query()
+def h3_field_coverage(spark, d):
+    return report.field_coverage(_normalized(spark, d))
+
+
+@query(_OBS.rstrip(", ") + " SELECT strftime(processed_date, '%Y-%m') AS month, count(*) n FROM obs GROUP BY 1")
+def h15_monthly(spark, d):
+    return report.monthly(ledger.observations(spark, d), "processed_date")
+
+
+@query(_ITEMS + "SELECT item_name AS value, count(*) n FROM items GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
+def h16_item_distribution(spark, d):
+    return report.top_counts(ledger.items(spark, d), "item_name")
+
+
+@query()
+def h17_sku_groups(spark, d):
+    return report.sku_groups(_normalized(spark, d))
+
+
+@query(_ITEMS + "SELECT 'PROOF_REVIEW' reason, count(*) n FROM items WHERE item_id % 14 = 8")
+def h18_review_reasons(spark, d):
+    return report.review_reasons(_normalized(spark, d))
+
+
+@query(_OBS.rstrip(", ") + """, k AS (SELECT queried_item_name, rcno, count(*) r FROM obs GROUP BY 1, 2 HAVING count(*) > 1)
+ SELECT queried_item_name, count(*) keys, CAST(sum(r) AS BIGINT) AS rows FROM k GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 20""")
+def h20_duplicate_observations(spark, d):
+    return report.duplicate_observations(ledger.observations(spark, d))
+
+
+@query(_OBS.rstrip(", ") + " SELECT queried_item_name, count(*) n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) pct FROM obs GROUP BY 1")
+def q2_share(spark, d):
+    obs = ledger.observations(spark, d)
+    total = obs.agg(F.count("*").alias("total"))  # one row
+    return obs.groupBy("queried_item_name").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select("queried_item_name", "n", percent(F.col("n"), F.col("total")).alias("pct"))
+
+
+@query(_ITEMS + """SELECT count(*) FILTER (length(product_name_en) - length(replace(product_name_en, '(', '')) <> length(product_name_en) - length(replace(product_name_en, ')', ''))) unbalanced, count(*) total FROM items""")
+def q7_bracket_balance(spark, d):
+    return report.bracket_balance(ledger.items(spark, d), "product_name_en")
+
+
+@query("""WITH l AS (SELECT concat_ws(chr(31), CASE WHEN doc_id IS NULL THEN 'null' ELSE 'v:' || doc_id END, CASE WHEN text IS NULL THEN 'null' ELSE 'v:' || text END) x FROM documents)
+ SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(sha256(x), 1, 8) AS BIGINT)) AS BIGINT) fingerprint FROM l""")
+def g1_table_fingerprint(spark, d):
+    return report.fingerprint(spark.read.parquet(f"{d}/documents.parquet"), ["doc_id", "text"])
+
+
+@query("SELECT s_suppkey, trim(regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g')) base_key FROM supplier")
+def e1_tokens(spark, d):
+    return spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", F.array_join(tokens(F.col("s_name")), " ").alias("base_key"))
+
+
+@query()
+def e20_match_names(spark, d):
+    parts = spark.read.parquet(f"{d}/part.parquet")
+    names = parts.groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("input_id"))
+    refs = parts.groupBy(F.col("p_name").alias("name")).agg((F.min("p_partkey") + 1).alias("ref_id"))
+    return match.decide(match.score(names, refs))
