@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
@@ -51,6 +52,11 @@ class Stages:
         self.release()
 
     def release(self) -> None:
-        """Frames that went out of scope hold shuffle files until both collectors ran."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        """Frames that went out of scope hold shuffle files until both collectors ran.
+
+        Objects that only a finaliser frees take a second round.
+        """
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.2)
