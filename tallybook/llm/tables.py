@@ -25,11 +25,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: With this on, Spark deletes a statement's shuffle files when the statement ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Stages:
     """Tables written to the shared folder so that a lost executor re-reads, not recomputes.
 
     ``save`` writes and re-reads a frame; ``drop`` removes tables no later step reads.
-    Dropping also lets the driver forget finished shuffles, whose files go with them.
+    The shuffles of a saved frame are not needed once it is written, so their files go then.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -40,7 +44,12 @@ class Stages:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        before = self.spark.conf.get(FREE_SHUFFLES)
+        self.spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(FREE_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
