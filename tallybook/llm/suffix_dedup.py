@@ -240,12 +240,15 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
     single = stages.save(docs.join(open_, ["doc", "v"]).mapInArrow(pairs, "k long, doc long, v long, p int"), "single")
     del open_
     stages.release()
-    least = single.groupBy("k").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    # written before the join, so that only one of the two shuffles of single positions lies on disk at a time
+    ends = single.groupBy("k").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    least = stages.save(ends.where("least < most").select("k", "least"), "least")
+    del ends
     some = single.join(least, "k").where("least < doc").select("doc", "v", F.col("p").alias("start"), (F.col("p") + length).alias("end"))
     full = ranged.where("all").select("doc", "v", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     out = stages.save(some.unionByName(full), "found")
     del least, some, full
-    stages.drop("single", "ranged")
+    stages.drop("single", "least", "ranged")
     return out
 
 
