@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import percent, tokens
-from tallybook.operators import cdc, match, normalize, reconcile, report
+from tallybook.operators import cdc, importers, match, normalize, quality, reconcile, report
 from tallybook.sources import ledger
 
 QUERIES: dict = {}
@@ -254,3 +254,123 @@ def e20_match_names(spark, d):
     names = parts.groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("input_id"))
     refs = parts.groupBy(F.col("p_name").alias("name")).agg((F.min("p_partkey") + 1).alias("ref_id"))
     return match.decide(match.score(names, refs))
+
+
+_LINKS = f"""WITH reg AS ({ledger.REGISTRY}), decl AS ({ledger.DECLARED}), gal AS ({ledger.GALLERY}),
+cand AS (SELECT business_name, count(DISTINCT code) candidates, CASE WHEN count(DISTINCT code) = 1 THEN min(code) END only_code FROM reg GROUP BY 1),
+seen AS (SELECT g.rcno, g.business_name, min(g.code) seen_code FROM gal g JOIN reg USING (business_name, code) GROUP BY 1, 2),
+res AS (SELECT d.rcno, d.business_name, coalesce(only_code, CASE WHEN candidates > 1 AND process_date IS NOT NULL THEN seen_code END) code,
+  CASE WHEN only_code IS NOT NULL THEN 'PAGE_NAME' WHEN candidates > 1 AND process_date IS NOT NULL AND seen_code IS NOT NULL THEN 'PAGE_RCNO' END link_source
+  FROM decl d LEFT JOIN cand USING (business_name) LEFT JOIN seen USING (rcno, business_name)) """
+
+
+def _resolved(spark, d):
+    return importers.resolve_groups(ledger.declared(spark, d), ledger.registry(spark, d), ledger.gallery(spark, d))
+
+
+@query(_LINKS + "SELECT business_name, candidates, only_code FROM cand")
+def f2_name_candidates(spark, d):
+    return importers.name_candidates(ledger.registry(spark, d))
+
+
+@query(_LINKS + """, links AS (SELECT * FROM gal WHERE rcno % 4 = 0) SELECT d.rcno, coalesce(l.code, only_code) code, CASE WHEN l.code IS NOT NULL THEN 'PAGE_RCNO' WHEN only_code IS NOT NULL THEN 'PAGE_NAME' END link_source
+ FROM decl d LEFT JOIN cand USING (business_name) LEFT JOIN links l USING (rcno, business_name)""")
+def f3_resolve_link(spark, d):
+    links = ledger.gallery(spark, d).where("rcno % 4 = 0").withColumn("link_source", F.lit("PAGE_RCNO"))
+    return importers.resolve_link(ledger.declared(spark, d), links, ledger.registry(spark, d))
+
+
+@query(_LINKS + "SELECT * FROM res")
+def f5_resolve_groups(spark, d):
+    return _resolved(spark, d)
+
+
+@query(_LINKS + "SELECT o_custkey rcno, min(g.code) least, max(g.code) most FROM gal g JOIN orders ON rcno = o_orderkey GROUP BY 1 HAVING min(g.code) <> max(g.code)")
+def f6_link_conflicts(spark, d):
+    orders = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").cast("long").alias("rcno"), "o_custkey")
+    return importers.link_conflicts(ledger.gallery(spark, d).join(orders, "rcno").select(F.col("o_custkey").alias("rcno"), "code"))
+
+
+@query(_LINKS + "SELECT count(DISTINCT business_name) AS groups, count(*) AS keys, count(code) resolved, count(*) - count(code) unresolved FROM res")
+def f10_link_summary(spark, d):
+    return importers.link_summary(_resolved(spark, d))
+
+
+@query(_LINKS + "SELECT d.business_name, count(*) declarations, min(process_date) first_day, max(process_date) last_day, coalesce(max(candidates), 0) candidates, max(only_code) code FROM decl d LEFT JOIN cand USING (business_name) GROUP BY 1")
+def h11_importer_list(spark, d):
+    return importers.importer_list(ledger.declared(spark, d), ledger.registry(spark, d))
+
+
+@query("SELECT event_id, sha256('/list?event=' || event_type || '&user=' || CAST(user_id AS VARCHAR)) request_sha256 FROM events")
+def a9_request_key(spark, d):
+    params = F.create_map(F.lit("user"), F.col("user_id").cast("string"), F.lit("event"), F.col("event_type"))
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", quality.request_key(F.lit("/list"), params).alias("request_sha256"))
+
+
+@query("SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) n_bytes, sha256(coalesce(html, '')) body_sha256, strlen(coalesce(html, '')) > 4096 over_limit FROM pages")
+def a10_body_facts(spark, d):
+    return quality.body_facts(spark.read.parquet(f"{d}/pages.parquet"), "html", 4096).select("page_id", "n_bytes", "body_sha256", "over_limit")
+
+
+@query("""SELECT page_id, CAST(len(list_distinct(regexp_extract_all(coalesce(html, ''), 'href="([^"]*)"', 1))) AS INTEGER) links FROM pages""")
+def a8_link_targets(spark, d):
+    return spark.read.parquet(f"{d}/pages.parquet").select("page_id", F.size(quality.link_targets(F.col("html"))).alias("links"))
+
+
+@query(_OBS + """cur AS (SELECT * FROM (SELECT *, max(attempt_no) OVER (PARTITION BY task_id) m FROM obs) WHERE attempt_no = m),
+ k AS (SELECT task_id, rcno, count(*) n, min(item_id) own FROM cur GROUP BY 1, 2)
+ SELECT task_id, CAST(sum(n) AS BIGINT) AS rows, count(*) AS keys, count(*) FILTER (NOT coalesce(earlier, false)) new_keys
+ FROM (SELECT k.task_id, k.rcno, any_value(n) n, bool_or(o.item_id < own) earlier FROM k LEFT JOIN obs o ON o.rcno = k.rcno AND o.task_id <> k.task_id GROUP BY 1, 2) GROUP BY 1""")
+def c6_task_counters(spark, d):
+    return quality.task_counters(ledger.observations(spark, d))
+
+
+_DIMS = f"""n AS (SELECT *, {_STATUS} normalization_status FROM items), long AS (UNPIVOT (SELECT item_id, item_name, importer_name, manufacture_country_name, normalization_status, normalization_status = 'REVIEW_REQUIRED' review FROM n)
+ ON item_name, importer_name, manufacture_country_name, normalization_status INTO NAME dimension VALUE value)"""
+
+
+@query(_ITEMS.rstrip() + ", " + _DIMS + " SELECT DISTINCT dimension, value FROM long")
+def h4_vocabularies(spark, d):
+    return quality.vocabularies(_with_status(spark, d))
+
+
+@query(_ITEMS.rstrip() + ", " + _DIMS + " SELECT dimension, value, count(*) n, count(*) FILTER (review) review FROM long GROUP BY 1, 2")
+def h19_review_distribution(spark, d):
+    return quality.review_distribution(_with_status(spark, d))
+
+
+def _with_status(spark, d):
+    status = _normalized(spark, d).select("item_id", "normalization_status", "review_reasons", "unit_volume_ml", "age_years", "proof", "batch_number")
+    return ledger.items(spark, d).join(status, "item_id")
+
+
+@query(_ITEMS + "SELECT item_id, product_name_en, item_name FROM items WHERE (contains(product_name_en, 'ml') OR contains(product_name_ko, 'ml')) AND item_name = '위스키' ORDER BY item_id DESC LIMIT 20 OFFSET 20")
+def h5_search_page(spark, d):
+    found = quality.search(ledger.items(spark, d), "ml", ("product_name_en", "product_name_ko"), {"item_name": "위스키"})
+    return quality.page(found, [F.desc("item_id")], 2, 20).select("item_id", "product_name_en", "item_name")
+
+
+@query(_ITEMS + "SELECT name, 'name:' || sha256(name) product_key, count(*) n FROM (SELECT coalesce(nullif(trim(product_name_ko), ''), nullif(trim(product_name_en), ''), '미분류') AS name FROM items) GROUP BY 1")
+def h13_product_groups(spark, d):
+    return quality.product_groups(ledger.items(spark, d))
+
+
+@query(_OBS.rstrip(", ") + " SELECT count(*) AS rows, count(DISTINCT rcno) AS keys FROM obs")
+def q1_row_key_counts(spark, d):
+    return ledger.observations(spark, d).agg(F.count("*").alias("rows"), F.count_distinct("rcno").alias("keys"))
+
+
+@query(_ITEMS + f"SELECT count(*) total, round(count({_VOL}) * 100.0 / count(*), 2) unit_volume_ml_pct, round(count(*) FILTER (item_id % 14 IN (1, 12)) * 100.0 / count(*), 2) age_years_pct FROM items")
+def q5_extraction_rates(spark, d):
+    return quality.extraction_rates(_normalized(spark, d), ("unit_volume_ml", "age_years"))
+
+
+@query(_ITEMS + r"""SELECT count(*) FILTER (regexp_matches(product_name_en, '\( *\)|\[ *\]')) empty_brackets, count(*) FILTER (regexp_matches(product_name_en, '[,/] *[,/]')) repeated_separators,
+ count(*) FILTER (regexp_matches(product_name_en, '^ *[,/]|[,/] *$')) orphan_separators, count(*) total FROM items""".replace("\\\\", "\\"))
+def q8_debris(spark, d):
+    return quality.debris(ledger.items(spark, d), "product_name_en")
+
+
+@query(_ITEMS + f"SELECT count(*) FILTER (hit) matching, count(*) FILTER (hit AND {_VOL} IS NULL) missed FROM (SELECT *, regexp_matches(product_name_en, '[0-9] ?(ml|ML|mL|L)') hit FROM items)")
+def q10_missed_volume(spark, d):
+    return quality.missed(_with_status(spark, d), "product_name_en", "[0-9] ?(ml|ML|mL|L)", "unit_volume_ml")

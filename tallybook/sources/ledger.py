@@ -37,6 +37,18 @@ FROM (SELECT *, CAST(floor((row_number() OVER (PARTITION BY task_id, attempt, it
         count(*) OVER (PARTITION BY task_id, attempt, item_code) AS total FROM syn_keys) k
 GROUP BY task_id, attempt, item_code, page_no"""
 
+REGISTRY = """SELECT lpad(CAST(s_suppkey AS VARCHAR(20)), 10, '0') AS code,
+  'IMP' || CAST(s_suppkey - CASE WHEN s_suppkey % 3 = 2 THEN 1 ELSE 0 END AS VARCHAR(20)) AS business_name
+FROM supplier"""
+
+DECLARED = """SELECT CAST(o_orderkey AS BIGINT) AS rcno, 'IMP' || CAST(o_custkey AS VARCHAR(20)) AS business_name,
+  CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS process_date
+FROM orders"""
+
+GALLERY = """SELECT CAST(o_orderkey AS BIGINT) AS rcno, 'IMP' || CAST(o_custkey AS VARCHAR(20)) AS business_name,
+  lpad(CAST(o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS VARCHAR(20)), 10, '0') AS code
+FROM orders WHERE o_orderkey % 2 = 0"""
+
 
 def frame(spark: SparkSession, sf_dir: str, sql: str, **given: DataFrame) -> DataFrame:
     """A ledger-shaped frame; tables named in the SQL are read from sf_dir."""
@@ -62,3 +74,15 @@ def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, sf_dir, PAGES, syn_keys=keys(spark, sf_dir))
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame(spark, sf_dir, REGISTRY)
+
+
+def declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame(spark, sf_dir, DECLARED)
+
+
+def gallery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frame(spark, sf_dir, GALLERY)
