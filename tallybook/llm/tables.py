@@ -25,8 +25,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-#: With this on, Spark deletes a statement's shuffle files when the statement ends.
-FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: Spark deletes a statement's shuffle files when the statement ends, and
+#: long texts reach Python workers in small batches, whose copies as Python objects take several times their bytes.
+WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 class Stages:
@@ -44,12 +48,14 @@ class Stages:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        before = self.spark.conf.get(FREE_SHUFFLES)
-        self.spark.conf.set(FREE_SHUFFLES, "true")
+        before = {key: self.spark.conf.get(key) for key in WHILE_WRITING}
         try:
+            for key, value in WHILE_WRITING.items():
+                self.spark.conf.set(key, value)
             df.write.mode("overwrite").parquet(path)
         finally:
-            self.spark.conf.set(FREE_SHUFFLES, before)
+            for key, value in before.items():
+                self.spark.conf.set(key, value)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
