@@ -2,7 +2,7 @@
 
 Ranks here are names: equal strings get equal 64-bit hashes.  Round one names the
 ``half``-byte strings (half the threshold) at anchor positions; Spark sorts the
-(name, document) pairs and positions whose name is unique are done.  Round two doubles the length: the name of a full-length
+(name, document) pairs by name and positions whose name is unique are done.  Round two doubles the length: the name of a full-length
 string is the pair of names at offsets 0 and ``half``; Spark groups those pairs, and
 a position is covered when its name also occurs in a document with a smaller id.
 
@@ -111,7 +111,7 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
             yield _frame({"h": h, "doc": d}, types)
 
     def not_unique(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of sorted (h, doc) whose h equals a neighbour's; the last row waits for the next batch."""
+        """Rows sorted by h alone (one long, so by radix) whose h equals a neighbour's; the last row waits for the next batch."""
         types = {"h": long, "doc": long}
         h0 = d0 = None
         tail = False
@@ -132,7 +132,7 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
         if tail:
             yield _frame({"h": [np.array([h0])], "doc": [np.array([d0])]}, types)
 
-    in_order = docs.select("doc", "text").mapInArrow(names, "h long, doc long").repartition("h").sortWithinPartitions("h", "doc")
+    in_order = docs.select("doc", "text").mapInArrow(names, "h long, doc long").repartition("h").sortWithinPartitions("h")
     shared = stages.save(
         in_order.mapInArrow(not_unique, "h long, doc long").groupBy("doc").agg(F.collect_list("h").alias("hs")), "shared"
     )
