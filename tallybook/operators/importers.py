@@ -68,3 +68,17 @@ def importer_list(decls: DataFrame, registry: DataFrame) -> DataFrame:
     )
     known = stats.join(name_candidates(registry), "business_name", "left").fillna({"candidates": 0})
     return known.select("business_name", "declarations", "first_day", "last_day", "candidates", F.col("only_code").alias("code"))
+
+
+def pending_groups(decls: DataFrame, links: DataFrame) -> DataFrame:
+    """(business_name, keys, first_rcno): declarations that no link of the same key and name covers, by trimmed name."""
+    d = decls.select("rcno", F.trim("business_name").alias("business_name")).where("business_name <> ''")
+    known = links.where("code is not null").select("rcno", "business_name").distinct()
+    return d.join(known, ["rcno", "business_name"], "left_anti").groupBy("business_name").agg(F.count_distinct("rcno").alias("keys"), F.min("rcno").alias("first_rcno"))
+
+
+def search_candidates(names: DataFrame, found: DataFrame) -> DataFrame:
+    """(business_name, code): search results whose trimmed name is the one asked for, each code once."""
+    f = found.where("code is not null and trim(code) <> ''").select(F.trim("business_name").alias("business_name"), "code")
+    asked = names.select(F.trim("business_name").alias("business_name")).distinct()
+    return f.join(asked, "business_name", "left_semi").distinct()

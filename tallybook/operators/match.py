@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tallybook.functions.text import contains_run, jaccard, tokens
 
 WEIGHTS = {"exact": 8.0, "contains": 5.0, "fuzzy": 2.5}
-STOP_WORDS = ("the", "and", "of", "whisky", "whiskey", "single", "malt", "scotch", "old")
+#: Words that nearly every name shares.
+STOP_WORDS = ("whisky", "whiskey", "scotch", "single", "malt", "blend", "blended", "위스키", "싱글몰트")
 
 
 def block(inputs: DataFrame, names: DataFrame) -> DataFrame:

@@ -113,3 +113,64 @@ def mark_failed(state: DataFrame, failures: DataFrame) -> DataFrame:
     """State with the errors (rcno, error, next_at) of failed keys; derived values stay."""
     f = failures.select("rcno", F.substring(F.col("error"), 1, 4096).alias("last_error"), "next_at")
     return state.drop("last_error", "next_at").join(f, "rcno", "left")
+
+
+def sku_counts(d: DataFrame) -> DataFrame:
+    """(distinct, filled) SKU keys."""
+    return d.agg(F.count_distinct("sku_key").alias("distinct_keys"), F.count("sku_key").alias("filled"))
+
+
+def status_shares(d: DataFrame) -> DataFrame:
+    """One row: how many rows each status has, and percents."""
+    names = ("REVIEW_REQUIRED", "PARTIAL", "NORMALIZED", "UNPARSED")
+    n = lambda s: F.count_if(F.col("normalization_status") == s)
+    return d.agg(*[x for s in names for x in (n(s).alias(s.lower()), percent(n(s), F.count("*")).alias(f"{s.lower()}_pct"))])
+
+
+def nested_brackets(d: DataFrame, column: str) -> DataFrame:
+    """Rows with a bracket inside another, and rows with several pairs."""
+    c = F.col(column)
+    return d.agg(F.count_if(c.rlike(r"\([^)]*\(")).alias("nested"), F.count_if(c.rlike(r"\([^)]*\).*\(")).alias("several"), F.count("*").alias("total"))
+
+
+def defect_samples(d: DataFrame, defect: Column, key: str, n: int = 3) -> DataFrame:
+    """(class, key): up to n rows of each class, the smallest keys."""
+    w = Window.partitionBy("class").orderBy(key)
+    return d.select(defect.alias("class"), key).where("class is not null").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).drop("rank")
+
+
+def three_keys(d: DataFrame) -> DataFrame:
+    """(item_id, product_key, volume_key, variant_key): names, volume and what tells variants apart."""
+    name = F.coalesce(blank_to_null(F.col("product_name_ko")), blank_to_null(F.col("product_name_en")), F.lit("미분류"))
+    variant = F.concat_ws(" · ", "strength_type", "version_marker", F.col("batch_number").cast("string"))
+    return d.select("item_id", name.alias("product_key"), F.col("unit_volume_ml").alias("volume_key"), F.when(variant != "", variant).alias("variant_key"))
+
+
+def evidence_lines(d: DataFrame) -> DataFrame:
+    """(item_id, position, line): raw and normalised values, then reasons, one line each."""
+    pair = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), F.col(c).cast("string")))
+    values = F.array_compact(F.array(*[pair(c) for c in ("unit_volume_ml", "age_years", "batch_number", "strength_type")]))
+    lines = F.concat(values, F.transform("review_reasons", lambda r: F.concat(F.lit("reason: "), r)))
+    return d.select("item_id", F.posexplode(lines).alias("position", "line"))
+
+
+def importer_profile(d: DataFrame, importer: str) -> DataFrame:
+    """Declarations, distinct names, items and the first and last key of one importer."""
+    return d.where(F.trim("importer_name") == importer).agg(
+        F.count("*").alias("declarations"), F.count_distinct("product_name_en").alias("products"), F.count_distinct("item_name").alias("kinds"),
+        F.min("rcno").alias("first_rcno"), F.max("rcno").alias("last_rcno"),
+    )
+
+
+def product_declarations(d: DataFrame, product_key: str, number: int, size: int) -> DataFrame:
+    """One page of the declarations of a product, newest key first."""
+    name = F.coalesce(blank_to_null(F.col("product_name_ko")), blank_to_null(F.col("product_name_en")), F.lit("미분류"))
+    return page(d.where(F.concat(F.lit("name:"), F.sha2(name, 256)) == product_key), [F.desc("item_id")], number, size)
+
+
+def page_warnings(pages: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """Per page: rows expected of it, rows parsed, and repeats of keys within its scan's item."""
+    group = ["task_id", "attempt", "item_code"]
+    expected = F.least(F.lit(size), F.col("total") - (F.col("page_no") - 1) * size).cast("long")
+    repeats = keys.groupBy(*group).agg((F.count("*") - F.count_distinct("rcno")).alias("repeats"))
+    return pages.join(repeats, group, "left").select(*group, "page_no", expected.alias("expected"), "parsed_rows", (expected != F.col("parsed_rows")).alias("warned"), F.coalesce("repeats", F.lit(0)).alias("repeats"))
