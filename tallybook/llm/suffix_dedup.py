@@ -35,6 +35,8 @@ from .tables import Stages
 
 #: Odd multiplier that orders the two names of a pair.
 PAIR = 0xD6E8FEB86659FD93
+#: Open rows of one anchor name that a task holds back at most.
+WAITING = 1_000_000
 
 
 def rolling(data: np.ndarray, size: int) -> np.ndarray:
@@ -166,12 +168,15 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """From rows sorted by (h, k, doc): those covered whole by a smaller doc, and those still open.
 
-        The first row of each k is open, the others of larger docs are covered.  Where all rows of an h have
-        one k, its open row has nothing to be compared with and goes; so the first
-        open row of an h waits until a second k turns up.
+        Rows of the first doc of each k are open, also further occurrences in that doc and other texts of its
+        id; rows of larger docs are covered.  Where all rows of an h have one k, its open rows have nothing to be
+        compared with and go; so the open rows of an h wait until a second k turns up.  Beyond ``WAITING`` of them
+        they are opened without waiting, which costs time but changes no result.
         """
         names = ("doc", "v", "first", "last")
-        h0 = k0 = d0 = waiting = None
+        h0 = k0 = d0 = None
+        several = False  # whether the open rows of the current h wait no more
+        waiting: list[list[np.ndarray]] = []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -182,29 +187,24 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
             new_k = new_h | np.concatenate([[k0 is None or k[0] != k0], k[1:] != k[:-1]])
             start = np.maximum.accumulate(np.where(new_k, np.arange(n), -1))
             first_doc = np.where(start >= 0, d[np.maximum(start, 0)], d0 if d0 is not None else 0)
-            covered = ~new_k & (first_doc < d)
-            # an equal doc repeats an open row; it opens only where the row before did, which changes nothing
-            second = new_k & ~new_h
-            opened = second.copy()
-            heads = np.flatnonzero(new_h)
-            follows = np.searchsorted(np.flatnonzero(second), heads)
-            nexts = np.append(np.flatnonzero(second), n)
-            limit = np.append(heads[1:], n)
-            opened[heads] = nexts[follows] < limit
-            carried = []
-            if waiting is not None:
-                lead = heads[0] if len(heads) else n
-                if second[:lead].any():
-                    carried, waiting = [waiting], None
-                elif lead < n:
-                    waiting = None
-            if len(heads) and not opened[heads[-1]]:
-                waiting = tuple(c[heads[-1]] for c in cols)
-            elif len(heads):
-                waiting = None
+            covered = first_doc < d
+            # group 0 is the h that the batch before ended with
+            group = np.cumsum(new_h)
+            many = np.bincount(group[new_k & ~new_h], minlength=group[-1] + 1) > 0
+            many[0] |= several
+            opened = ~covered & many[group]
+            carried = waiting if many[0] else []
+            if many[0] or group[-1] > 0:
+                waiting = []
+            several = bool(many[-1])
+            if not several:
+                late = ~covered & (group == group[-1])
+                waiting.append([c[late] for c in cols])
+                if sum(len(w[0]) for w in waiting) > WAITING:
+                    carried, waiting, several = carried + waiting, [], True
             keep = covered | opened
-            out = [np.concatenate([np.array([w[i] for w in carried], dtype=c.dtype), c[keep]]) for i, c in enumerate(cols)]
-            flags = np.concatenate([np.zeros(len(carried), bool), covered[keep]])
+            out = [np.concatenate([*(w[i] for w in carried), c[keep]]) for i, c in enumerate(cols)]
+            flags = np.concatenate([np.zeros(sum(len(w[0]) for w in carried), bool), covered[keep]])
             h0, k0, d0 = h[-1], k[-1], first_doc[-1]
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in out), pa.array(flags)], names=[*names, "all"])
 
@@ -236,7 +236,7 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
                 out["p"].append(p)
             yield _frame(out, types)
 
-    open_ = ranged.where("not all").groupBy("doc", "v").agg(F.collect_list(F.struct("first", "last")).alias("open"))
+    open_ = ranged.where("not all").groupBy("doc", "v").agg(F.collect_set(F.struct("first", "last")).alias("open"))
     single = stages.save(docs.join(open_, ["doc", "v"]).mapInArrow(pairs, "k long, doc long, v long, p int"), "single")
     del open_
     stages.release()

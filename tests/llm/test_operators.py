@@ -92,6 +92,35 @@ def test_suffix_removal(spark):
     assert got == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("per_batch, waiting", [(1, 1000), (3, 0), (10_000, 1000)])
+def test_suffix_removal_of_a_block_repeated_inside_one_document(spark, monkeypatch, per_batch, waiting):
+    monkeypatch.setattr("tallybook.llm.suffix_dedup.WAITING", waiting)
+    rng = random.Random(8)
+    block, other = prose(rng, 50), prose(rng, 50)
+    rows = [(5, prose(rng, 9) + block + prose(rng, 9) + block + prose(rng, 9)), (3, prose(rng, 9) + block[90:210] + prose(rng, 9))]
+    # two texts of one id, and a repeated row, against a part in a smaller document
+    rows += [(8, other + prose(rng, 3)), (8, other + prose(rng, 4)), (8, other + prose(rng, 4) + other), (7, prose(rng, 5) + other[60:200]), (5, rows[0][1])]
+    least = {}
+    for i, t in rows:
+        for p in range(len(t) - 49):
+            least[t[p : p + 50]] = min(least.get(t[p : p + 50], i), i)
+    want = []
+    for i, t in rows:
+        cov = [False] * len(t)
+        for p in range(len(t) - 49):
+            if least[t[p : p + 50]] < i:
+                cov[p : p + 50] = [True] * 50
+        rest = "".join(x for x, c in zip(t, cov) if not c)
+        want.append((i, len(t), sum(cov), sum(c and not (j and cov[j - 1]) for j, c in enumerate(cov)), hashlib.sha256(rest.encode()).hexdigest()))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
+    try:
+        got = sorted(map(tuple, remove_repeats(frame(spark, rows), Stages(spark, "t")).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == sorted(want)
+
+
 def test_near_duplicates(spark):
     rng = random.Random(4)
     rows = [(i, prose(rng, 120)) for i in range(10)]
