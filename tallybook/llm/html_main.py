@@ -1,13 +1,15 @@
 """Main text of web pages by equivalence-class template deduction.
 
 Every page is cut into blocks, each with the path of block elements around it.  A block of text at
-a path is a token; its occurrence vector is its count on each page of a host.  Tokens of a host
-with equal vectors form an equivalence class (vectors are compared by a commutative hash, so no page
-list is ever gathered).  A class is valid as template if it occurs on most of the
-host's pages and its tokens nest outside the article; its tokens are the fixed text of the site.  Blocks
+a path is a token; so are the path itself and the start of the page.  A token's occurrence vector is its count on each
+page of a host; copies of a page count as one page.  Tokens of a host with equal vectors form an equivalence class (vectors
+are compared by a commutative hash, so no page list is ever gathered).  A class is valid as template if it occurs on most of the
+host's pages, has two tokens or more, and its texts stand in one order on all pages and nest: an
+instance of one class lies within one gap of another.  Of two classes that cross, the one of fewer
+texts is not valid.  The texts of valid classes are the fixed text of the site, also inside the article.  Blocks
 that are left are the slots.  A slot whose path runs through a menu, header, footer, sidebar,
-notice, advert, form or comment section is not main text, whatever it holds.  Where a page
-names its article, only slots inside it count; elsewhere all remaining slots do.
+notice, advert, form or comment section is not main text, whatever it holds, so such blocks take no part
+in the classes either.  Where a page names its article, only slots inside it count; elsewhere all remaining slots do.
 
 Defined cases: null and empty html give an empty text; a null url groups under the empty host; a
 page alone on its host has no template and keeps the slots its paths allow; broken markup
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -117,6 +120,38 @@ def blocks_of(page: str | None) -> list[tuple[str, str, bool, bool]]:
     return out
 
 
+def evidence(tokens: list[int], classes: list[list[int]]) -> list[tuple[int, int | None, bool]]:
+    """(class number, hash of its order or None, crosses a class of more texts) of the classes on a page.
+
+    The texts of a class are in order if they repeat one sequence that holds each of them once.
+    """
+    own = {t: c for c, group in enumerate(classes) for t in group}
+    seen = [t for t in tokens if t in own]
+    places = defaultdict(list)
+    for t in seen:
+        places[own[t]].append(t)
+    order: dict[int, int | None] = {}
+    for c, ts in places.items():
+        m = len(classes[c])
+        order[c] = hash(tuple(ts[:m])) if len(set(ts[:m])) == m and ts == ts[:m] * (len(ts) // m) else None
+    crossed: set[int] = set()
+    at: dict[int, int] = defaultdict(int)
+    unfinished: list[int] = []
+    for t in seen:
+        c = own[t]
+        if order[c] is None or len(classes[c]) == 1:
+            continue
+        if at[c] == 0:
+            unfinished.append(c)
+        elif c in unfinished:
+            while unfinished[-1] != c:
+                crossed.add(min(unfinished.pop(), c, key=lambda x: (len(classes[x]), x)))
+        at[c] = (at[c] + 1) % len(classes[c])
+        if at[c] == 0 and c in unfinished:
+            unfinished.remove(c)
+    return [(c, order[c], c in crossed) for c in order]
+
+
 def main_text(pages: DataFrame, stages: Stages, page_id="page_id", url="url", html="html", support: float = 0.5, least: int = 3) -> DataFrame:
     """Per row: page_id, url, text, n_chars."""
     pages = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
@@ -132,23 +167,46 @@ def main_text(pages: DataFrame, stages: Stages, page_id="page_id", url="url", ht
     parsed = pages.mapInPandas(cut, f"page_id {kind}, url string, blocks array<struct<path:string,text:string,dropped:boolean,inside:boolean>>")
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1)), F.lit(""))
     parsed = stages.save(
-        parsed.select("page_id", "url", host.alias("host"), F.expr("uuid()").alias("row"), F.expr("transform(blocks, b -> struct(b.text, b.dropped, b.inside, xxhash64(b.path, b.text) as token))").alias("blocks")), "blocks"
+        parsed.select("page_id", "url", host.alias("host"), F.expr("transform(blocks, b -> struct(b.text, b.dropped, b.inside, xxhash64(b.path, b.text) as token, xxhash64(b.path) as place))").alias("blocks")), "blocks"
+    )
+    slots = "filter(blocks, b -> not b.dropped)"
+    witnesses = stages.save(
+        parsed.select(
+            "host", F.expr("xxhash64(transform(blocks, b -> b.token))").alias("copy"),
+            F.expr(f"transform({slots}, b -> b.token)").alias("tokens"), F.expr(f"transform({slots}, b -> b.place)").alias("places"),
+        ).dropDuplicates(["host", "copy"]), "witnesses"
     )
+    every = "concat(array(struct(0L as token, false as text)), transform(tokens, t -> struct(t as token, true as text)), transform(places, t -> struct(t as token, false as text)))"
     vectors = (
-        parsed.select("host", "row", F.explode("blocks").alias("b")).where("not b.dropped and not b.inside")
-        .groupBy("host", "row", F.col("b.token").alias("token")).agg(F.count("*").alias("n"))
-        .groupBy("host", "token").agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("row", "n")).alias("vector"))
+        witnesses.select("host", "copy", F.explode(F.expr(every)).alias("b"))
+        .groupBy("host", "copy", "b.text", "b.token").agg(F.count("*").alias("n"))
+        .groupBy("host", "text", "token").agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("copy", "n")).alias("vector"))
+    )
+    sizes = witnesses.groupBy("host").agg(F.count("*").alias("all_pages"))
+    classes = stages.save(
+        vectors.where(F.col("pages") >= least).join(sizes, "host").where(F.col("pages") >= support * F.col("all_pages"))
+        .groupBy("host", "vector", "pages").agg(F.count("*").alias("size"), F.sort_array(F.collect_list(F.when(F.col("text"), F.col("token")))).alias("tokens"))
+        .where("size >= 2 and size(tokens) > 0").groupBy("host").agg(F.sort_array(F.collect_list("tokens")).alias("classes")), "classes"
+    )
+    small = (classes.agg(F.sum(F.size(F.flatten("classes")))).first()[0] or 0) <= BROADCAST_TOKENS
+    spread = lambda df: F.broadcast(df) if small else df
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [(h, *e) for h, t, c in zip(pdf["host"], pdf["tokens"], pdf["classes"]) for e in evidence(list(t), [list(x) for x in c])]
+            out = pd.DataFrame(found, columns=["host", "number", "order", "crossed"])
+            yield out.astype({"number": "int32", "order": "Int64", "crossed": bool})
+
+    valid = (
+        witnesses.select("host", "tokens").join(spread(classes), "host").mapInPandas(judge, "host string, number int, order long, crossed boolean")
+        .groupBy("host", "number").agg(F.min("order").alias("least"), F.max("order").alias("most"), F.expr("bool_or(crossed or order is null)").alias("bad"))
+        .where("not bad and least = most").groupBy("host").agg(F.collect_list("number").alias("valid"))
     )
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("all_pages"))
-    classes = vectors.where(F.col("pages") >= least).groupBy("host", "vector", "pages").agg(F.collect_list("token").alias("tokens"))
-    template = (
-        classes.join(sizes, "host").where(F.col("pages") >= support * F.col("all_pages"))
-        .groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+    template = stages.save(
+        classes.join(valid, "host").select("host", F.expr("flatten(transform(valid, n -> classes[n]))").alias("template")), "template"
     )
-    keep = F.expr("""filter(blocks, b -> not b.dropped and case when exists(blocks, x -> x.inside and not x.dropped) then b.inside
-        else not array_contains(coalesce(template, array()), b.token) end)""")
-    template = stages.save(template, "template")
-    if (template.agg(F.sum(F.size("template"))).first()[0] or 0) <= BROADCAST_TOKENS:
-        template = F.broadcast(template)
+    template = spread(template)
+    keep = F.expr("""filter(blocks, b -> not b.dropped and not array_contains(coalesce(template, array()), b.token)
+        and (b.inside or not exists(blocks, x -> x.inside and not x.dropped)))""")
     text = F.array_join(F.transform(keep, lambda b: b["text"]), "\n")
     return parsed.join(template, "host", "left").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

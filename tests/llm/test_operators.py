@@ -145,6 +145,28 @@ def test_html(spark):
     assert got == {(1, "A & B\none two\nthree", 19), (2, "", 0), (3, "", 0)} | {(10 + i, f"own {i}", 5) for i in range(4)}
 
 
+def test_html_classes(spark):
+    from tallybook.llm.html_main import evidence
+
+    assert evidence([1, 9, 2, 1, 2], [[1, 2]])[0][1] is not None and evidence([1, 2, 2, 1], [[1, 2]])[0][1] is None
+    assert [x[2] for x in evidence([1, 4, 5, 2, 3], [[1, 2, 3], [4, 5]])] == [False, False]
+    assert [x[2] for x in evidence([1, 4, 2, 5, 3], [[1, 2, 3], [4, 5]])] == [False, True]
+    # fixed text inside the article, also in an own element on most pages; a wandering pair and a lone repeated paragraph are text
+    rows = []
+    for i in range(8):
+        pair = [f"<p>left</p><p>own {i}</p>", "<p>right</p>"]
+        some = "<div class=xq>Get our paper</div>" if i < 6 else ""
+        lone = "<p>as they say</p>" if i > 1 else ""
+        rows.append((i, f"http://n/{i}", f"<article><div>Written by staff</div><p>text {i}</p>{some}{lone}<p>more {i}</p></article>"))
+        rows.append((20 + i, f"http://w/{i}", "".join(pair[:: 1 if i % 2 else -1])))
+    rows += [(50 + i, "http://c/x", "<article><p>one copied page</p></article>") for i in range(4)]
+    got = {r.page_id: r.text.split("\n") for r in main_text(frame(spark, rows, "page_id long, url string, html string"), Stages(spark, "t")).collect()}
+    for i in range(8):
+        assert got[i] == [f"text {i}", *["as they say"] * (i > 1), f"more {i}"]
+        assert sorted(got[20 + i]) == ["left", f"own {i}", "right"]
+    assert all(got[50 + i] == ["one copied page"] for i in range(4))
+
+
 def test_mixing(spark):
     assert capped_targets([10, 100, 0], [5, 2, 1], 110) == [30.0, 80.0, 0.0]
     rng = random.Random(5)
