@@ -8,7 +8,8 @@ at that offset, and the overlap counts if some run of ``WINDOW`` words (or the w
 agrees in ``AGREE`` of its places.
 
 The benchmark's seeds are broadcast only while their measured number is under ``BROADCAST_SEEDS``; beyond that the same
-join shuffles.  Items shorter than the shortest mask hold no seed and are not looked for.
+join shuffles.  Items of fewer than ``WINDOW`` words have shorter masks as well, by their length, so that every overlap that ``AGREE``
+accepts holds a seed; documents are cut by those masks that some item of the benchmark needs.
 
 Defined cases: null and empty texts and items match nothing; null ids are kept out of hits (a hit names its
 document); repeated rows are reported once; other columns are ignored; empty tables give an empty result.
@@ -16,6 +17,8 @@ document); repeated rows are reported once; other columns are ignored; empty tab
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,13 @@ from .tables import Stages
 
 #: Fixed masks over word positions.
 MASKS = ("1110111", "11010010111")
+#: Further masks of short items, by number of words: some one of them fits between the substitutions that ``AGREE`` allows.
+SHORT = {
+    1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("111", "11011"), 6: ("111",), 7: ("111",), 8: ("1111",), 9: ("1111",),
+    10: ("111",), 11: ("111",), 12: ("1111",),
+}
+#: Every mask, by the number that its seeds carry.
+ALL_MASKS = (*MASKS, *sorted({m for masks in SHORT.values() for m in masks}))
 WINDOW, AGREE = 13, 0.8
 BROADCAST_SEEDS = 2_000_000
 BROADCAST_HITS = 500_000
@@ -36,12 +46,16 @@ def seeds(mask: str, number: int) -> str:
     return f"case when size(h) >= {len(mask)} then transform(sequence(0, size(h) - {len(mask)}), i -> xxhash64({number}, {picked})) else cast(array() as array<bigint>) end"
 
 
-def _seeded(df: DataFrame, *keep: str, places: bool) -> DataFrame:
+def _seeded(df: DataFrame, *keep: str, places: bool, masks: tuple[str, ...], own: bool = False) -> DataFrame:
+    """The seeds of some masks; with ``own``, the masks of short items are used on items of their length alone."""
     hashed = df.select(*keep, F.expr(f"transform({WORDS}, w -> xxhash64(w))").alias("h"))
-    every = [F.expr(seeds(m, n)) for n, m in enumerate(MASKS)]
+    every = []
+    for m in masks:
+        lengths = ", ".join(str(n) for n, some in SHORT.items() if m in some)
+        seed = seeds(m, ALL_MASKS.index(m))
+        every.append(F.expr(f"case when size(h) in ({lengths}) then {seed} else cast(array() as array<bigint>) end" if own and m not in MASKS else seed))
     if places:
-        parts = [hashed.select(*keep, F.posexplode(s).alias("at", "seed")) for s in every]
-        return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+        return reduce(DataFrame.unionByName, [hashed.select(*keep, F.posexplode(s).alias("at", "seed")) for s in every])
     return hashed.select(*keep, F.explode(F.concat(*every)).alias("seed"))
 
 
@@ -55,11 +69,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, stages: Stages, doc_id="doc_
     items = stages.save(
         benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null"), "items"
     )
-    seeded = stages.save(_seeded(items, "item_id", places=True).distinct(), "seeds")
+    lengths = {r.n for r in items.select(F.expr(f"size({WORDS})").alias("n")).where(f"n < {WINDOW}").distinct().collect()}
+    masks = tuple(m for m in ALL_MASKS if m in MASKS or any(m in SHORT.get(n, ()) for n in lengths))
+    seeded = stages.save(_seeded(items, "item_id", places=True, masks=masks, own=True).distinct(), "seeds")
     known = seeded.select("seed").distinct()
     small = known.count() <= BROADCAST_SEEDS
     # first every document: does any of its windows share a hash?
-    hit = _seeded(docs, "doc_id", places=False).join(F.broadcast(known) if small else known, "seed", "left_semi").select("doc_id").distinct()
+    hit = _seeded(docs, "doc_id", places=False, masks=masks).join(F.broadcast(known) if small else known, "seed", "left_semi").select("doc_id").distinct()
     hit = stages.save(hit, "hit")
     few = hit.count() <= BROADCAST_HITS
     some = stages.save(docs.join(F.broadcast(hit) if few else hit, "doc_id").dropDuplicates(["doc_id", "text"]), "some")
@@ -67,7 +83,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, stages: Stages, doc_id="doc_
     words = some.select("doc_id", F.expr(WORDS).alias("words"), F.xxhash64("text").alias("version"))
     places = (
         some.select("doc_id", F.xxhash64("text").alias("version"), "text")
-        .transform(lambda d: _seeded(d, "doc_id", "version", places=True))
+        .transform(lambda d: _seeded(d, "doc_id", "version", places=True, masks=masks))
         .join(F.broadcast(seeded.withColumnRenamed("at", "item_at")) if small else seeded.withColumnRenamed("at", "item_at"), "seed")
         .select("doc_id", "version", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
     )

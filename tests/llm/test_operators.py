@@ -212,6 +212,39 @@ def test_decontamination(spark):
     assert got == {(1, 0, 20, 15, 15), (2, 1, 50, 40, 38), (6, 2, 0, 30, 30)}
 
 
+def test_masks_hold_a_seed_for_every_accepted_placement():
+    from itertools import combinations
+
+    from tallybook.llm.decontaminate import AGREE, MASKS, SHORT, WINDOW
+
+    for n in range(1, WINDOW + 1):
+        for k in range(n + 1):
+            if n - k < AGREE * n:
+                break
+            for gone in combinations(range(n), k):
+                assert any(
+                    not any(c == "1" and at + j in gone for j, c in enumerate(m))
+                    for m in (*MASKS, *SHORT.get(n, ())) for at in range(n - len(m) + 1)
+                ), (n, gone)
+
+
+def test_decontamination_of_short_items(spark):
+    rng = random.Random(9)
+    items = [(n, " ".join(f"{w}{n}" for w in prose(rng, n).split())) for n in range(1, 13)]
+    rows, want = [], set()
+    for n, t in items:
+        k = next(k for k in range(n, -1, -1) if n - k >= 0.8 * n)
+        w = t.split()
+        for j in range(k):
+            w[(j + 1) * n // (k + 1)] = "other"
+        rows.append((n, prose(rng, 20) + " " + " ".join(w) + " " + prose(rng, 5)))
+        want.add((n, n, 20, n, n - k))
+        w[0] = w[-1] = "another"
+        rows.append((100 + n, " ".join(w)))
+    got = {tuple(r) for r in overlaps(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), Stages(spark, "t")).collect()}
+    assert got == want
+
+
 def test_secrets(spark):
     texts = ["Ünï Token: 'abcdefgh12' x", "token = short", "AKIA" + "Z9" * 7, "q " + "0f" * 16, None, "", "v Zx8Kq2Lw9Tb4Rm7Yc1Vn5", "example_Zx8Kq2Lw9Tb4Rm7Yc1Vn5", "aaaaaaaaaaaaaaaaaaaaaaaaa1"]
     got = {r.doc_id: r for r in secret_digest(frame(spark, list(enumerate(texts)))).collect()}
