@@ -1,4 +1,4 @@
-"""Connected components of a link table by alternating star contraction."""
+"""Connected components of a link table by alternating star contraction, and joins that spread hot keys."""
 
 from __future__ import annotations
 
@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 from .tables import Stages
 
+#: A join broadcasts the keys that hold more than 1 / HOT_KEYS of the rows: at most so many rows.
+HOT_KEYS = 10_000
+HOT_ROWS = 1_000
 
-def _min_neighbour(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Point each node and its neighbours at the least node seen from it."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
-    return both, least.select("a", F.least("a", "m").alias("m"))
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """Inner join on ``key``; ``right`` has one row a key, and its column ``n`` says how many rows of ``left`` carry the key.
+
+    Keys of many rows, of which ``total`` rows allow ``HOT_KEYS`` at most, are broadcast, so that their rows of ``left`` stay where they
+    are; all other keys meet in a shuffle.  Both sides are read twice and should be tables.
+    """
+    level = max(HOT_ROWS, total // HOT_KEYS)
+    hot, cold = right.where(F.col(n) > level), right.where(F.col(n) <= level)
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return left.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
 
 
 def components(edges: DataFrame, stages: Stages, name: str, max_rounds: int = 60) -> DataFrame:
@@ -20,7 +29,7 @@ def components(edges: DataFrame, stages: Stages, name: str, max_rounds: int = 60
 
     Large-star then small-star rounds shrink every tree to a star; each round's
     edges are written to the shared folder.  Null ends and loops are ignored.
-    The number of rounds follows the logarithm of the longest chain.
+    The number of rounds follows the logarithm of the longest chain; beyond ``max_rounds`` it raises.
     """
     cur = stages.save(
         edges.where("a is not null and b is not null and a <> b")
@@ -28,27 +37,33 @@ def components(edges: DataFrame, stages: Stages, name: str, max_rounds: int = 60
         .distinct(),
         f"{name}-0",
     )
-    digest = None
+    total, digest = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
     for i in range(1, max_rounds + 1):
-        both, least = _min_neighbour(cur)
-        large = (
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .where("a <> b").distinct()
+        if not total:
+            break
+        both = cur.select("a", "b").union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = stages.save(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n")), f"{name}-{i}-least")
+        # large star: every greater neighbour points at the least node seen from here
+        large = stages.save(
+            join_hot(both, least, "a", "n", 2 * total).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .distinct(), f"{name}-{i}-large",
         )
+        same = large.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003), F.count_distinct("a")).first()
+        if tuple(same) == (total, digest, total):
+            stages.drop(f"{name}-{i}-least", f"{name}-{i}-large", collect=False)
+            break  # every node has one smaller neighbour, which has none: stars
         # small star: every node and its smaller neighbours point at the least of them
-        low = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        floor = low.groupBy("a").agg(F.min("b").alias("m"))
+        floor = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        several = floor.where("n > 1").select("a", "m")
         small = (
-            low.join(floor, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(floor.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+            large.join(several, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .union(floor.select("a", F.col("m").alias("b"))).distinct()
         )
-        nxt = stages.save(small, f"{name}-{i}")
-        now = nxt.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-        stages.drop(f"{name}-{i - 1}")
-        cur = nxt
-        if now == digest:
-            break
-        digest = now
+        cur = stages.save(small, f"{name}-{i}")
+        total, digest = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1000003)).first()
+        stages.drop(f"{name}-{i - 1}", f"{name}-{i}-least", f"{name}-{i}-large", collect=False)
+    else:
+        raise RuntimeError(f"components of {name} still change after {max_rounds} rounds")
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

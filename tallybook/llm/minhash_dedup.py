@@ -1,24 +1,31 @@
 """Near-dedup by improved consistent weighted sampling over TF-IDF shingles.
 
 Elements are five-word shingles; a shingle weighs tf * idf.  Document frequencies are
-counted over all documents into a table of fixed size by shingle hash (a count-min row), so
-the table, and nothing else, goes to the driver and the tasks.  The idf is damped into
+counted over all documents into two count-min rows of fixed size, so the table, and nothing else, goes to
+the driver and the tasks.  A slot's excess share of documents is the mean number of shingles a document over the
+number of slots, whatever the number of documents, and lies below ``COMMON`` for documents of some hundred words.
+The idf is 0 for a shingle in every document and 1 from the share ``COMMON`` down; as weight it is damped into
 [1, 1 + DAMPING]: a group of thousands of near copies must not make its own shared shingles
 count for nothing.
 
-1. Each distinct text gets ``BANDS * ROWS`` consistent weighted samples (element and level).
-   Texts of equal word sequence are collapsed first and stand for all their copies.
-2. Bands bucket the texts.  Members of a bucket are compared by their samples alone, in
-   tiles of bounded size, which links those whose estimated similarity is at least
-   ``LOOSE``; a tile returns a spanning forest.  This only decides which texts are compared.
-3. Each connected group is compared by exact weighted Jaccard similarity over whole
-   texts, again in tiles, so a group of any size is cut over many tasks.  Pairs of similarity
-   >= threshold are links; a tile returns link counts and a spanning forest.
-
-Defined cases: null, empty and wordless texts link with nothing; a text of fewer than five words
-is one shingle; repeated rows count as copies; a null id keeps null as its component and is
-kept.  ``n_links`` counts the other rows linked directly.  Copies always link.  An empty table
-gives an empty result.  Other columns of the input are ignored.
+1. Each distinct sequence of words (a text with all its copies) gets ``BANDS * ROWS`` consistent weighted samples.
+2. Bands bucket the texts.  Members of a bucket of up to ``TILE`` texts are compared by their samples, which links those whose
+   estimated similarity is at least ``LOOSE``; a larger bucket links all its members to one of them.  This only decides
+   which texts are compared.
+3. Each connected group is compared by exact weighted Jaccard similarity over whole texts; pairs of similarity >= threshold are
+   links.  A group is cut into tiles of bounded size, and each tile also gets the same few representatives of the group.  Texts of a tile that
+   links join to a representative need no further comparison: more links among them change no class.  The others (few, unless
+   a group holds together by nothing but estimates) meet every other tile.  So a group of n copies costs n, not n * n, and no link
+   between different classes is lost.
+
+Classes are connected components of the links.  Result per row: doc_id, component_id (least id of the class) and kept (true for the rows of one
+text of one id in each class).
+
+Defined cases: null, empty and wordless texts are classes of their own and kept; a text of fewer than five words
+is one shingle; texts of any length are compared whole, a long one in a tile of its own; repeated rows of the kept text are all kept; of two
+texts of one id each has its own class, and one of them is kept if both share it; null ids come after all others: a row without id is kept if no
+row of its class has one, with null as component; ties go to the least id, then to the least text hash.
+An empty table gives an empty result.  Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, join_hot
 from .kernels import Words, blocks, lowered, mix, union_forest
 from .tables import Stages
 
@@ -38,47 +45,72 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 LOOSE = 0.55
+#: Two count-min rows of 2**DF_BITS slots, summed in slices.
 DF_BITS = 20
 DF_SLICE = 1 << 12
+COMMON = 1e-3
 DAMPING = 0.25
-#: Members of a sample tile, and bytes of text in a verification tile.
+#: Members of a tile, and bytes of text in a verification tile; representatives of a group of several tiles.
 TILE, TILE_BYTES = 512, 1 << 20
+HEADS = 8
+#: Rows of (id, hashes, group) that a join with the documents broadcasts at most, 100 bytes each.
+BROADCAST_TEXTS = 300_000
+
+
+def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The slot of each shingle in both rows."""
+    size = np.uint64((1 << bits) - 1)
+    return (h & size).astype(np.int64), ((h >> np.uint64(32)) & size).astype(np.int64) + (1 << bits)
 
 
 def document_frequencies(docs: DataFrame, bits: int = DF_BITS) -> tuple[np.ndarray, int]:
-    """(counts by hash slot, number of documents); every document counts, the table has 2**bits slots."""
-    size = 1 << bits
+    """(counts by slot of both rows, number of documents); every document counts."""
+    size = 2 << bits
+    step = min(DF_SLICE, size)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, n = np.zeros(size, np.int64), 0
+        table, n = np.zeros(size, np.uint32), 0
         for pdf in batches:
             texts = lowered(list(pdf["text"]))
             n += len(texts)
             for lo, hi in blocks(texts):
-                h, t, _ = _shingles(texts[lo:hi])
-                table += np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size)
-        parts = table.reshape(-1, min(DF_SLICE, size))
+                h, _, _ = _shingles(texts[lo:hi])
+                for slot in _slots(h, bits):
+                    table += np.bincount(slot, minlength=size).astype(np.uint32)
+        parts = table.reshape(-1, step)
         some = np.flatnonzero(parts.any(axis=1))
-        yield pd.DataFrame({"slot": [-1, *some.tolist()], "counts": [np.array([n]), *parts[some]]})
+        yield pd.DataFrame({"slot": [-1, *some.tolist()], "counts": [np.array([n], np.int64).tobytes(), *(parts[i].astype(np.int64).tobytes() for i in some)]})
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"slot": pdf["slot"].iloc[:1], "counts": [np.sum(np.stack(pdf["counts"].to_numpy()), axis=0)]})
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A running sum a slice: memory follows the slices of a task, not the number of input partitions."""
+        total: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for slot, counts in zip(pdf["slot"], pdf["counts"]):
+                total[slot] = total.get(slot, 0) + np.frombuffer(counts, np.int64)
+        yield pd.DataFrame({"slot": list(total), "counts": [x.tobytes() for x in total.values()]})
 
-    kind = "slot int, counts array<long>"
-    rows = docs.select("text").mapInPandas(count, kind).groupBy("slot").applyInPandas(add, kind).collect()
+    kind = "slot int, counts binary"
+    rows = docs.select("text").mapInPandas(count, kind).repartition("slot").mapInPandas(add, kind).toArrow()
     table, n = np.zeros(size, np.int64), 0
-    for slot, counts in rows:
+    for slot, counts in zip(rows["slot"].to_pylist(), rows["counts"]):
+        counts = np.frombuffer(counts.as_buffer(), np.int64)
         if slot < 0:
-            n = counts[0]
+            n = int(counts[0])
         else:
-            table[slot * len(counts) : (slot + 1) * len(counts)] = counts
+            table[slot * step : slot * step + len(counts)] = counts
     return table, n
 
 
 def idf_table(table: np.ndarray, n: int) -> np.ndarray:
-    """Weight by slot: 1 for a shingle in every document, 1 + DAMPING for one in a single document."""
-    ratio = np.log(max(n, 2) / np.clip(table, 1, max(n, 2))) / np.log(max(n, 2))
-    return (1 + DAMPING * ratio).astype(np.float32)
+    """Weight by slot: 1 for a shingle in every document, 1 + DAMPING for a rare one."""
+    share = np.clip(table / max(n, 1), COMMON, 1)
+    return (1 + DAMPING * np.log(share) / np.log(COMMON)).astype(np.float32)
+
+
+def weights(h: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The weight of each shingle: that of the less frequent of its two slots."""
+    a, b = _slots(h, len(idf).bit_length() - 2)
+    return np.maximum(idf[a], idf[b])
 
 
 def _shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,42 +159,73 @@ def samples(h: np.ndarray, t: np.ndarray, weight: np.ndarray, n_texts: int, k: i
     return out
 
 
-def weighted_jaccard(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, "object"]:
-    """(total weight per text, function giving sums of minima between two index ranges)."""
-    h, t, tf = _shingles(texts)
-    w = idf[(h & np.uint64(len(idf) - 1)).astype(np.int64)].astype(np.float64)
-    total = np.bincount(t, weights=w * tf, minlength=len(texts))
-    # the c-th occurrence of a shingle is an element of its own: minima of counts become intersections
-    at = np.repeat(np.arange(len(h)), tf)
-    nth = (np.arange(len(at)) - np.repeat(np.cumsum(tf) - tf, tf)).astype(np.uint64)
-    e = mix(h[at] + nth * np.uint64(0x9E3779B97F4A7C15))
-    t, w = t[at], w[at]
-    order = np.argsort(e, kind="stable")
-    e, t, w = e[order], t[order], w[order]
-    new = np.concatenate([[True], e[1:] != e[:-1]])
-    column = np.cumsum(new) - 1
-    shared = np.bincount(column)[column] > 1
-    column, t, w = column[shared], t[shared], w[shared]
-    _, column = np.unique(column, return_inverse=True)
-
-    def minima(a: slice, b: slice, width: int = 4096) -> np.ndarray:
-        na, nb = a.stop - a.start, b.stop - b.start
-        out = np.zeros((na, nb))
-        if len(column) == 0:
-            return out
-        n = int(column[-1]) + 1
+class Tile:
+    """Weighted Jaccard similarities of some texts, by rows of whole texts."""
+
+    def __init__(self, texts: list[bytes], idf: np.ndarray):
+        h, t, tf = _shingles(texts)
+        w = weights(h, idf).astype(np.float64)
+        self.n = len(texts)
+        self.total = np.bincount(t, weights=w * tf, minlength=self.n)
+        # the c-th occurrence of a shingle is an element of its own: minima of counts become intersections
+        at = np.repeat(np.arange(len(h)), tf)
+        nth = (np.arange(len(at)) - np.repeat(np.cumsum(tf) - tf, tf)).astype(np.uint64)
+        e = mix(h[at] + nth * np.uint64(0x9E3779B97F4A7C15))
+        t, w = t[at], w[at]
+        order = np.argsort(e, kind="stable")
+        e, t, w = e[order], t[order], w[order]
+        column = np.cumsum(np.concatenate([[True], e[1:] != e[:-1]])[: len(e)]) - 1
+        shared = np.bincount(column)[column] > 1 if len(column) else np.zeros(0, bool)
+        self.t, self.w = t[shared], w[shared]
+        _, self.column = np.unique(column[shared], return_inverse=True)
+
+    def similar(self, a: np.ndarray, b: np.ndarray, threshold: float, width: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs out of rows a and rows b of similarity >= threshold."""
+        least = np.zeros((len(a), len(b)))
+        n = int(self.column[-1]) + 1 if len(self.column) else 0
+        place_a, place_b = np.full(self.n, -1), np.full(self.n, -1)
+        place_a[a], place_b[b] = np.arange(len(a)), np.arange(len(b))
         for lo in range(0, n, width):
-            s, f = np.searchsorted(column, [lo, lo + width])
-            c, tt, ww = column[s:f] - lo, t[s:f], np.sqrt(w[s:f])
-            left, right = np.zeros((na, min(width, n - lo))), np.zeros((nb, min(width, n - lo)))
-            x = (tt >= a.start) & (tt < a.stop)
-            left[tt[x] - a.start, c[x]] = ww[x]
-            x = (tt >= b.start) & (tt < b.stop)
-            right[tt[x] - b.start, c[x]] = ww[x]
-            out += left @ right.T
-        return out
-
-    return total, minima
+            s, f = np.searchsorted(self.column, [lo, lo + width])
+            c, t, w = self.column[s:f] - lo, self.t[s:f], np.sqrt(self.w[s:f])
+            sides = []
+            for place, size in ((place_a, len(a)), (place_b, len(b))):
+                m = np.zeros((size, min(width, n - lo)))
+                x = place[t] >= 0
+                m[place[t[x]], c[x]] = w[x]
+                sides.append(m)
+            least += sides[0] @ sides[1].T
+        link = least >= threshold * (self.total[a][:, None] + self.total[b][None] - least) - 1e-9
+        i, j = np.nonzero(link)
+        i, j = a[i], b[j]
+        return i[i != j], j[i != j]
+
+
+def joined(n: int, heads: np.ndarray, similar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(links a, links b, rows without a link path to the first head) of n members; ``similar(a, b)`` gives pairs.
+
+    All members meet the heads; only those that are not joined to the first head then meet everyone.
+    """
+    everyone = np.arange(n)
+    i, j = similar(heads, everyone)
+
+    def loose() -> np.ndarray:
+        nonlocal i, j
+        keep = union_forest(n, i, j)
+        i, j = i[keep], j[keep]
+        root = everyone.copy()
+        for a, b in zip(i.tolist(), j.tolist()):  # a forest of at most n - 1 links
+            root[root == root[max(a, b)]] = root[min(a, b)]
+        return np.flatnonzero(root != root[heads[0]])
+
+    rest = loose()
+    rest = rest[~np.isin(rest, heads)]
+    if len(rest):
+        for s in range(0, len(rest), 256):
+            x, y = similar(rest[s : s + 256], everyone)
+            i, j = np.concatenate([i, x]), np.concatenate([j, y])
+        rest = loose()
+    return i, j, rest
 
 
 def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -183,28 +246,19 @@ def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Da
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
-def _tile_pairs(df: DataFrame, tile: str, tiles: str) -> DataFrame:
-    """One row for every tile pair that a member of ``tile`` out of ``tiles`` belongs to."""
-    return df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(tiles) - 1))).select(
-        "*", F.least(tile, "other").alias("ti"), F.greatest(tile, "other").alias("tj")
-    ).drop("other")
-
-
 def near_duplicates(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, n_links, component_id (least id of its group), kept."""
+    """Per row: doc_id, component_id (least id of its class), kept, and version, the hash of its text."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    idf = idf_table(*document_frequencies(docs))
+    idf = df.sparkSession.sparkContext.broadcast(idf_table(*document_frequencies(docs)))  # 8 MB
     k = BANDS * ROWS
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = lowered(list(pdf["text"]))
-            ids = pdf["doc_id"]
             for lo, hi in blocks(texts):
                 words = Words(texts[lo:hi])
                 h, t, tf = _shingles(texts[lo:hi])
-                slot = (h & np.uint64(len(idf) - 1)).astype(np.int64)
-                sig = samples(h, t, idf[slot] * tf.astype(np.float32), hi - lo, k)
+                sig = samples(h, t, weights(h, idf.value) * tf.astype(np.float32), hi - lo, k)
                 n = np.diff(words.first)
                 place = (np.arange(len(words.hash)) - words.first[words.text]).astype(np.uint64)
                 at = np.minimum(words.first[:-1], max(len(words.hash) - 1, 0))
@@ -215,120 +269,139 @@ def near_duplicates(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text:
                 seq = [f"{a:016x}{b:016x}{c:x}" if c else None for a, b, c in zip(*(x.tolist() for x in (*keys, n)), strict=True)]
                 band = mix(np.ascontiguousarray(sig).reshape(hi - lo, BANDS, ROWS).astype(np.uint64) @ np.array([1, 0x100000001B3, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F][:ROWS], dtype=np.uint64))
                 band = mix(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-                small = (sig & 0xFF).astype(np.uint8)
                 yield pd.DataFrame({
-                    "doc_id": ids.iloc[lo:hi].to_numpy(), "seq": seq, "bands": list(band), "sig": [s.tobytes() for s in small],
-                    "n_bytes": [len(x) for x in texts[lo:hi]],
+                    "doc_id": pdf["doc_id"].iloc[lo:hi].to_numpy(), "version": pdf["version"].iloc[lo:hi].to_numpy(), "seq": seq, "bands": list(band),
+                    "sig": [s.tobytes() for s in (sig & 0xFF).astype(np.uint8)], "n_bytes": [len(x) for x in texts[lo:hi]],
                 })
 
-    signed = stages.save(docs.mapInPandas(sign, "doc_id long, seq string, bands array<long>, sig binary, n_bytes long"), "signed")
-    texts = stages.save(
-        signed.where("seq is not null").groupBy("seq").agg(F.min("doc_id").alias("id"), F.count("*").alias("m"), F.first("n_bytes").alias("n_bytes"))
-        .where("id is not null"), "texts",
-    )
-    # one row of each text carries its samples on
-    lead = stages.save(
-        signed.join(texts.select("seq", "id"), "seq").where("doc_id = id").select("id", "bands", "sig").dropDuplicates(["id"]), "lead"
+    signed = stages.save(
+        docs.withColumn("version", F.xxhash64("text"))
+        .mapInPandas(sign, "doc_id long, version long, seq string, bands array<long>, sig binary, n_bytes long"), "signed",
     )
-    members = lead.select("id", F.explode("bands").alias("band"))
-    full = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    tiled = (
-        lead.select("id", "sig", F.explode("bands").alias("band")).join(full, "band")
-        .withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int")).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    # one row a sequence of words; its lead is the row that stays, and whose text is compared
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "version")).alias("lead")
+    texts = stages.save(
+        signed.where("seq is not null").groupBy("seq").agg(lead, F.count("*").alias("n"), F.first(F.struct("bands", "sig", "n_bytes")).alias("s"))
+        .select("seq", F.monotonically_increasing_id().alias("node"), "lead", "n", "s.*"), "texts",
     )
+    n_docs, n_texts = signed.count(), texts.count()
+
+    members = texts.select("node", F.explode("bands").alias("band"))
+    full = stages.save(members.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1"), "full")
+    crowded = join_hot(members, full.where(F.col("n") > TILE), "band", "n", BANDS * n_texts).select(F.col("node").alias("a"), F.col("head").alias("b"))
+    few = full.where(F.col("n") <= TILE)
+    small = texts.select("node", "sig", F.explode("bands").alias("band")).join(few.select("band"), "band").select("band", "node", "sig")
 
     def estimate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a_out, b_out = [], []
         need = int(np.floor(LOOSE * k))
-        for g in _grouped(batches, ["band", "ti", "tj"]):
-            if len(g) < 2:
-                continue
-            ids, tile = g["id"].to_numpy(), g["tile"].to_numpy()
+        a_out, b_out = [], []
+        for g in _grouped(batches, ["band"]):
+            nodes = g["node"].to_numpy()
             sig = np.frombuffer(b"".join(g["sig"]), np.uint8).reshape(len(g), k)
-            i_, j_ = [], []
-            for s in range(0, len(g), 64):
-                same = np.zeros((min(64, len(g) - s), len(g)), np.int16)
-                for c in range(k):
-                    same += sig[s : s + 64, c, None] == sig[None, :, c]
-                i, j = np.nonzero(same >= need)
-                i_.append(i + s)
-                j_.append(j)
-            i, j = np.concatenate(i_), np.concatenate(j_)
-            ok = i < j if g["ti"].iloc[0] == g["tj"].iloc[0] else (i < j) & (tile[i] != tile[j])
-            i, j = i[ok], j[ok]
-            keep = union_forest(len(g), i, j)
-            a_out.append(ids[i[keep]])
-            b_out.append(ids[j[keep]])
+
+            def alike(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                i, j = np.nonzero((sig[a][:, None, :] == sig[b][None]).sum(axis=2) >= need)
+                i, j = a[i], b[j]
+                return i[i != j], j[i != j]
+
+            i, j, _ = joined(len(g), np.zeros(1, np.int64), alike)
+            a_out.append(nodes[i])
+            b_out.append(nodes[j])
             if sum(map(len, a_out)) > 100_000:
                 yield pd.DataFrame({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
                 a_out, b_out = [], []
         if a_out:
             yield pd.DataFrame({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
 
-    near = (
-        _tile_pairs(tiled, "tile", "tiles").select("band", "ti", "tj", "tile", "id", "sig")
-        .repartition("band", "ti", "tj").sortWithinPartitions("band", "ti", "tj").mapInPandas(estimate, "a long, b long")
-    )
-    group = stages.save(components(near, stages, "candidates"), "groups")
-    sized = (
-        group.join(texts.select(F.col("id").alias("node"), "n_bytes"), "node").groupBy("component")
-        .agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("n"))
-        .select("component", F.greatest(F.ceil(F.col("bytes") / TILE_BYTES), F.ceil(F.col("n") / TILE)).cast("int").alias("tiles"))
+    near = small.repartition("band").sortWithinPartitions("band").mapInPandas(estimate, "a long, b long").unionByName(crowded)
+    group = components(near, stages, "candidates")
+    # size and representatives of each group: the least node of each of HEADS residues
+    sized = stages.save(
+        group.join(texts.select("node", "n_bytes"), "node").groupBy("component").agg(
+            F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"), *[F.min(F.when(F.pmod(F.xxhash64("node"), F.lit(HEADS)) == i, F.col("node"))).alias(f"h{i}") for i in range(HEADS)],
+        ).select(
+            "component", "n", F.greatest(F.ceil(F.col("bytes") / TILE_BYTES), F.ceil(F.col("n") / TILE)).cast("int").alias("tiles"),
+            F.array_compact(F.array(*[f"h{i}" for i in range(HEADS)])).alias("heads"),
+        ), "sized",
     )
-    placed = group.join(sized, "component").select(
-        F.col("node").alias("doc_id"), "component", "tiles", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("tile")
+    placed = stages.save(
+        join_hot(group, sized, "component", "n", n_texts).join(texts.select("node", "lead"), "node").select(
+            "component", "node", "tiles", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("tile"),
+            (F.array_contains("heads", F.col("node")) & (F.col("tiles") > 1)).alias("head"), "lead.doc_id", "lead.version",
+        ), "placed",
     )
 
+    def with_text(rows: DataFrame) -> DataFrame:
+        """Rows (doc_id, version, ...), one or a few a text, with the text."""
+        few = rows.select("doc_id", "version").distinct().count() <= BROADCAST_TEXTS
+        both = docs.withColumn("v", F.xxhash64("text")).withColumnRenamed("doc_id", "d")
+        rows = F.broadcast(rows) if few else rows
+        # repeated rows of one text are seen several times; tasks take the first
+        return both.join(rows, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("v") == F.col("version"))).drop("d", "v", "doc_id", "version")
+
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in _grouped(batches, ["component", "ti", "tj"]):
-            g = g.sort_values("tile", kind="stable")
-            g = g[~g["doc_id"].duplicated()]
+        """Links (a, b) of each tile, and as (a, null) the members that no links join to the first representative."""
+        for g in _grouped(batches, ["component", "tile"]):
+            g = g[~g["node"].duplicated()]
             if len(g) < 2:
                 continue
-            ids, tile, ms = g["doc_id"].to_numpy(), g["tile"].to_numpy(), g["m"].to_numpy()
-            total, minima = weighted_jaccard(lowered(list(g["text"])), idf)
-            one = g["ti"].iloc[0] == g["tj"].iloc[0]
-            edge = len(g) if one else int(np.searchsorted(tile, g["tj"].iloc[0]))
-            n_links = np.zeros(len(g), np.int64)
-            a_, b_ = [], []
-            for s in range(0, edge, 256):
-                rows = slice(s, min(s + 256, edge))
-                cols = slice(0 if one else edge, len(g))
-                if cols.stop == cols.start:
-                    continue
-                least = minima(rows, cols)
-                link = least >= threshold * (total[rows, None] + total[None, cols] - least) - 1e-9
-                i, j = np.nonzero(link)
-                i, j = i + rows.start, j + cols.start
-                i, j = i[i < j], j[i < j]
-                np.add.at(n_links, i, ms[j])
-                np.add.at(n_links, j, ms[i])
-                a_.append(i)
-                b_.append(j)
-            i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a_, b_))
-            keep = union_forest(len(g), i, j)
-            some = n_links > 0
-            yield pd.DataFrame({
-                "a": np.concatenate([ids[some], ids[i[keep]]]), "b": pd.array([None] * int(some.sum()) + ids[j[keep]].tolist(), dtype="Int64"),
-                "n": np.concatenate([n_links[some], np.zeros(len(keep), np.int64)]),
-            })
-
-    first_text = docs.join(placed, "doc_id").join(texts.select(F.col("id").alias("doc_id"), "m"), "doc_id")
+            nodes, heads = g["node"].to_numpy(), np.flatnonzero(g["head"].to_numpy())
+            tile = Tile(lowered(list(g["text"])), idf.value)
+            i, j, rest = joined(len(g), heads if len(heads) else np.zeros(1, np.int64), lambda a, b: tile.similar(a, b, threshold))
+            a, b = [nodes[i]], [pd.array(nodes[j], dtype="Int64")]
+            if g["tiles"].iloc[0] > 1:
+                rest = rest[~g["head"].to_numpy()[rest]]
+                a.append(nodes[rest])
+                b.append(pd.array([None] * len(rest), dtype="Int64"))
+            yield pd.DataFrame({"a": np.concatenate(a), "b": pd.concat([pd.Series(x) for x in b], ignore_index=True)})
+
+    spread = placed.withColumn("tile", F.explode(F.when(F.col("head"), F.sequence(F.lit(0), F.col("tiles") - 1)).otherwise(F.array("tile"))))
     found = stages.save(
-        _tile_pairs(first_text, "tile", "tiles").select("component", "ti", "tj", "tile", "doc_id", "m", "text")
-        .repartition("component", "ti", "tj").sortWithinPartitions("component", "ti", "tj").mapInPandas(verify, "a long, b long, n long"),
-        "links",
+        with_text(spread).select("component", "tile", "tiles", "node", "head", "text")
+        .repartition("component", "tile").sortWithinPartitions("component", "tile").mapInPandas(verify, "a long, b long"), "links",
     )
-    comp = components(found.where("b is not null").select("a", "b"), stages, "components")
-    counts = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
+    links = found.where("b is not null")
+    left = found.where("b is null").select(F.col("a").alias("node")).distinct()
+    if not left.isEmpty():
+        links = links.unionByName(_rest_links(stages, placed, stages.save(left, "left"), with_text, idf, threshold))
+    comp = components(links, stages, "classes")
+
+    owned = texts.select("node", "seq", "lead", "n").join(comp, "node", "left").withColumn("class", F.coalesce("component", "node"))
+    owned = stages.save(owned.select("seq", "lead", "n", "class"), "owned")
+    best = stages.save(owned.groupBy("class").agg(F.min("lead").alias("best"), F.count("*").alias("n_texts")), "best")
     known = stages.save(
-        texts.join(counts, "id", "left").join(comp.withColumnRenamed("node", "id"), "id", "left")
-        .select("seq", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")),
-        "known",
+        join_hot(owned, best, "class", "n_texts", n_texts).select("seq", "best", "n"), "known"
     )
-    stages.drop("lead", "links", "groups")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return signed.select("doc_id", "seq").join(known, "seq", "left").select(
-        "doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+    rows = signed.select("doc_id", "version", "seq")
+    mine = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("version") == F.col("best.version"))
+    out = join_hot(rows.where("seq is not null"), known, "seq", "n", n_docs).select("doc_id", F.col("best.doc_id").alias("component_id"), mine.alias("kept"), "version")
+    stages.drop("full", "links", "sized", "placed", "owned", "best")
+    return out.unionByName(rows.where("seq is null").select("doc_id", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "version"))
+
+
+def _rest_links(stages: Stages, placed: DataFrame, left: DataFrame, with_text, idf, threshold: float) -> DataFrame:
+    """Links between the texts in ``left`` (node), cut into tiles of their own, and all other tiles of their groups."""
+    rest = placed.where("not head").join(left, "node")
+    many = stages.save(rest.groupBy("component").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts")), "rest-sizes")  # texts may be long
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
+    rest = rest.join(many, "component").withColumn("part", part).withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("asks", F.lit(True))
+    others = placed.where("not head").join(many, "component").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(False))
+    columns = ["component", "tile", "part", "node", "asks"]
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in _grouped(batches, ["component", "tile", "part"]):
+            g = g.sort_values("asks", ascending=False, kind="stable")
+            g = g[~g["node"].duplicated()]
+            asks = np.flatnonzero(g["asks"].to_numpy())
+            if len(asks) == 0 or len(g) < 2:
+                continue
+            nodes = g["node"].to_numpy()
+            i, j = Tile(lowered(list(g["text"])), idf.value).similar(asks, np.arange(len(g)), threshold)
+            keep = union_forest(len(g), i, j)
+            yield pd.DataFrame({"a": nodes[i[keep]], "b": nodes[j[keep]]})
+
+    both = rest.select(*columns, "doc_id", "version").unionByName(others.select(*columns, "doc_id", "version"))
+    return stages.save(
+        with_text(both).select(*columns, "text").repartition("component", "tile", "part").sortWithinPartitions("component", "tile", "part")
+        .mapInPandas(compare, "a long, b long"), "rest-links",
     )

@@ -1,18 +1,19 @@
 """Mixing sources to target weights by entropy balancing.
 
-Every document gets a rate (expected copies).  Among all rates that meet the token target of each
-source, entropy balancing takes those closest to one copy of everything, with tokens as base
-measure: minimise sum(size * (r * log(r) - r + 1)).  Their form is an exponential tilt, r = exp(lambda of the
-source), held at the cap.  The convex dual has one multiplier per source; Newton steps on it use
-gradient and curvature that Spark sums over all documents in each round.
-
-Rates become copies: floor(r), and one more for documents whose id hash lies under a level set for
+Every document gets a rate (expected copies) between 0 and the cap.  Among all rates that meet the token target of each
+source, entropy balancing takes those closest to one copy of everything, documents as base
+measure: minimise sum(r * log(r) - r + 1) subject to sum(size * r) = target.  Their form is an exponential tilt by a document's
+own tokens, r = exp(lambda of the source * size), held at the cap: a source that must shrink gives up
+its long documents first, one that must grow repeats them.  The convex dual has one multiplier per source; Newton steps on it use
+gradient and curvature that Spark sums over all documents in each round, kept between bounds that hold the solution.
+
+Rates become copies: floor(r), and one more for documents whose id hash lies below the rest of their rate, shifted by a level of
 each source, found by two rounds of histograms over all documents, so that taken tokens meet
 the target up to about one document.  Reruns give the same copies.
 
 Only one row per source reaches the driver.  Defined cases: a null text has size 0; a null source is a
-source of its own, last in order; a source of size 0 takes nothing; null ids share one hash; repeated rows are separate
-documents; an empty table gives an empty result.  Other columns are ignored.
+source of its own, last in order; documents of size 0 have rate 1 (0 where the target is 0) and take nothing; texts of any length count whole; null ids share
+one hash; repeated rows and other ties are separate documents of equal rate and copies; an empty table gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,28 +55,43 @@ def _beside(spark, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(df) if len(rows) <= BROADCAST_SOURCES else df
 
 
-def balance(sized: DataFrame, targets: dict, cap: float = CAP, rounds: int = 50) -> dict:
-    """The dual multiplier of each source; ``sized`` has (source, size), targets are by source."""
+def _rate(lam: str, size: str, unit: str, cap: float) -> str:
+    """SQL: the tilted rate; its exponent is held where it overflows nothing and rounds to 0."""
+    return f"least(exp(greatest(-700D, least({lam} * {size} / {unit}, 700D))), {cap}D)"
+
+
+def balance(sized: DataFrame, targets: dict, units: dict, cap: float = CAP, rounds: int = 60) -> dict:
+    """The dual multiplier of each source; ``sized`` has (source, size), targets and mean sizes are by source.
+
+    The tokens taken grow with the multiplier, so every round narrows the bounds; a Newton step that leaves them is halved to
+    their middle.  A source whose documents all stand at the cap, or whose target is all its tokens, needs no tilt.
+    """
     spark = sized.sparkSession
+    bounds = {s: [-math.inf, math.inf] for s in targets}
     lam = {s: 0.0 for s in targets}
+    open_ = {s for s in targets if targets[s] > 0}
     for _ in range(rounds):
-        rate = F.least(F.exp("lam"), F.lit(cap))
-        tilt = _beside(spark, list(lam.items()), "s string, lam double")
+        if not open_:
+            break
+        tilt = _beside(spark, [(s, lam[s], units[s]) for s in open_], "s string, lam double, unit double")
+        rate = _rate("lam", "size", "unit", cap)
         sums = sized.join(tilt, F.expr("source <=> s")).groupBy("s").agg(
-            F.sum(F.col("size") * rate).alias("taken"),
-            F.sum(F.when(F.exp("lam") < cap, F.col("size") * rate).otherwise(0.0)).alias("curve"),
+            F.sum(F.expr(f"size * {rate}")).alias("taken"), F.sum(F.expr(f"case when {rate} < {cap}D then size * size / unit * {rate} else 0D end")).alias("curve"),
         ).collect()
-        worst = 0.0
         for s, taken, curve in sums:
-            gap = targets[s] - taken
-            worst = max(worst, abs(gap) / max(targets[s], 1.0))
-            if curve > 0:
-                lam[s] += max(-2.0, min(2.0, gap / curve))
-                lam[s] = min(lam[s], math.log(cap))
-            elif gap < 0:
-                lam[s] -= 1e-6 + math.log(max(taken, 1e-300) / max(targets[s], 1e-300)) / 2
-        if worst < 1e-9:
-            break
+            gap, at = targets[s] - taken, lam[s]
+            if abs(gap) <= 1e-9 * targets[s] or at > 600:
+                open_.discard(s)
+                continue
+            bounds[s][0 if gap > 0 else 1] = at
+            low, high = bounds[s]
+            step = gap / curve if curve > 0 else math.copysign(1.0, gap)
+            new = at + max(-4.0, min(4.0, step))
+            if not low < new < high:
+                new = (low + high) / 2 if math.isfinite(low + high) else at + math.copysign(1.0, gap) * max(1.0, abs(at))
+            if new == at:
+                open_.discard(s)
+            lam[s] = new
     return lam
 
 
@@ -90,52 +106,50 @@ def mix(df: DataFrame, stages: Stages, doc_id="doc_id", text="text", source="sou
             *(F.col(c).alias(f"keep_{c}") for c in keep),
         ), "sized",
     )
-    sums = sized.groupBy("source").agg(F.sum("size")).collect()
+    sums = sized.groupBy("source").agg(F.sum("size"), F.count_if(F.col("size") > 0)).collect()
     sums.sort(key=lambda r: (r[0] is None, r[0] or ""))
-    names, sizes = [r[0] for r in sums], [int(r[1]) for r in sums]
+    names, sizes, counts = [r[0] for r in sums], [int(r[1]) for r in sums], [int(r[2]) for r in sums]
     wanted = capped_targets(sizes, [weights[i % len(weights)] for i in range(len(names))], share * sum(sizes), cap)
-    lam = balance(sized.select("source", "size"), dict(zip(names, wanted, strict=True)), cap)
-    plan = {}
-    for s, size, target in zip(names, sizes, wanted, strict=True):
-        rate = min(math.exp(lam[s]), cap) if target > 0 else 0.0
-        if abs(rate - round(rate)) < 1e-9:
-            rate = float(round(rate))
-        base = min(math.floor(rate), int(cap))
-        plan[s] = [size, target, rate, base, max(0.0, target - base * size) if base < cap else 0.0]
-
-    # the level of u under which a source's documents get one more copy
-    level, held = {s: (0.0, p[4]) for s, p in plan.items()}, {}
-    width = 1.0
+    units = {s: max(size / max(n, 1), 1.0) for s, size, n in zip(names, sizes, counts, strict=True)}
+    lam = balance(sized.select("source", "size"), dict(zip(names, wanted, strict=True)), units, cap)
+    rows = [(s, size, target, lam[s] if target < cap * size else 701.0 * units[s], units[s]) for s, size, target in zip(names, sizes, wanted, strict=True)]
+    plan = _beside(spark, rows, "s string, source_size long, target double, lam double, unit double")
+    rate = f"case when target <= 0 then 0D when size = 0 then 1D else {_rate('lam', 'size', 'unit', cap)} end"
+    rated = sized.join(plan, F.expr("source <=> s")).withColumn("rate", F.expr(rate)).drop("lam", "unit")
+    # whole rates take no part in rounding; ``z`` orders the others: those of level 0 are drawn with the odds of their rate
+    base = F.floor(F.col("rate") + F.lit(1e-9)).cast("int")
+    z = F.when((F.col("rate") - base > 1e-9) & (F.col("size") > 0), F.col("u") - (F.col("rate") - base))
+    rated = rated.withColumns({"base": base, "z": z})
+
+    # the level of z under which a source's documents get one more copy
+    held = {r[0]: (r[1], r[2]) for r in rated.groupBy("s").agg(F.first("target"), F.sum(F.col("base") * F.col("size"))).collect()}
+    level, slot_size = {s: (-1.0, max(0.0, target - taken)) for s, (target, taken) in held.items()}, {}
+    width = 2.0
     for _ in range(2):
         rows = [(s, lo, need) for s, (lo, need) in level.items() if need > 0]
         if not rows:
             break
-        at = _beside(spark, rows, "s string, lo double, need double")
-        slot = F.least(F.floor((F.col("u") - F.col("lo")) * (SLOTS / width)), F.lit(SLOTS - 1))
+        at = _beside(spark, rows, "t string, lo double, need double")
+        slot = F.least(F.floor((F.col("z") - F.col("lo")) * (SLOTS / width)), F.lit(SLOTS - 1))
         bars = (
-            sized.join(at, F.expr("source <=> s")).where((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("lo") + width))
-            .groupBy("s", "lo", "need", slot.alias("slot")).agg(F.sum("size").alias("size"))
+            rated.join(at, F.expr("s <=> t")).where((F.col("z") >= F.col("lo")) & (F.col("z") < F.col("lo") + width))
+            .groupBy("t", "lo", "need", slot.alias("slot")).agg(F.sum("size").alias("size"))
         )
         # at most SLOTS rows per source
-        steps = bars.groupBy("s", "lo", "need").agg(F.array_sort(F.collect_list(F.struct("slot", "size"))).alias("bars"))
+        steps = bars.groupBy("t", "lo", "need").agg(F.array_sort(F.collect_list(F.struct("slot", "size"))).alias("bars"))
         found = steps.selectExpr(
-            "s", "lo", "aggregate(bars, named_struct('need', need, 'slot', cast(null as bigint), 'held', cast(0 as bigint)), (a, b) -> case when a.slot is not null then a "
+            "t", "lo", "aggregate(bars, named_struct('need', need, 'slot', cast(null as bigint), 'held', cast(0 as bigint)), (a, b) -> case when a.slot is not null then a "
             "when b.size >= a.need then named_struct('need', a.need, 'slot', b.slot, 'held', b.size) "
             "else named_struct('need', a.need - b.size, 'slot', a.slot, 'held', a.held) end) as r",
         ).collect()
         for s, lo, r in found:
             level[s] = (lo + width, 0.0) if r.slot is None else (lo + r.slot * width / SLOTS, r.need)
-            held[s] = r.held
+            slot_size[s] = r.held
         width /= SLOTS
-    rows = []
-    for s, (size, target, rate, base, _) in plan.items():
-        lo, need = level[s]
-        # the slot in which the target is met joins if that comes nearer to it
-        joins = need > 0 and 2 * need >= held.get(s, 0)
-        rows.append((s, size, target, rate, base, lo + (width if joins else 0.0)))
-    table = _beside(spark, rows, "s string, source_size long, target double, rate double, base int, level double")
-    copies = F.col("base") + F.when((F.col("u") < F.col("level")) & (F.col("base") < cap), 1).otherwise(0)
-    return sized.join(table, F.expr("source <=> s")).select(
+    # the slot in which the target is met joins if that comes nearer to it
+    rows = [(s, lo + (width if need > 0 and 2 * need >= slot_size.get(s, 0) else 0.0)) for s, (lo, need) in level.items()]
+    copies = F.col("base") + F.when(F.col("z") < F.col("level"), 1).otherwise(0)
+    return rated.join(_beside(spark, rows, "t string, level double"), F.expr("s <=> t")).select(
         "doc_id", "source", "size", "source_size", "target", "rate", copies.cast("int").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"),
         *(F.col(f"keep_{c}").alias(c) for c in keep),
     )

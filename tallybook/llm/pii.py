@@ -1,6 +1,6 @@
 """Personal data by format-preserving Feistel pseudonyms, in DataFrame functions only.
 
-Numbers and dates are found by pattern, validated (Luhn digit, octet ranges, calendar) and
+Numbers and dates are found by pattern, validated (Luhn digit, octet ranges, calendar, lengths of telephone numbers) and
 replaced by a keyed permutation of their own format: a card number becomes another valid card number of its
 length and spacing, an address another address, a date another date of the same 400 years.  A
 permutation maps equal values to equal values, so records stay linked across documents, and different
@@ -8,10 +8,14 @@ values never collide.  Eight Feistel rounds over two mixed-radix halves use keye
 function.  E-mail addresses, which have no fixed format, get keyed pseudonyms.
 
 Patterns take either case, and let a few non-alphanumeric characters stand between the parts of a telephone
-number.  Numbers that fail validation are not personal data and stay.
-
-Defined cases: a null text stays null with zero counts; an empty text stays; null ids are kept; repeated rows give
-repeated rows; all other columns pass through, and output columns replace columns of
+number.  Telephone numbers are international ones (a plus sign and 8 to 15 digits) and national ones of ten digits in three groups whose area and
+exchange do not start with 0 or 1; the last ten digits (seven of short ones) move, so a number with its country code stays linked to the
+same without.  Of a run of digit groups that is no card as a whole, the longest part between group borders that is one is taken.  A date of days and months is read day
+first, and month first where only that is a date.  Numbers that fail validation are not personal data and stay.
+
+Defined cases: a null text stays null with zero counts; an empty text stays; texts of any length are searched whole, in time that follows their length; a local part
+of an e-mail address has at most 64 characters; null ids are kept; repeated rows and equal values give equal results; of kinds that match at one place
+the first listed wins; all other columns pass through, whatever their names, and output columns replace columns of
 the same names; an empty table gives an empty result.
 """
 
@@ -20,12 +24,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import quoted
+from .pieces import bound, quoted
 
 ROUNDS = 8
-EMAIL = r"(?i)[a-z0-9][a-z0-9._%+-]*@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}"
+EMAIL = r"(?i)[a-z0-9][a-z0-9._%+-]{0,63}@[a-z0-9-]{1,63}(?:\.[a-z0-9-]{1,63}){0,8}\.[a-z]{2,63}"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
-PHONE = r"\+[0-9]{1,3}[^0-9A-Za-z\n]{0,8}[0-9]{3}[^0-9A-Za-z\n]{0,8}[0-9]{3}[^0-9A-Za-z\n]{0,8}[0-9]{4}(?![0-9])"
+PHONE = (
+    r"\+[0-9]{1,3}[^0-9A-Za-z\n]{0,8}[0-9]{3}[^0-9A-Za-z\n]{0,8}[0-9]{3}[^0-9A-Za-z\n]{0,8}[0-9]{4}(?![0-9])"
+    r"|\+[0-9](?:[ ().-]{0,3}[0-9]){7,14}(?![0-9])"
+    r"|(?<![0-9A-Za-z])\([2-9][0-9]{2}\) ?[2-9][0-9]{2}[-. ][0-9]{4}(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z.-])[2-9][0-9]{2}([-.])[2-9][0-9]{2}\1[0-9]{4}(?![0-9A-Za-z]|[-.][0-9])"
+)
 CARD = r"(?<![0-9.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 ISO_DATE = r"(?<![0-9-])(?:1[89]|2[01])[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"
@@ -76,54 +85,69 @@ def pseudonym(kind: str, m: str, key: str) -> str:
     if kind == "ip":
         octet = lambda i: f"cast(split({m}, '[.]')[{i}] as bigint)"
         number = " + ".join(f"{octet(i)} * {256 ** (3 - i)}L" for i in range(4))
-        moved = feistel(number, 65536, 65536, "ip", key)
-        text = f"""transform(array({moved}), v -> concat_ws('.', cast(shiftright(v, 24) as string), cast(shiftright(v, 16) & 255 as string), cast(shiftright(v, 8) & 255 as string), cast(v & 255 as string)))[0]"""
+        part = lambda shift: f"lpad(cast(shiftright(v, {shift}) & 255 as string), if(padded, 3, length(cast(shiftright(v, {shift}) & 255 as string))), '0')"
+        # octets written with leading zeros stay three digits wide
+        text = bound(f"{m} rlike '(?:^|[.])0[0-9]'", "padded", bound(feistel(number, 65536, 65536, "ip", key), "v", f"concat_ws('.', {', '.join(part(x) for x in (24, 16, 8, 0))})"))
         return f"case when forall(split({m}, '[.]'), o -> cast(o as int) <= 255) then {text} else {m} end"
     if kind == "phone":
-        # the country code stays; the ten digits of the number move
-        ten = f"right({digits}, 10)"
-        return refilled(m, f"concat(substring({digits}, 1, length({digits}) - 10), {_permuted_digits(ten, 10, 'phone', key)})")
+        moved = lambda n: f"concat(substring({digits}, 1, length({digits}) - {n}), {_permuted_digits(f'right({digits}, {n})', n, f'phone{n}', key)})"
+        return f"case when length({digits}) >= 10 then {refilled(m, moved(10))} else {refilled(m, moved(7))} end"
     if kind == "card":
         cases = []
         for n in range(13, 20):
-            body = _permuted_digits(f"substring({digits}, 1, {n - 1})", n - 1, f"card{n}", key)
-            check = f"transform(array({body}), b -> concat(b, cast(pmod(10 - {luhn('concat(b, chr(48))')} % 10, 10) as string)))[0]"
-            cases.append(f"when {n} then {refilled(m, check)}")
-        return f"case when {luhn(digits)} % 10 = 0 then case length({digits}) {' '.join(cases)} end else {m} end"
+            body = _permuted_digits(f"substring(d, 1, {n - 1})", n - 1, f"card{n}", key)
+            check = bound(body, "b", f"concat(b, cast(pmod(10 - {luhn('concat(b, chr(48))')} % 10, 10) as string))")
+            cases.append(f"when {n} then {refilled('x', check)}")
+        put = bound("regexp_replace(x, '[^0-9]', '')", "d", f"case length(d) {' '.join(cases)} end")
+        return bound(card_part(m), "c", f"case when c.n > 0 then concat(substring({m}, 1, c.at - 1), {bound(f'substring({m}, c.at, c.n)', 'x', put)}, substring({m}, c.at + c.n, 40)) else {m} end")
     if kind == "ssn":
         valid = f"substring({m}, 1, 3) not in ('000', '666') and substring({m}, 5, 2) <> '00' and right({m}, 4) <> '0000'"
         return f"case when {valid} then {refilled(m, _permuted_digits(digits, 9, 'ssn', key))} else {m} end"
     # dates of the 146097 = 189 * 773 days from 1800 to 2199, a whole Gregorian cycle
-    layout = "yyyy-MM-dd" if kind == "date" else "dd/MM/yyyy"
-    iso = m if kind == "date" else f"concat_ws('-', substring({m}, 7, 4), substring({m}, 4, 2), substring({m}, 1, 2))"
-    day = f"datediff(try_cast({iso} as date), date'1800-01-01')"
-    moved = f"date_format(date_add(date'1800-01-01', cast({feistel(day, 189, 773, 'date', key)} as int)), '{layout}')"
-    return f"case when try_cast({iso} as date) is not null then {moved} else {m} end"
+    moved = lambda iso, layout: f"date_format(date_add(date'1800-01-01', cast({feistel(f'datediff(try_cast({iso} as date), date\'1800-01-01\')', 189, 773, 'date', key)} as int)), '{layout}')"
+    if kind == "date":
+        return f"case when try_cast({m} as date) is not null then {moved(m, 'yyyy-MM-dd')} else {m} end"
+    return f"case when try_cast({_iso(m)} as date) is not null then {moved(_iso(m), 'dd/MM/yyyy')} when try_cast({_iso(m, 1)} as date) is not null then {moved(_iso(m, 1), 'MM/dd/yyyy')} else {m} end"
+
+
+def _iso(m: str, day: int = 0) -> str:
+    """SQL: 31/12/2024 (day 0) or 12/31/2024 (day 1) as 2024-12-31."""
+    first, second = f"substring({m}, 1, 2)", f"substring({m}, 4, 2)"
+    return f"concat_ws('-', substring({m}, 7, 4), {first if day else second}, {second if day else first})"
+
+
+def card_part(m: str) -> str:
+    """SQL: struct(n, at): length and place of the longest, then leftmost part between group borders with a valid check digit; n is 0 without one."""
+    inside = f"regexp_replace(substring({m}, i, j - i + 1), '[^0-9]', '')"
+    starts = f"filter(sequence(1, length({m})), i -> i = 1 or substring({m}, i - 1, 1) in (' ', '-'))"
+    ends = f"filter(sequence(i, length({m})), j -> j = length({m}) or substring({m}, j + 1, 1) in (' ', '-'))"
+    parts = f"flatten(transform({starts}, i -> transform(filter({ends}, j -> {bound(inside, 'd', f'length(d) between 13 and 19 and {luhn("d")} % 10 = 0')}), j -> struct(j - i + 1 as n, -i as back))))"
+    return f"{bound(f'array_max({parts})', 'p', 'struct(coalesce(p.n, 0) as n, coalesce(-p.back, 1) as at)')}"
 
 
 def _which(m: str) -> str:
     """SQL: the kind of a match of ANY."""
-    order = ("email", "date", "day", "ip", "phone", "ssn")
-    tests = {"email": f"{m} like '%@%'", "phone": f"{m} like '+%'"}
-    whole = lambda k: tests.get(k, f"{m} rlike {quoted('^(?:' + KINDS[k] + ')$')}")
+    order = ("email", "date", "day", "ip", "ssn", "phone")
+    whole = lambda k: f"{m} like '%@%'" if k == "email" else f"{m} rlike {quoted('^(?:' + KINDS[k] + ')$')}"
     return "case " + " ".join(f"when {whole(k)} then '{k}'" for k in order) + " else 'card' end"
 
 
 def pseudonymise(df: DataFrame, key: str = "change-this-key", text: str = "text") -> DataFrame:
     """``df`` with its text rewritten, and n_<kind> counts of the values replaced."""
-    out = "case " + " ".join(f"when {_which('m')} = '{k}' then {pseudonym(k, 'm', key)}" for k in ("email", "date", "day", "ip", "phone", "ssn")) + f" else {pseudonym('card', 'm', key)} end"
+    out = "case k " + " ".join(f"when '{k}' then {pseudonym(k, 'm', key)}" for k in ("email", "date", "day", "ip", "phone", "ssn")) + f" else {pseudonym('card', 'm', key)} end"
     column = f"cast(`{text}` as string)"
-    valid = f"""case {_which('v')} when 'email' then true when 'phone' then true
-        when 'ip' then forall(split(v, '[.]'), o -> cast(o as int) <= 255)
-        when 'card' then {luhn("regexp_replace(v, '[^0-9]', '')")} % 10 = 0
-        when 'ssn' then substring(v, 1, 3) not in ('000', '666') and substring(v, 5, 2) <> '00' and right(v, 4) <> '0000'
-        when 'date' then try_cast(v as date) is not null
-        else try_cast(concat_ws('-', substring(v, 7, 4), substring(v, 4, 2), substring(v, 1, 2)) as date) is not null end"""
+    valid = f"""case k when 'email' then true when 'phone' then true
+        when 'ip' then forall(split(m, '[.]'), o -> cast(o as int) <= 255)
+        when 'card' then {card_part('m')}.n > 0
+        when 'ssn' then substring(m, 1, 3) not in ('000', '666') and substring(m, 5, 2) <> '00' and right(m, 4) <> '0000'
+        when 'date' then try_cast(m as date) is not null
+        else try_cast({_iso('m')} as date) is not null or try_cast({_iso('m', 1)} as date) is not null end"""
     # every kind holds a digit or an at sign: texts without either need no pattern at all
-    found = f"case when {column} rlike '[0-9@]' then regexp_extract_all({column}, {quoted(ANY)}, 0) else array() end"
-    kinds = f"transform(filter(_found, v -> {valid}), v -> replace({_which('v')}, 'day', 'date'))"
-    rebuilt = f"""case when size(_found) > 0 then array_join(zip_with(split({column}, {quoted(ANY)}, -1), concat(transform(_found, m -> {out}), array('')),
+    seen = f"transform(regexp_extract_all({column}, {quoted(ANY)}, 0), m -> {bound(_which('m'), 'k', f'struct(m as m, k as k, {valid} as ok, {out} as put)')})"
+    found, kinds = (next(n for n in (f"_{x}{i or ''}" for i in range(len(df.columns) + 1)) if n not in df.columns) for x in ("found", "kinds"))
+    rebuilt = f"""case when size(`{found}`) > 0 then array_join(zip_with(split({column}, {quoted(ANY)}, -1), concat(transform(`{found}`, f -> f.put), array('')),
         (part, put) -> concat(part, put)), '') else {column} end"""
-    df = df.withColumn("_found", F.expr(found)).withColumn("_kinds", F.expr(kinds))
-    count = lambda k: F.expr(f"cast(coalesce(size(filter(_kinds, k -> k = '{k}')), 0) as bigint)")
-    return df.withColumns({text: F.expr(rebuilt), **{f"n_{k}": count(k) for k in ("email", "ip", "phone", "card", "ssn", "date")}}).drop("_found", "_kinds")
+    df = df.withColumn(found, F.expr(f"case when {column} rlike '[0-9@]' then {seen} else null end"))
+    df = df.withColumn(kinds, F.expr(f"transform(filter(`{found}`, f -> f.ok), f -> replace(f.k, 'day', 'date'))"))
+    count = lambda k: F.expr(f"cast(greatest(coalesce(size(filter(`{kinds}`, k -> k = '{k}')), 0), 0) as bigint)")
+    return df.withColumns({text: F.expr(rebuilt), **{f"n_{k}": count(k) for k in ("email", "ip", "phone", "card", "ssn", "date")}}).drop(found, kinds)

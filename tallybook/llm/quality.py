@@ -6,11 +6,11 @@ linear scorer minimises the non-negative unbiased risk.  A monotone logistic map
 training labels turns its margin into a probability.
 
 Features are style counts of the whole text; one pass over the table computes them for every
-document, so fitting and scoring never read texts again.  The fit uses at most ``SAMPLE``
-positives, as many labelled and as many unlabelled rows (those of least id hash).
+document, so fitting and scoring never read texts again.  Means, scales and the risk are summed over all documents in
+each round; only the probability map uses at most ``SAMPLE`` labelled rows (those of least id hash).
 
-Defined cases: null and empty texts get the features of an empty text and a score like any other;
-null ids are scored; repeated rows get equal scores; without both classes among the
+Defined cases: null and empty texts get the features of an empty text and a score like any other; texts of any length count
+whole; null ids are scored; repeated rows and other ties get equal scores; without both classes among the
 training labels the margin itself is mapped; an empty table gives an empty result.  Other
 columns of the input are ignored.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import Words, blocks, span_hashes
-from .linear import bounded, calibration, held_out, nonnegative_pu, sigmoid, train_labels
+from .linear import calibrated, held_out, matrix, nonnegative_pu, sigmoid, totals, train_labels
 from .tables import Stages
 
 SAMPLE = 20_000
@@ -111,40 +111,45 @@ class QualityModel:
         self.mean, self.scale, self.weights, self.slope, self.offset, self.prior = mean, scale, weights, slope, offset, prior
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8)
-        return np.column_stack([z, z * z / 8]) @ self.weights[:-1] + self.weights[-1]
+        return _expand(x, self.mean, self.scale) @ self.weights[:-1] + self.weights[-1]
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return sigmoid(self.slope * self.margin(x) + self.offset)
 
 
-def fit(table: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityModel:
-    """Fit on ``labels`` (doc_id, y) of the training fold and unlabelled rows of ``table`` (doc_id, x)."""
-    known = table.join(labels, "doc_id")
-    grab = lambda df: np.array([r.x for r in bounded(df, "doc_id", sample).select("x").collect()], dtype=np.float64).reshape(-1, len(FEATURES))
-    pos, unl = grab(known.where("y = 1")), grab(table)
-    share = labels.agg(F.avg("y")).first()[0]
-    prior = float(np.clip(0.5 if share is None else share, 0.02, 0.98))
-    base = unl if len(unl) else np.zeros((1, len(FEATURES)))
-    mean, scale = base.mean(axis=0), base.std(axis=0) + 1e-3
-    model = QualityModel(mean, scale, None, 1.0, 0.0, prior)
-    expand = lambda x: np.column_stack([z := np.clip((x - mean) / scale, -8, 8), z * z / 8])
-    model.weights = np.zeros(2 * len(FEATURES) + 1) if not len(pos) or not len(unl) else nonnegative_pu(expand(pos), expand(unl), prior)
-    rows = bounded(known, "doc_id", sample).select("x", "y").collect()
-    if rows:
-        z = model.margin(np.array([r.x for r in rows], dtype=np.float64))
-        model.slope, model.offset = calibration(z, np.array([r.y for r in rows]))
+def _expand(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    z = np.clip((x - mean) / scale, -8, 8)
+    return np.column_stack([z, z * z / 8])
+
+
+def fit(table: DataFrame, prior: float, sample: int = SAMPLE) -> QualityModel:
+    """Fit on ``table`` (doc_id, x, y): y is the label of the training fold, null for all other rows."""
+    d = len(FEATURES)
+    s = totals(table.select("x"), 1 + 2 * d, lambda pdf: np.concatenate([[len(pdf)], (x := matrix(pdf["x"])).sum(axis=0), (x * x).sum(axis=0)]))
+    mean = s[1 : 1 + d] / max(s[0], 1)
+    scale = np.sqrt(np.maximum(s[1 + d :] / max(s[0], 1) - mean * mean, 0)) + 1e-3
+    weights = nonnegative_pu(table.select("x", "y"), 2 * d, lambda pdf: (_expand(matrix(pdf["x"]), mean, scale), (pdf["y"] == 1).to_numpy()), prior)
+    model = QualityModel(mean, scale, weights, 1.0, 0.0, prior)
+
+    @F.pandas_udf("double")
+    def margin(x: pd.Series) -> pd.Series:
+        return pd.Series(model.margin(matrix(x)) if len(x) else np.zeros(0))
+
+    model.slope, model.offset = calibrated(table.where("y is not null").select("doc_id", "y", margin("x").alias("z")), sample)
     return model
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, stages: Stages, doc_id="doc_id", text="text", label="quality", modulus: int = 5, held: int = 0, threshold: float = 0.3, sample: int = SAMPLE) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
     table = style_table(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), stages)
-    model = fit(table, train_labels(labels, label, modulus, held), sample)
+    known = stages.save(train_labels(labels, label, modulus, held), "labels")
+    share = known.agg(F.avg("y")).first()[0]
+    table = stages.save(table.join(known, "doc_id", "left"), "fit")
+    model = fit(table, float(np.clip(0.5 if share is None else share, 0.02, 0.98)), sample)
 
     @F.pandas_udf("double")
     def score(x: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack(x.to_numpy()).astype(np.float64)) if len(x) else np.zeros(0))
+        return pd.Series(model.score(matrix(x)) if len(x) else np.zeros(0))
 
     return table.select(
         "doc_id", held_out("doc_id", modulus, held).alias("held_out"), score("x").alias("score"),

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-
+from . import stages
 from .decontaminate import overlaps
 from .embedding_dedup import embedding_links
 from .html_main import main_text
@@ -68,7 +67,7 @@ QUERIES = {f.__name__: f for f in (
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_pipeline.run(spark, sf_dir)
+    return stages.run(spark, sf_dir)
 
 
 QUERIES["pipeline"] = pipeline

@@ -7,9 +7,9 @@ of every window comes from two updated terms.  A candidate is a secret if some w
 level of its character class (hex, lower-case and digits, mixed).  An allow list suppresses
 placeholders, examples, identifiers in UUID form and runs of a known alphabet; it never touches base spans.
 
-Defined cases: a null text counts as empty and has no spans; null ids are kept; repeated rows give
-repeated rows; candidates shorter than the window are not secrets; other columns are ignored; an empty
-table gives an empty result.
+Defined cases: a null text counts as empty and has no spans; texts of any length are read whole, in time that follows
+their length; null ids are kept; repeated rows give repeated rows; spans of equal start stand in the order of their kinds; candidates shorter than the window are
+not secrets; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import spans
+from .pieces import bound, fold, spans
 
 #: Fixed values of the base kinds.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)[\x22']?\x20*[:=]\x20*[\x22']?[A-Za-z0-9+/_.=-]+"""
@@ -36,21 +36,22 @@ ALLOWED = (
 KINDS = ("assign", "access", "hex", "entropy")
 
 
-def window_entropy(x: str, window: int = WINDOW) -> str:
-    """SQL: the highest Shannon entropy, in bits per character, of any window of string x.
+def window_entropy(x: str, level: str, window: int = WINDOW) -> str:
+    """SQL: whether the Shannon entropy, in bits per character, of some window of string x reaches ``level``.
 
-    The state is the count of each printable character and the sum of c * log2(c); a step
-    changes the sum by the terms of the one or two characters whose counts change.
+    The state is the sum of c * log2(c) over the characters of the window.  A step adds one character and drops
+    one; only the counts of these two change, by one each, so only their terms do.  Once the level is reached no more is counted.
     """
-    term = lambda c: f"case when {c} > 1 then {c} * log2({c}) else 0D end"
-    code = lambda i: f"ascii(substring({x}, {i}, 1)) - 32"
-    step = f"""aggregate(sequence(1, length({x})), struct(array_repeat(0, 96) as n, 0D as total, 0D as most), (w, i) ->
-        transform(array(struct({code('i')} as a, case when i > {window} then {code(f'i - {window}')} else -1 end as b)), ch -> case when ch.a = ch.b then struct(w.n as n, w.total as total, w.most as most) else
-          transform(array(w.total + {term('(w.n[ch.a] + 1)')} - {term('w.n[ch.a]')} + case when ch.b < 0 then 0D else {term('(w.n[greatest(ch.b, 0)] - 1)')} - {term('w.n[greatest(ch.b, 0)]')} end), total ->
-            struct(transform(w.n, (c, k) -> c + case when k = ch.a then 1 when k = ch.b then -1 else 0 end) as n, total as total,
-                   case when i >= {window} then greatest(w.most, log2({window}D) - total / {window}) else w.most end as most))[0] end)[0],
-        w -> w.most)"""
-    return step
+    term = lambda c: f"({c}) * log2(greatest({c}, 1))"
+    # x, y: how often the coming and the going one stand in the window before
+    count = lambda of: f"aggregate(sequence(greatest(i - {window}, 0), i - 1), 0, (n, k) -> n + if(c[k] = {of}, 1, 0))"
+    goal = f"{window} * (log2({window}D) - {level}) + 1e-9"
+    gone = f"if(n.y > 0, {term('n.y')} - {term('n.y - 1')}, 0D)"
+    change = bound(f"n.x - if(n.y > 0 and c[i] = c[greatest(i - {window}, 0)], 1, 0)", "x", f"{term('x + 1')} - {term('x')} - {gone}")
+    counted = f"if(i = 0, struct(0 as x, 0 as y), struct({count('c[i]')} as x, if(i >= {window}, {count(f'c[greatest(i - {window}, 0)]')}, 0) as y))"
+    step = bound(counted, "n", bound(f"t.total + {change}", "total", f"struct(total as total, i + 1 >= {window} and total <= goal as hit)"))
+    scanned = f"aggregate(sequence(0, array_size(c) - 1), struct(0D as total, false as hit), (t, i) -> case when t.hit then t else {step} end, t -> t.hit)"
+    return f"(length({x}) >= {window} and {bound(goal, 'goal', bound(f'split({x}, r\'\')', 'c', scanned))})"
 
 
 def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -61,7 +62,13 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
     quoted_value = ASSIGN_VALUE.replace("'", r"\x27")
     as_kind = lambda column, k: f"transform({column}, v -> struct(v.s as s, {k} as k, v.e as e))"
     df = df.select("doc_id", F.expr(f"""concat({as_kind(f"filter(assign, v -> length(regexp_extract(v.x, r'{quoted_value}', 1)) >= 8)", 0)}, {as_kind('access', 1)}, {as_kind('hex', 2)})""").alias("base"), "entropy")
-    added = f"""filter(entropy, v -> not exists(base, b -> b.s <= v.s and v.e <= b.e) and not v.x rlike r"{ALLOWED}" and {window_entropy('v.x')} >= {level})"""
+    # candidates inside a base span: a scan by start, base spans first, that keeps the furthest end of a base span
+    none = "cast(array() as array<struct<s:int,e:int,x:string>>)"
+    both = "array_sort(concat(transform(base, v -> struct(v.s as s, 0 as k, -v.e as back, '' as x)), transform(entropy, v -> struct(v.s as s, 1 as k, -v.e as back, v.x as x))))"
+    step = """case when m.k = 0 then struct(greatest(a.state, -m.back) as state, a.out as out) when a.state >= -m.back then a
+        else struct(a.state as state, array_append(a.out, struct(m.s as s, -m.back as e, m.x as x)) as out) end"""
+    outside = f"case when size(entropy) = 0 or size(base) = 0 then entropy else {fold(both, '0', none, step)} end"
+    added = f"""filter({outside}, v -> not v.x rlike r"{ALLOWED}" and {window_entropy('v.x', level)})"""
     return df.select("doc_id", F.expr("array_sort(base)").alias("base"), F.expr(f"array_sort(concat(base, {as_kind(added, 3)}))").alias("found"))
 
 

@@ -58,13 +58,15 @@ class Stages:
                 self.spark.conf.set(key, value)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *names: str) -> None:
+    def drop(self, *names: str, collect: bool = True) -> None:
+        """Delete tables; with ``collect``, also the shuffles of frames that nothing refers to any more."""
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(conf).delete(path, True)
-        self.release()
+        if collect:
+            self.release()
 
     def release(self) -> None:
         """Frames that went out of scope hold shuffle files until both collectors ran.

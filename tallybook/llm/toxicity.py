@@ -8,11 +8,12 @@ from which its accuracy follows, and voters that agree beyond what the class exp
 correlated, so each of them counts for a share of one vote.  A linear classifier is trained on
 the posterior labels, and its margin is mapped to a probability on training labels.
 
-Mining, label model and classifier each see a bounded sample: at most ``SAMPLE`` rows, those of least
-id hash.  Every document is then scored over its whole text.
+Mining reads at most ``SAMPLE`` labelled documents, and so does the probability map (those of least id hash).  The label model and the
+classifier are fitted to all documents: Spark groups equal feature rows, most of which hold no vote at all,
+and sums the statistics of every round over them.  Every document is then scored over its whole text.
 
 Defined cases: null and empty texts have no votes and get the score of a text without
-hits; null ids are scored; repeated rows get equal scores; without training labels nothing is mined and
+hits; texts of any length count whole; null ids are scored; repeated rows and other ties get equal scores; without training labels nothing is mined and
 the posterior alone decides; an empty table gives an empty result.  Other columns are ignored.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .kernels import Words, blocks, lowered, span_hashes
-from .linear import bounded, calibration, held_out, logistic, sigmoid, train_labels
+from .linear import bounded, calibrated, held_out, logistic_all, matrix, sigmoid, totals, train_labels
 from .tables import Stages
 
 SAMPLE = 20_000
@@ -49,7 +50,7 @@ AIMED = "you your youre these such a an"
 PATTERNS = ("twice", "often", "dense", "aimed", "varied")
 #: Lengths in bytes of mined word beginnings; 0 stands for whole words.
 CUTS = (0, 4, 5, 6)
-MINED = 40
+ROUNDS = 25
 
 
 def _sorted_hashes(words: str) -> np.ndarray:
@@ -99,15 +100,15 @@ def votes(texts: list[bytes], mined: list[tuple[int, int]]) -> np.ndarray:
     ]).astype(np.float32)
 
 
-def mine(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = MINED, rounds: int = 3) -> list[tuple[int, int]]:
+def mine(docs: DataFrame, labels: DataFrame, stages: Stages, sample: int = SAMPLE) -> list[tuple[int, int]]:
     """(cut, hash) of terms that mark label 1 in at most ``sample`` labelled documents.
 
-    A term must occur in five documents of label 1 or more and in next to none of label 0.  Terms are
-    picked greedily until every document of label 1 has ``rounds`` of them if it can, so that the words of one much
-    copied document do not crowd out the rest.
+    A term must occur in five distinct texts of label 1 or more and in next to none of label 0.  Each text of label 1 nominates the most
+    frequent of its terms of every length, so that the words of one much copied document crowd nothing out and every text
+    that has a marking term is covered.
     """
     some = F.broadcast(bounded(labels, "doc_id", sample))  # at most ``sample`` rows of two numbers
-    chosen = docs.join(some, "doc_id").select("doc_id", "text", "y").dropDuplicates(["doc_id"])
+    chosen = docs.join(some, "doc_id").groupBy(F.xxhash64("text").alias("doc_id")).agg(F.first("text").alias("text"), F.max("y").alias("y"))
 
     def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -123,26 +124,11 @@ def mine(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = M
                     h, t = h[new], t[new]
                     yield pd.DataFrame({"cut": np.full(len(h), cut), "h": h.view(np.int64), "doc_id": ids[lo:hi][t], "y": y[lo:hi][t]})
 
-    seen = chosen.mapInPandas(occurrences, "cut int, h long, doc_id long, y int")
-    strong = (
-        seen.groupBy("cut", "h").agg(F.sum("y").alias("n1"), F.count("*").alias("n"))
-        .where("n1 >= 5 and n - n1 <= 0.02 * n1").orderBy(F.desc("n1"), "cut", "h").limit(20 * most)
-    )
-    if strong.isEmpty():
-        return []
-    pairs = seen.where("y = 1").join(F.broadcast(strong.select("cut", "h")), ["cut", "h"]).select("cut", "h", "doc_id").toPandas()
-    groups = {k: set(g["doc_id"]) for k, g in pairs.groupby(["cut", "h"])}
-    need = {d: rounds for d in pairs["doc_id"]}
-    picked: list[tuple[int, int]] = []
-    while len(picked) < most and groups:
-        gain = {k: sum(need[d] > 0 for d in g) for k, g in groups.items()}
-        best = max(gain, key=lambda k: (gain[k], -k[0], k[1]))
-        if gain[best] < 5:
-            break
-        for d in groups.pop(best):
-            need[d] -= 1
-        picked.append((int(best[0]), int(np.int64(best[1]).view(np.uint64))))
-    return picked
+    seen = stages.save(chosen.mapInPandas(occurrences, "cut int, h long, doc_id long, y int"), "terms")
+    strong = seen.groupBy("cut", "h").agg(F.sum("y").alias("n1"), F.count("*").alias("n")).where("n1 >= 5 and n - n1 <= 0.02 * n1")
+    best = seen.where("y = 1").join(strong, ["cut", "h"]).groupBy("doc_id", "cut").agg(F.max(F.struct("n1", "h")).alias("best"))
+    picked = best.select("cut", "best.h").distinct().orderBy("cut", "h").toArrow()
+    return list(zip(picked["cut"].to_pylist(), (h % (1 << 64) for h in picked["h"].to_pylist())))
 
 
 class LabelModel:
@@ -152,24 +138,34 @@ class LabelModel:
     know one language.  That all abstain is the one vote for class 0.
     """
 
-    def __init__(self, v: np.ndarray, prior: float, rounds: int = 40):
-        v = self.ballot(v)
+    def __init__(self, patterns: DataFrame, n_voters: int, prior: float, rounds: int = ROUNDS):
+        """Fit to ``patterns`` (x, n): feature rows, whose first columns are votes, and how many documents have each."""
         self.base = np.log(prior / (1 - prior))
-        post = np.where(v[:, -1] > 0, 0.01, 0.9)
+        k = n_voters + 1
+        self.weight, start = np.zeros(k), True
         for _ in range(rounds):
-            n1, n0 = post.sum(), (1 - post).sum()
-            self.rate1 = (post @ v + 0.5) / (n1 + 1)
-            self.rate0 = ((1 - post) @ v + 0.05) / (n0 + 10)
+
+            def statistic(pdf: pd.DataFrame) -> np.ndarray:
+                v, n = self.ballot(matrix(pdf["x"])[:, :n_voters]), pdf["n"].to_numpy()
+                post = np.where(v[:, -1] > 0, 0.01, 0.9) if start else sigmoid(self.base + v @ self.weight)
+                p1, p0 = n * post, n * (1 - post)
+                return np.concatenate([[p1.sum(), p0.sum()], p1 @ v, p0 @ v, ((v * p1[:, None]).T @ v).ravel(), ((v * p0[:, None]).T @ v).ravel()])
+
+            s = totals(patterns, 2 + 2 * k + 2 * k * k, statistic)
+            n1, n0, s1, s0 = s[0], s[1], s[2 : 2 + k], s[2 + k : 2 + 2 * k]
+            m1, m0 = s[2 + 2 * k :].reshape(2, k, k)
+            self.rate1, self.rate0 = (s1 + 0.5) / (n1 + 1), (s0 + 0.05) / (n0 + 10)
             self.rate0[:-1] = np.minimum(self.rate0[:-1], self.rate1[:-1])
             # correlations of voters within the classes
-            d1, d0 = v - self.rate1, v - self.rate0
-            cov = (d1 * post[:, None]).T @ d1 + (d0 * (1 - post)[:, None]).T @ d0
+            about = lambda m, s, n, r: m - np.outer(s, r) - np.outer(r, s) + n * np.outer(r, r)
+            cov = about(m1, s1, n1, self.rate1) + about(m0, s0, n0, self.rate0)
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             self.correlation = np.clip(cov / np.outer(sd, sd), 0, 1)
             np.fill_diagonal(self.correlation, 1)
-            share = 1 / self.correlation.sum(axis=1)
-            self.weight = share * np.log(self.rate1 / self.rate0)
-            post = sigmoid(self.base + v @ self.weight)
+            before, self.weight = self.weight, np.log(self.rate1 / self.rate0) / self.correlation.sum(axis=1)
+            done, start = not start and np.abs(self.weight - before).max() < 1e-2, False
+            if done:
+                break
         self.accuracy = self.rate1 / (self.rate1 + self.rate0)
 
     @staticmethod
@@ -192,21 +188,28 @@ def ballots(docs: DataFrame, mined: list[tuple[int, int]], stages: Stages) -> Da
     return stages.save(docs.mapInPandas(run, "doc_id long, x array<float>"), "ballots")
 
 
-def fit(table: DataFrame, labels: DataFrame, n_voters: int, sample: int = SAMPLE):
+def fit(table: DataFrame, labels: DataFrame, n_voters: int, stages: Stages, sample: int = SAMPLE):
     """A function from feature rows to probabilities, and the label model behind it."""
     share = labels.agg(F.avg("y")).first()[0]
     prior = float(np.clip(0.1 if share is None else share, 0.01, 0.5))
-    rows = bounded(table, "doc_id", sample).select("x").collect()
-    if not rows:
+    patterns = stages.save(table.groupBy("x").agg(F.count("*").alias("n")), "patterns")
+    size = patterns.agg(F.max(F.size("x"))).first()[0]
+    if size is None:
         return (lambda x: np.zeros(len(x))), None
-    x = np.array([r.x for r in rows], dtype=np.float64)
-    model = LabelModel(x[:, :n_voters], prior)
-    weights = logistic(x, model.posterior(x[:, :n_voters]), l2=1e-5)
+    model = LabelModel(patterns, n_voters, prior)
+
+    def read(pdf: pd.DataFrame):
+        x = matrix(pdf["x"])
+        return x, model.posterior(x[:, :n_voters]), pdf["n"].to_numpy()
+
+    weights = logistic_all(patterns, size, read, l2=1e-5)
     margin = lambda x: x @ weights[:-1] + weights[-1]
-    known = bounded(table.join(labels, "doc_id"), "doc_id", sample).select("x", "y").collect()
-    slope, offset = 1.0, 0.0
-    if known:
-        slope, offset = calibration(margin(np.array([r.x for r in known], dtype=np.float64)), np.array([r.y for r in known]))
+
+    @F.pandas_udf("double")
+    def z(x: pd.Series) -> pd.Series:
+        return pd.Series(margin(matrix(x)) if len(x) else np.zeros(0))
+
+    slope, offset = calibrated(table.join(labels, "doc_id").select("doc_id", "y", z("x").alias("z")), sample)
     return (lambda x: sigmoid(slope * margin(x) + offset)), model
 
 
@@ -214,13 +217,13 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, stages: Stages, doc_id="
     """Per row: doc_id, held_out, score, predicted."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     known = stages.save(train_labels(labels, label, modulus, held), "labels")
-    mined = mine(docs, known, sample)
+    mined = mine(docs, known, stages, sample)
     table = ballots(docs, mined, stages)
-    probability, _ = fit(table, known, len(LEXICON) + len(mined) + len(PATTERNS), sample)
+    probability, _ = fit(table, known, len(LEXICON) + len(mined) + len(PATTERNS), stages, sample)
 
     @F.pandas_udf("double")
     def score(x: pd.Series) -> pd.Series:
-        return pd.Series(probability(np.stack(x.to_numpy()).astype(np.float64)) if len(x) else np.zeros(0))
+        return pd.Series(probability(matrix(x)) if len(x) else np.zeros(0))
 
     return table.select(
         "doc_id", held_out("doc_id", modulus, held).alias("held_out"), score("x").alias("score"),
