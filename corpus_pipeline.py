@@ -1,77 +1,8 @@
-"""From raw documents to a training mix, one operator a stage.
+"""From raw documents to a training mix, one operator a stage: toxicity, near-dedup, decontamination, personal data, mixing."""
 
-Each stage reads what the one before it kept, written as Parquet.  Rows with a null id pass the filters
-that name documents by id; a decision about an id holds for all its rows.
-"""
+from tallybook.llm.stages import STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tallybook.llm.decontaminate import overlaps
-from tallybook.llm.minhash_dedup import near_duplicates
-from tallybook.llm.mixing import mix
-from tallybook.llm.pii import pseudonymise
-from tallybook.llm.tables import Stages, read
-from tallybook.llm.toxicity import toxicity_scores
-
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the toxicity classifier rejects."""
-    scores = toxicity_scores(docs, read(spark, sf_dir, "labels"), Stages(spark, "toxic"))
-    bad = scores.where("predicted = 1 and doc_id is not null").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(bad, "doc_id", "left_anti").select(*COLUMNS)
-
-
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    stages = Stages(spark, "near")
-    out = stages.save(near_duplicates(docs, stages).where("doc_id is not null").select("doc_id", "kept"), "decisions")
-    gone = out.where("not kept").select("doc_id").distinct()
-    rest = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    if out.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return rest
-    # repeated rows of one id and text are copies of each other
-    return rest.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(rest.where("doc_id is null"))
-
-
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a passage of the benchmark."""
-    hits = overlaps(docs, read(spark, sf_dir, "benchmark"), Stages(spark, "leaks"))
-    return docs.select(*COLUMNS).join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
-
-
-def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its personal data replaced by pseudonyms."""
-    out = pseudonymise(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*COLUMNS)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with their copies."""
-    mixed = mix(docs, Stages(spark, "mix"), keep=("text", "lang", "n_chars"))
-    return mixed.where("copies > 0").select(*COLUMNS, "size", "source_size", "target", "copies", "taken")
-
-
-STAGES = [
-    ("toxicity", drop_toxic),
-    ("minhash_near_dedup", drop_near_duplicates),
-    ("decontamination", drop_contaminated),
-    ("pii", hide_personal_data),
-    ("mixing", mix_sources),
-]
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
 
 #: A fitted classifier, sampled hashes and keyed hashes are not SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``, each written and read again."""
-    stages = Stages(spark, "pipeline")
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stages.save(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
