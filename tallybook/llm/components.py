@@ -12,15 +12,16 @@ HOT_KEYS = 10_000
 HOT_ROWS = 1_000
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, key: str | list[str], n: str, total: int) -> DataFrame:
     """Inner join on ``key``; ``right`` has one row a key, and its column ``n`` says how many rows of ``left`` carry the key.
 
     Keys of many rows, of which ``total`` rows allow ``HOT_KEYS`` at most, are broadcast, so that their rows of ``left`` stay where they
     are; all other keys meet in a shuffle.  Both sides are read twice and should be tables.
     """
+    key = [key] if isinstance(key, str) else key
     level = max(HOT_ROWS, total // HOT_KEYS)
     hot, cold = right.where(F.col(n) > level), right.where(F.col(n) <= level)
-    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    rest = left.join(F.broadcast(hot.select(*key)), key, "left_anti")
     return left.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
 
 

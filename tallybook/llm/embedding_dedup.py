@@ -1,10 +1,11 @@
 """Embedding near-dedup: PCA-ordered tiled comparison with suffix-norm bounds.
 
 Vectors of a label are rotated into principal axes, so that leading dimensions
-hold most of every dot product.  Rows sorted along the first axis are cut into
-tiles.  Two tiles meet in one task, which adds up dot products a few dimensions at a
+hold most of every dot product.  Rows sorted by cells of the leading axes are cut into
+tiles, so a tile is a small box in them.  Two tiles whose boxes lie near enough meet in one task.  There blocks of both, again only
+those of near boxes, add up dot products a few dimensions at a
 time; by Cauchy-Schwarz the rest of a product is at most the product of the two
-suffix norms, so a pair (then a whole tile pair) stops once even that bound stays
+suffix norms, so a pair (then a whole block pair) stops once even that bound stays
 below the threshold.  What survives all dimensions is decided by the plain cosine
 of the given vectors in double precision.
 
@@ -13,8 +14,8 @@ link counts and a spanning forest of its links, never the list of pairs.
 
 Defined cases: a null label, a null or empty vector, null or non-finite components and
 zero vectors link with nothing (n_links 0, own component).  Vectors of unequal length
-never link.  Rows that share an id count as separate vectors and share a component.
-Null ids are kept, with a null component and ``kept`` true.  An empty table gives an empty
+never link; a vector may have any length.  Rows that share an id count as separate vectors and share a component; repeated rows link as copies;
+ties go to the least id.  Null ids are kept, with a null component and ``kept`` true.  An empty table gives an empty
 result.  Other columns of the input are ignored.
 """
 
@@ -27,12 +28,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, join_hot
 from .kernels import union_forest
 from .tables import Stages
 
-TILE = 512
+TILE, BLOCK = 2048, 256
 STEP = 8
+#: Leading axes whose cells order the rows, and the width of a cell; axes of the boxes that are compared.
+CELL_AXES, CELL = 4, 0.25
+BOX_AXES = 8
 
 
 def usable(vec: Column, label: Column) -> Column:
@@ -104,31 +108,46 @@ def survivors(a: np.ndarray, b: np.ndarray, threshold: float, step: int = STEP)
     return np.nonzero(dot >= least) if i is None else (i, j)
 
 
+def near_blocks(wa: np.ndarray, wb: np.ndarray, far: float, size: int = BLOCK) -> Iterator[tuple[int, int]]:
+    """Starts of block pairs of two tiles whose boxes are at most ``far`` apart (squared distance)."""
+
+    def boxes(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.arange(0, len(w), size)
+        return np.minimum.reduceat(w[:, :BOX_AXES], at), np.maximum.reduceat(w[:, :BOX_AXES], at)
+
+    (lo_a, hi_a), (lo_b, hi_b) = boxes(wa), boxes(wb)
+    gap = np.maximum(0, np.maximum(lo_a[:, None] - hi_b[None], lo_b[None] - hi_a[:, None]))
+    for x, y in zip(*np.nonzero((gap * gap).sum(axis=2) <= far)):
+        yield int(x) * size, int(y) * size
+
+
 def embedding_links(df: DataFrame, stages: Stages, vec_id="vec_id", embedding="embedding", label="label", threshold: float = 0.93, tile: int = TILE) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
-    rows = df.select(
-        F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(embedding).cast("array<double>").alias("v"),
-    )
+    kind = dict(df.dtypes)[embedding]
+    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
+    width = np.float32 if kind == "array<float>" else np.float64
+    rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(embedding).cast(kind).alias("v"))
     rows = rows.withColumn("ok", usable(F.col("v"), F.col("label")))
-    rows = rows.withColumn(
-        "key", F.when(F.col("ok"), F.sha2(F.to_json(F.struct("label", "v")), 256))
-    )
-    live = rows.where("ok")
+    # 128 bits that stand for a label and a vector
+    rows = rows.withColumns({k: F.when(F.col("ok"), F.xxhash64(F.lit(i), "label", "v")) for i, k in enumerate(("k1", "k2"))})
     reps = stages.save(
-        live.groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("m"), F.first("label").alias("label"), F.first("v").alias("v")),
-        "reps",
+        rows.where("ok").groupBy("k1", "k2").agg(F.min("vec_id").alias("id"), F.count("*").alias("m"), F.first("label").alias("label"), F.first("v").alias("v"))
+        .withColumn("node", F.monotonically_increasing_id()), "reps",
     )
     axes = principal_axes(reps)
 
     def rotate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for d, part in pdf.groupby(pdf["v"].map(len)):
-                m = _unit(np.stack(part["v"].to_numpy()).astype(np.float64)) @ axes[d]
-                yield pd.DataFrame({"key": part["key"], "d": d, "label": part["label"], "m": part["m"], "v": part["v"], "w": list(m), "x": m[:, 0]})
+                w = _unit(np.stack(part["v"].to_numpy()).astype(np.float64)) @ axes[d]
+                cells = np.zeros((len(w), CELL_AXES), np.int32)
+                cells[:, : min(d, CELL_AXES)] = np.floor(w[:, :CELL_AXES] / CELL)
+                yield pd.DataFrame({"node": part["node"], "d": d, "label": part["label"], "m": part["m"], "v": part["v"], **{f"c{i}": cells[:, i] for i in range(CELL_AXES)}})
 
-    kind = dict(reps.dtypes)["label"]
-    turned = reps.mapInPandas(rotate, f"key string, d int, label {kind}, m long, v array<double>, w array<double>, x double")
-    turned = stages.save(turned.repartitionByRange("label", "d", "x").sortWithinPartitions("label", "d", "x"), "turned")
+    tag = dict(reps.dtypes)["label"]
+    order = ["label", "d", *(f"c{i}" for i in range(CELL_AXES)), "node"]
+    turned = reps.mapInPandas(rotate, f"node long, d int, label {tag}, m long, v {kind}, " + ", ".join(f"c{i} int" for i in range(CELL_AXES)))
+    turned = turned.repartitionByRange(*order).sortWithinPartitions(*order)
 
     # A tile is a run of rows of one label within one range partition.
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,33 +155,37 @@ def embedding_links(df: DataFrame, stages: Stages, vec_id="vec_id", embedding="e
 
         def tiles(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
             for (lab, d), part in pdf.groupby(["label", "d"], sort=False):
-                part = part.sort_values("x")
                 for s in range(0, len(part), tile):
                     p = part.iloc[s : s + tile]
-                    w = np.stack(p["w"].to_numpy())
-                    yield pd.DataFrame({"tile": [p["key"].iloc[0]], "label": [lab], "d": [d], "lo": [w[:, :4].min(axis=0)], "hi": [w[:, :4].max(axis=0)], "keys": [list(p["key"])], "ms": [p["m"].to_numpy()], "w": [w.tobytes()], "v": [np.stack(p["v"].to_numpy()).tobytes()]})
+                    v = np.stack(p["v"].to_numpy()).astype(width)
+                    w = (_unit(v.astype(np.float64)) @ axes[d])[:, :BOX_AXES]
+                    yield pd.DataFrame({"label": [lab], "d": [d], "lo": [w.min(axis=0)], "hi": [w.max(axis=0)], "nodes": [p["node"].to_numpy(np.int64).tobytes()], "ms": [p["m"].to_numpy(np.int64).tobytes()], "v": [v.tobytes()]})
 
         for pdf in batches:
             held.append(pdf)
-            if sum(map(len, held)) >= 16 * tile:
+            if sum(map(len, held)) >= 4 * tile:
                 yield from tiles(pd.concat(held))
                 held = []
         if held:
             yield from tiles(pd.concat(held))
 
     cuts = stages.save(
-        turned.mapInPandas(cut, f"tile string, label {kind}, d int, lo array<double>, hi array<double>, keys array<string>, ms array<long>, w binary, v binary"),
-        "tiles",
+        turned.mapInPandas(cut, f"label {tag}, d int, lo array<double>, hi array<double>, nodes binary, ms binary, v binary")
+        .withColumn("tile", F.monotonically_increasing_id()), "tiles",
     )
     # Squared distance of unit vectors that link is at most 2 - 2 * threshold.
     far = 2 - 2 * threshold + 1e-9
+    # boxes of one label meet in several tasks: one side is dealt out, the other copied to each
     box = cuts.select("tile", "label", "d", "lo", "hi")
+    box = box.join(box.groupBy("label", "d").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts")), ["label", "d"])
+    one = box.withColumn("part", F.pmod(F.xxhash64("tile"), F.col("parts")).cast("int"))
+    every = box.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     gap = "aggregate(sequence(0, size(a.lo) - 1), 0D, (s, k) -> s + pow(greatest(0D, a.lo[k] - b.hi[k], b.lo[k] - a.hi[k]), 2))"
     pairs = (
-        box.alias("a").join(box.alias("b"), F.expr(f"a.label = b.label and a.d = b.d and a.tile <= b.tile and {gap} <= {far}"))
+        one.alias("a").join(every.alias("b"), F.expr(f"a.label = b.label and a.d = b.d and a.part = b.part and a.tile <= b.tile and {gap} <= {far}"))
         .select(F.col("a.tile").alias("ta"), F.col("b.tile").alias("tb"))
     )
-    whole = cuts.select("tile", "d", "keys", "ms", "w", "v")
+    whole = cuts.select("tile", "d", "nodes", "ms", "v")
     met = (
         pairs.join(whole.select(*[F.col(c).alias(f"{c}_a") for c in whole.columns]), F.col("ta") == F.col("tile_a"))
         .join(whole.select(*[F.col(c).alias(f"{c}_b") for c in whole.columns]), F.col("tb") == F.col("tile_b"))
@@ -172,43 +195,51 @@ def embedding_links(df: DataFrame, stages: Stages, vec_id="vec_id", embedding="e
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
-                wa, wb, va, vb = (np.frombuffer(x).reshape(-1, r.d_a) for x in (r.w_a, r.w_b, r.v_a, r.v_b))
-                i, j = survivors(wa, wb, threshold)
-                if r.ta == r.tb:
-                    i, j = i[i < j], j[i < j]
-                if len(i) == 0:
-                    continue
+                va, vb = (np.frombuffer(x, width).reshape(-1, r.d_a).astype(np.float64) for x in (r.v_a, r.v_b))
+                (ka, ma), (kb, mb) = ((np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)) for x, y in ((r.nodes_a, r.ms_a), (r.nodes_b, r.ms_b)))
+                ua, ub = _unit(va), _unit(vb)
+                wa, wb = ua @ axes[r.d_a], ub @ axes[r.d_a]
                 na, nb = np.sqrt((va * va).sum(1)), np.sqrt((vb * vb).sum(1))
-                link = np.concatenate([
-                    np.einsum("ij,ij->i", va[i[s : s + 65536]], vb[j[s : s + 65536]]) for s in range(0, len(i), 65536)
-                ]) / (na[i] * nb[j]) >= threshold
-                i, j = i[link], j[link]
-                if len(i) == 0:
+                same = r.ta == r.tb
+                ca, cb = np.zeros(len(ka), np.int64), np.zeros(len(kb), np.int64)
+                fi, fj = [], []
+                for x, y in near_blocks(wa, wb, far):
+                    if same and y < x:
+                        continue
+                    i, j = survivors(wa[x : x + BLOCK], wb[y : y + BLOCK], threshold)
+                    i, j = i + x, j + y
+                    if same:
+                        i, j = i[i < j], j[i < j]
+                    if len(i) == 0:
+                        continue
+                    link = np.einsum("ij,ij->i", va[i], vb[j]) / (na[i] * nb[j]) >= threshold
+                    i, j = i[link], j[link]
+                    ca += np.bincount(i, weights=mb[j], minlength=len(ka)).astype(np.int64)
+                    cb += np.bincount(j, weights=ma[i], minlength=len(kb)).astype(np.int64)
+                    keep = union_forest(len(ka) + len(kb), i, j if same else j + len(ka))
+                    fi.append(i[keep])
+                    fj.append(j[keep])
+                if not fi:
                     continue
-                ka, kb = np.asarray(r.keys_a, object), np.asarray(r.keys_b, object)
-                ca = np.bincount(i, weights=np.asarray(r.ms_b)[j], minlength=len(ka)).astype(np.int64)
-                cb = np.bincount(j, weights=np.asarray(r.ms_a)[i], minlength=len(kb)).astype(np.int64)
-                keep = union_forest(len(ka) + len(kb), i, j if r.ta == r.tb else j + len(ka))
-                yield pd.DataFrame({"key": ka[ca > 0], "n": ca[ca > 0], "other": None})
-                yield pd.DataFrame({"key": kb[cb > 0], "n": cb[cb > 0], "other": None})
-                yield pd.DataFrame({"key": ka[i[keep]], "n": 0, "other": kb[j[keep]]})
-
-    found = stages.save(met.mapInPandas(compare, "key string, n long, other string"), "links")
-    counts = found.where("other is null").groupBy("key").agg(F.sum("n").alias("n"))
-    ids = reps.select("key", "id")
-    edges = (
-        found.where("other is not null").select("key", "other")
-        .join(ids.withColumnRenamed("id", "a"), "key")
-        .join(ids.select(F.col("key").alias("other"), F.col("id").alias("b")), "other").select("a", "b")
-    )
-    comp = components(edges, stages, "components")
+                i, j = np.concatenate(fi), np.concatenate(fj)
+                keep = union_forest(len(ka) + len(kb), i, j if same else j + len(ka))
+                yield pd.DataFrame({"a": ka[ca > 0], "n": ca[ca > 0], "b": pd.array([None] * int((ca > 0).sum()), dtype="Int64")})
+                yield pd.DataFrame({"a": kb[cb > 0], "n": cb[cb > 0], "b": pd.array([None] * int((cb > 0).sum()), dtype="Int64")})
+                yield pd.DataFrame({"a": ka[i[keep]], "n": 0, "b": pd.array(kb[j[keep]], dtype="Int64")})
+
+    found = stages.save(met.mapInPandas(compare, "a long, n long, b long"), "links")
+    counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    comp = components(found.where("b is not null").select("a", "b"), stages, "components")
+    n_rows, n_reps = df.count(), reps.count()
     known = stages.save(
-        reps.select("key", "id", "m").join(counts, "key", "left").join(comp.withColumnRenamed("node", "id"), "id", "left")
-        .select("key", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")),
-        "known",
-    )
-    component = F.coalesce("component_id", "vec_id")
-    return rows.select("vec_id", "key").join(known, "key", "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+        reps.select("k1", "k2", "node", "id", "m").join(counts, "node", "left").join(comp, "node", "left")
+        .select("k1", "k2", "id", "m", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "node").alias("class")), "nodes",
     )
+    least = stages.save(known.groupBy("class").agg(F.min("id").alias("component_id"), F.count("*").alias("n")), "classes")
+    known = stages.save(join_hot(known, least, "class", "n", n_reps).select("k1", "k2", "m", "n_links", "component_id"), "known")
+    stages.drop("reps", "tiles", "links", "nodes", "classes")
+    rows = rows.select("vec_id", "ok", "k1", "k2")
+    out = join_hot(rows.where("ok"), known, ["k1", "k2"], "m", n_rows).select("vec_id", "n_links", "component_id")
+    out = out.unionByName(rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
+    component = F.when(F.col("vec_id").isNotNull(), F.col("component_id"))
+    return out.select("vec_id", F.col("n_links").cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

@@ -9,9 +9,11 @@ instance of one class lies within one gap of another.  Of two classes that cross
 texts is not valid.  The texts of valid classes are the fixed text of the site, also inside the article.  Blocks
 that are left are the slots.  A slot whose path runs through a menu, header, footer, sidebar,
 notice, advert, form or comment section is not main text, whatever it holds, so such blocks take no part
-in the classes either.  Where a page names its article, only slots inside it count; elsewhere all remaining slots do.
+in the classes either.  Class and id words mark block elements alone, not the page itself nor words inside a line; a marked
+element or form that holds the article, or nearly all text of a page, is not such a part.  Where a page names its article,
+only slots inside it count, its own header among them; elsewhere all remaining slots do.
 
-Defined cases: null and empty html give an empty text; a null url groups under the empty host; a
+Defined cases: pages of any length are read whole; blocks of equal text are told apart by path, ties of classes go to the lesser number; null and empty html give an empty text; a null url groups under the empty host; a
 page alone on its host has no template and keeps the slots its paths allow; broken markup
 is read to the end of the page; repeated rows are separate pages with equal results; an empty table gives an
 empty result.  Other columns of the input are ignored.
@@ -40,16 +42,20 @@ BLOCKS = frozenset(
 #: Elements whose text is never main text, and those that hold the article.
 DROPPED = frozenset("aside button dialog footer form head header menu nav search select title".split())
 MAIN = frozenset("article main".split())
+#: Elements inside a line, which class words never mark, and the page itself.
+UNMARKED = frozenset("html body a abbr b bdi bdo cite code data dfn em font i kbd label mark math q s samp small span strong sub sup time u var".split())
+#: A marked part with this share of a page's text is its content.
+MOST = 0.9
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Words of class and id names that mark the same kinds of parts.
 MARKED = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu|sidebar|side|header|masthead|footer|foot|cookies?|notices?|consent|gdpr|"
-    r"newsletter|subscribe|subscription|comments?|replies|discussion|disqus|share|sharing|social|related|recommended|breadcrumbs?|widgets?|popup|modal|login|signup|search)(?:$|[-_\s])",
+    r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|sponsor\w*|promo|promotions?|banner|nav\w*|menu|sidebar|side|header|masthead|footer|foot|cookies?|notices?|consent|gdpr|"
+    r"newsletter|subscribe|subscription|comments?|replies|discussion|disqus|share|sharing|social(?=$|\s|[-_](?:media|links?|icons?|bar|share|sharing|buttons?|follow))|related|recommended|breadcrumbs?|widgets?|popup|modal|login|signup|search)(?:$|[-_\s])",
     re.I,
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|noscript|svg|iframe|template|object|canvas|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|noscript|svg|iframe|template|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S | re.I,
 )
@@ -57,33 +63,38 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 
 
 def _kind(name: str, attributes: str) -> tuple[str, int]:
-    """(path step, 1 for parts that are dropped, 2 for the article, else 0)."""
-    step, flag = name, 1 if name in DROPPED else 2 if name in MAIN else 0
+    """(path step, 1 for parts that are dropped, 2 for the article, 3 for parts dropped by their words or as a form, else 0)."""
+    step, flag = name, 3 if name == "form" else 1 if name in DROPPED else 2 if name in MAIN else 0
     if "=" in attributes:
         for key, a, b, c in ATTRIBUTE.findall(attributes):
             value = (a or b or c).strip()
             step += f".{value}"
-            if flag != 2 and (MARKED.search(value) or key.lower() == "role" and value.lower() in ROLES):
-                flag = 1
-            elif key.lower() == "role" and value.lower() in ("main", "article"):
+            if name in UNMARKED:
+                continue
+            if flag in (0, 3) and key.lower() == "role" and value.lower() in ("main", "article"):
                 flag = 2
+            elif flag == 0 and (MARKED.search(value) or key.lower() == "role" and value.lower() in ROLES):
+                flag = 3
     return step, flag
 
 
 def blocks_of(page: str | None) -> list[tuple[str, str, bool, bool]]:
     """(path, text, dropped part, inside the article) of every block with text, in page order."""
     page = page or ""
-    out: list[tuple[str, str, bool, bool]] = []
-    stack: list[tuple[str, str, int]] = []
+    out: list[tuple[str, str, list[int], list[int], bool]] = []
+    stack: list[tuple[str, str, int, int]] = []
     held: list[str] = []
+    holds: set[int] = set()  # marked elements around the first article
+    named = False
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(held)).split())
         held.clear()
         if text:
-            flags = [f for _, _, f in stack]
-            inside = 2 in flags
-            out.append((">".join(s for _, s, _ in stack), text, 1 in flags, inside))
+            inside = any(f == 2 for _, _, f, _ in stack)
+            first = next((i for i, s in enumerate(stack) if s[2] == 2), len(stack))
+            fixed = any(f == 1 and not (name == "header" and i > first) for i, (name, _, f, _) in enumerate(stack))
+            out.append((">".join(s for _, s, _, _ in stack), text, fixed, [k for _, _, f, k in stack if f == 3], inside))
 
     at = 0
     for m in TAG.finditer(page):
@@ -96,7 +107,7 @@ def blocks_of(page: str | None) -> list[tuple[str, str, bool, bool]]:
         name = name.lower()
         if name in ("br", "td", "th", "img", "input"):
             held.append(" ")
-        marked = "=" in (m.group(4) or "") and name not in VOID and _kind(name, m.group(4))[1]
+        marked = "=" in (m.group(4) or "") and name not in VOID and name not in UNMARKED and _kind(name, m.group(4))[1]
         if name in VOID and name != "hr":
             continue
         if m.group(2):
@@ -114,10 +125,21 @@ def blocks_of(page: str | None) -> list[tuple[str, str, bool, bool]]:
             if name == "body":
                 del stack[next((i for i, s in enumerate(stack) if s[0] == "head"), len(stack)) :]
             if name != "hr":
-                stack.append((name, *_kind(name, m.group(4) or "")))
+                step, flag = _kind(name, m.group(4) or "")
+                if flag == 2 and not named:
+                    named = True  # further articles may be comments
+                    holds = {k for _, _, f, k in stack if f == 3}
+                stack.append((name, step, flag, m.start()))
     held.append(page[at:])
     flush()
-    return out
+    size, total = defaultdict(int), 0
+    for _, text, fixed, marks, _ in out:
+        if not fixed:
+            total += len(text)
+            for k in marks:
+                size[k] += len(text)
+    content = holds | {k for k, n in size.items() if n >= MOST * total}
+    return [(path, text, fixed or any(k not in content for k in marks), inside) for path, text, fixed, marks, inside in out]
 
 
 def evidence(tokens: list[int], classes: list[list[int]]) -> list[tuple[int, int | None, bool]]:

@@ -4,7 +4,12 @@ Ranks here are names: equal strings get equal 64-bit hashes.  Round one names th
 ``half``-byte strings (half the threshold) at anchor positions; Spark sorts the
 (name, document) pairs by name and positions whose name is unique are done.  Round two doubles the length: the name of a full-length
 string is the pair of names at offsets 0 and ``half``; Spark groups those pairs, and
-a position is covered when its name also occurs in a document with a smaller id.
+a position is covered when its name also occurs in a document with a smaller id.  Pairs are compared by 96 bits.
+
+Whole copies come first: of documents with one SHA-256 all but the least are covered from end to end, and only one text of each
+takes part in the rest.  Names that stand in many of a sample of the documents are known to repeat, so they are told to every task
+instead of being sorted, and later rows of theirs are dealt out by what surrounds them: no task gets all rows of a passage that half the corpus
+quotes.  The sample decides only this routing, never a result.
 
 Anchors keep the sorted rows few without losing a match.  The anchor of a full-length
 window is its ``half``-byte string of least hash (leftmost on ties), which depends on the
@@ -13,9 +18,9 @@ anchor's name is unique, so is the window.  A surviving anchor first tries the
 name of everything its windows span; if a smaller document has all of that, all its windows
 are covered at once, and only the others are expanded into single positions.
 
-Defined cases: a null text is empty bytes; texts shorter than the threshold keep everything;
+Defined cases: a null text is empty bytes; texts shorter than the threshold keep everything; a text of any length is one array in a task;
 a null id is never smaller than another id, so it covers nothing and loses nothing; rows
-that share an id never cover each other (texts of one id are told apart by their CRC-32);
+that share an id never cover each other (texts of one id are told apart by a 64-bit hash);
 a repeated row gets the same result again; an empty table gives an empty result.  Other columns of the input are ignored.
 """
 
@@ -29,12 +34,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .components import join_hot
 from .kernels import BASE_INVERSE, mix, powers, prefix_sums
 from .tables import Stages
 
 
 #: Odd multiplier that orders the two names of a pair.
 PAIR = 0xD6E8FEB86659FD93
+#: One document in SAMPLED is sampled for names that many share: more than one in COMMON, and four at least.
+SAMPLED, COMMON = 64, 500
+#: Whole copies, 16 bytes each, whose list a join with the documents broadcasts at most.
+BROADCAST_COPIES = 1_000_000
 #: Open rows of one anchor name that a task holds back at most.
 WAITING = 1_000_000
 
@@ -95,6 +105,7 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
     half, whole = length // 2, length
     long, int_ = pa.int64(), pa.int32()
     docs = docs.where(F.octet_length("text") >= length)
+    known_hot = None
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = {"h": long, "doc": long}
@@ -104,6 +115,8 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
             for i, data in _texts(batch):
                 a = Anchors(data, whole, half)
                 found = np.unique(a.names[a.at])
+                if known_hot is not None:
+                    found = found[~np.isin(found, known_hot.value, assume_unique=True)]
                 h.append(found.view(np.int64))
                 d.append(np.full(len(found), ids[i]))
                 held += len(found)
@@ -134,6 +147,11 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
         if tail:
             yield _frame({"h": [np.array([h0])], "doc": [np.array([d0])]}, types)
 
+    some = docs.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLED)) == 0).select("doc", "text")
+    counted = some.mapInArrow(names, "h long, doc long").groupBy("h").agg(F.count("*").alias("n"))
+    # at most COMMON names a document's mean number of names
+    hot = counted.where(F.col("n") >= max(4, some.count() // COMMON)).select("h").toArrow()["h"].to_numpy()
+    known_hot = docs.sparkSession.sparkContext.broadcast(np.sort(hot.astype(np.int64).view(np.uint64)))
     in_order = docs.select("doc", "text").mapInArrow(names, "h long, doc long").repartition("h").sortWithinPartitions("h")
     shared = stages.save(
         in_order.mapInArrow(not_unique, "h long, doc long").groupBy("doc").agg(F.collect_list("h").alias("hs")), "shared"
@@ -143,22 +161,23 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Surviving anchors, each with the name of all the bytes that its windows span."""
-        types = {"h": long, "k": long, "doc": long, "v": long, "first": int_, "last": int_}
+        types = {"h": long, "k": long, "salt": long, "doc": long, "v": long, "first": int_, "last": int_}
         for batch in batches:
             ids, vs, hs = batch.column("doc").to_numpy(), batch.column("v").to_numpy(), batch.column("hs")
             out: dict[str, list] = {k: [] for k in types}
             for i, data in _texts(batch):
                 a = Anchors(data, whole, half)
-                known = np.sort(hs[i].values.to_numpy().view(np.uint64))
+                own = hs[i].values.to_numpy().view(np.uint64) if hs[i].is_valid else np.zeros(0, np.uint64)
                 name = a.names[a.at]
-                near = np.minimum(np.searchsorted(known, name), len(known) - 1)
-                hit = known[near] == name
+                often = np.isin(name, known_hot.value)
+                hit = often | np.isin(name, own)
                 first, last, at = a.first[hit], a.last[hit], a.at[hit]
                 sums = prefix_sums(data)
                 key = (sums[last + whole] - sums[first]) * powers(BASE_INVERSE, len(sums))[first]
                 key = mix(mix(key) + ((at - first) * whole + (last - first)).astype(np.uint64) * np.uint64(PAIR))
                 out["h"].append(name[hit].view(np.int64))
                 out["k"].append(key.view(np.int64))
+                out["salt"].append(np.where(often[hit], key.view(np.int64) | 1, 0))
                 out["doc"].append(np.full(len(key), ids[i]))
                 out["v"].append(np.full(len(key), vs[i]))
                 out["first"].append(first)
@@ -170,8 +189,8 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
 
         Rows of the first doc of each k are open, also further occurrences in that doc and other texts of its
         id; rows of larger docs are covered.  Where all rows of an h have one k, its open rows have nothing to be
-        compared with and go; so the open rows of an h wait until a second k turns up.  Beyond ``WAITING`` of them
-        they are opened without waiting, which costs time but changes no result.
+        compared with and go; so the open rows of an h wait until a second k turns up.  Beyond ``WAITING`` of them, or where an h
+        is dealt out by k, they are opened without waiting, which costs time but changes no result.
         """
         names = ("doc", "v", "first", "last")
         h0 = k0 = d0 = None
@@ -180,7 +199,7 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            h, k, d = (batch.column(c).to_numpy() for c in ("h", "k", "doc"))
+            h, k, d, salt = (batch.column(c).to_numpy() for c in ("h", "k", "doc", "salt"))
             cols = [batch.column(c).to_numpy() for c in names]
             n = len(h)
             new_h = np.concatenate([[h0 is None or h[0] != h0], h[1:] != h[:-1]])
@@ -191,6 +210,7 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
             # group 0 is the h that the batch before ended with
             group = np.cumsum(new_h)
             many = np.bincount(group[new_k & ~new_h], minlength=group[-1] + 1) > 0
+            many |= np.bincount(group[salt != 0], minlength=group[-1] + 1) > 0
             many[0] |= several
             opened = ~covered & many[group]
             carried = waiting if many[0] else []
@@ -209,8 +229,8 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in out), pa.array(flags)], names=[*names, "all"])
 
     sorted_spans = (
-        docs.join(shared, "doc").mapInArrow(spans, "h long, k long, doc long, v long, first int, last int")
-        .repartition("h").sortWithinPartitions("h", "k", "doc")
+        docs.join(shared, "doc", "left").mapInArrow(spans, "h long, k long, salt long, doc long, v long, first int, last int")
+        .repartition("h", "salt").sortWithinPartitions("h", "k", "doc")
     )
     ranged = stages.save(sorted_spans.mapInArrow(settle, "doc long, v long, first int, last int, all boolean"), "ranged")
     del sorted_spans
@@ -218,7 +238,7 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Round two: the name of a window is the pair of names at its offsets 0 and half."""
-        types = {"k": long, "doc": long, "v": long, "p": int_}
+        types = {"k": long, "c": int_, "doc": long, "v": long, "p": int_}
         for batch in batches:
             ids, vs, opened = batch.column("doc").to_numpy(), batch.column("v").to_numpy(), batch.column("open")
             out: dict[str, list] = {k: [] for k in types}
@@ -231,20 +251,21 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
                 p = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 key = mix(name[p] * np.uint64(PAIR) + tail[p + half])
                 out["k"].append(key.view(np.int64))
+                out["c"].append(((name[p] ^ (tail[p + half] * np.uint64(PAIR))) >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 out["doc"].append(np.full(len(p), ids[i]))
                 out["v"].append(np.full(len(p), vs[i]))
                 out["p"].append(p)
             yield _frame(out, types)
 
     open_ = ranged.where("not all").groupBy("doc", "v").agg(F.collect_set(F.struct("first", "last")).alias("open"))
-    single = stages.save(docs.join(open_, ["doc", "v"]).mapInArrow(pairs, "k long, doc long, v long, p int"), "single")
+    single = stages.save(docs.join(open_, ["doc", "v"]).mapInArrow(pairs, "k long, c int, doc long, v long, p int"), "single")
     del open_
     stages.release()
     # written before the join, so that only one of the two shuffles of single positions lies on disk at a time
-    ends = single.groupBy("k").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    least = stages.save(ends.where("least < most").select("k", "least"), "least")
+    ends = single.groupBy("k", "c").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+    least = stages.save(ends.where("least < most").select("k", "c", "least"), "least")
     del ends
-    some = single.join(least, "k").where("least < doc").select("doc", "v", F.col("p").alias("start"), (F.col("p") + length).alias("end"))
+    some = single.join(least, ["k", "c"]).where("least < doc").select("doc", "v", F.col("p").alias("start"), (F.col("p") + length).alias("end"))
     full = ranged.where("all").select("doc", "v", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     out = stages.save(some.unionByName(full), "found")
     del least, some, full
@@ -258,7 +279,14 @@ def remove_repeats(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text:
     ``with_kept`` adds ``kept``, the remaining bytes of each row that lost some (else null).
     """
     rows = df.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    docs = rows.where("doc is not null").withColumn("v", F.crc32("text"))
+    facts = stages.save(rows.select("doc", F.xxhash64("text").alias("v"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole")), "facts")
+    own = facts.where(F.col("doc").isNotNull() & (F.col("n_bytes") >= length))
+    groups = stages.save(own.groupBy("whole").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1"), "groups")
+    copies = stages.save(join_hot(own, groups, "whole", "n", facts.count()).where("doc > first").select("doc", "v").distinct(), "copies")
+    docs = rows.where("doc is not null").withColumn("v", F.xxhash64("text"))
+    few = copies.count() <= BROADCAST_COPIES
+    docs = docs.join(F.broadcast(copies) if few else copies, ["doc", "v"], "left_anti")
+    docs = docs if few else stages.save(docs, "distinct")
     spans = repeated_spans(docs, stages, length)
     per_doc = spans.groupBy("doc", "v").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
@@ -286,9 +314,13 @@ def remove_repeats(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text:
         .mapInArrow(cut, "doc long, v long, n_removed long, n_spans long, sha string, kept binary")
         .dropDuplicates(["doc", "v"])
     )
-    facts = rows.select("doc", F.crc32("text").alias("v"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
-    return facts.join(lost, ["doc", "v"], "left").select(
+    out = facts.join(lost, ["doc", "v"], "left").join(F.broadcast(copies) if few else copies, ["doc", "v"], "left_anti").select(
         F.col("doc").alias("doc_id"), "n_bytes",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("sha", "whole").alias("kept_sha256"), *(["kept"] if with_kept else []),
     )
+    gone = facts.join(F.broadcast(copies) if few else copies, ["doc", "v"], "left_semi").select(
+        F.col("doc").alias("doc_id"), "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+        F.sha2(F.lit(""), 256).alias("kept_sha256"), *([F.lit(b"").alias("kept")] if with_kept else []),
+    )
+    return out.unionByName(gone)

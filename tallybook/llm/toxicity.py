@@ -113,7 +113,7 @@ def mine(docs: DataFrame, labels: DataFrame, stages: Stages, sample: int = SAMPL
     def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts, y, ids = lowered(list(pdf["text"])), pdf["y"].to_numpy(), pdf["doc_id"].to_numpy()
-            for lo, hi in blocks(texts):
+            for lo, hi in blocks(texts, 1 << 18):
                 words = Words(texts[lo:hi])
                 for cut in CUTS:
                     h, at = terms(words, cut)

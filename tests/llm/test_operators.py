@@ -3,20 +3,26 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 
 pytest.importorskip("tallybook.llm")
+import corpus_pipeline  # noqa: E402
+import tallybook.llm.minhash_dedup as M  # noqa: E402
 from tallybook.llm.decontaminate import overlaps  # noqa: E402
 from tallybook.llm.embedding_dedup import embedding_links, survivors  # noqa: E402
 from tallybook.llm.html_main import blocks_of, main_text  # noqa: E402
 from tallybook.llm.minhash_dedup import near_duplicates  # noqa: E402
 from tallybook.llm.mixing import capped_targets, mix  # noqa: E402
+import tallybook.llm.secret_scan as S  # noqa: E402
 from tallybook.llm.pii import pseudonymise  # noqa: E402
+from tallybook.llm.quality import quality_scores  # noqa: E402
 from tallybook.llm.secret_scan import secret_digest  # noqa: E402
 from tallybook.llm.suffix_dedup import remove_repeats  # noqa: E402
 from tallybook.llm.tables import Stages  # noqa: E402
+from tallybook.llm.toxicity import toxicity_scores  # noqa: E402
 
 WORDS = [a + b for a in "bcdfglmnprst" for b in ("an", "er", "ion", "ou", "al", "ist", "ent", "or")]
 
@@ -121,6 +127,39 @@ def test_suffix_removal_of_a_block_repeated_inside_one_document(spark, monkeypat
     assert got == sorted(want)
 
 
+def brute_classes(rows, threshold=0.8):
+    """Class by row number, from weighted Jaccard similarity of all pairs under the operator's own weights."""
+    texts = M.lowered([t for _, t in rows])
+    h, t, _ = M._shingles(texts)
+    table = np.zeros(2 << M.DF_BITS, np.int64)
+    for slot in M._slots(h, M.DF_BITS):
+        table += np.bincount(slot, minlength=len(table))
+    idf = M.idf_table(table, len(texts))
+    bags = []
+    for x in texts:
+        h, _, tf = M._shingles([x])
+        bags.append(dict(zip(h.tolist(), (M.weights(h, idf).astype(float) * tf).tolist())))
+    links = []
+    for i, a in enumerate(bags):
+        for j in range(i):
+            least = sum(min(w, bags[j].get(k, 0)) for k, w in a.items())
+            if a and least >= threshold * (sum(a.values()) + sum(bags[j].values()) - least) - 1e-9:
+                links.append((j, i))
+    return groups(len(rows), links)
+
+
+def check_classes(spark, rows):
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(frame(spark, rows), Stages(spark, "t")).collect()), key=str)
+    root = brute_classes(rows)
+    least = {}
+    for (i, _), r in zip(rows, root):
+        if i is not None:
+            least[r] = min(least.get(r, i), i)
+    assert [x[:2] for x in got] == sorted(((i, least.get(r)) for (i, _), r in zip(rows, root)), key=str)
+    assert sum(x[2] for x in got) >= len(set(root))
+    return got
+
+
 def test_near_duplicates(spark):
     rng = random.Random(4)
     rows = [(i, prose(rng, 120)) for i in range(10)]
@@ -129,12 +168,43 @@ def test_near_duplicates(spark):
         w[60] = "changed"
         rows.append((20 + i, " ".join(w)))
     rows += [(30, rows[9][1]), (31, rows[9][1].upper()), (32, None), (33, ""), (34, "two words"), (35, "Two words!"), (None, "zz yy xx ww vv")]
-    got = {r.doc_id: tuple(r)[1:] for r in near_duplicates(frame(spark, rows), Stages(spark, "t")).collect()}
+    got = {r.doc_id: tuple(r)[1:3] for r in near_duplicates(frame(spark, rows), Stages(spark, "t")).collect()}
     for i in range(5):
-        assert got[i] == (1, i, True) and got[20 + i] == (1, i, False)
-    assert got[9] == (2, 9, True) and got[30] == (2, 9, False) and got[31] == (2, 9, False)
-    assert got[32] == (0, 32, True) and got[33] == (0, 33, True) and got[35] == (1, 34, False)
-    assert got[5] == (0, 5, True) and got[None] == (0, None, True)
+        assert got[i] == (i, True) and got[20 + i] == (i, False)
+    assert got[9] == (9, True) and got[30] == (9, False) and got[31] == (9, False)
+    assert got[32] == (32, True) and got[33] == (33, True) and got[35] == (34, False)
+    assert got[5] == (5, True) and got[None] == (None, True)
+
+
+def test_near_duplicates_of_repeated_and_missing_ids(spark):
+    rng = random.Random(5)
+    a, b = prose(rng, 80), prose(rng, 80)
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (None, a), (None, "only without id " + b[:200]), (7, b), (7, b)]
+    got = check_classes(spark, rows)
+    # no link is lost to the shared id; of each class one text of one id stays
+    assert [(i, c, k) for i, c, k in got if i in (2, 3, 7)] == [(2, 1, False), (3, 1, False), (7, 1, False), (7, 1, False)]
+    assert (None, 1, False) in got and (None, None, True) in got
+
+
+def test_large_groups_equal_brute_force(spark, monkeypatch):
+    """Groups of several tiles, whose members reach each other only through others, and a text longer than a tile."""
+    for name, value in (("TILE", 6), ("TILE_BYTES", 3000), ("HEADS", 2)):
+        monkeypatch.setattr(M, name, value)
+    monkeypatch.setattr("tallybook.llm.components.HOT_ROWS", 3)
+    rng = random.Random(6)
+    base = prose(rng, 90).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 30):  # copies of one text
+        w = list(base)
+        w[rng.randrange(90)] = f"new{i}"
+        rows.append((i, " ".join(w)))
+    chain = prose(rng, 90).split()
+    for i in range(40, 60):  # each text near the one before, far from the first
+        chain[(i * 7) % 90] = f"step{i}"
+        rows.append((i, " ".join(chain)))
+    long = prose(rng, 3000)
+    rows += [(70, long), (71, long + " more"), (72, prose(rng, 50)), (73, rows[0][1])]
+    check_classes(spark, rows)
 
 
 def test_html(spark):
@@ -167,19 +237,109 @@ def test_html_classes(spark):
     assert all(got[50 + i] == ["one copied page"] for i in range(4))
 
 
+def test_html_parts_that_hold_the_page(spark):
+    same = "<div><p>one</p><p>two words</p></div>"
+    pages = {
+        1: "<html class='no-cookies'><body class='home has-sidebar'><form id=f><nav>m</nav><div class='social-history'><p>all of history</p></div></form></body></html>",
+        2: "<article><header><h1>Title</h1></header><p>a <span class='share'>word</span> <em class='search term'>two</em> <math>x+1</math></p></article><div id=comments><article class=comment>no</article></div>",
+        3: same, 4: same, 5: same, 6: "<p>" + "long " * 50_000 + "</p>", 7: "<p>tail <b>open", 8: "&lt;p&gt; &eacute;&#x41;",
+    }
+    rows = [(i, f"http://h{min(i, 3) if i < 6 else i}/{i}", t) for i, t in pages.items()]
+    got = {r.page_id: r.text for r in main_text(frame(spark, rows, "page_id long, url string, html string"), Stages(spark, "t")).collect()}
+    assert got[1] == "all of history" and got[2] == "Title\na word two x+1"
+    assert got[3] == got[4] == got[5] == "one\ntwo words"
+    assert got[6] == ("long " * 50_000).strip() and got[7] == "tail open" and got[8] == "<p> éA"
+
+
 def test_mixing(spark):
     assert capped_targets([10, 100, 0], [5, 2, 1], 110) == [30.0, 80.0, 0.0]
     rng = random.Random(5)
-    rows = [(i, prose(rng, rng.randint(1, 60)), f"s{i % 3}") for i in range(600)] + [(900, None, None), (901, "a b", None), (901, "a b", None), (902, "", "s0")]
+    rows = [(i, prose(rng, rng.randint(1, 60)), f"s{i % 3}") for i in range(600)] + [(900, None, None), (901, "a b", None), (901, "a b", None), (902, "", "s0"), (903, "w " * 5000, "s1")]
     df = frame(spark, rows, "doc_id long, text string, source string")
     out = mix(df, Stages(spark, "t")).collect()
-    assert len(out) == len(rows) and all(r.taken <= 3 * r.size for r in out)
+    assert len(out) == len(rows) and all(r.taken <= 3 * r.size and r.taken == r.copies * r.size for r in out)
     for s in {r.source for r in out}:
         mine = [r for r in out if r.source == s]
         assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine)
+        # rates meet the target before rounding, and tilt exponentially with a document's size
+        assert abs(sum(r.rate * r.size for r in mine) - mine[0].target) <= 1e-6 * max(mine[0].target, 1)
+        tilt = {round(np.log(r.rate) / r.size, 9) for r in mine if r.size and 0 < r.rate < 3 and abs(r.rate - 1) > 1e-9 and r.rate > 1e-12}
+        assert len(tilt) <= 1 or max(tilt) - min(tilt) < 1e-6
+    assert len({r.rate for r in out if r.source == "s0"}) > 20
     assert sorted(map(str, out)) == sorted(map(str, mix(df, Stages(spark, "u")).collect()))
 
 
+def marked_documents():
+    """Documents of four kinds with labels: clean, toxic, junk, and copies."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(240):
+        kind = i % 4
+        text = prose(rng, rng.randint(30, 80))
+        if kind == 1:
+            text += " you are a worthless idiot and pathetic scum, you " + rng.choice(("zorgbart", "quimbleton", "frazzwort")) + " moron"
+        if kind == 2:
+            text = " ".join(rng.choice(("$$$", "|||", "CLICK!!!", "BUY", "@@##")) for _ in range(60))
+        rows.append((i, text + ".", "en", f"s{i % 3}", len(text) + 1))
+        labels.append((i, 0 if kind == 2 else 1, 1 if kind == 1 else 0))
+    rows += [(300, None, None, None, None), (301, "", "en", None, 0), (None, "no id " + rows[0][1], "en", "s0", 9), (302, rows[0][1], "en", "s1", 5), (302, rows[0][1], "en", "s1", 5)]
+    return rows, labels
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.mark.parametrize("scores, label, modulus, held", [(quality_scores, 1, 5, 0), (toxicity_scores, 2, 3, 1)])
+def test_classifiers_on_held_out_documents(spark, scores, label, modulus, held):
+    rows, labels = marked_documents()
+    docs = spark.createDataFrame([(*r, 1.0, "x") for r in rows], DOCS + ", score double, y string")
+    out = scores(docs, spark.createDataFrame([(*x, "x") for x in labels], "doc_id long, quality int, toxic int, y2 string"), Stages(spark, "t")).collect()
+    assert len(out) == len(rows) and all(0 <= r.score <= 1 for r in out)
+    want = {x[0]: x[label] for x in labels}
+    mine = [r for r in out if r.held_out and r.doc_id in want]
+    assert len(mine) > 20 and all(zlib.crc32(str(r.doc_id).encode()) % modulus == held for r in mine)
+    assert sum(r.predicted == want[r.doc_id] for r in mine) >= 0.97 * len(mine)
+    # without labels, and without documents
+    assert len(scores(docs.limit(5), spark.createDataFrame([], "doc_id long, quality int, toxic int"), Stages(spark, "t")).collect()) == 5
+    assert scores(spark.createDataFrame([], DOCS), spark.createDataFrame([], "doc_id long, quality int, toxic int"), Stages(spark, "t")).isEmpty()
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    rng = random.Random(13)
+    rows, labels = marked_documents()
+    item = prose(rng, 25)
+    rows += [(400, prose(rng, 40) + " " + item, "en", "s2", 1), (401, prose(rng, 40) + " write to bob@mail.example.com", "en", "s2", 1)]
+    data = {
+        "documents": spark.createDataFrame(rows, DOCS), "labels": spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+        "benchmark": spark.createDataFrame([(1, item), (2, None)], "item_id long, text string"),
+    }
+    for name, df in data.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/out-{name}")
+        docs = spark.read.parquet(f"{tmp_path}/out-{name}")
+        seen[name] = docs.collect()
+        assert name == "mixing" or docs.columns == DOCS.replace("long", "").replace("string", "").replace(",", " ").split()
+    ids = {k: {r.doc_id for r in v} for k, v in seen.items()}
+    toxic = {i for i, _, t in labels if t}
+    assert not ids["toxicity"] & {i for i in toxic if i % 4 == 1} and ids["toxicity"] >= {r[0] for r in rows} - toxic
+    assert 302 not in ids["minhash_near_dedup"] and 0 in ids["minhash_near_dedup"]
+    kept = seen["minhash_near_dedup"]
+    assert len({r.text for r in kept if r.text}) == sum(bool(r.text) for r in kept)
+    assert 400 not in ids["decontamination"] and ids["decontamination"] >= ids["minhash_near_dedup"] - {400}
+    assert len(seen["pii"]) == len(seen["decontamination"]) and not any("bob@" in (r.text or "") for r in seen["pii"])
+    for r in seen["mixing"]:
+        assert r.taken == r.copies * r.size > 0 or r.size == 0
+    whole = sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).collect()))
+    assert whole == sorted(map(str, seen["mixing"]))
+    # nothing in, nothing out
+    for name in data:
+        data[name].limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").isEmpty()
+
+
 def test_personal_data(spark):
     text = "mail Bob.X@Mail.example.com at 10.2.3.4 or 999.1.1.1, card 4111 1111 1111 1111 not 4111 1111 1111 1112, +1 (017) 555-7713, 123-45-6789, 2024-02-29, 2024-02-30!"
     rows = [(1, text), (2, text.replace("mail ", "post ")), (3, None), (4, ""), (5, "clean text 12")]
@@ -195,6 +355,23 @@ def test_personal_data(spark):
     assert (got[1].n_email, got[1].n_ip, got[1].n_phone, got[1].n_card, got[1].n_ssn, got[1].n_date) == (1, 1, 1, 1, 1, 1)
 
 
+def test_personal_data_in_other_spellings(spark):
+    text = "call (212) 555-0100 or 212-555-0100 or +1 212 555 0100, +44 20 7946 0958; 4111 1111 1111 1111 123, 12 4111-1111-1111-1111; 12/31/2024 13/13/2024; 010.002.003.004; 112-555-0100"
+    run = "a" * 200_000 + "@mail.example.com " + "4111 " * 20_000
+    rows = [(1, text, "a", "b"), (2, run, "a", "b"), (3, text, "a", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _found string, _kinds string")
+    got = {r.doc_id: r for r in pseudonymise(df).collect()}
+    out = got[1].text
+    assert got[1][2:4] == ("a", "b") and got[3].text == out
+    for gone in ("555-0100 or", "+1 212 555 0100", "7946 0958", "4111 1111 1111 1111", "4111-1111", "12/31/2024", "010.002.003.004"):
+        assert gone not in out
+    assert "13/13/2024" in out and "112-555-0100" in out and re.search(r" 123, 12 \d{4}-\d{4}-\d{4}-\d{4};", out)
+    one, two, three = re.search(r"call \((\d{3})\) (\d{3}-\d{4}) or (\d{3}-\d{3}-\d{4}) or \+1 (\d{3} \d{3} \d{4}),", out).group(1, 3, 4)
+    assert two.replace("-", "") == three.replace(" ", "") and two.startswith(one)
+    assert re.search(r"; (\d{3}\.){3}\d{3};", out)
+    assert (got[1].n_phone, got[1].n_card, got[1].n_date, got[1].n_ip) == (4, 2, 1, 1) and got[2].n_email == 1
+
+
 def test_permutation_has_no_collisions(spark):
     from tallybook.llm.pii import feistel
 
@@ -252,9 +429,46 @@ def test_secrets(spark):
     assert got[4].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def entropy_spans(text):
+    """The method by its definition: every window of every candidate outside the base spans."""
+    base = [(m.start(), m.end()) for m in re.finditer(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text, re.I) if len(m.group(1)) >= 8]
+    base += [m.span() for p in (r"AKIA[A-Z0-9]{12,}", r"[0-9a-f]{32,}") for m in re.finditer(p, text)]
+    out = []
+    for m in re.finditer(S.CANDIDATE, text):
+        x = m.group()
+        level = S.LEVELS["hex" if re.fullmatch("[0-9a-fA-F]+", x) else "lower" if re.fullmatch("[0-9a-z]+", x) else "mixed"]
+        if any(a <= m.start() and m.end() <= b for a, b in base) or re.search(S.ALLOWED, x):
+            continue
+        for i in range(len(x) - S.WINDOW + 1):
+            counts = np.unique(list(x[i : i + S.WINDOW]), return_counts=True)[1] / S.WINDOW
+            if -(counts * np.log2(counts)).sum() >= level - 1e-9:
+                out.append(m.span())
+                break
+    return out
+
+
+def test_entropy_windows_equal_brute_force(spark):
+    rng = random.Random(14)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+    texts = []
+    for _ in range(60):
+        n = rng.choice((3, 6, 12, 20, 67))
+        words = ["".join(rng.choice(chars[: n] + "07") for _ in range(rng.randint(15, 70))) for _ in range(4)]
+        texts.append(" ".join(words) + rng.choice(("", " token=" + words[0], " é " + words[1])))
+    texts.append("k7Qz" * 10_000 + " " + "".join(rng.choice(chars) for _ in range(50_000)) + " token=abcdefgh12" * 2_000)
+    got = {r.doc_id: r.spans for r in secret_digest(frame(spark, list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts[:-1]):
+        mine = [tuple(map(int, x.split(":")[1:])) for x in got[i].split(",") if x.startswith("entropy")]
+        assert mine == entropy_spans(t), (i, t)
+    assert got[60].count("assign") == 2_000 and got[60].count("entropy") == 1
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert remove_repeats(docs, Stages(spark, "t")).isEmpty() and mix(docs, Stages(spark, "t")).isEmpty()
     assert secret_digest(docs).isEmpty() and pseudonymise(docs).isEmpty() and near_duplicates(docs, Stages(spark, "t")).isEmpty()
     assert embedding_links(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"), Stages(spark, "t")).isEmpty()
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string"), Stages(spark, "t")).isEmpty()
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert overlaps(docs, items, Stages(spark, "t")).isEmpty()
+    assert overlaps(spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), items.limit(0), Stages(spark, "t")).isEmpty()
