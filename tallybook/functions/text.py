@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +12,11 @@ from pyspark.sql import functions as F
 SPACES = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 
 
+def tidy(c: Column) -> Column:
+    """Without white space at the ends."""
+    return F.regexp_replace(c, rf"^{SPACES}|{SPACES}\z", "")
+
+
 def ws_collapse(c: Column) -> Column:
     """White space runs as one space, none at the ends."""
     return F.trim(F.regexp_replace(c, SPACES, " "))
@@ -20,7 +28,7 @@ def blank_to_null(c: Column) -> Column:
 
 def search_key(c: Column) -> Column:
     """Lower case, straight quotes, plain dashes, single spaces."""
-    return F.lower(ws_collapse(F.translate(c, "‘’ʼ`‐‑–—", "''''----")))
+    return F.lower(ws_collapse(F.translate(c, "’‘–—－", "''---")))
 
 
 def plain_number(c: Column) -> Column:
@@ -29,8 +37,19 @@ def plain_number(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "0+$", ""), r"\.$", "")
 
 
+def nfkc(c: Column) -> Column:
+    """Compatibility composition; texts of ASCII and Hangul syllables are their own, so only others go through Python."""
+
+    @F.pandas_udf("string")
+    def composed(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+    odd = c.rlike(r"[^\x00-\x7F가-힣]")
+    return F.when(odd, composed(F.when(odd, c))).otherwise(c)
+
+
 def tokens(c: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
+    """Lower-cased runs of letters and digits; callers compose texts with ``nfkc`` first where they may need it."""
     return F.array_remove(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{Nd}]+"), "")
 
 

@@ -1,4 +1,4 @@
-"""Strength, codes, editions, vintages, casks and countries from product names, as column expressions over both languages."""
+"""Strength, casks, countries and keys from product names, as column expressions over both languages."""
 
 from __future__ import annotations
 
@@ -7,13 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import ws_collapse
+from tallybook.functions import patterns as P
+from tallybook.functions.text import plain_number, tidy, ws_collapse
 
-# Words that name an ingredient, alone and directly before a share.
-INGREDIENT = r"인삼|송이|향료?|과즙|농축(?:액)?|원액|추출물|침출액|주스|시럽|꿀|설탕|보리|호밀|몰트|곡물|아가베|RYE|ISLAY|POIRE|PEAR|APPLE|FRUIT|JUICE|EXTRACT|FLAVOU?R|CONCENTRATE|HONEY|SUGAR|MALT|GRAIN|AGAVE"
 #: Cask types in the order of their catalog.
 CASKS = (
-    r"(?iu)\bPEDRO\s+XIM[EÉ]NEZ(?:\s+SHERRY)?\s+CASKS?\b", r"(?i)\bOLOROSO(?:\s+SHERRY)?\s+CASKS?\b", r"(?i)\bPX(?:\s+SHERRY)?\s+CASKS?\b", r"(?i)\bSHERRY\s+CASKS?\b",
+    r"(?i)\bPEDRO\s+XIM[EÉ]NEZ(?:\s+SHERRY)?\s+CASKS?\b", r"(?i)\bOLOROSO(?:\s+SHERRY)?\s+CASKS?\b", r"(?i)\bPX(?:\s+SHERRY)?\s+CASKS?\b", r"(?i)\bSHERRY\s+CASKS?\b",
     r"(?i)\bBOURBON\s+CASKS?\b", r"(?i)\bPORT(?:\s+WINE)?\s+CASKS?\b", r"(?i)\bWINE\s+CASKS?\b", r"(?i)\bVIRGIN\s+OAK(?:\s+CASKS?)?\b",
     r"올로로소\s*(?:쉐리|셰리)?\s*캐스크", r"(?:PX|피엑스)\s*(?:쉐리|셰리)?\s*캐스크", r"(?:쉐리|셰리)\s*캐스크", r"버번\s*캐스크", r"포트(?:\s*와인)?\s*캐스크", r"와인\s*캐스크", r"버진\s*오크",
 )
@@ -23,140 +22,113 @@ SPELLINGS = (("스트랭스", "스트렝스"), ("셰리", "쉐리"), ("피니쉬
 GENERIC_KO = ("위스키", "보드카", "브랜디", "리큐르", "일반증류주")
 GENERIC_EN = ("whisky", "whiskey", "vodka", "brandy", "liqueur", "general distilled spirits", "distilled spirits")
 #: Country, English name, two and three letter codes.
-COUNTRIES = """가이아나 Guyana GY GUY|남아프리카 공화국 South Africa ZA ZAF|네덜란드 Netherlands NL NLD|네팔 Nepal NP NPL|노르웨이 Norway NO NOR|뉴질랜드 New Zealand NZ NZL
-대만 Taiwan TW TWN|대한민국 South Korea KR KOR|덴마크 Denmark DK DNK|도미니카 공화국 Dominican Republic DO DOM|독일 Germany DE DEU|라트비아 Latvia LV LVA
-러시아 Russia RU RUS|리투아니아 Lithuania LT LTU|멕시코 Mexico MX MEX|몬테네그로 Montenegro ME MNE|몽골 Mongolia MN MNG|미국 United States US USA
-미얀마 Myanmar MM MMR|바베이도스 Barbados BB BRB|베트남 Vietnam VN VNM|벨기에 Belgium BE BEL|불가리아 Bulgaria BG BGR|브라질 Brazil BR BRA
-스리랑카 Sri Lanka LK LKA|스웨덴 Sweden SE SWE|스페인 Spain ES ESP|싱가포르 Singapore SG SGP|아랍에미리트 United Arab Emirates AE ARE|아르메니아 Armenia AM ARM
-아일랜드 Ireland IE IRL|에스토니아 Estonia EE EST|엘살바도르 El Salvador SV SLV|영국 United Kingdom GB GBR|오스트리아 Austria AT AUT|요르단 Jordan JO JOR
-우즈베키스탄 Uzbekistan UZ UZB|우크라이나 Ukraine UA UKR|이탈리아 Italy IT ITA|인도 India IN IND|인도네시아 Indonesia ID IDN|일본 Japan JP JPN
-자메이카 Jamaica JM JAM|조지아 Georgia GE GEO|중국 China CN CHN|체코 Czechia CZ CZE|칠레 Chile CL CHL|카자흐스탄 Kazakhstan KZ KAZ
-캐나다 Canada CA CAN|쿠바 Cuba CU CUB|크로아티아 Croatia HR HRV|태국 Thailand TH THA|튀르키예 Türkiye TR TUR|트리니다드 토바고 Trinidad and Tobago TT TTO
-파나마 Panama PA PAN|페루 Peru PE PER|폴란드 Poland PL POL|프랑스 France FR FRA|필리핀 Philippines PH PHL|호주 Australia AU AUS
-홍콩 Hong Kong HK HKG"""
-
-SHARE = r"(\d+(?:\.\d+)?)\s*(%|도)"
-REACH = 16
-VOLUME_AFTER = r"\d+(?:\.\d+)?\s*(?:ML|L)"
-#: What stands before and after a share that states strength, strongest first; the first four outrank ingredients.
-ANCHORS = (
-    (r"(?:주도\s*|ALC\.?\s*|ABV\s*[:.]?\s*)$", ""), (r"\(\s*$", rf"^\s*,\s*{VOLUME_AFTER}\s*\)"), (r"^\s*$", r"^\s*VOL\b"), (r"(?:^|[\s(])$", r"^\s*VOL\b"),
-    (r"(?:^|[\s(])$", rf"^\s*,?\s*{VOLUME_AFTER}\b"), (r"\(\s*$", r"^\s*\)"), (r"(?:^|\s)$", r"^\s*$"),
+COUNTRIES = (
+    ("가이아나", "Guyana", "GY", "GUY"), ("남아프리카 공화국", "South Africa", "ZA", "ZAF"), ("네덜란드", "Netherlands", "NL", "NLD"), ("네팔", "Nepal", "NP", "NPL"),
+    ("노르웨이", "Norway", "NO", "NOR"), ("뉴질랜드", "New Zealand", "NZ", "NZL"), ("대만", "Taiwan", "TW", "TWN"), ("대한민국", "South Korea", "KR", "KOR"),
+    ("덴마크", "Denmark", "DK", "DNK"), ("도미니카 공화국", "Dominican Republic", "DO", "DOM"), ("독일", "Germany", "DE", "DEU"), ("라트비아", "Latvia", "LV", "LVA"),
+    ("러시아", "Russia", "RU", "RUS"), ("리투아니아", "Lithuania", "LT", "LTU"), ("멕시코", "Mexico", "MX", "MEX"), ("몬테네그로", "Montenegro", "ME", "MNE"),
+    ("몽골", "Mongolia", "MN", "MNG"), ("미국", "United States", "US", "USA"), ("미얀마", "Myanmar", "MM", "MMR"), ("바베이도스", "Barbados", "BB", "BRB"),
+    ("베트남", "Vietnam", "VN", "VNM"), ("벨기에", "Belgium", "BE", "BEL"), ("불가리아", "Bulgaria", "BG", "BGR"), ("브라질", "Brazil", "BR", "BRA"),
+    ("스리랑카", "Sri Lanka", "LK", "LKA"), ("스웨덴", "Sweden", "SE", "SWE"), ("스페인", "Spain", "ES", "ESP"), ("싱가포르", "Singapore", "SG", "SGP"),
+    ("아랍에미리트", "United Arab Emirates", "AE", "ARE"), ("아르메니아", "Armenia", "AM", "ARM"), ("아일랜드", "Ireland", "IE", "IRL"), ("에스토니아", "Estonia", "EE", "EST"),
+    ("엘살바도르", "El Salvador", "SV", "SLV"), ("영국", "United Kingdom", "GB", "GBR"), ("오스트리아", "Austria", "AT", "AUT"), ("요르단", "Jordan", "JO", "JOR"),
+    ("우즈베키스탄", "Uzbekistan", "UZ", "UZB"), ("우크라이나", "Ukraine", "UA", "UKR"), ("이탈리아", "Italy", "IT", "ITA"), ("인도", "India", "IN", "IND"),
+    ("인도네시아", "Indonesia", "ID", "IDN"), ("일본", "Japan", "JP", "JPN"), ("자메이카", "Jamaica", "JM", "JAM"), ("조지아", "Georgia", "GE", "GEO"),
+    ("중국", "China", "CN", "CHN"), ("체코", "Czechia", "CZ", "CZE"), ("칠레", "Chile", "CL", "CHL"), ("카자흐스탄", "Kazakhstan", "KZ", "KAZ"),
+    ("캐나다", "Canada", "CA", "CAN"), ("쿠바", "Cuba", "CU", "CUB"), ("크로아티아", "Croatia", "HR", "HRV"), ("태국", "Thailand", "TH", "THA"),
+    ("튀르키예", "Türkiye", "TR", "TUR"), ("트리니다드 토바고", "Trinidad and Tobago", "TT", "TTO"), ("파나마", "Panama", "PA", "PAN"), ("페루", "Peru", "PE", "PER"),
+    ("폴란드", "Poland", "PL", "POL"), ("프랑스", "France", "FR", "FRA"), ("필리핀", "Philippines", "PH", "PHL"), ("호주", "Australia", "AU", "AUS"),
+    ("홍콩", "Hong Kong", "HK", "HKG"),
 )
-EXPLICIT = 4
+REACH = 16
 
 
 def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def shares(c: Column) -> Column:
-    """Each share in a text: array of struct(raw, value, anchor, ingredient, named) in text order.
+def _near(text: Column, start: Column, end: Column) -> Column:
+    """The text from 16 characters before to 16 after a span."""
+    low = F.greatest(start - REACH, F.lit(0))
+    return F.substring(text, low + 1, end + REACH - low)
 
-    ``anchor`` is the place of the first pattern around it that states strength, null without one; ``ingredient``
-    says that an ingredient stands within 16 characters and no explicit anchor does; ``named`` that one stands right before.
-    """
-    text = _text(c)
-    raws, values = F.regexp_extract_all(text, F.lit(SHARE), F.lit(0)), F.regexp_extract_all(text, F.lit(SHARE), F.lit(1))
-    gaps = F.transform(F.split(text, SHARE), F.length)
-
-    def start(i: Column) -> Column:
-        total = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda s, x: s + x)
-        return total(gaps, i + 1) + total(F.transform(raws, F.length), i)
-
-    places = F.transform(raws, lambda raw, i: F.struct(raw.alias("raw"), F.get(values, i).cast("double").alias("value"), start(i).alias("a")))
-
-    def around(p: Column) -> Column:
-        before, after = F.substring(text, F.lit(1), p["a"]), F.substring(text, p["a"] + F.length(p["raw"]) + 1, F.length(text))
-        near = F.substring(text, F.greatest(p["a"] - REACH, F.lit(0)) + 1, F.least(p["a"], F.lit(REACH)) + F.length(p["raw"]) + REACH)
-        percent = p["raw"].endswith("%")
-        hit = [
-            F.when(before.rlike("(?i)" + left) & after.rlike("(?i)" + right) & (percent | F.lit(k in (0, len(ANCHORS) - 1))), k)
-            for k, (left, right) in enumerate(ANCHORS)
-        ]
-        anchor = F.coalesce(*hit)
-        return F.struct(
-            p["raw"].alias("raw"), p["value"].alias("value"), percent.alias("percent"), anchor.alias("anchor"),
-            (percent & near.rlike(rf"(?i)함유|{INGREDIENT}") & ~F.coalesce(anchor < EXPLICIT, F.lit(False))).alias("ingredient"),
-            (percent & F.substring(before, -REACH, REACH).rlike(rf"(?i)(?:{INGREDIENT})\s*[:=]?\s*$")).alias("named"),
-        )
-
-    return F.transform(places, around)
 
+def _composed(text: Column, start: Column, end: Column) -> Column:
+    return _near(text, start, end).rlike(P.java(P.COMPOSITION))
 
-def with_strength(d: DataFrame) -> DataFrame:
-    """Adds ingredient_percent, ingredient_raw, abv_percent and abv_reasons.
 
-    One ingredient share is a value, several only their text.  Languages that differ, a share without an anchor and
-    strengths outside (0, 70] give a reason; only the first leaves both languages' values unused.
-    """
-    d = d.withColumns({"_ko": shares(F.col("product_name_ko")), "_en": shares(F.col("product_name_en"))})
-    both = F.concat("_ko", "_en")
-    found = F.filter(both, lambda s: s["ingredient"])
-    first = F.filter(found, lambda s, i: F.array_position(F.transform(found, lambda x: x["value"]), s["value"]) == i + 1)
-    named = F.transform(F.filter(both, lambda s: s["named"]), lambda s: s["value"])
-    d = d.withColumns({"_found": first, "_named": named})
-    for lang in ("_ko", "_en"):
-        usable = F.filter(lang, lambda s: s["anchor"].isNotNull() & ((s["anchor"] < EXPLICIT) | (~s["ingredient"] & ~F.array_contains("_named", s["value"]))))
-        best = F.array_min(F.transform(usable, lambda s, i: F.struct(s["anchor"].alias("anchor"), i.alias("i"), s["value"].alias("value"))))
-        loose = F.exists(lang, lambda s: s["percent"] & s["anchor"].isNull() & ~s["ingredient"])
-        d = d.withColumns({f"{lang}_v": best["value"], f"{lang}_loose": best.isNull() & loose})
-    conflict = F.coalesce(F.abs(F.col("_ko_v") - F.col("_en_v")) > 1e-7, F.lit(False))
-    value = F.coalesce("_ko_v", "_en_v")
-    outside = F.coalesce((value <= 0) | (value > 70), F.lit(False))
-    reasons = F.array_compact(F.array(
-        F.when(F.size("_found") > 1, "INGREDIENT_PERCENT_MULTIPLE_VALUES"), F.when(F.col("_ko_loose") | F.col("_en_loose"), "ABV_AMBIGUOUS_POSITION"),
-        F.when(conflict, "ABV_CONFLICT"), F.when(~conflict & outside, "ABV_OUT_OF_AUTOMATIC_RANGE"),
-    ))
-    return d.withColumns({
-        "ingredient_percent": F.when(F.size("_found") == 1, F.get("_found", F.lit(0))["value"]),
-        "ingredient_raw": F.when(F.size("_found") > 0, F.array_join(F.transform("_found", lambda s: s["raw"]), ", ")),
-        "abv_percent": F.when(~conflict & ~outside, value), "abv_reasons": reasons,
-    }).drop("_ko", "_en", "_found", "_named", "_ko_v", "_en_v", "_ko_loose", "_en_loose")
+def _places(text: Column, pattern: str) -> Column:
+    """array<struct<raw, at, end>> of every match."""
+    raws, gaps = F.regexp_extract_all(text, F.lit(P.java(pattern)), F.lit(0)), F.transform(F.split(text, P.java(pattern), -1), F.length)
+    total = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda s, x: s + x)
+    at = lambda i: total(gaps, i + 1) + total(F.transform(raws, F.length), i)
+    return F.transform(raws, lambda raw, i: F.struct(raw.alias("raw"), at(i).alias("at"), (at(i) + F.length(raw)).alias("end")))
 
 
-def _found(text: Column, pattern: str, group: int = 1) -> Column:
-    hit = F.regexp_extract(_text(text), pattern, group)
-    return F.when(hit != "", hit)
+def shares(text: Column) -> Column:
+    """Each percentage of a text: array of struct(raw, value, at, end, composed, stated, named) in text order.
 
+    ``composed`` says that an ingredient stands within 16 characters, ``stated`` that an anchor which outranks ingredients holds it,
+    ``named`` that an ingredient stands right before.
+    """
+    anchors = F.concat(*[_places(text, p) for p, explicit in P.ABV_ANCHORS if explicit])
+    before = lambda s: F.substring(F.substring(text, F.lit(1), s["at"]), -REACH, REACH)
+    return F.transform(_places(text, P.PERCENT), lambda s: F.struct(
+        tidy(s["raw"]).alias("raw"), F.regexp_extract(s["raw"], r"^[0-9.]+", 0).try_cast("double").alias("value"), s["at"].alias("at"), s["end"].alias("end"),
+        _composed(text, s["at"], s["end"]).alias("composed"), F.exists(anchors, lambda a: (s["at"] >= a["at"]) & (s["end"] <= a["end"])).alias("stated"),
+        before(s).rlike(P.java(P.INGREDIENT_BEFORE)).alias("named"),
+    ))
 
-def parse_vintage(ko: Column, en: Column, abv: Column) -> Column:
-    """struct(year, years): the oldest year from 1950 to 2026 outside volumes, dates and codes, and all of them; none beside a strength."""
-    clean = lambda c: F.regexp_replace(_text(c), r"(?i)\d[\d,.]*\s*(?:ml|l)(?![0-9a-z])|\d{1,2}/\d{1,2}/\d{4}|[#@]\s*\d+|/\s*[A-Z0-9]{5,}", " ")
-    text = F.concat(clean(ko), F.lit(" "), clean(en))
-    years = F.transform(F.regexp_extract_all(text, F.lit(r"(?<![0-9A-Za-z_])((?:1[5-9]|20)\d{2})(?![0-9A-Za-z_])"), F.lit(1)), lambda y: y.cast("int"))
-    kept = F.array_sort(F.array_distinct(F.filter(years, lambda y: y.between(1950, 2026))))
-    ok = abv.isNull() & (F.size(kept) > 0)
-    return F.struct(F.when(ok, F.get(kept, F.lit(0))).alias("year"), F.when(ok, F.array_join(kept, ", ")).alias("years"))
 
+def anchored_abv(text: Column) -> Column:
+    """struct(raw, value, at, end, explicit): the first anchor in order whose first match states a strength, null without one."""
 
-def parse_material(ko: Column, en: Column) -> Column:
-    """Six digits in brackets, else a code with a digit behind a slash; Korean first."""
-    six = lambda c: _found(c, r"\((\d{6})\)")
-    slash = lambda c: _found(c, r"(?i)/\s*((?=[A-Z]*[0-9])[A-Z0-9]{5,})(?![A-Za-z0-9_])")
-    return F.coalesce(six(ko), slash(ko), six(en), slash(en))
+    def one(pattern: str, explicit: bool) -> Column:
+        p = P.java(pattern)
+        whole, value = F.regexp_extract(text, p, 0), F.regexp_extract(text, p, 1)
+        at = F.regexp_instr(text, F.lit(p)) - 1
+        start = at + F.instr(whole, value) - 1
+        ok = text.rlike(p) if explicit else text.rlike(p) & ~_composed(text, start, start + F.length(value))
+        return F.when(ok, F.struct(tidy(whole).alias("raw"), value.try_cast("double").alias("value"), at.alias("at"), (at + F.length(whole)).alias("end"), F.lit(explicit).alias("explicit")))
 
+    return F.coalesce(*[one(p, explicit) for p, explicit in P.ABV_ANCHORS])
 
-def parse_codes(ko: Column, en: Column) -> Column:
-    """struct(manufacture_no, lot_code): labelled codes, then a trailing L code, then the first piece that is one; Korean first."""
-    tidy = lambda c: F.regexp_replace(ws_collapse(c), r"^[()\[\]\s]+|[()\[\]\s]+$", "")
-    made = lambda c: _found(c, r"(?i)제조번호\s*(?:NO\.?\s*)?[:.]?\s*([A-Z0-9][A-Z0-9\s-]*)")
-    label = lambda c: F.coalesce(_found(c, r"(?i)(?:LOT\s*NO\.?|LOTE)\s*[:.]?\s*([A-Z0-9][A-Z0-9\s-]*)"), _found(c, r"(?i)(?:^|[\s)])(L[0-9][A-Z0-9]{4,})\s*$"))
-    pieces = F.transform(F.split(F.concat(_text(ko), F.lit(","), _text(en)), r"[()\[\],/]"), ws_collapse)
-    bare = F.get(F.filter(pieces, lambda p: p.rlike(r"(?i)^L\s?[A-Z0-9-]*[0-9][A-Z0-9-]*$") & ~p.eqNullSafe(parse_material(ko, en))), F.lit(0))
-    in_ko = made(ko).isNotNull() | label(ko).isNotNull()
-    number, lot = F.when(in_ko, made(ko)).otherwise(made(en)), F.when(in_ko, label(ko)).otherwise(label(en))
-    return F.struct(tidy(number).alias("manufacture_no"), F.coalesce(tidy(lot), F.when(number.isNull(), bare)).alias("lot_code"))
 
+def with_strength(d: DataFrame) -> DataFrame:
+    """Adds ingredient_percent, ingredient_raw, abv_percent, abv_reasons and abv_fragments.
 
-def parse_edition(ko: Column, en: Column) -> Column:
-    """struct(name, conflict): the Korean edition, else the English; conflict says that their numbers differ."""
-    number = r"(?:\s*(?:(?:#|(?i:NO)\.?)\s*)?\d+(?:\s|$))?"
-    k = _found(ko, r"(?:(?:서울|코리아|한국|리미티드|한정|특별|기념|면세|파이널)\s*)?에디션" + number, 0)
-    e = _found(en, r"(?i)(?:(?:LIMITED|SPECIAL|COLLECTOR'?S|ANNIVERSARY|FINAL|TRAVEL|EXCLUSIVE|SEOUL|KOREA|\d{4})\s+)?EDITION" + number, 0)
-    digits = lambda c, word: _found(c, rf"(?i){word}\s*(?:(?:#|NO\.?)\s*)?(\d+)").try_cast("long")
-    conflict = F.coalesce(digits(ko, "에디션") != digits(en, "EDITION"), F.lit(False))
-    return F.struct(F.trim(F.coalesce(k, e)).alias("name"), conflict.alias("conflict"))
+    One ingredient share is a value, several only their text.  Languages that differ and strengths outside (0, 70] give a reason and no
+    value; a share outside the anchor of its language that no ingredient explains gives a reason alone.
+    """
+    ko, en = _text(F.col("product_name_ko")), _text(F.col("product_name_en"))
+    d = d.withColumns({"_ko_p": shares(ko), "_en_p": shares(en), "_ko_a": anchored_abv(ko), "_en_a": anchored_abv(en)})
+    found = F.filter(F.concat("_ko_p", "_en_p"), lambda s: s["composed"] & ~s["stated"])
+    d = d.withColumn("_all", found)
+    distinct = F.filter("_all", lambda s, i: F.array_position(F.transform("_all", lambda x: x["value"]), s["value"]) == i + 1)
+    d = d.withColumns({"_found": distinct, "_named": F.transform(F.filter("_all", lambda s: s["named"]), lambda s: s["value"])})
+    for x in ("_ko", "_en"):
+        anchor = F.col(f"{x}_a")
+        d = d.withColumn(f"{x}_ok", F.coalesce(anchor["explicit"] | ~F.array_contains("_named", anchor["value"]), F.lit(False)))
+        inside = lambda s, a=anchor, ok=F.col(f"{x}_ok"): ok & F.coalesce((s["at"] >= a["at"]) & (s["end"] <= a["end"]), F.lit(False))
+        d = d.withColumn(f"{x}_loose", F.get(F.filter(f"{x}_p", lambda s: ~s["composed"] & ~inside(s)), F.lit(0))["raw"])
+        d = d.withColumn(f"{x}_v", F.when(F.col(f"{x}_ok"), anchor["value"]))
+    conflict = F.coalesce(F.abs(F.col("_ko_v") - F.col("_en_v")) > 1e-7, F.lit(False))
+    value = F.coalesce("_ko_v", "_en_v")
+    outside = F.coalesce(~conflict & ((value <= 0) | (value > 70)), F.lit(False))
+    several = F.size("_found") > 1
+    share = lambda c: F.concat(plain_number(c), F.lit("%"))
+    raws = F.array_join(F.transform("_found", lambda s: s["raw"]), ", ")
+    return d.withColumns({
+        "ingredient_percent": F.when(F.size("_found") == 1, F.get("_found", F.lit(0))["value"]), "ingredient_raw": F.when(F.size("_found") > 0, raws),
+        "abv_percent": F.when(~conflict & ~outside, value),
+        "abv_reasons": F.array_compact(F.array(
+            F.when(F.size("_found") > 0, "ABV_COMPOSITION_CONTEXT"), F.when(several, "INGREDIENT_PERCENT_MULTIPLE_VALUES"),
+            F.when(F.coalesce("_ko_loose", "_en_loose").isNotNull(), "ABV_AMBIGUOUS_POSITION"), F.when(conflict, "ABV_CONFLICT_BETWEEN_LANGUAGES"), F.when(outside, "ABV_OUT_OF_AUTOMATIC_RANGE"),
+        )),
+        "abv_fragments": F.array_compact(F.array(
+            F.when(several, raws), F.col("_ko_loose"), F.col("_en_loose"), F.when(conflict, F.concat(share(F.col("_ko_v")), F.lit(" / "), share(F.col("_en_v")))), F.when(outside, share(value)),
+        )),
+    }).drop("_all", "_found", "_named", *[f"{x}_{y}" for x in ("_ko", "_en") for y in ("p", "a", "ok", "loose", "v")])
 
 
 def canonical_korean(key: Column, en: Column) -> Column:
@@ -174,20 +146,15 @@ def is_generic(key_ko: Column, key_en: Column) -> Column:
 def cask_type(ko: Column, en: Column) -> Column:
     """The first cask type of the catalog that either name holds."""
     text = F.concat(_text(ko), F.lit(" "), _text(en))
-    return F.coalesce(*[F.when(F.regexp_extract(text, p, 0) != "", ws_collapse(F.regexp_extract(text, p, 0))) for p in CASKS])
+    return F.coalesce(*[F.when(text.rlike(P.java(p)), ws_collapse(F.regexp_extract(text, P.java(p), 0))) for p in CASKS])
 
 
 def with_country(d: DataFrame, column: str, prefix: str) -> DataFrame:
     """Adds English name and codes of a country, and whether a name that is not blank is unknown.  The catalog has 61 rows."""
-    rows = []
-    for line in COUNTRIES.replace("\n", "|").split("|"):
-        words = line.split(" ")
-        cut = next(i for i, w in enumerate(words) if w[0].isascii())
-        rows.append((" ".join(words[:cut]), " ".join(words[cut:-2]), words[-2], words[-1]))
     names = [f"{prefix}_{x}" for x in ("en", "alpha2", "alpha3")]
-    catalog = d.sparkSession.createDataFrame(rows, ", ".join(f"`{c}` string" for c in ("_country", *names)))
-    out = d.join(F.broadcast(catalog), F.trim(F.col(column)) == F.col("_country"), "left")
-    return out.withColumn(f"{prefix}_unmapped", F.col("_country").isNull() & (F.trim(_text(F.col(column))) != "")).drop("_country")
+    catalog = d.sparkSession.createDataFrame(COUNTRIES, ", ".join(f"`{c}` string" for c in ("_country", *names)))
+    out = d.join(F.broadcast(catalog), tidy(F.col(column)) == F.col("_country"), "left")
+    return out.withColumn(f"{prefix}_unmapped", F.col("_country").isNull() & (tidy(_text(F.col(column))) != "")).drop("_country")
 
 
 def run_summary(d: DataFrame, left: int = 0) -> DataFrame:

@@ -1,43 +1,359 @@
-"""Matching names to reference names: blocking, weighted evidence, ranking and decision."""
+"""Matching names to reference names: blocking, weighted evidence, ranking, decision, and what a chosen product says of its maker and region.
+
+Inputs that share all four names share their name evidence, so names are compared once a distinct set of them.  Frames:
+
+* inputs: input_id, base_name_ko, base_name_en, search_name_ko, search_name_en, abv_percent, age, age_years, cask, edition, category, unit_volume_ml, manufacture_country
+* alcohols: id, kor_name, eng_name, abv_percent, type, category, region_id, distillery_id, age, age_years, cask, volume, deleted_at
+* distilleries: id, kor_name, eng_name; regions: the same and parent_id; aliases: entity_type, entity_id, alias, language, source
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import contains_run, jaccard, tokens
+from tallybook.functions.text import contains_run, jaccard, nfkc, tokens
+from tallybook.operators.features import category_group, name_features, near_spellings, parse_age, parse_volume_ml
 
-WEIGHTS = {"exact": 8.0, "contains": 5.0, "fuzzy": 2.5}
 #: Words that nearly every name shares.
 STOP_WORDS = ("whisky", "whiskey", "scotch", "single", "malt", "blend", "blended", "위스키", "싱글몰트")
+#: Weights of the evidence, and what an automatic choice needs.
+WEIGHTS = {
+    "name_exact": 8.0, "alias_exact": 7.0, "name_contains": 5.0, "name_fuzzy": 2.5, "age_exact": 3.0, "age_conflict": -6.0, "abv_exact": 2.5, "abv_near": 1.0, "abv_conflict": -4.0,
+    "edition_exact": 2.0, "cask_exact": 1.5, "volume_exact": 1.0, "volume_conflict": -0.5, "reference_propagation": 7.0, "distillery_prior_max": 4.0, "country_root": 1.0, "parent_compatible": 0.5,
+    "category_conflict": -100.0,
+}
+ALCOHOL_THRESHOLD, ALCOHOL_MARGIN, REFERENCE_THRESHOLD, REFERENCE_MARGIN = 10.0, 3.0, 7.0, 2.0
+CONFLICTS = ("age_conflict", "abv_conflict", "reference_age_name_conflict", "reference_age_attribute_conflict", "category_conflict")
+TOP = 3
+#: Ancestors of a region are followed so far; cycles end there.
+LEVELS = 8
+EVIDENCE = "struct<kind:string,source:string,input_value:string,reference_value:string,rule:string,weight:double,upstream_id:bigint>"
+
+
+def significant(words: Column) -> Column:
+    return F.filter(words, lambda t: (F.length(t) >= 2) & ~t.isin(*STOP_WORDS))
+
+
+def reference_age(alcohols: DataFrame) -> DataFrame:
+    """Adds ref_age and ref_conflict: the stated age, else that of the names; names that differ, or differ from it, are a conflict."""
+    stated = F.coalesce(F.col("age_years"), parse_age(F.col("age")))
+    ko, en = name_features(F.col("kor_name"))["age"], name_features(F.col("eng_name"))["age"]
+    d = alcohols.withColumns({"_stated": stated, "_ko": ko, "_en": en})
+    differ = F.coalesce(F.col("_ko") != F.col("_en"), F.lit(False))
+    named = F.coalesce("_ko", "_en")
+    conflict = F.when(differ, "reference_age_name_conflict").when(F.col("_stated") != named, "reference_age_attribute_conflict")
+    age = F.when(differ, F.col("_stated")).otherwise(F.coalesce(F.col("_stated"), named))
+    return d.withColumns({"ref_age": age, "ref_conflict": conflict}).drop("_stated", "_ko", "_en")
+
+
+def build_name_index(alcohols: DataFrame, distilleries: DataFrame, regions: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """(entity, id, ord, label, tokens, base_key): Korean and English names and aliases of living references; names without tokens are left out."""
+
+    def own(d: DataFrame, entity: str) -> DataFrame:
+        names = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(f"{entity.lower()}_{x}").alias("label"), F.col(c).alias("name")) for i, (x, c) in enumerate((("ko", "kor_name"), ("en", "eng_name")))])
+        return d.select(F.lit(entity).alias("entity"), "id", F.explode(names).alias("n")).select("entity", "id", "n.*")
 
+    alive = alcohols.where("id > 0 and deleted_at is null")
+    every = own(alive, "ALCOHOL").unionByName(own(distilleries.where("id > 0"), "DISTILLERY")).unionByName(own(regions.where("id > 0"), "REGION"))
+    if aliases is not None:
+        label = F.concat_ws("_", F.lit("alias"), F.coalesce("language", F.lit("")), F.coalesce("source", F.lit("")))
+        a = aliases.where("entity_id > 0 and alias <> ''").select(F.col("entity_type").alias("entity"), F.col("entity_id").alias("id"), label.alias("label"), F.col("alias").alias("name"))
+        w = Window.partitionBy("entity", "id").orderBy("label", "name")
+        a = a.join(every.select("entity", "id").distinct(), ["entity", "id"], "left_semi").withColumn("ord", F.row_number().over(w) + 1)
+        every = every.unionByName(a.select(*every.columns))
+    f = every.withColumn("name", nfkc(F.col("name"))).withColumn("f", name_features(F.col("name")))
+    return f.select("entity", "id", "ord", "label", F.col("f.tokens").alias("tokens"), F.col("f.base_key").alias("base_key")).where(F.size("tokens") > 0)
 
-def block(inputs: DataFrame, names: DataFrame) -> DataFrame:
-    """Pairs (input_id, ref_id) that share a significant token.
 
-    Distinct token lists are joined, so the names that thousands of inputs repeat are compared once.
+INPUT_NAMES = ("base_name_ko", "base_name_en", "search_name_ko", "search_name_en")
+
+
+def input_names(inputs: DataFrame) -> DataFrame:
+    """(name_set, ord, tokens, base_key) of every distinct set of names."""
+    names = F.array(*[F.struct(F.lit(i).alias("ord"), name_features(F.col(c)).alias("f")) for i, c in enumerate(INPUT_NAMES)])
+    sets = inputs.select("name_set", *INPUT_NAMES).dropDuplicates(["name_set"]).withColumns({c: nfkc(F.col(c)) for c in INPUT_NAMES})
+    rows = sets.select("name_set", F.explode(names).alias("n"))
+    return rows.select("name_set", "n.ord", F.col("n.f.tokens").alias("tokens"), F.col("n.f.base_key").alias("base_key")).where(F.size("tokens") > 0)
+
+
+def with_name_set(inputs: DataFrame) -> DataFrame:
+    return inputs.withColumn("name_set", F.sha2(F.to_json(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in INPUT_NAMES])), 256))
+
+
+def block(names: DataFrame, index: DataFrame) -> DataFrame:
+    """(name_set, entity, id) that share a base key or a significant token; a set that shares none with an entity is tried again.
+
+    The second try meets all references that could still match: those that share any token at all, or are one edit away.
     """
-    keys = lambda d, i: d.select(i, F.explode(F.filter("tokens", lambda t: (F.length(t) >= 2) & ~t.isin(*STOP_WORDS))).alias("token"))
-    return keys(inputs, "input_id").join(keys(names, "ref_id"), "token").select("input_id", "ref_id").distinct()
-
-
-def score(inputs: DataFrame, names: DataFrame) -> DataFrame:
-    """(input_id, ref_id, score): the best name evidence of each blocked pair."""
-    i, r = (d.withColumn("tokens", tokens(F.col("name"))) for d in (inputs, names))
-    pairs = block(i, r).join(i.select("input_id", F.col("tokens").alias("a")), "input_id").join(r.select("ref_id", F.col("tokens").alias("b")), "ref_id")
-    same = F.array_join("a", " ") == F.array_join("b", " ")
-    weight = F.when(same, WEIGHTS["exact"]).when(contains_run(F.col("a"), F.col("b")), WEIGHTS["contains"]).when(jaccard(F.col("a"), F.col("b")) >= 0.6, WEIGHTS["fuzzy"])
-    return pairs.withColumn("score", weight).where("score is not null").groupBy("input_id", "ref_id").agg(F.max("score").alias("score"))
-
-
-def decide(scored: DataFrame, threshold: float = 7.0, margin: float = 2.0) -> DataFrame:
-    """Per input: top three ids, the top score, the number of close rivals and the decision."""
-    w = Window.partitionBy("input_id").orderBy(F.desc("score"), "ref_id")
-    top = F.max("score").over(Window.partitionBy("input_id"))
-    ranked = scored.withColumn("rank", F.row_number().over(w)).withColumn("top", top)
-    per = ranked.groupBy("input_id").agg(
-        *[F.max(F.when(F.col("rank") == k, F.col("ref_id"))).alias(f"candidate_{k}_id") for k in (1, 2, 3)], F.max("top").alias("top_score"),
-        F.count_if((F.col("score") >= threshold) & (F.col("top") - F.col("score") < margin)).alias("competitive"),
+
+    def keys(d: DataFrame, words) -> Column:
+        return F.explode(F.array_distinct(F.concat(F.array(F.concat(F.lit("="), F.col("base_key"))), words(F.col("tokens"))))).alias("key")
+
+    refs = index.select("entity", "id", keys(index, significant)).distinct()
+    blocked = names.select("name_set", keys(names, significant)).distinct().join(refs, "key").select("name_set", "entity", "id").distinct()
+    entities = index.select("entity").distinct()  # three rows at most
+    rest = names.select("name_set").distinct().crossJoin(F.broadcast(entities)).join(blocked.select("name_set", "entity").distinct(), ["name_set", "entity"], "left_anti")
+    again = names.join(rest, "name_set")
+    loose = again.select("name_set", "entity", F.explode("tokens").alias("key")).distinct().join(index.select("entity", "id", F.explode("tokens").alias("key")).distinct(), ["entity", "key"])
+    close = near_spellings(
+        again.where(F.size("tokens") == 1).select(F.struct("name_set", "entity").alias("input_id"), F.col("tokens")[0].alias("name")),
+        index.where(F.size("tokens") == 1).select(F.struct("entity", "id").alias("ref_id"), F.col("tokens")[0].alias("name")),
+    ).where("input_id.entity = ref_id.entity").select("input_id.name_set", "ref_id.entity", "ref_id.id")
+    return blocked.unionByName(loose.select("name_set", "entity", "id")).unionByName(close).distinct()
+
+
+def evidence(kind, source, input_value, reference_value, rule: str, weight, upstream=None) -> Column:
+    lit = lambda c: c if isinstance(c, Column) else F.lit(c)
+    return F.struct(
+        lit(kind).alias("kind"), lit(source).alias("source"), lit(input_value).cast("string").alias("input_value"), lit(reference_value).cast("string").alias("reference_value"),
+        F.lit(rule).alias("rule"), lit(weight).cast("double").alias("weight"), lit(upstream).cast("bigint").alias("upstream_id"),
+    )
+
+
+def name_evidence(names: DataFrame, index: DataFrame) -> DataFrame:
+    """(name_set, entity, id, e): the best evidence of any pair of names; of equal weights that of the first input, then the first reference name."""
+    i = names.select("name_set", F.col("ord").alias("i"), F.col("tokens").alias("a"), F.col("base_key").alias("x"))
+    r = index.select("entity", "id", F.col("ord").alias("j"), "label", F.col("tokens").alias("b"), F.col("base_key").alias("y"))
+    pairs = block(names, index).join(i, "name_set").join(r, ["entity", "id"])
+    a, b = F.col("a"), F.col("b")
+    alias = F.col("label").startswith("alias_")
+    one = (F.size(a) == 1) & (F.size(b) == 1) & (F.length(a[0]) >= 9) & (F.length(b[0]) >= 9)
+    case = (
+        F.when(F.col("x") == F.col("y"), F.when(alias, F.lit("alias_exact")).otherwise(F.lit("name_exact"))).when(contains_run(a, b), "name_contains")
+        .when(jaccard(a, b) >= 0.6, "name_token_fuzzy").when(one & (F.levenshtein(a[0], b[0]) <= 1), "name_fuzzy")
+    )
+    weight = F.when(F.col("c") == "alias_exact", WEIGHTS["alias_exact"]).when(F.col("c") == "name_exact", WEIGHTS["name_exact"]).when(F.col("c") == "name_contains", WEIGHTS["name_contains"]).otherwise(WEIGHTS["name_fuzzy"])
+    found = pairs.withColumn("c", case).where("c is not null").withColumn("w", weight)
+    e = evidence(F.concat(F.lower("entity"), F.lit("_"), F.col("c")), F.col("label"), F.col("x"), F.col("y"), "NAME_COMPARISON", F.col("w"))
+    return found.groupBy("name_set", "entity", "id").agg(F.max_by(e, F.struct(F.col("w"), -F.col("i"), -F.col("j"))).alias("e"))
+
+
+def attribute_evidence(d: DataFrame) -> Column:
+    """array of evidence from the attributes of an input (in_*) and an alcohol (ref_*); what either lacks says nothing."""
+    a, r = (lambda c: F.col(f"in_{c}")), (lambda c: F.col(f"ref_{c}"))
+    number = lambda c: F.format_string("%.3f", c)
+    pick = lambda kind: WEIGHTS[kind]
+    gap = F.round(F.abs(a("abv") - r("abv")), 9)
+    kind = F.when(gap <= 0.05, "abv_exact").when(gap <= 0.5, "abv_near").otherwise("abv_conflict")
+    weight = F.when(gap <= 0.05, pick("abv_exact")).when(gap <= 0.5, pick("abv_near")).otherwise(pick("abv_conflict"))
+    same = lambda x: F.when(a(x) == r(x), f"{x}_exact").otherwise(f"{x}_conflict")
+    worth = lambda x: F.when(a(x) == r(x), pick(f"{x}_exact")).otherwise(pick(f"{x}_conflict"))
+    cask = contains_run(tokens(a("cask")), tokens(r("cask")))
+    return F.array_compact(F.array(
+        F.when(a("age").isNotNull() & r("age").isNotNull(), evidence(same("age"), "age", a("age"), r("age"), "AGE_CANONICAL", worth("age"))),
+        F.when(gap.isNotNull(), evidence(kind, "abv", number(a("abv")), number(r("abv")), "ABV_TOLERANCE", weight)),
+        F.when(a("volume").isNotNull() & r("volume").isNotNull(), evidence(same("volume"), "volume", a("volume"), r("volume"), "VOLUME_ML", worth("volume"))),
+        F.when((a("cask") != "") & (r("cask") != "") & cask, evidence("cask_exact", "cask", a("cask"), r("cask"), "CASK_TOKEN", pick("cask_exact"))),
+        F.when((a("edition") != "") & F.exists(r("names"), lambda n: contains_run(n, a("edition_tokens"))), evidence("edition_exact", "edition", a("edition"), a("edition"), "EDITION_TOKEN", pick("edition_exact"))),
+        F.when(category_group(a("category")) != category_group(r("category")), evidence("category_conflict", "category", a("category"), r("category"), "CATEGORY_GUARD", pick("category_conflict"))),
+        F.when(r("conflict").isNotNull(), evidence(r("conflict"), "reference", None, None, "REFERENCE_ATTRIBUTE_CONFLICT", 0.0)),
+    ))
+
+
+def strength(kind: Column) -> Column:
+    return F.when(kind.endswith("_name_exact"), 4).when(kind.endswith("_alias_exact"), 3).when(kind.isin("age_exact", "abv_exact") | kind.startswith("alcohol_"), 2).otherwise(1)
+
+
+def score(d: DataFrame) -> DataFrame:
+    """(input_id, id, evidence) with score, strength and direct: each kind of evidence counts once, its first."""
+    d = d.withColumn("evidence", F.filter("evidence", lambda e, i: F.array_position(F.transform("evidence", lambda x: x["kind"]), e["kind"]) == i + 1))
+    return d.withColumns({
+        "score": F.aggregate("evidence", F.lit(0.0), lambda s, e: s + e["weight"]), "strength": F.aggregate("evidence", F.lit(0), lambda s, e: s + strength(e["kind"])),
+        "direct": F.exists("evidence", lambda e: e["kind"].endswith("_name_exact") | e["kind"].endswith("_alias_exact")),
+    })
+
+
+def rank(scored: DataFrame) -> DataFrame:
+    """Candidates without a category conflict, numbered by score, strength and id."""
+    w = Window.partitionBy("input_id").orderBy(F.desc("score"), F.desc("strength"), "id")
+    return scored.where(~F.exists("evidence", lambda e: e["kind"] == "category_conflict")).withColumn("rank", F.row_number().over(w))
+
+
+def competition(ranked: DataFrame, threshold: float, margin: float) -> DataFrame:
+    """One row an input: top score, margin to the second, and which candidates come within the margin of the top."""
+    best = F.max("score").over(Window.partitionBy("input_id"))
+    close = (F.col("score") >= threshold) & (F.col("top") - F.col("score") < margin)
+    return ranked.withColumn("top", best).withColumn("close", close).groupBy("input_id").agg(
+        F.max("top").alias("top_score"), F.min_by("id", "rank").alias("top_id"), F.min_by("evidence", "rank").alias("top_evidence"), F.min_by("direct", "rank").alias("top_direct"),
+        (F.max("top") - F.max(F.when(F.col("rank") == 2, F.col("score")))).alias("margin"), F.count_if("close").alias("competitive"), F.bool_or("direct").alias("exact"),
+    )
+
+
+def decide_alcohol(ranked: DataFrame) -> DataFrame:
+    """Per input with candidates: decision, stop_reason, selected_id, top_score, margin (null if single) and competitive."""
+    c = competition(ranked, ALCOHOL_THRESHOLD, ALCOHOL_MARGIN)
+    conflict = F.exists("top_evidence", lambda e: e["kind"].isin(*CONFLICTS))
+    strong = F.col("top_score") >= ALCOHOL_THRESHOLD
+    clear = F.coalesce(F.col("margin") >= ALCOHOL_MARGIN, F.lit(True))
+    verdict = F.when(conflict, "A_ATTRIBUTE_CONFLICT").when(strong & (F.col("competitive") > 1), "A_AMBIGUOUS").when(strong & clear, "A_UNIQUE_STRONG").otherwise("A_WEAK")
+    return _decided(c, verdict, {"A_ATTRIBUTE_CONFLICT": "CONFLICT_REVIEW", "A_AMBIGUOUS": "AMBIGUOUS", "A_UNIQUE_STRONG": "AUTO_SELECTED"}).withColumns({
+        "selected_id": F.when(F.col("stop_reason") == "A_UNIQUE_STRONG", F.col("top_id")), "source": F.lit("STAGE_A"),
+    })
+
+
+def _decided(c: DataFrame, verdict: Column, names: dict[str, str]) -> DataFrame:
+    decision = F.coalesce(*[F.when(F.col("stop_reason") == k, v) for k, v in names.items()], F.lit("REVIEW"))
+    return c.withColumn("stop_reason", verdict).withColumn("decision", decision)
+
+
+def consensus(ranked: DataFrame, alcohols: DataFrame) -> DataFrame:
+    """(input_id, distillery_id, region_id) that two or more competing candidates share, all of them, not only those on show; 0 for none."""
+    best = F.max("score").over(Window.partitionBy("input_id"))
+    close = ranked.select("input_id", "id", "score").withColumn("top", best).where((F.col("score") >= ALCOHOL_THRESHOLD) & (F.col("top") - F.col("score") < ALCOHOL_MARGIN))
+    refs = alcohols.select("id", "distillery_id", "region_id").na.fill(0, ["distillery_id", "region_id"])
+    same = lambda x: F.when(F.min(x) == F.max(x), F.min(x)).otherwise(0).cast("long").alias(x)
+    return close.join(refs, "id").groupBy("input_id").agg(F.count("*").alias("n"), same("distillery_id"), same("region_id")).where("n > 1").drop("n")
+
+
+def propagate(decided: DataFrame, shared: DataFrame, alcohols: DataFrame, column: str, known: DataFrame) -> DataFrame:
+    """(input_id, id, path, upstream, exists): the maker or region that the chosen product, or all competing ones, point to."""
+    refs = alcohols.select(F.col("id").alias("selected_id"), F.coalesce(column, F.lit(0)).cast("long").alias("own"))
+    d = decided.select("input_id", "selected_id").join(refs, "selected_id", "left").join(shared.select("input_id", F.col(column).alias("common")), "input_id", "left")
+    chosen = F.col("selected_id").isNotNull()
+    d = d.select("input_id", F.when(chosen, F.col("own")).otherwise(F.col("common")).alias("id"), F.when(chosen, "ALCOHOL_PROPAGATED").otherwise("ALCOHOL_CONSENSUS").alias("path"), F.col("selected_id").alias("upstream")).where("id > 0")
+    return d.join(known.select("id", F.lit(True).alias("exists")), "id", "left").fillna({"exists": False})
+
+
+def region_prior(alcohols: DataFrame, distilleries: DataFrame, regions: DataFrame) -> DataFrame:
+    """(distillery_id, region_id, n, total, prior): 4 times the share of a maker's living products in each region."""
+    live = alcohols.where("id > 0 and deleted_at is null").join(distilleries.select(F.col("id").alias("distillery_id")).where("distillery_id > 0"), "distillery_id", "left_semi")
+    n = live.join(regions.select(F.col("id").alias("region_id")).where("region_id > 0"), "region_id", "left_semi").groupBy("distillery_id", "region_id").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("distillery_id"))
+    return n.withColumn("total", total).withColumn("prior", F.lit(WEIGHTS["distillery_prior_max"]) * F.col("n") / F.col("total"))
+
+
+def region_ancestors(regions: DataFrame) -> DataFrame:
+    """(id, ancestor) for every parent of a region, its parent and so on; the tree has few levels, and a region is no ancestor of itself."""
+    parent = regions.where("parent_id > 0 and parent_id <> id and id > 0").select("id", F.col("parent_id").alias("ancestor"))
+    out = step = parent
+    for _ in range(LEVELS - 1):
+        step = step.join(parent.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next")), "ancestor").select("id", F.col("next").alias("ancestor"))
+        out = out.unionByName(step)
+    return out.where("id <> ancestor").distinct()
+
+
+def country_root(inputs: DataFrame, index: DataFrame, regions: DataFrame) -> DataFrame:
+    """(input_id, id, country, name): root regions that the country of manufacture names."""
+    key = inputs.select("input_id", F.col("manufacture_country").alias("country"), name_features(F.col("manufacture_country"))["base_key"].alias("base_key")).where("base_key <> ''")
+    roots = index.where("entity = 'REGION'").join(regions.where("coalesce(parent_id, 0) <= 0").select("id"), "id", "left_semi").select("id", "base_key").distinct()
+    return key.join(roots, "base_key").select("input_id", "id", "country", F.col("base_key").alias("name"))
+
+
+def decide_reference(ranked: DataFrame, pointed: DataFrame) -> DataFrame:
+    """Per input with candidates: a propagated reference wins unless another has its name exactly; else a unique direct name is chosen."""
+    c = competition(ranked, REFERENCE_THRESHOLD, REFERENCE_MARGIN)
+    strong = ranked.where((F.col("score") >= REFERENCE_THRESHOLD) & F.col("direct")).select("input_id", F.col("id").alias("rival"))
+    p = pointed.select("input_id", F.col("id").alias("pointed"), "path")
+    against = strong.join(p, "input_id").where("rival <> pointed").select("input_id", F.lit(True).alias("against")).distinct()
+    c = c.join(p, "input_id", "left").join(against, "input_id", "left")
+    unique = (F.col("top_score") >= REFERENCE_THRESHOLD) & F.coalesce(F.col("margin") >= REFERENCE_MARGIN, F.lit(True)) & F.col("top_direct")
+    verdict = F.when(F.col("pointed").isNotNull(), F.when(F.col("against"), F.lit("B_CONFLICTS_WITH_A")).otherwise(F.lit("B_FROM_ALCOHOL"))).when(unique, "B_UNIQUE_DIRECT").otherwise("B_WEAK")
+    d = _decided(c, verdict, {"B_CONFLICTS_WITH_A": "CONFLICT_REVIEW", "B_FROM_ALCOHOL": "AUTO_SELECTED", "B_UNIQUE_DIRECT": "AUTO_SELECTED"})
+    chosen = F.when(F.col("stop_reason") == "B_FROM_ALCOHOL", F.col("pointed")).when(F.col("stop_reason") == "B_UNIQUE_DIRECT", F.col("top_id"))
+    source = F.when(F.col("stop_reason") == "B_FROM_ALCOHOL", F.col("path")).when(F.col("stop_reason") == "B_UNIQUE_DIRECT", "DIRECT").otherwise("STAGE_B")
+    return d.withColumns({"selected_id": chosen, "source": source})
+
+
+def score_alcohols(inputs: DataFrame, alcohols: DataFrame, index: DataFrame) -> DataFrame:
+    """Scored candidates (input_id, id, evidence, score, strength, direct) of products."""
+    own = index.where("entity = 'ALCOHOL'")
+    found = name_evidence(input_names(inputs), own).drop("entity")
+    names = own.groupBy("id").agg(F.collect_list("tokens").alias("ref_names"))  # two names and a few aliases each
+    refs = reference_age(alcohols.where("id > 0 and deleted_at is null")).join(names, "id").select(
+        "id", "ref_names", "ref_age", "ref_conflict", F.col("abv_percent").alias("ref_abv"), parse_volume_ml(F.col("volume")).alias("ref_volume"),
+        F.coalesce("cask", F.lit("")).alias("ref_cask"), F.concat_ws(" ", F.coalesce("type", F.lit("")), F.coalesce("category", F.lit(""))).alias("ref_category"),
+    )
+    own_age = F.coalesce(F.col("age_years"), parse_age(F.col("age")), *[name_features(F.col(c))["age"] for c in INPUT_NAMES])
+    mine = inputs.select(
+        "input_id", "name_set", own_age.alias("in_age"), F.col("abv_percent").alias("in_abv"), F.col("unit_volume_ml").alias("in_volume"), F.coalesce("cask", F.lit("")).alias("in_cask"),
+        F.coalesce("edition", F.lit("")).alias("in_edition"), name_features(F.col("edition"))["tokens"].alias("in_edition_tokens"), F.coalesce("category", F.lit("")).alias("in_category"),
+    )
+    d = mine.join(found, "name_set").join(refs, "id")
+    return score(d.select("input_id", "id", F.concat(F.array("e"), attribute_evidence(d)).alias("evidence")))
+
+
+def _added(scored: DataFrame, more: DataFrame) -> DataFrame:
+    """Scored candidates with further evidence (input_id, id, ord, e), new candidates included."""
+    extra = more.groupBy("input_id", "id").agg(F.array_sort(F.collect_list(F.struct("ord", "e"))).alias("more"))  # one row a kind and path
+    none = F.array().cast(f"array<{EVIDENCE}>")
+    d = scored.select("input_id", "id", "evidence").join(extra, ["input_id", "id"], "full_outer")
+    return score(d.select("input_id", "id", F.concat(F.coalesce("evidence", none), F.coalesce(F.transform("more", lambda m: m["e"]), none)).alias("evidence")))
+
+
+def match(inputs: DataFrame, alcohols: DataFrame, distilleries: DataFrame, regions: DataFrame, aliases: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Ranked candidates and decisions of products, then makers, then regions: {"alcohol": (ranked, decided), ...} and the consensus."""
+    inputs, index = with_name_set(inputs), build_name_index(alcohols, distilleries, regions, aliases)
+    ranked = rank(score_alcohols(inputs, alcohols, index))
+    decided = decide_alcohol(ranked)
+    shared = consensus(ranked, alcohols)
+    names = input_names(inputs)
+    keys = inputs.select("input_id", "name_set")
+
+    def direct(entity: str) -> DataFrame:
+        found = name_evidence(names, index.where(F.col("entity") == entity))
+        return score(keys.join(found, "name_set").select("input_id", "id", F.array("e").alias("evidence")))
+
+    def pointed(column: str, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+        p = propagate(decided, shared, alcohols, column, known)
+        e = evidence(F.lower("path"), F.col("path"), None, None, "REFERENCE_PATH", WEIGHTS["reference_propagation"], F.col("upstream"))
+        return p, p.where("exists").select("input_id", "id", F.lit(0).alias("ord"), e.alias("e"))
+
+    to_maker, maker_more = pointed("distillery_id", distilleries)
+    makers = rank(_added(direct("DISTILLERY"), maker_more))
+    maker_decided = decide_reference(makers, to_maker)
+    to_region, region_more = pointed("region_id", regions)
+    prior = maker_decided.where("selected_id is not null").select("input_id", F.col("selected_id").alias("distillery_id")).join(region_prior(alcohols, distilleries, regions), "distillery_id")
+    from_prior = prior.select("input_id", F.col("region_id").alias("id"), F.lit(1).alias("ord"), evidence(
+        "region_from_distillery_prior", F.col("distillery_id").cast("string"), F.col("n"), F.col("total"), "DISTILLERY_REGION_PRIOR", F.col("prior"), F.col("distillery_id")).alias("e"))
+    above = prior.join(region_ancestors(regions).withColumnRenamed("id", "region_id"), "region_id").groupBy("input_id", F.col("ancestor").alias("id")).agg(F.min("region_id").alias("child"))
+    parents = above.select("input_id", "id", F.lit(2).alias("ord"), evidence("region_parent_compatible", F.col("child").cast("string"), None, None, "REGION_PARENT", WEIGHTS["parent_compatible"], F.col("child")).alias("e"))
+    roots = country_root(inputs, index, regions).select("input_id", "id", F.lit(3).alias("ord"), evidence(
+        "region_from_country_root", "manufacture_country", F.col("country"), F.col("name"), "COUNTRY_ROOT", WEIGHTS["country_root"]).alias("e"))
+    areas = rank(_added(direct("REGION"), region_more.unionByName(from_prior).unionByName(parents).unionByName(roots)))
+    return {"alcohol": (ranked, decided), "distillery": (makers, maker_decided), "region": (areas, decide_reference(areas, to_region)), "consensus": shared}
+
+
+def top3(ranked: DataFrame, prefix: str = "candidate") -> DataFrame:
+    """(input_id, <prefix>_1_id, <prefix>_1_score, ...) of the first three."""
+    slots = [F.max(F.when(F.col("rank") == k, F.col(c))).alias(f"{prefix}_{k}_{c}") for k in range(1, TOP + 1) for c in ("id", "score")]
+    return ranked.where(F.col("rank") <= TOP).groupBy("input_id").agg(*slots)
+
+
+def all_decisions(inputs: DataFrame, matched: dict) -> DataFrame:
+    """(input_id, target, decision, stop_reason, source, selected_id, top_score, margin, competitive): every input and target, NO_MATCH without candidates."""
+    out = None
+    for target in ("alcohol", "distillery", "region"):
+        d = matched[target][1].select("input_id", "decision", "stop_reason", "source", "selected_id", "top_score", "margin", "competitive")
+        stage = "A" if target == "alcohol" else "B"
+        one = inputs.select("input_id").join(d, "input_id", "left").select(
+            "input_id", F.lit(target).alias("target"), F.coalesce("decision", F.lit("NO_MATCH")).alias("decision"), F.coalesce("stop_reason", F.lit(f"{stage}_NONE")).alias("stop_reason"),
+            F.coalesce("source", F.lit(f"STAGE_{stage}")).alias("source"), F.col("selected_id").cast("long").alias("selected_id"), F.coalesce("top_score", F.lit(0.0)).alias("top_score"), "margin",
+            F.coalesce("competitive", F.lit(0)).cast("long").alias("competitive"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def audit_frames(inputs: DataFrame, matched: dict) -> dict[str, DataFrame]:
+    """Candidates on show, their evidence line by line, decisions and automatic selections."""
+    shown = None
+    for target in ("alcohol", "distillery", "region"):
+        one = matched[target][0].where(F.col("rank") <= TOP).select("input_id", F.lit(target).alias("target"), "rank", "id", "score", "strength", "evidence")
+        shown = one if shown is None else shown.unionByName(one)
+    lines = shown.select("input_id", "target", "rank", "id", F.posexplode("evidence").alias("position", "e")).select("input_id", "target", "rank", "id", "position", "e.*")
+    decisions = all_decisions(inputs, matched)
+    return {"candidates": shown.drop("evidence"), "evidence": lines, "decisions": decisions, "selections": decisions.where("selected_id is not null").select("input_id", "target", "selected_id", "source")}
+
+
+def match_summary(inputs: DataFrame, matched: dict, remaining: int = 0) -> DataFrame:
+    """One row: inputs, inputs with candidates of each kind, without any, with an exact name, and rows left."""
+    d = inputs.select("input_id")
+    for target in ("alcohol", "distillery", "region"):
+        d = d.join(matched[target][1].select("input_id", F.lit(True).alias(target), F.col("exact").alias(f"{target}_exact")), "input_id", "left")
+    hit = lambda c: F.coalesce(F.col(c), F.lit(False))
+    targets = ("alcohol", "distillery", "region")
+    return d.agg(
+        F.count("*").alias("processed"), *[F.count_if(hit(t)).alias(f"{t}_matched") for t in targets], F.count_if(~hit("alcohol") & ~hit("distillery") & ~hit("region")).alias("unmatched"),
+        F.count_if(hit("alcohol_exact") | hit("distillery_exact") | hit("region_exact")).alias("exact"), F.lit(remaining).cast("long").alias("remaining"),
     )
-    verdict = F.when(F.col("top_score") < threshold, "REVIEW").when(F.col("competitive") >= 2, "AMBIGUOUS").otherwise("AUTO_SELECTED")
-    return per.withColumn("decision", verdict)

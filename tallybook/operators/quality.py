@@ -48,8 +48,9 @@ def task_counters(items: DataFrame) -> DataFrame:
 
 
 def vocabularies(d: DataFrame, columns: tuple[str, ...] = DIMENSIONS) -> DataFrame:
-    """(dimension, value): the distinct values of several columns in one pass."""
-    return d.unpivot([], list(columns), "dimension", "value").where("value is not null").distinct()
+    """(dimension, value): the distinct values of several columns in one pass, and the reasons that occur."""
+    values = d.unpivot([], list(columns), "dimension", "value").where("value is not null")
+    return values.unionByName(d.select(F.lit("review_reason").alias("dimension"), F.explode("review_reasons").alias("value"))).distinct()
 
 
 def review_distribution(d: DataFrame, columns: tuple[str, ...] = DIMENSIONS) -> DataFrame:
@@ -127,6 +128,19 @@ def status_shares(d: DataFrame) -> DataFrame:
     return d.agg(*[x for s in names for x in (n(s).alias(s.lower()), percent(n(s), F.count("*")).alias(f"{s.lower()}_pct"))])
 
 
+def unchanged_names(d: DataFrame, items: DataFrame) -> DataFrame:
+    """How many rows have base names equal to their source names."""
+    source = items.select("item_id", F.col("product_name_ko").alias("source_ko"), F.col("product_name_en").alias("source_en"))
+    same = F.col("base_name_ko").eqNullSafe(F.coalesce("source_ko", F.lit(""))) & F.col("base_name_en").eqNullSafe(F.coalesce("source_en", F.lit("")))
+    return d.join(source, "item_id").agg(F.count("*").alias("total"), F.count_if(same).alias("unchanged"), percent(F.count_if(same), F.count("*")).alias("unchanged_pct"))
+
+
+def version_drift(d: DataFrame) -> DataFrame:
+    """Per rule version: rows, distinct keys and the share under review."""
+    review = F.count_if(F.col("normalization_status") == "REVIEW_REQUIRED")
+    return d.groupBy("rule_version").agg(F.count("*").alias("total"), F.count_distinct("sku_key").alias("sku_keys"), percent(review, F.count("*")).alias("review_pct"))
+
+
 def nested_brackets(d: DataFrame, column: str) -> DataFrame:
     """Rows with a bracket inside another, and rows with several pairs."""
     c = F.col(column)
@@ -141,15 +155,17 @@ def defect_samples(d: DataFrame, defect: Column, key: str, n: int = 3) -> DataFr
 
 def three_keys(d: DataFrame) -> DataFrame:
     """(item_id, product_key, volume_key, variant_key): names, volume and what tells variants apart."""
-    name = F.coalesce(blank_to_null(F.col("product_name_ko")), blank_to_null(F.col("product_name_en")), F.lit("미분류"))
-    variant = F.concat_ws(" · ", "strength_type", "version_marker", F.col("batch_number").cast("string"))
+    name = F.coalesce(F.nullif("base_name_ko", F.lit("")), F.nullif("base_name_en", F.lit("")), F.lit("미분류"))
+    parts = ("strength_type", "version_marker", "edition_name", "cask_number", "batch_number", "age_years", "vintage_year")
+    variant = F.concat_ws(" · ", *[F.col(c).cast("string") for c in parts])
     return d.select("item_id", name.alias("product_key"), F.col("unit_volume_ml").alias("volume_key"), F.when(variant != "", variant).alias("variant_key"))
 
 
 def evidence_lines(d: DataFrame) -> DataFrame:
-    """(item_id, position, line): raw and normalised values, then reasons, one line each."""
+    """(item_id, position, line): normalised values, the volume with its source text, then reasons, one line each."""
     pair = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), F.col(c).cast("string")))
-    values = F.array_compact(F.array(*[pair(c) for c in ("unit_volume_ml", "age_years", "batch_number", "strength_type")]))
+    volume = F.when(F.col("unit_volume_ml").isNotNull(), F.concat(F.lit("unit_volume_ml: "), F.col("volume_raw"), F.lit(" -> "), F.col("unit_volume_ml").cast("string")))
+    values = F.array_compact(F.array(volume, *[pair(c) for c in ("age_years", "batch_number", "strength_type")]))
     lines = F.concat(values, F.transform("review_reasons", lambda r: F.concat(F.lit("reason: "), r)))
     return d.select("item_id", F.posexplode(lines).alias("position", "line"))
 

@@ -11,9 +11,12 @@ COVERED = ("unit_volume_ml", "package_count", "age_years", "proof", "batch_numbe
 
 
 def overview(d: DataFrame) -> DataFrame:
-    """Totals, review population and its share."""
-    review = F.count_if(F.col("normalization_status") == "REVIEW_REQUIRED")
-    return d.agg(F.count("*").alias("total"), review.alias("review"), percent(review, F.count("*")).alias("review_pct"), F.max("expiry_last").alias("latest"))
+    """Totals, review population, rows whose values were kept, their shares and the latest day."""
+    review, kept = F.count_if(F.col("normalization_status") == "REVIEW_REQUIRED"), F.count_if(F.col("normalization_status") != "UNPARSED")
+    return d.agg(
+        F.count("*").alias("total"), review.alias("review"), percent(review, F.count("*")).alias("review_pct"), kept.alias("preserved"),
+        percent(kept, F.count("*")).alias("preserved_pct"), F.max("expiry_last").alias("latest"),
+    )
 
 
 def counts_by(d: DataFrame, column: str) -> DataFrame:
@@ -37,8 +40,17 @@ def sku_groups(d: DataFrame, n: int = 20) -> DataFrame:
     return g.where("n > 1").orderBy(F.desc("n"), "sku_key").limit(n)
 
 
+def candidate_groups(d: DataFrame) -> DataFrame:
+    """Keys that several rows share, with their distinct names, volumes and strengths; rows that differ in these never share a key."""
+    g = d.where("sku_key is not null").groupBy("sku_key")
+    return g.agg(
+        F.count("*").alias("n"), F.count_distinct("base_name_en").alias("names"), F.count_distinct("unit_volume_ml").alias("volumes"), F.count_distinct("abv_percent").alias("strengths"),
+    ).where("n > 1")
+
+
 def review_reasons(d: DataFrame, n: int = 20) -> DataFrame:
-    return d.select(F.explode("review_reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason").limit(n)
+    """Most frequent reasons of rows that are not settled."""
+    return d.where(F.col("normalization_status").isin("REVIEW_REQUIRED", "PARTIAL")).select(F.explode("review_reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason").limit(n)
 
 
 def duplicate_observations(items: DataFrame, n: int = 20) -> DataFrame:
@@ -51,17 +63,17 @@ def monthly(items: DataFrame, day: str) -> DataFrame:
     return items.groupBy(F.date_format(day, "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
 
 
-def bracket_balance(d: DataFrame, column: str) -> DataFrame:
-    """Rows whose opening and closing brackets differ in number."""
-    count = lambda c: F.length(column) - F.length(F.replace(F.col(column), F.lit(c), F.lit("")))
-    return d.agg(F.count_if(count("(") != count(")")).alias("unbalanced"), F.count("*").alias("total"))
+def bracket_balance(d: DataFrame, *columns: str) -> DataFrame:
+    """Rows whose opening and closing brackets differ in number, by column."""
+    count = lambda c, x: F.length(c) - F.length(F.replace(F.col(c), F.lit(x), F.lit("")))
+    return d.agg(*[F.count_if(count(c, "(") != count(c, ")")).alias(f"{c}_unbalanced") for c in columns], F.count("*").alias("total"))
 
 
 def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     """(rows, fingerprint) that do not depend on row order; null, empty and zero differ.
 
-    Each row's digest adds into a sum, so no group of lines is ever gathered.
+    Two 60-bit parts of each row's digest add into two decimal sums, so no group of lines is ever gathered and nothing overflows.
     """
     line = F.concat_ws("\x1f", *[F.when(F.col(c).isNull(), "null").otherwise(F.concat(F.lit("v:"), F.col(c).cast("string"))) for c in columns])
-    part = F.conv(F.substring(F.sha2(line, 256), 1, 8), 16, 10).cast("long")
-    return df.agg(F.count("*").alias("rows"), F.sum(part).cast("long").alias("fingerprint"))
+    part = lambda at: F.sum(F.conv(F.substring(F.sha2(line, 256), at, 15), 16, 10).cast("decimal(20,0)")).cast("string")
+    return df.agg(F.count("*").alias("rows"), F.concat_ws(":", F.coalesce(part(1), F.lit("0")), F.coalesce(part(16), F.lit("0"))).alias("fingerprint"))

@@ -7,16 +7,14 @@ from hashlib import sha256
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import search_key
-from tallybook.operators import derive, features, importers, normalize, quality
+from tallybook.operators import derive, features, importers, names, normalize, quality, report
+from tallybook.plans import rules
 from tallybook.sources import ledger
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 _ITEMS = f"WITH items AS ({ledger.ITEMS}) "
-_M = "item_id % 14"
-_VOL = f"CASE {_M} WHEN 0 THEN 700 WHEN 1 THEN 1750 WHEN 2 THEN 500 WHEN 3 THEN 4000 WHEN 4 THEN 250 WHEN 6 THEN 700 WHEN 9 THEN 1750 WHEN 11 THEN 700 WHEN 12 THEN 700 WHEN 13 THEN 150 END"
-_STATUS = f"CASE WHEN {_M} = 8 THEN 'REVIEW_REQUIRED' WHEN item_id % 5 = 4 THEN 'PARTIAL' ELSE 'NORMALIZED' END"
 _LINKS = f"WITH reg AS ({ledger.REGISTRY}), decl AS ({ledger.DECLARED}), gal AS ({ledger.GALLERY}) "
 
 
@@ -30,41 +28,111 @@ def query(oracle: str | None = None):
     return add
 
 
-def _normalized(spark, d):
-    return normalize.normalize(ledger.items(spark, d))
+def _normalized(spark, d, *columns):
+    return normalize.normalize(ledger.items(spark, d), *columns)
 
 
 def _names():
     return F.col("product_name_ko"), F.col("product_name_en")
 
 
-@query(_ITEMS + f"""SELECT item_id, CAST(NULL AS DOUBLE) ingredient_percent, CASE {_M} WHEN 13 THEN '0.45%, 0.02%' END ingredient_raw,
- CAST(CASE {_M} WHEN 2 THEN 43 WHEN 5 THEN 59.1 WHEN 12 THEN 40 END AS DOUBLE) abv_percent,
- CASE {_M} WHEN 10 THEN 'ABV_CONFLICT' WHEN 13 THEN 'INGREDIENT_PERCENT_MULTIPLE_VALUES' ELSE '' END reasons FROM items""")
+def _fields(columns: str) -> str:
+    return rules.FIELDS + f" SELECT item_id, {columns} FROM r"
+
+
+def _named(columns: str) -> str:
+    return rules.NAMES + f" SELECT item_id, {columns} FROM d"
+
+
+@query(_fields(f"ingredient_percent, ingredient_raw, {rules.ABV} abv_percent, {rules.ABV_REASONS} reasons"))
 def d5_strength(spark, d):
     out = derive.with_strength(ledger.items(spark, d))
     return out.select("item_id", "ingredient_percent", "ingredient_raw", "abv_percent", F.array_join("abv_reasons", ",").alias("reasons"))
 
 
-@query(_ITEMS + f"SELECT item_id, CAST(CASE {_M} WHEN 7 THEN 2004 END AS INTEGER) vintage_year, CASE {_M} WHEN 7 THEN '2004, 2008' END vintage_years FROM items")
+@query(_named("vintage_year, nullif(array_to_string(yrs, ', '), '') vintage_years"))
 def d9_vintage(spark, d):
-    out = derive.with_strength(ledger.items(spark, d))
-    v = derive.parse_vintage(*_names(), F.col("abv_percent"))
-    return out.select("item_id", v["year"].alias("vintage_year"), v["years"].alias("vintage_years"))
+    v = normalize.parse_vintage(*_names())
+    return ledger.items(spark, d).select("item_id", F.get(v, F.lit(0)).alias("vintage_year"), F.when(F.size(v) > 0, F.array_join(v, ", ")).alias("vintage_years"))
 
 
-@query(_ITEMS + f"SELECT item_id, CASE {_M} WHEN 9 THEN '1107891' END material_code, CAST(NULL AS VARCHAR) manufacture_no, CASE {_M} WHEN 9 THEN 'L5184' WHEN 12 THEN 'L514755B' END lot_code FROM items")
+@query(_fields("material_code, manufacture_no, lot_code"))
 def d10_codes(spark, d):
-    codes = derive.parse_codes(*_names())
-    return ledger.items(spark, d).select("item_id", derive.parse_material(*_names()).alias("material_code"), codes["manufacture_no"].alias("manufacture_no"), codes["lot_code"].alias("lot_code"))
+    return _normalized(spark, d, "material_code", "manufacture_no", "lot_code").select("item_id", "material_code", "manufacture_no", "lot_code")
+
 
+@query(_fields("variant_marker_raw, variant_marker_type, variant_marker_value, cask_number"))
+def d13_variant_marker(spark, d):
+    return _normalized(spark, d, "variant_marker_raw", "variant_marker_type", "variant_marker_value", "cask_number").select("item_id", "variant_marker_raw", "variant_marker_type", "variant_marker_value", "cask_number")
 
-@query(_ITEMS + f"SELECT item_id, CASE {_M} WHEN 10 THEN '서울에디션' END edition_name, false AS edition_conflict, CASE {_M} WHEN 11 THEN '쉐리 캐스크' END cask_type FROM items")
+
+@query(_fields("edition_name, edition_conflict, cask_type"))
 def d15_edition_cask(spark, d):
-    e = derive.parse_edition(*_names())
+    e = normalize.parse_edition(*_names())
     return ledger.items(spark, d).select("item_id", e["name"].alias("edition_name"), e["conflict"].alias("edition_conflict"), derive.cask_type(*_names()).alias("cask_type"))
 
 
+_SEGMENTS = r"\[[^\[\]]*\]|\((?:[^()]|\([^()]*\))*\)|[^(\[]+|[(\[].*"
+
+
+@query(_ITEMS + f"SELECT item_id, len([g FOR g IN regexp_extract_all(product_name_ko, '{_SEGMENTS}') IF regexp_matches(g, '^[(\\[].*[)\\]]$')]) + len([g FOR g IN regexp_extract_all(product_name_en, '{_SEGMENTS}') IF regexp_matches(g, '^[(\\[].*[)\\]]$')]) AS groups, product_name_ko || '|' || product_name_en AS joined FROM items")
+def d19_segments(spark, d):
+    ko, en = (names.segments(c) for c in _names())
+    groups = F.size(F.filter(F.concat(ko, en), lambda s: s["is_group"])).cast("long")
+    whole = lambda s: F.array_join(F.transform(s, lambda x: x["text"]), "")
+    return ledger.items(spark, d).select("item_id", groups.alias("groups"), F.concat(whole(ko), F.lit("|"), whole(en)).alias("joined"))
+
+
+@query(_ITEMS + f"SELECT item_id, array_to_string([t FOR t IN {rules._tokens('product_name_en')} IF t <> ''], '|') tokens, len([t FOR t IN {rules._tokens('product_name_en')} IF {rules._code('t')}]) AS codes FROM items")
+def d20_tokens(spark, d):
+    t = names.name_tokens(F.col("product_name_en"))
+    return ledger.items(spark, d).select("item_id", F.array_join(t, "|").alias("tokens"), F.size(F.filter(t, names.is_code_token)).cast("long").alias("codes"))
+
+
+@query(_named("display_ko display_name_ko, display_en display_name_en"))
+def d22_display_names(spark, d):
+    return _normalized(spark, d, "display_name_ko", "display_name_en").select("item_id", "display_name_ko", "display_name_en")
+
+
+@query(_named("base_ko base_name_ko, base_en base_name_en"))
+def d23_base_names(spark, d):
+    return _normalized(spark, d, "base_name_ko", "base_name_en").select("item_id", "base_name_ko", "base_name_en")
+
+
+@query(_named("alcohol_ko alcohol_name_ko, alcohol_en alcohol_name_en, CASE WHEN abv = floor(abv) THEN CAST(CAST(abv AS BIGINT) AS VARCHAR) ELSE CAST(abv AS VARCHAR) END || '%' alcohol_abv"))
+def d24_alcohol_names(spark, d):
+    return _normalized(spark, d, "alcohol_name_ko", "alcohol_name_en", "alcohol_abv").select("item_id", "alcohol_name_ko", "alcohol_name_en", "alcohol_abv")
+
+
+@query(_named("key_ko search_key_ko, key_en search_key_en, sku_key"))
+def d28_sku_key(spark, d):
+    return _normalized(spark, d, "search_key_ko", "search_key_en", "sku_key").select("item_id", "search_key_ko", "search_key_en", "sku_key")
+
+
+@query(_named("reasons"))
+def d30_reasons(spark, d):
+    return _normalized(spark, d, "review_reasons").select("item_id", F.array_join("review_reasons", ",").alias("reasons"))
+
+
+@query(rules.NAMES + " SELECT sku_key, count(*) n, count(DISTINCT base_en) names, count(DISTINCT ml) volumes, count(DISTINCT abv) strengths FROM d WHERE sku_key IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def d36_candidate_groups(spark, d):
+    return report.candidate_groups(_normalized(spark, d, "sku_key", "base_name_en", "unit_volume_ml", "abv_percent"))
+
+
+@query(rules.NAMES + """ SELECT count(*) total, count(*) FILTER (base_ko = ko AND base_en = en) unchanged, round(count(*) FILTER (base_ko = ko AND base_en = en) * 100.0 / count(*), 2) unchanged_pct FROM d""")
+def q6_unchanged_names(spark, d):
+    return quality.unchanged_names(_normalized(spark, d, "base_name_ko", "base_name_en"), ledger.items(spark, d))
+
+
+@query(rules.NAMES + """, v AS (SELECT 'normalization-v3' rule_version, sku_key, normalization_status FROM d UNION ALL SELECT 'normalization-v2', CASE WHEN item_id % 10 > 0 THEN sku_key END, normalization_status FROM d)
+ SELECT rule_version, count(*) total, count(DISTINCT sku_key) sku_keys, round(count(*) FILTER (normalization_status = 'REVIEW_REQUIRED') * 100.0 / count(*), 2) review_pct FROM v GROUP BY 1""")
+def q13_version_drift(spark, d):
+    """The rows of this version against the same rows as an earlier version that lacked some keys."""
+    new = _normalized(spark, d, "rule_version", "sku_key", "normalization_status")
+    old = new.withColumns({"rule_version": F.lit("normalization-v2"), "sku_key": F.when(F.col("item_id") % 10 > 0, F.col("sku_key"))})
+    return quality.version_drift(new.unionByName(old))
+
+
 @query(_ITEMS + """SELECT item_id, replace(replace(replace(replace(lower(product_name_ko), '스트랭스', '스트렝스'), '셰리', '쉐리'), '피니쉬', '피니시'), '바렐', '배럴') key_ko,
  replace(product_name_ko, ' ', '') IN ('위스키', '보드카', '브랜디', '리큐르', '일반증류주') generic_name, true AS generic_item FROM items""")
 def d26_keys(spark, d):
@@ -80,13 +148,13 @@ def d32_country(spark, d):
     return derive.with_country(ledger.items(spark, d), "manufacture_country_name", "made_in").select("item_id", "made_in_en", "made_in_alpha3", "made_in_unmapped")
 
 
-@query(_ITEMS + f"""SELECT count(*) processed, count(*) FILTER (s = 'NORMALIZED') normalized, count(*) FILTER (s = 'PARTIAL') partial, count(*) FILTER (s = 'REVIEW_REQUIRED') review,
- CAST(0 AS BIGINT) unparsed, CAST(0 AS BIGINT) remaining FROM (SELECT {_STATUS} s FROM items)""")
+@query(rules.NAMES + """ SELECT count(*) processed, count(*) FILTER (normalization_status = 'NORMALIZED') normalized, count(*) FILTER (normalization_status = 'PARTIAL') partial,
+ count(*) FILTER (normalization_status = 'REVIEW_REQUIRED') review, count(*) FILTER (normalization_status = 'UNPARSED') unparsed, CAST(0 AS BIGINT) remaining FROM d""")
 def d35_run_summary(spark, d):
-    return derive.run_summary(_normalized(spark, d))
+    return derive.run_summary(_normalized(spark, d, "normalization_status"))
 
 
-@query(_ITEMS + r"""SELECT item_id, CAST(CASE item_id % 14 WHEN 1 THEN 12 WHEN 12 THEN 15 END AS INTEGER) age, trim(regexp_replace(lower(regexp_replace(regexp_replace(
+@query(_ITEMS + r"""SELECT item_id, CAST(nullif(regexp_extract(product_name_en, '(?i)(?:\baged\s*)?([1-9][0-9]?)\s*(?:yo|y\.o\.?|y(?:ears?)?(?:\s*old)?)\b', 1), '') AS INTEGER) age, trim(regexp_replace(lower(regexp_replace(regexp_replace(
  regexp_replace(product_name_en, '(?:\baged\s*)?([1-9][0-9]?)\s*(?:yo|y\.o\.?|y(?:ears?)?(?:\s*old)?)\b', ' ', 'gi'), '\b[0-9]{1,3}(?:\.[0-9]+)?\s*(?:%|abv)\b', ' ', 'gi'),
  '\b([0-9]{1,4}(?:\.[0-9]+)?)\s*(ml|cl|l)\b', ' ', 'gi')), '[^a-z0-9]+', ' ', 'g')) base_key FROM items""")
 def e2_name_features(spark, d):
@@ -94,7 +162,8 @@ def e2_name_features(spark, d):
     return ledger.items(spark, d).select("item_id", f["age"].alias("age"), f["base_key"].alias("base_key"))
 
 
-@query(_ITEMS + f"SELECT item_id, CAST(CASE {_M} WHEN 3 THEN NULL WHEN 13 THEN NULL ELSE {_VOL} END AS INTEGER) volume_ml, CASE item_name WHEN '위스키' THEN 'WHISKY' WHEN '브랜디' THEN 'BRANDY' WHEN '리큐르' THEN 'LIQUEUR' END category FROM items")
+@query(_ITEMS + r"""SELECT item_id, CAST(floor(CAST(nullif(regexp_extract(product_name_en, v, 1), '') AS DOUBLE) * CASE lower(regexp_extract(product_name_en, v, 2)) WHEN 'l' THEN 1000 WHEN 'cl' THEN 10 ELSE 1 END + 0.5) AS INTEGER) volume_ml,
+ CASE item_name WHEN '위스키' THEN 'WHISKY' WHEN '브랜디' THEN 'BRANDY' WHEN '리큐르' THEN 'LIQUEUR' WHEN '와인' THEN 'WINE' END category FROM (SELECT *, '(?i)\b([0-9]{1,4}(?:\.[0-9]+)?)\s*(ml|cl|l)\b' v FROM items)""".replace("\\\\", "\\"))
 def e5_volume_category(spark, d):
     return ledger.items(spark, d).select("item_id", features.parse_volume_ml(F.col("product_name_en")).alias("volume_ml"), features.category_group(F.col("item_name")).alias("category"))
 
@@ -127,21 +196,19 @@ def e23_region_prior(spark, d):
 
 
 @query("""WITH l AS (SELECT concat_ws(chr(31), CASE WHEN p_partkey IS NULL THEN 'null' ELSE 'v:' || p_partkey END, CASE WHEN p_name IS NULL THEN 'null' ELSE 'v:' || p_name END) x FROM part)
- SELECT 'ledger-matching-v1:' || substr(sha256(count(*) || ':' || CAST(sum(CAST('0x' || substr(sha256(x), 1, 8) AS BIGINT)) AS BIGINT)), 1, 32) AS version FROM l""")
+ SELECT 'ledger-matching-v1:' || substr(sha256(count(*) || ':' || CAST(sum(CAST('0x' || substr(sha256(x), 1, 15) AS BIGINT)) AS VARCHAR) || ':' || CAST(sum(CAST('0x' || substr(sha256(x), 16, 15) AS BIGINT)) AS VARCHAR)), 1, 32) AS version FROM l""")
 def e29_matching_version(spark, d):
     return features.matching_version(spark.read.parquet(f"{d}/part.parquet"), ["p_partkey", "p_name"], "ledger-matching-v1")
 
 
-@query(_ITEMS + f"SELECT count(DISTINCT (lower(product_name_ko), lower(product_name_en))) distinct_keys, count(*) filled FROM items WHERE {_VOL} IS NOT NULL")
+@query(rules.NAMES + " SELECT count(DISTINCT sku_key) distinct_keys, count(sku_key) filled FROM d")
 def q3_sku_counts(spark, d):
-    return quality.sku_counts(_normalized(spark, d))
+    return quality.sku_counts(_normalized(spark, d, "sku_key"))
 
 
-@query(_ITEMS + f"""SELECT count(*) FILTER (s = 'REVIEW_REQUIRED') review_required, round(count(*) FILTER (s = 'REVIEW_REQUIRED') * 100.0 / count(*), 2) review_required_pct,
- count(*) FILTER (s = 'PARTIAL') partial, round(count(*) FILTER (s = 'PARTIAL') * 100.0 / count(*), 2) partial_pct, count(*) FILTER (s = 'NORMALIZED') normalized,
- round(count(*) FILTER (s = 'NORMALIZED') * 100.0 / count(*), 2) normalized_pct, CAST(0 AS BIGINT) unparsed, CAST(0 AS DOUBLE) unparsed_pct FROM (SELECT {_STATUS} s FROM items)""")
+@query(rules.NAMES + " SELECT " + ", ".join(f"count(*) FILTER (normalization_status = '{x}') {x.lower()}, round(count(*) FILTER (normalization_status = '{x}') * 100.0 / count(*), 2) {x.lower()}_pct" for x in ("REVIEW_REQUIRED", "PARTIAL", "NORMALIZED", "UNPARSED")) + " FROM d")
 def q4_status_shares(spark, d):
-    return quality.status_shares(_normalized(spark, d))
+    return quality.status_shares(_normalized(spark, d, "normalization_status"))
 
 
 @query(_ITEMS + r"SELECT count(*) FILTER (regexp_matches(product_name_en, '\([^)]*\(')) AS nested, count(*) FILTER (regexp_matches(product_name_en, '\([^)]*\).*\(')) AS several, count(*) total FROM items")
@@ -149,9 +216,9 @@ def q9_nested_brackets(spark, d):
     return quality.nested_brackets(ledger.items(spark, d), "product_name_en")
 
 
-@query(_ITEMS + f"SELECT count(*) FILTER (regexp_matches(product_name_en, '[,/] *[,/]')) repeated_separators, count(*) FILTER (regexp_matches(product_name_en, '\\( *\\)|\\[ *\\]')) empty_brackets, count(*) FILTER (regexp_matches(product_name_en, '^ *[,/]|[,/] *$')) orphan_separators, count(*) total FROM items WHERE {_STATUS} = 'NORMALIZED'")
+@query(rules.NAMES + " SELECT count(*) FILTER (regexp_matches(base_en, '[,/] *[,/]')) repeated_separators, count(*) FILTER (regexp_matches(base_en, '\\( *\\)|\\[ *\\]')) empty_brackets, count(*) FILTER (regexp_matches(base_en, '^ *[,/]|[,/] *$')) orphan_separators, count(*) total FROM d WHERE normalization_status = 'NORMALIZED'")
 def q11_normalized_debris(spark, d):
-    return quality.debris(_normalized(spark, d).where("normalization_status = 'NORMALIZED'"), "product_name_en")
+    return quality.debris(_normalized(spark, d, "normalization_status", "base_name_en").where("normalization_status = 'NORMALIZED'"), "base_name_en")
 
 
 @query(_ITEMS + "SELECT class, item_id FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY item_id) rn FROM (SELECT item_id, CASE WHEN contains(product_name_en, '#') THEN 'marker' WHEN contains(product_name_en, '/') THEN 'slash' END AS class FROM items) WHERE class IS NOT NULL) WHERE rn <= 3")
@@ -160,18 +227,17 @@ def q12_defect_samples(spark, d):
     return quality.defect_samples(ledger.items(spark, d), F.when(en.contains("#"), "marker").when(en.contains("/"), "slash"), "item_id")
 
 
-@query(_ITEMS + f"""SELECT item_id, coalesce(nullif(trim(product_name_ko), ''), nullif(trim(product_name_en), ''), '미분류') product_key, CAST({_VOL} AS INTEGER) volume_key,
- nullif(concat_ws(' · ', CASE WHEN {_M} = 11 THEN 'CASK STRENGTH' END, CASE WHEN {_M} = 11 THEN '구형' END, CASE WHEN {_M} = 6 THEN CAST(p_size AS VARCHAR) END), '') variant_key FROM items""")
+@query(_named("""coalesce(nullif(base_ko, ''), nullif(base_en, ''), '미분류') product_key, ml volume_key,
+ nullif(concat_ws(' · ', strength_type, version_marker, edition_name, cask_number, batch_number, CAST(age_years AS VARCHAR), CAST(vintage_year AS VARCHAR)), '') variant_key"""))
 def h7_three_keys(spark, d):
-    return quality.three_keys(_normalized(spark, d))
+    return quality.three_keys(_normalized(spark, d, "base_name_ko", "base_name_en", "unit_volume_ml", "strength_type", "version_marker", "edition_name", "cask_number", "batch_number", "age_years", "vintage_year"))
 
 
-@query(_ITEMS + f"""SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY k) - 1 AS INTEGER) AS position, line FROM (
- SELECT item_id, 1 k, 'unit_volume_ml: ' || ({_VOL}) line FROM items UNION ALL SELECT item_id, 2, 'age_years: ' || (CASE {_M} WHEN 1 THEN 12 WHEN 12 THEN 15 END) FROM items
- UNION ALL SELECT item_id, 3, CASE WHEN {_M} = 6 THEN 'batch_number: ' || p_size END FROM items UNION ALL SELECT item_id, 4, CASE WHEN {_M} = 11 THEN 'strength_type: CASK STRENGTH' END FROM items
- UNION ALL SELECT item_id, 5, CASE WHEN {_M} = 8 THEN 'reason: PROOF_REVIEW' END FROM items) WHERE line IS NOT NULL""")
+@query(rules.NAMES + """, l AS (SELECT item_id, [x FOR x IN [CASE WHEN ml IS NOT NULL THEN 'unit_volume_ml: ' || volume_raw || ' -> ' || ml END, CASE WHEN age_years IS NOT NULL THEN 'age_years: ' || age_years END,
+  CASE WHEN batch_number IS NOT NULL THEN 'batch_number: ' || batch_number END, CASE WHEN strength_type IS NOT NULL THEN 'strength_type: ' || strength_type END] IF x IS NOT NULL] || [('reason: ' || x) FOR x IN string_split(reasons, ',') IF x <> ''] lines FROM d)
+ SELECT item_id, CAST(unnest(range(len(lines))) AS INTEGER) AS position, unnest(lines) line FROM l""")
 def h10_evidence_lines(spark, d):
-    return quality.evidence_lines(_normalized(spark, d))
+    return quality.evidence_lines(_normalized(spark, d, "volume_raw", "unit_volume_ml", "age_years", "batch_number", "strength_type", "review_reasons"))
 
 
 @query(_ITEMS + "SELECT count(*) declarations, count(DISTINCT product_name_en) products, count(DISTINCT item_name) kinds, min(rcno) first_rcno, max(rcno) last_rcno FROM items WHERE trim(importer_name) = '(주)IMP0'")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.text import percent, tokens
-from tallybook.operators import cdc, importers, match, normalize, quality, reconcile, report
+from tallybook.operators import cdc, importers, normalize, quality, reconcile, report
+from tallybook.plans import rules
 from tallybook.sources import ledger
 
 QUERIES: dict = {}
@@ -145,58 +146,65 @@ def c5_reconcile_tasks(spark, d):
     return reconcile.reconcile_tasks(_recon(spark, d))
 
 
-def _normalized(spark, d):
-    return normalize.normalize(ledger.items(spark, d))
+def _normalized(spark, d, *columns):
+    return normalize.normalize(ledger.items(spark, d), *columns)
 
 
-_VOL = """CASE item_id % 14 WHEN 0 THEN 700 WHEN 1 THEN 1750 WHEN 2 THEN 500 WHEN 3 THEN 4000 WHEN 4 THEN 250 WHEN 6 THEN 700 WHEN 9 THEN 1750 WHEN 11 THEN 700 WHEN 12 THEN 700 WHEN 13 THEN 150 END"""
-_STATUS = "CASE WHEN item_id % 14 = 8 THEN 'REVIEW_REQUIRED' WHEN item_id % 5 = 4 THEN 'PARTIAL' ELSE 'NORMALIZED' END"
+def _fields(columns: str) -> str:
+    return rules.FIELDS + f" SELECT item_id, {columns} FROM r"
 
 
-@query(_ITEMS + f"""SELECT item_id, CAST({_VOL} AS INTEGER) unit_volume_ml, CAST(CASE WHEN item_id % 14 = 4 THEN 24 END AS INTEGER) package_count FROM items""")
+def _named(columns: str) -> str:
+    return rules.NAMES + f" SELECT {columns} FROM d"
+
+
+@query(_fields("unit_volume_ml, package_count"))
 def d1_volume(spark, d):
-    return _normalized(spark, d).select("item_id", "unit_volume_ml", "package_count")
+    return _normalized(spark, d, "unit_volume_ml", "package_count").select("item_id", "unit_volume_ml", "package_count")
 
 
-@query(_ITEMS + "SELECT item_id, CAST(CASE item_id % 14 WHEN 1 THEN 12 WHEN 12 THEN 15 END AS INTEGER) age_years, CAST(nullif(regexp_extract(product_name_en, '([0-9]+) PROOF', 1), '') AS DOUBLE) proof FROM items")
+@query(_fields("age_years, proof"))
 def d8_age_proof(spark, d):
-    return _normalized(spark, d).select("item_id", "age_years", "proof")
+    return _normalized(spark, d, "age_years", "proof").select("item_id", "age_years", "proof")
 
 
-@query(_ITEMS + "SELECT item_id, CAST(nullif(regexp_extract(product_name_en, 'BATCH ([0-9]+)', 1), '') AS BIGINT) batch_number, CASE WHEN item_id % 14 = 11 THEN 'CASK STRENGTH' END strength_type, CASE WHEN contains(product_name_ko, '구형') THEN '구형' END version_marker FROM items")
+@query(_fields("batch_number, strength_type, version_marker"))
 def d14_batch_strength_version(spark, d):
-    return _normalized(spark, d).select("item_id", "batch_number", "strength_type", "version_marker")
+    return _normalized(spark, d, "batch_number", "strength_type", "version_marker").select("item_id", "batch_number", "strength_type", "version_marker")
 
 
-@query(_ITEMS + """SELECT item_id, try_cast(nullif(regexp_extract(expiry_text, '^([^~]*?)\\s*~', 1), '') AS DATE) expiry_first, try_cast(nullif(regexp_extract(expiry_text, '~\\s*(.*)$', 1), '') AS DATE) expiry_last FROM items""")
+@query(_fields("expiry_first, expiry_last"))
 def d17_expiry(spark, d):
-    return _normalized(spark, d).select("item_id", "expiry_first", "expiry_last")
+    return _normalized(spark, d, "expiry_first", "expiry_last").select("item_id", "expiry_first", "expiry_last")
 
 
-@query(_ITEMS + """SELECT item_id, trim(importer_name) importer_base, CASE WHEN starts_with(importer_name, '주식회사') THEN '주식회사' WHEN starts_with(importer_name, '(주)') THEN '(주)' END legal_form,
- CASE item_name WHEN '위스키' THEN 'Whisky' WHEN '브랜디' THEN 'Brandy' WHEN '일반증류주' THEN 'Spirits' ELSE 'Liqueur' END category_en FROM items""")
+@query(_fields("importer_base, legal_form, category_en"))
 def d18_company_category(spark, d):
-    return _normalized(spark, d).select("item_id", "importer_base", "legal_form", "category_en")
+    return _normalized(spark, d, "importer_base", "legal_form", "category_en").select("item_id", "importer_base", "legal_form", "category_en")
 
 
-@query(_ITEMS + f"SELECT item_id, {_STATUS} normalization_status FROM items")
+@query(_named("item_id, normalization_status"))
 def d29_status(spark, d):
-    return _normalized(spark, d).select("item_id", "normalization_status")
+    return _normalized(spark, d, "normalization_status").select("item_id", "normalization_status")
 
 
-@query(_ITEMS + f"""SELECT count(*) total, count(*) FILTER (item_id % 14 = 8) review, round(count(*) FILTER (item_id % 14 = 8) * 100.0 / count(*), 2) review_pct, CAST('2026-08-26' AS DATE) latest FROM items""")
+@query(_named("""count(*) total, count(*) FILTER (normalization_status = 'REVIEW_REQUIRED') review, round(count(*) FILTER (normalization_status = 'REVIEW_REQUIRED') * 100.0 / count(*), 2) review_pct,
+ count(*) FILTER (normalization_status <> 'UNPARSED') preserved, round(count(*) FILTER (normalization_status <> 'UNPARSED') * 100.0 / count(*), 2) preserved_pct, max(expiry_last) latest"""))
 def h1_overview(spark, d):
-    return report.overview(_normalized(spark, d))
+    return report.overview(_normalized(spark, d, "normalization_status", "expiry_last"))
 
 
-@query(_ITEMS + f"SELECT {_STATUS} normalization_status, count(*) n FROM items GROUP BY 1")
+@query(rules.NAMES + " SELECT normalization_status, count(*) n FROM d GROUP BY 1")
 def h2_status_counts(spark, d):
-    return report.counts_by(_normalized(spark, d), "normalization_status")
+    return report.counts_by(_normalized(spark, d, "normalization_status"), "normalization_status")
+
+
+_COVERED = ", ".join(f"count({c}) {c}" for c in report.COVERED)
 
 
-@query()
+@query(rules.NAMES + f", o AS (SELECT count(*) total, {_COVERED} FROM d) SELECT field, populated, total, round(populated * 100.0 / total, 2) pct FROM o UNPIVOT (populated FOR field IN ({', '.join(report.COVERED)}))")
 def h3_field_coverage(spark, d):
-    return report.field_coverage(_normalized(spark, d))
+    return report.field_coverage(_normalized(spark, d, *report.COVERED))
 
 
 @query(_OBS.rstrip(", ") + " SELECT strftime(processed_date, '%Y-%m') AS month, count(*) n FROM obs GROUP BY 1")
@@ -209,14 +217,14 @@ def h16_item_distribution(spark, d):
     return report.top_counts(ledger.items(spark, d), "item_name")
 
 
-@query()
+@query(rules.NAMES + " SELECT sku_key, unit_volume_ml, count(*) n, count(DISTINCT importer_base) importers FROM d WHERE sku_key IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY n DESC, sku_key LIMIT 20")
 def h17_sku_groups(spark, d):
-    return report.sku_groups(_normalized(spark, d))
+    return report.sku_groups(_normalized(spark, d, "sku_key", "unit_volume_ml", "importer_base"))
 
 
-@query(_ITEMS + "SELECT 'PROOF_REVIEW' reason, count(*) n FROM items WHERE item_id % 14 = 8")
+@query(rules.NAMES + """ SELECT reason, count(*) n FROM (SELECT unnest(string_split(reasons, ',')) reason FROM d WHERE normalization_status IN ('REVIEW_REQUIRED', 'PARTIAL') AND reasons <> '') GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""")
 def h18_review_reasons(spark, d):
-    return report.review_reasons(_normalized(spark, d))
+    return report.review_reasons(_normalized(spark, d, "normalization_status", "review_reasons"))
 
 
 @query(_OBS.rstrip(", ") + """, k AS (SELECT queried_item_name, rcno, count(*) r FROM obs GROUP BY 1, 2 HAVING count(*) > 1)
@@ -232,13 +240,16 @@ def q2_share(spark, d):
     return obs.groupBy("queried_item_name").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select("queried_item_name", "n", percent(F.col("n"), F.col("total")).alias("pct"))
 
 
-@query(_ITEMS + """SELECT count(*) FILTER (length(product_name_en) - length(replace(product_name_en, '(', '')) <> length(product_name_en) - length(replace(product_name_en, ')', ''))) unbalanced, count(*) total FROM items""")
+_BALANCE = ", ".join(f"count(*) FILTER (length({c}) - length(replace({c}, '(', '')) <> length({c}) - length(replace({c}, ')', ''))) {c}_unbalanced" for c in ("product_name_en", "display_name_en", "base_name_en"))
+
+
+@query(rules.NAMES + f", e AS (SELECT *, display_en display_name_en, base_en base_name_en FROM d) SELECT {_BALANCE}, count(*) total FROM e")
 def q7_bracket_balance(spark, d):
-    return report.bracket_balance(ledger.items(spark, d), "product_name_en")
+    return report.bracket_balance(_normalized(spark, d, "display_name_en", "base_name_en"), "product_name_en", "display_name_en", "base_name_en")
 
 
 @query("""WITH l AS (SELECT concat_ws(chr(31), CASE WHEN doc_id IS NULL THEN 'null' ELSE 'v:' || doc_id END, CASE WHEN text IS NULL THEN 'null' ELSE 'v:' || text END) x FROM documents)
- SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(sha256(x), 1, 8) AS BIGINT)) AS BIGINT) fingerprint FROM l""")
+ SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(sha256(x), 1, 15) AS BIGINT)) AS VARCHAR) || ':' || CAST(sum(CAST('0x' || substr(sha256(x), 16, 15) AS BIGINT)) AS VARCHAR) fingerprint FROM l""")
 def g1_table_fingerprint(spark, d):
     return report.fingerprint(spark.read.parquet(f"{d}/documents.parquet"), ["doc_id", "text"])
 
@@ -248,14 +259,6 @@ def e1_tokens(spark, d):
     return spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", F.array_join(tokens(F.col("s_name")), " ").alias("base_key"))
 
 
-@query()
-def e20_match_names(spark, d):
-    parts = spark.read.parquet(f"{d}/part.parquet")
-    names = parts.groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("input_id"))
-    refs = parts.groupBy(F.col("p_name").alias("name")).agg((F.min("p_partkey") + 1).alias("ref_id"))
-    return match.decide(match.score(names, refs))
-
-
 _LINKS = f"""WITH reg AS ({ledger.REGISTRY}), decl AS ({ledger.DECLARED}), gal AS ({ledger.GALLERY}),
 cand AS (SELECT business_name, count(DISTINCT code) candidates, CASE WHEN count(DISTINCT code) = 1 THEN min(code) END only_code FROM reg GROUP BY 1),
 seen AS (SELECT g.rcno, g.business_name, min(g.code) seen_code FROM gal g JOIN reg USING (business_name, code) GROUP BY 1, 2),
@@ -325,23 +328,22 @@ def c6_task_counters(spark, d):
     return quality.task_counters(ledger.observations(spark, d))
 
 
-_DIMS = f"""n AS (SELECT *, {_STATUS} normalization_status FROM items), long AS (UNPIVOT (SELECT item_id, item_name, importer_name, manufacture_country_name, normalization_status, normalization_status = 'REVIEW_REQUIRED' review FROM n)
+_DIMS = rules.NAMES + """, long AS (UNPIVOT (SELECT item_id, item_name, importer_name, manufacture_country_name, normalization_status, normalization_status = 'REVIEW_REQUIRED' review FROM d)
  ON item_name, importer_name, manufacture_country_name, normalization_status INTO NAME dimension VALUE value)"""
 
 
-@query(_ITEMS.rstrip() + ", " + _DIMS + " SELECT DISTINCT dimension, value FROM long")
+@query(_DIMS + " SELECT DISTINCT dimension, value FROM long UNION SELECT 'review_reason', unnest(string_split(reasons, ',')) FROM d WHERE reasons <> ''")
 def h4_vocabularies(spark, d):
     return quality.vocabularies(_with_status(spark, d))
 
 
-@query(_ITEMS.rstrip() + ", " + _DIMS + " SELECT dimension, value, count(*) n, count(*) FILTER (review) review FROM long GROUP BY 1, 2")
+@query(_DIMS + " SELECT dimension, value, count(*) n, count(*) FILTER (review) review FROM long GROUP BY 1, 2")
 def h19_review_distribution(spark, d):
     return quality.review_distribution(_with_status(spark, d))
 
 
 def _with_status(spark, d):
-    status = _normalized(spark, d).select("item_id", "normalization_status", "review_reasons", "unit_volume_ml", "age_years", "proof", "batch_number")
-    return ledger.items(spark, d).join(status, "item_id")
+    return _normalized(spark, d, "normalization_status", "review_reasons", "unit_volume_ml")
 
 
 @query(_ITEMS + "SELECT item_id, product_name_en, item_name FROM items WHERE (contains(product_name_en, 'ml') OR contains(product_name_ko, 'ml')) AND item_name = '위스키' ORDER BY item_id DESC LIMIT 20 OFFSET 20")
@@ -360,9 +362,9 @@ def q1_row_key_counts(spark, d):
     return ledger.observations(spark, d).agg(F.count("*").alias("rows"), F.count_distinct("rcno").alias("keys"))
 
 
-@query(_ITEMS + f"SELECT count(*) total, round(count({_VOL}) * 100.0 / count(*), 2) unit_volume_ml_pct, round(count(*) FILTER (item_id % 14 IN (1, 12)) * 100.0 / count(*), 2) age_years_pct FROM items")
+@query(_named("count(*) total, round(count(unit_volume_ml) * 100.0 / count(*), 2) unit_volume_ml_pct, round(count(abv) * 100.0 / count(*), 2) abv_percent_pct, round(count(age_years) * 100.0 / count(*), 2) age_years_pct, round(count(vintage_year) * 100.0 / count(*), 2) vintage_year_pct"))
 def q5_extraction_rates(spark, d):
-    return quality.extraction_rates(_normalized(spark, d), ("unit_volume_ml", "age_years"))
+    return quality.extraction_rates(_normalized(spark, d, "unit_volume_ml", "abv_percent", "age_years", "vintage_year"), ("unit_volume_ml", "abv_percent", "age_years", "vintage_year"))
 
 
 @query(_ITEMS + r"""SELECT count(*) FILTER (regexp_matches(product_name_en, '\( *\)|\[ *\]')) empty_brackets, count(*) FILTER (regexp_matches(product_name_en, '[,/] *[,/]')) repeated_separators,
@@ -371,6 +373,6 @@ def q8_debris(spark, d):
     return quality.debris(ledger.items(spark, d), "product_name_en")
 
 
-@query(_ITEMS + f"SELECT count(*) FILTER (hit) matching, count(*) FILTER (hit AND {_VOL} IS NULL) missed FROM (SELECT *, regexp_matches(product_name_en, '[0-9] ?(ml|ML|mL|L)') hit FROM items)")
+@query(rules.FIELDS + "SELECT count(*) FILTER (hit) matching, count(*) FILTER (hit AND unit_volume_ml IS NULL) missed FROM (SELECT *, regexp_matches(en, '[0-9] ?(ml|ML|mL|L)') hit FROM r)")
 def q10_missed_volume(spark, d):
     return quality.missed(_with_status(spark, d), "product_name_en", "[0-9] ?(ml|ML|mL|L)", "unit_volume_ml")

@@ -10,9 +10,12 @@ ROWS = [
     ("고량주 250ML*2", None, 250, 2, None, None, None),
     ("가쿠빈 1920ML", None, 1920, None, None, None, None),
     ("글렌알라키 15년 구형", "GLENALLACHIE 15 YEAR OLD", None, None, 15, None, None),
-    ("배치 2", "BATCH 3", None, None, None, 2, None),
+    ("배치 No. 2", "BATCH 3", None, None, None, "2", None),
     ("위스키 700ml", "WHISKY 750ml", None, None, None, None, None),
     (None, "SPRINGBANK CASK STRENGHT 700ml", 700, None, None, None, "CASK STRENGTH"),
+    (None, "WHISKY,700ml CASK STRENGH", 700, None, None, None, "CASK STRENGTH"),
+    ("배럴 스트랭스", "700ml 50ml*2", None, None, None, None, "BARREL STRENGTH"),
+    ("12 년 위스키", "AGED 12", None, None, 12, None, None),
     (None, None, None, None, None, None, None),
     ("", "", None, None, None, None, None),
 ]
@@ -31,6 +34,7 @@ def test_fields(spark):
 @pytest.mark.parametrize("text,first,last,bad", [
     ("2025-06-03 ~", "2025-06-03", None, False), ("~ 2026-08-26", None, "2026-08-26", False), ("-", None, None, False),
     ("2026-02-30 ~", None, None, True), ("2026-02-30 ~ 2026-08-26", None, "2026-08-26", True), (None, None, None, False),
+    ("~", None, None, True), ("2025-06-03 ~ abc", None, None, True), ("text", None, None, True),
 ])
 def test_expiry(spark, text, first, last, bad):
     r = spark.createDataFrame([(text,)], "t string").select(normalize.parse_expiry(F.col("t")).alias("e")).first().e
