@@ -134,7 +134,7 @@ def q13_version_drift(spark, d):
 
 
 @query(_ITEMS + """SELECT item_id, replace(replace(replace(replace(lower(product_name_ko), '스트랭스', '스트렝스'), '셰리', '쉐리'), '피니쉬', '피니시'), '바렐', '배럴') key_ko,
- replace(product_name_ko, ' ', '') IN ('위스키', '보드카', '브랜디', '리큐르', '일반증류주') generic_name, true AS generic_item FROM items""")
+ replace(product_name_ko, ' ', '') IN ('위스키', '보드카', '브랜디', '리큐르', '일반증류주') generic_name, item_name IN ('위스키', '보드카', '브랜디', '리큐르', '일반증류주') AS generic_item FROM items""")
 def d26_keys(spark, d):
     ko, en = _names()
     generic = derive.is_generic(search_key(ko), search_key(en)).alias("generic_name")
@@ -162,7 +162,7 @@ def e2_name_features(spark, d):
     return ledger.items(spark, d).select("item_id", f["age"].alias("age"), f["base_key"].alias("base_key"))
 
 
-@query(_ITEMS + r"""SELECT item_id, CAST(floor(CAST(nullif(regexp_extract(product_name_en, v, 1), '') AS DOUBLE) * CASE lower(regexp_extract(product_name_en, v, 2)) WHEN 'l' THEN 1000 WHEN 'cl' THEN 10 ELSE 1 END + 0.5) AS INTEGER) volume_ml,
+@query(_ITEMS + r"""SELECT item_id, nullif(CAST(floor(CAST(nullif(regexp_extract(product_name_en, v, 1), '') AS DOUBLE) * CASE lower(regexp_extract(product_name_en, v, 2)) WHEN 'l' THEN 1000 WHEN 'cl' THEN 10 ELSE 1 END + 0.5) AS INTEGER), 0) volume_ml,
  CASE item_name WHEN '위스키' THEN 'WHISKY' WHEN '브랜디' THEN 'BRANDY' WHEN '리큐르' THEN 'LIQUEUR' WHEN '와인' THEN 'WINE' END category FROM (SELECT *, '(?i)\b([0-9]{1,4}(?:\.[0-9]+)?)\s*(ml|cl|l)\b' v FROM items)""".replace("\\\\", "\\"))
 def e5_volume_category(spark, d):
     return ledger.items(spark, d).select("item_id", features.parse_volume_ml(F.col("product_name_en")).alias("volume_ml"), features.category_group(F.col("item_name")).alias("category"))

@@ -45,7 +45,7 @@ GOLDEN = [
     ("글렌알라키 15년 구형", "GLENALLACHIE 15 YEAR OLD", {"version_marker": "구형", "base_name_en": "GLENALLACHIE", "age_years": 15}),
     ("싱글 몰트 스카치 위스키 / 135066GX0700615", "", {"material_code": "135066GX0700615", "base_name_ko": "싱글 몰트 스카치 위스키"}),
     ("조니워커 700ml (778061) L5293CA009", "", {"material_code": "778061", "lot_code": "L5293CA009"}),
-    ("/ 1107891", "(123456)", {"material_code": "123456"}),
+    ("술 / 1107891", "(123456) GIN", {"material_code": "123456"}),
     ("글렌알라키 싱글캐스크 (59.1%) (#9485)", "", {"cask_number": "9485", "abv_percent": 59.1}),
     ("라벨 5 블렌디드 스카치 위스키 (700mL)(40%)(L514755B)", "", {"unit_volume_ml": 700, "abv_percent": 40.0, "lot_code": "L514755B", "display_name_ko": "라벨 5 블렌디드 스카치 위스키 700ml 40%"}),
     ("푸쉬킨 너츠 & 누가 (천연향료(누가향1.03%,헤일즐넛향0.02%)함유)", "", {"display_name_ko": "푸쉬킨 너츠 & 누가 (천연향료(누가향1.03%,헤일즐넛향0.02%)함유)"}),
