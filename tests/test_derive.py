@@ -11,7 +11,7 @@ NAMES = "product_name_ko string, product_name_en string"
 STRENGTHS = [
     # ko, en, ingredient, strength, reasons
     ("인삼향 리큐르 인삼0.45% 주도38% 700ml", None, 0.45, 38.0, "ABV_COMPOSITION_CONTEXT"),
-    ("인삼 리큐르 인삼0.45%", "GINSENG LIQUEUR 0.45% 700ml", 0.45, None, "ABV_COMPOSITION_CONTEXT"),
+    ("인삼 리큐르 인삼0.45%", "GINSENG LIQUEUR 0.45% 700ml", 0.45, None, "ABV_COMPOSITION_CONTEXT,ABV_AMBIGUOUS_POSITION"),
     ("동북삼보주(주도38%)", None, None, 38.0, ""),
     ("위스키 40%", "WHISKY 43% VOL", None, None, "ABV_CONFLICT_BETWEEN_LANGUAGES"),
     (None, "WHISKY 85% VOL", None, None, "ABV_OUT_OF_AUTOMATIC_RANGE"),
