@@ -29,6 +29,7 @@ def brute(rows, positives=5, negatives=3):
 
 
 def run(spark, rows):
+    rows = [(i, v and [x if x is None else float(x) for x in v], lab) for i, v, lab in rows]
     df = spark.createDataFrame([(*r, 0, "x") for r in rows], "vec_id long, embedding array<double>, label int, id int, seq string").repartition(3)
     return sorted(tuple(r) for r in H.hard_negatives(df, Stages(spark, "t"), F.expr("vec_id % 50 = 0")).collect())
 
