@@ -18,6 +18,7 @@ import base64
 import codecs
 import os
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -119,21 +120,22 @@ class ByteBPE:
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Packed ids of each text."""
         for text in texts:
-            yield b"".join(self._slice(part) for part in (safe_slices(text, SLICE) if len(text) > SLICE else (text,)))
+            yield b"".join(self.encode_all([part])[0] for part in (safe_slices(text, SLICE) if len(text) > SLICE else (text,)))
 
-    def _slice(self, text: str) -> bytes:
-        pieces, memo = self.pieces(text), self.memo
-        new = [p for p in {*pieces} if p not in memo]
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of some texts, which are cut at once; the library gets the pieces that are new to the task."""
+        cut, memo = [self.pieces(text) for text in texts], self.memo
+        new = [p for p in {p for pieces in cut for p in pieces} if p not in memo]
         long: dict[str, bytes] = {}
         if new:
             if len(memo) + len(new) > MEMO:
                 memo.clear()
-                new = [*{*pieces}]
+                new = [*{p for pieces in cut for p in pieces}]
             for piece, found in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                (memo if len(piece) <= LONGEST else long)[piece] = np.array(found.ids, dtype="<u4").tobytes()
+                (memo if len(piece) <= LONGEST else long)[piece] = array("I", found.ids).tobytes()
         if long:
-            return b"".join(long[p] if p in long else memo[p] for p in pieces)
-        return b"".join(map(memo.__getitem__, pieces))
+            return [b"".join(long[p] if p in long else memo[p] for p in pieces) for pieces in cut]
+        return [b"".join(map(memo.__getitem__, pieces)) for pieces in cut]
 
     def decode(self, packed: bytes) -> bytes | None:
         """The bytes of packed ids; none if an id is outside the vocabulary."""

@@ -17,6 +17,7 @@ text, for one) has no tokens: zeros and an empty groups text; repeated rows get
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,11 @@ TOLD = 2_000_000
 #: Words and windows that a task remembers; code points and tokens of the longest among them.
 MEMO, LONGEST, TOKENS = 300_000, 64, 48
 SPACE = "▁"
+#: Bits of an id in a pair (A id, B id), and links of windows that a task remembers.
+ID_BITS, LINKS = 20, 4_000_000
+#: New words that are encoded in a row.
+ROW = 500
+NOTHING = np.zeros(0, np.int64)
 
 
 class Pieces:
@@ -43,11 +49,15 @@ class Pieces:
         self.model = m = SentencePieceProcessor(model_proto=data)
         names = [m.id_to_piece(i) for i in range(m.get_piece_size())]
         self.bytes = [bytes([int(p[3:5], 16)]) if m.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
+        self.space = array("I", [m.piece_to_id(SPACE)]).tobytes()
         probe = "ﬁ ①  é\t a"
         plain = m.normalize(probe) == SPACE + probe.replace(" ", SPACE)
         #: No merge goes from a character on to a space after it, so words encode alone as in their text.
         self.by_word = plain and not any(SPACE in p.lstrip(SPACE) for p in names)
 
+    def decode(self, packed: bytes) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+
 
 def words(text: str) -> list[str]:
     """A space and the text, cut before each space that follows a character other than white space, unless only white space is left."""
@@ -66,105 +76,158 @@ def words(text: str) -> list[str]:
     return out
 
 
+def gather(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Indices start[i], start[i] + 1, ... of all runs, one after the other."""
+    before = np.cumsum(count) - count
+    return np.repeat(start - before, count) + np.arange(count.sum())
+
+
 class Both:
-    """The two tokenizers of a task, with words and windows that were met before."""
+    """The two tokenizers of a task, with words and windows that were met before.
+
+    Window c has the groups text ``texts[c]``, ``groups[c]`` groups and the links ``flat[first[c] : first[c + 1]]``.
+    """
 
     def __init__(self, a_data: bytes, b_data: bytes, pattern: str):
         self.a, self.b = ByteBPE(a_data, pattern), Pieces(b_data)
+        if max(len(self.a.bytes), len(self.b.bytes)) > 1 << ID_BITS:
+            raise ValueError(f"ids need more than {ID_BITS} bits")
         self.length = tuple(np.array([len(x) for x in t.bytes], dtype=np.int64) for t in (self.a, self.b))
         self.spaced = tuple(np.array([x[:1] == b" " for x in t.bytes]) for t in (self.a, self.b))
+        self.decimal = [str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))]
         self.words: dict[str, tuple[bytes, bytes, bool]] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.windows: dict[bytes, int] = {}
+        self.windows: dict[tuple[bytes, bytes], int] = {}
         self.texts: list[str] = []
-        self.facts: list[tuple[int, int]] = []
-        self.pairs: list[np.ndarray] = []
-
-    def tokenise(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of A and B for a space and the text; none where the bytes differ."""
-        found = [self._word(w) for w in words(text)] if self.b.by_word else [self._fresh(" " + text)]
-        a, b = b"".join(f[0] for f in found), b"".join(f[1] for f in found)
-        a_ids, b_ids = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-        if not all(f[2] for f in found):
-            whole = (" " + text).encode()
-            if any(b"".join(map(t.bytes.__getitem__, ids.tolist())) != whole for t, ids in ((self.a, a_ids), (self.b, b_ids))):
-                return None
-        return a_ids, b_ids
-
-    def _fresh(self, word: str) -> tuple[bytes, bytes, bool]:
-        """Packed ids of A and B of a text that starts with a space, and whether both spell it."""
-        a = b"".join(self.a.encode([word]))
-        ids = self.b.model.encode(word[1:]) if len(word) > 1 else [self.b.model.piece_to_id(SPACE)]
-        raw = word.encode()
-        return a, np.array(ids, dtype="<u4").tobytes(), self.a.decode(a) == raw and b"".join(map(self.b.bytes.__getitem__, ids)) == raw
-
-    def _word(self, word: str) -> tuple[bytes, bytes, bool]:
-        found = self.words.get(word)
-        if found is None:
-            found = self._fresh(word)
-            if len(word) <= LONGEST:
-                if len(self.words) >= MEMO:
-                    self.words.clear()
-                self.words[word] = found
-        return found
-
-    def align(self, text: str | None) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
-        """n_a, n_b, n_groups, n_links, groups text, distinct pairs (A id * 2**32 + B id) and their links."""
-        ids = self.tokenise(text) if text else None
-        none = np.zeros(0, np.int64)
-        if ids is None or not len(ids[0]):
-            return 0, 0, 0, 0, "", none, none
-        if len(self.windows) > MEMO:
+        self.groups = np.zeros(0, np.int64)
+        self.first = np.zeros(1, np.int64)
+        self.flat = np.zeros(0, np.int64)
+
+    def tokenise(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Packed ids of A and B for a space and each text; none where the bytes differ."""
+        cut = [words(t) if self.b.by_word else [" " + t] for t in texts]
+        known = self.words
+        new = [w for w in {w for ws in cut for w in ws} if w not in known]
+        if len(known) + len(new) > MEMO:
+            known.clear()
+            new = [*{w for ws in cut for w in ws}]
+        fresh = self._fresh(new)
+        if any(len(w) > LONGEST for w in new):
+            known.update((w, f) for w, f in zip(new, fresh, strict=True) if len(w) <= LONGEST)
+            known = known | {w: f for w, f in zip(new, fresh, strict=True) if len(w) > LONGEST}
+        else:
+            known.update(zip(new, fresh, strict=True))
+        out: list[tuple[bytes, bytes] | None] = []
+        for t, ws in zip(texts, cut, strict=True):
+            found = [*map(known.__getitem__, ws)]
+            a, b = b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
+            agree = all([f[2] for f in found]) or self.a.decode(a) == self.b.decode(b) == (" " + t).encode()
+            out.append((a, b) if agree else None)
+        return out
+
+    def _fresh(self, new: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        """For texts that start with a space: packed ids of A and B, and whether both spell it.
+
+        Words that end in a character other than white space encode alike one by one and in a row, so rows of them are
+        encoded at once and cut at their bytes; if a row does not spell its words, they are encoded one by one.
+        """
+        out: dict[str, tuple[bytes, bytes, bool]] = {}
+        plain = [w for w in new if self.b.by_word and len(w) <= LONGEST and not w[-1].isspace() and SPACE not in w]
+        for k in range(0, len(plain), ROW):
+            row = plain[k : k + ROW]
+            joined = "".join(row)
+            cut = np.cumsum([len(w.encode()) for w in row])
+            parts = []
+            for side, packed in ((self.a, self.a.encode_all([joined])[0]), (self.b, array("I", self.b.model.encode(joined[1:])).tobytes())):
+                if side.decode(packed) != joined.encode():
+                    break
+                end = np.cumsum(self.length[side is self.b][np.frombuffer(packed, "<u4")])
+                at = (4 * np.searchsorted(end, cut) + 4).tolist()
+                parts.append([packed[s:e] for s, e in zip([0, *at], at, strict=False)])
+            if len(parts) == 2:
+                out.update(zip(row, zip(*parts, [True] * len(row), strict=True), strict=True))
+        for w in new:
+            if w not in out:
+                # the model puts the space before a text itself, but not before an empty one
+                x, y = b"".join(self.a.encode([w])), array("I", self.b.model.encode(w[1:])).tobytes() if len(w) > 1 else self.b.space
+                out[w] = (x, y, self.a.decode(x) == self.b.decode(y) == w.encode())
+        return [*map(out.__getitem__, new)]
+
+    def align(self, texts: list[str]) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
+        """For each text n_a, n_b, n_groups, n_links, groups text, distinct linked pairs and their links."""
+        if len(self.texts) > MEMO or len(self.flat) > LINKS:
             self.forget()
-        a, b = ids
+        found = self.tokenise(texts)
+        at = [i for i, f in enumerate(found) if f and texts[i]]
+        a, b = (np.frombuffer(b"".join(found[i][k] for i in at), "<u4").astype(np.int64) for k in (0, 1))
+        n_a, n_b = (np.array([len(found[i][k]) // 4 for i in at], dtype=np.int64) for k in (0, 1))
+        out = [(0, 0, 0, 0, "", NOTHING, NOTHING)] * len(texts)
+        if not at:
+            return out
+        # both sides spell the same bytes, so places of one text after the other stay comparable
         a_end, b_end = np.cumsum(self.length[0][a]), np.cumsum(self.length[1][b])
-        shared, ai, bi = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
-        ai, bi = ai + 1, bi + 1
-        inner = ai < len(a)
-        anchor = np.zeros(len(ai), bool)
-        anchor[inner] = self.spaced[0][a[ai[inner]]] & self.spaced[1][b[bi[inner]]]
-        anchor[-1] = True  # the end of the text
-        a_cut, b_cut = [0, *ai[anchor].tolist()], [0, *bi[anchor].tolist()]
-        a_raw, b_raw, known = a.tobytes(), b.tobytes(), self.windows
-        codes, own = [], []
-        for p, q, r, s in zip(a_cut, a_cut[1:], b_cut, b_cut[1:], strict=False):
-            key = b"%d|" % (q - p) + a_raw[4 * p : 4 * q] + b_raw[4 * r : 4 * s]
-            code = known.get(key)
-            if code is None:
-                window = self._window(a[p:q], b[r:s])
-                if q - p > TOKENS:  # rare: kept for this document alone
-                    own.append(window)
-                    code = -len(own)
-                else:
-                    code = known[key] = len(self.texts)
-                    self._keep(window)
-            codes.append(code)
-        groups = sum(self.facts[c][0] if c >= 0 else own[-c - 1][1] for c in codes)
-        text = ";".join([self.texts[c] if c >= 0 else own[-c - 1][0] for c in codes])
-        pairs = np.concatenate([self.pairs[c] if c >= 0 else own[-c - 1][2] for c in codes])
-        distinct, links = np.unique(pairs, return_counts=True)
-        return len(a), len(b), groups, len(pairs), text, distinct, links
-
-    def _keep(self, window: tuple[str, int, np.ndarray]) -> None:
-        self.texts.append(window[0])
-        self.facts.append((window[1], len(window[2])))
-        self.pairs.append(window[2])
-
-    def _window(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray]:
-        """Groups text, number of groups and linked pairs of one window."""
+        bi = np.searchsorted(b_end, a_end)
+        ai = np.flatnonzero(b_end[bi] == a_end)
+        bi = bi[ai]
+        text_end = np.zeros(len(a), bool)
+        text_end[np.cumsum(n_a) - 1] = True
+        spaced = self.spaced[0][np.append(a, 0)[ai + 1]] & self.spaced[1][np.append(b, 0)[bi + 1]]
+        anchor = spaced | text_end[ai]
+        a_cut, b_cut = np.append(0, ai[anchor] + 1), np.append(0, bi[anchor] + 1)
+        codes = self._codes(a, b, a_cut, b_cut)
+        links = self.first[codes + 1] - self.first[codes]
+        last = np.searchsorted(a_cut[1:], np.cumsum(n_a)) + 1
+        start = np.append(0, last[:-1])
+        text_of = np.repeat(np.repeat(np.arange(len(at)), last - start), links)
+        keys, counts = np.unique((text_of << (2 * ID_BITS)) | self.flat[gather(self.first[codes], links)], return_counts=True)
+        pairs = keys & ((1 << 2 * ID_BITS) - 1)
+        edge = np.searchsorted(keys >> (2 * ID_BITS), np.arange(len(at) + 1))
+        groups, n_links = (np.append(0, np.cumsum(x)) for x in (self.groups[codes], links))
+        listed = codes.tolist()
+        for k, i in enumerate(at):
+            s, e = start[k], last[k]
+            text = ";".join([self.texts[c] for c in listed[s:e]])
+            out[i] = (int(n_a[k]), int(n_b[k]), int(groups[e] - groups[s]), int(n_links[e] - n_links[s]), text, pairs[edge[k] : edge[k + 1]], counts[edge[k] : edge[k + 1]])
+        return out
+
+    def _codes(self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray) -> np.ndarray:
+        """The number of each window; windows that are not known are aligned together."""
+        a_raw, b_raw, known = a.astype("<u4").tobytes(), b.astype("<u4").tobytes(), self.windows
+        p, r = (4 * a_cut).tolist(), (4 * b_cut).tolist()
+        keys = [(a_raw[s:e], b_raw[u:v]) for s, e, u, v in zip(p, p[1:], r, r[1:], strict=False)]
+        codes, new, size = [*map(known.get, keys)], [], len(self.texts)
+        for i in [i for i, code in enumerate(codes) if code is None]:
+            codes[i] = known.get(keys[i])  # an earlier one of these windows may have the same ids
+            if codes[i] is None:
+                codes[i] = size + len(new)
+                new.append(i)
+                if len(keys[i][0]) <= 4 * TOKENS:
+                    known[keys[i]] = codes[i]
+        if new:
+            at = np.array(new)
+            n_a, n_b = np.diff(a_cut)[at], np.diff(b_cut)[at]
+            self._learn(a[gather(a_cut[at], n_a)], b[gather(b_cut[at], n_b)], n_a)
+        return np.array(codes, dtype=np.int64)
+
+    def _learn(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray) -> None:
+        """Groups and links of windows that lie one after the other, with ``n_a`` tokens of A each."""
         a_end, b_end = np.cumsum(self.length[0][a]), np.cumsum(self.length[1][b])
         run = np.union1d(a_end, b_end)
-        at_a, at_b = np.searchsorted(a_end, run), np.searchsorted(b_end, run)
-        pairs = (a.astype(np.int64)[at_a] << 32) | b.astype(np.int64)[at_b]
-        shared, ai, bi = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
-        a_text, b_text = [*map(str, a.tolist())], [*map(str, b.tolist())]
-        out, p, r = [], 0, 0
-        for q, s in zip((ai + 1).tolist(), (bi + 1).tolist(), strict=True):
-            out.append(",".join(a_text[p:q]) + "|" + ",".join(b_text[r:s]))
-            p, r = q, s
-        return ";".join(out), len(out), pairs
+        pairs = (a[np.searchsorted(a_end, run)] << ID_BITS) | b[np.searchsorted(b_end, run)]
+        bi = np.searchsorted(b_end, a_end)
+        ai = np.flatnonzero(b_end[bi] == a_end)
+        q, s = (ai + 1).tolist(), (bi[ai] + 1).tolist()
+        a_text, b_text = ([*map(self.decimal.__getitem__, x.tolist())] for x in (a, b))
+        groups = [",".join(a_text[w:x]) + "|" + ",".join(b_text[y:z]) for w, x, y, z in zip([0, *q], q, [0, *s], s, strict=False)]
+        window_end = np.cumsum(n_a) - 1
+        group_end = np.searchsorted(ai, window_end) + 1
+        cut = group_end.tolist()
+        self.texts += [";".join(groups[x:y]) for x, y in zip([0, *cut], cut, strict=False)]
+        self.groups = np.append(self.groups, np.diff(group_end, prepend=0))
+        self.first = np.append(self.first, self.first[-1] + np.searchsorted(run, a_end[window_end]) + 1)
+        self.flat = np.append(self.flat, pairs)
 
 
 FACTS = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, links array<long>"
@@ -181,7 +244,7 @@ def align(df: DataFrame, key: str, text: str, a_vocabulary: str, b_model: str, p
         both = made(Both, files[0].value, files[1].value, pattern)
         kinds = [*[pa.int64()] * 4, pa.string(), *[pa.list_(pa.int64())] * 2]
         for batch in (part for whole in batches for part in parts(whole, "text")):
-            rows = [both.align(t.as_py()) for t in batch.column("text")]
+            rows = both.align(batch.column("text").to_pylist())
             cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), *cols], names=[key, *(f.split()[0] for f in FACTS.split(", "))])
 
@@ -201,7 +264,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(n)], names=["pair", "n"])
 
     counts = aligned.select("pairs", "links").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    most = F.max("n").over(Window.partitionBy(F.expr("pair & 4294967295")))
+    most = F.max("n").over(Window.partitionBy(F.expr(f"pair & {(1 << ID_BITS) - 1}")))
     return counts.withColumn("best", F.col("n") == most)
 
 

@@ -141,9 +141,9 @@ def brute(values):
     return out
 
 
-@pytest.mark.parametrize(("told", "memo", "longest"), [(T.TOLD, T.MEMO, T.TOKENS), (0, 5, 1)])
-def test_alignment_equals_brute_force(spark, monkeypatch, told, memo, longest):
-    for name, value in (("TOLD", told), ("MEMO", memo), ("TOKENS", longest)):
+@pytest.mark.parametrize(("told", "memo", "longest", "row"), [(T.TOLD, T.MEMO, T.TOKENS, T.ROW), (0, 5, 1, 7)])
+def test_alignment_equals_brute_force(spark, monkeypatch, told, memo, longest, row):
+    for name, value in (("TOLD", told), ("MEMO", memo), ("TOKENS", longest), ("ROW", row)):
         monkeypatch.setattr(T, name, value)
     values = texts(60)
     want = brute(values)
@@ -163,9 +163,9 @@ def test_words_encode_as_in_their_text():
     for t in texts(400, seed=9):
         if t:
             assert "".join(T.words(t)) == " " + t
-            whole = both._fresh(" " + t)
-            assert b"".join(both._word(w)[0] for w in T.words(t)) == whole[0]
-            assert b"".join(both._word(w)[1] for w in T.words(t)) == whole[1]
+            a, b = next(both.a.encode([" " + t])), both.b.model.encode(t)
+            found = both._fresh(T.words(t))
+            assert b"".join(f[0] for f in found) == a and np.frombuffer(b"".join(f[1] for f in found), "<u4").tolist() == b
 
 
 def test_token_operators_on_empty_tables(spark):
