@@ -170,13 +170,13 @@ def made(kind: type, *args):
     return _made[key]
 
 
-def parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows with at most ``PART`` bytes in ``column``, or one row."""
+def parts(batch: pa.RecordBatch, column: str, most: int = PART) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with at most ``most`` bytes in ``column``, or one row."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
     first = 0
     while first < batch.num_rows:
         before = size[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(size, before + PART, side="right")))
+        last = max(first + 1, int(np.searchsorted(size, before + most, side="right")))
         yield batch.slice(first, last - first)
         first = last
 

@@ -31,12 +31,12 @@ from .tables import Stages
 #: Pairs of ids that a corpus may hold to be told to all tasks: 16 bytes each.
 TOLD = 2_000_000
 #: Words and windows that a task remembers; code points and tokens of the longest among them.
-MEMO, LONGEST, TOKENS = 300_000, 64, 48
+MEMO, LONGEST, TOKENS = 120_000, 64, 48
 SPACE = "▁"
 #: Bits of an id in a pair (A id, B id), and links of windows that a task remembers.
 ID_BITS, LINKS = 20, 4_000_000
-#: New words that are encoded in a row.
-ROW = 500
+#: New words that are encoded in a row, and bytes of texts that are aligned at once.
+ROW, BLOCK = 500, 1 << 20
 NOTHING = np.zeros(0, np.int64)
 
 
@@ -243,7 +243,7 @@ def align(df: DataFrame, key: str, text: str, a_vocabulary: str, b_model: str, p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = made(Both, files[0].value, files[1].value, pattern)
         kinds = [*[pa.int64()] * 4, pa.string(), *[pa.list_(pa.int64())] * 2]
-        for batch in (part for whole in batches for part in parts(whole, "text")):
+        for batch in (part for whole in batches for part in parts(whole, "text", BLOCK)):
             rows = both.align(batch.column("text").to_pylist())
             cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), *cols], names=[key, *(f.split()[0] for f in FACTS.split(", "))])
