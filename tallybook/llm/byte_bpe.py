@@ -137,6 +137,10 @@ class ByteBPE:
             return [b"".join(long[p] if p in long else memo[p] for p in pieces) for pieces in cut]
         return [b"".join(map(memo.__getitem__, pieces)) for pieces in cut]
 
+    def encode_once(self, text: str) -> bytes:
+        """Packed ids of a text whose pieces the task is not to remember."""
+        return array("I", self.model.encode_batch_fast([self.pieces(text)], is_pretokenized=True, add_special_tokens=False)[0].ids).tobytes()
+
     def decode(self, packed: bytes) -> bytes | None:
         """The bytes of packed ids; none if an id is outside the vocabulary."""
         ids = np.frombuffer(packed, dtype="<u4")
