@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybook.functions.lineage import cut
 from tallybook.functions.text import contains_run, jaccard, nfkc, tokens
 from tallybook.operators.features import category_group, name_features, near_spellings, parse_age, parse_volume_ml
 
@@ -26,8 +27,6 @@ WEIGHTS = {
 ALCOHOL_THRESHOLD, ALCOHOL_MARGIN, REFERENCE_THRESHOLD, REFERENCE_MARGIN = 10.0, 3.0, 7.0, 2.0
 CONFLICTS = ("age_conflict", "abv_conflict", "reference_age_name_conflict", "reference_age_attribute_conflict", "category_conflict")
 TOP = 3
-#: Ancestors of a region are followed so far; cycles end there.
-LEVELS = 8
 EVIDENCE = "struct<kind:string,source:string,input_value:string,reference_value:string,rule:string,weight:double,upstream_id:bigint>"
 
 
@@ -224,13 +223,19 @@ def region_prior(alcohols: DataFrame, distilleries: DataFrame, regions: DataFram
 
 
 def region_ancestors(regions: DataFrame) -> DataFrame:
-    """(id, ancestor) for every parent of a region, its parent and so on; the tree has few levels, and a region is no ancestor of itself."""
-    parent = regions.where("parent_id > 0 and parent_id <> id and id > 0").select("id", F.col("parent_id").alias("ancestor"))
-    out = step = parent
-    for _ in range(LEVELS - 1):
-        step = step.join(parent.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next")), "ancestor").select("id", F.col("next").alias("ancestor"))
-        out = out.unionByName(step)
-    return out.where("id <> ancestor").distinct()
+    """(id, ancestor) for every parent of a region, its parent and so on, whatever the depth.
+
+    Each round joins the pairs known so far with themselves, so paths double in length: a chain of n regions takes log2(n) rounds.  In a
+    cycle pairs repeat, so rounds end there too; a region is no ancestor of itself.
+    """
+    pairs = cut(regions.where("parent_id > 0 and parent_id <> id and id > 0").select("id", F.col("parent_id").alias("ancestor")).distinct())
+    known = pairs.count()
+    while True:
+        step = pairs.join(pairs.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next")), "ancestor").select("id", F.col("next").alias("ancestor"))
+        pairs = cut(pairs.unionByName(step).distinct())
+        before, known = known, pairs.count()
+        if known == before:
+            return pairs.where("id <> ancestor")
 
 
 def country_root(inputs: DataFrame, index: DataFrame, regions: DataFrame) -> DataFrame:
@@ -255,10 +260,10 @@ def decide_reference(ranked: DataFrame, pointed: DataFrame) -> DataFrame:
     return d.withColumns({"selected_id": chosen, "source": source})
 
 
-def score_alcohols(inputs: DataFrame, alcohols: DataFrame, index: DataFrame) -> DataFrame:
-    """Scored candidates (input_id, id, evidence, score, strength, direct) of products."""
+def score_alcohols(inputs: DataFrame, alcohols: DataFrame, index: DataFrame, by_name: DataFrame | None = None) -> DataFrame:
+    """Scored candidates (input_id, id, evidence, score, strength, direct) of products; ``by_name`` is the name evidence if it is known."""
     own = index.where("entity = 'ALCOHOL'")
-    found = name_evidence(input_names(inputs), own).drop("entity")
+    found = (name_evidence(input_names(inputs), own) if by_name is None else by_name.where("entity = 'ALCOHOL'")).drop("entity")
     names = own.groupBy("id").agg(F.collect_list("tokens").alias("ref_names"))  # two names and a few aliases each
     refs = reference_age(alcohols.where("id > 0 and deleted_at is null")).join(names, "id").select(
         "id", "ref_names", "ref_age", "ref_conflict", F.col("abv_percent").alias("ref_abv"), parse_volume_ml(F.col("volume")).alias("ref_volume"),
@@ -282,16 +287,20 @@ def _added(scored: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def match(inputs: DataFrame, alcohols: DataFrame, distilleries: DataFrame, regions: DataFrame, aliases: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Ranked candidates and decisions of products, then makers, then regions: {"alcohol": (ranked, decided), ...} and the consensus."""
-    inputs, index = with_name_set(inputs), build_name_index(alcohols, distilleries, regions, aliases)
-    ranked = rank(score_alcohols(inputs, alcohols, index))
-    decided = decide_alcohol(ranked)
-    shared = consensus(ranked, alcohols)
-    names = input_names(inputs)
+    """Ranked candidates and decisions of products, then makers, then regions: {"alcohol": (ranked, decided), ...} and the consensus.
+
+    Each stage is written once and read by those after it, so no plan holds more than one stage.
+    """
+    inputs, index = cut(with_name_set(inputs)), cut(build_name_index(alcohols, distilleries, regions, aliases))
+    alcohols, distilleries, regions = cut(alcohols), cut(distilleries), cut(regions)
+    by_name = cut(name_evidence(input_names(inputs), index))
+    ranked = cut(rank(score_alcohols(inputs, alcohols, index, by_name)))
+    decided = cut(decide_alcohol(ranked))
+    shared = cut(consensus(ranked, alcohols))
     keys = inputs.select("input_id", "name_set")
 
     def direct(entity: str) -> DataFrame:
-        found = name_evidence(names, index.where(F.col("entity") == entity))
+        found = by_name.where(F.col("entity") == entity)
         return score(keys.join(found, "name_set").select("input_id", "id", F.array("e").alias("evidence")))
 
     def pointed(column: str, known: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -300,8 +309,8 @@ def match(inputs: DataFrame, alcohols: DataFrame, distilleries: DataFrame, regio
         return p, p.where("exists").select("input_id", "id", F.lit(0).alias("ord"), e.alias("e"))
 
     to_maker, maker_more = pointed("distillery_id", distilleries)
-    makers = rank(_added(direct("DISTILLERY"), maker_more))
-    maker_decided = decide_reference(makers, to_maker)
+    makers = cut(rank(_added(direct("DISTILLERY"), maker_more)))
+    maker_decided = cut(decide_reference(makers, to_maker))
     to_region, region_more = pointed("region_id", regions)
     prior = maker_decided.where("selected_id is not null").select("input_id", F.col("selected_id").alias("distillery_id")).join(region_prior(alcohols, distilleries, regions), "distillery_id")
     from_prior = prior.select("input_id", F.col("region_id").alias("id"), F.lit(1).alias("ord"), evidence(
@@ -310,8 +319,9 @@ def match(inputs: DataFrame, alcohols: DataFrame, distilleries: DataFrame, regio
     parents = above.select("input_id", "id", F.lit(2).alias("ord"), evidence("region_parent_compatible", F.col("child").cast("string"), None, None, "REGION_PARENT", WEIGHTS["parent_compatible"], F.col("child")).alias("e"))
     roots = country_root(inputs, index, regions).select("input_id", "id", F.lit(3).alias("ord"), evidence(
         "region_from_country_root", "manufacture_country", F.col("country"), F.col("name"), "COUNTRY_ROOT", WEIGHTS["country_root"]).alias("e"))
-    areas = rank(_added(direct("REGION"), region_more.unionByName(from_prior).unionByName(parents).unionByName(roots)))
-    return {"alcohol": (ranked, decided), "distillery": (makers, maker_decided), "region": (areas, decide_reference(areas, to_region)), "consensus": shared}
+    more = cut(region_more.unionByName(from_prior).unionByName(parents).unionByName(roots))
+    areas = cut(rank(_added(direct("REGION"), more)))
+    return {"alcohol": (ranked, decided), "distillery": (makers, maker_decided), "region": (areas, cut(decide_reference(areas, to_region))), "consensus": shared}
 
 
 def top3(ranked: DataFrame, prefix: str = "candidate") -> DataFrame:
