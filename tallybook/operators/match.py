@@ -124,7 +124,7 @@ def name_evidence(names: DataFrame, index: DataFrame) -> DataFrame:
     )
     weight = F.when(F.col("c") == "alias_exact", WEIGHTS["alias_exact"]).when(F.col("c") == "name_exact", WEIGHTS["name_exact"]).when(F.col("c") == "name_contains", WEIGHTS["name_contains"]).otherwise(WEIGHTS["name_fuzzy"])
     found = pairs.withColumn("c", case).where("c is not null").withColumn("w", weight)
-    e = evidence(F.concat(F.lower("entity"), F.lit("_"), F.col("c")), F.col("label"), F.col("x"), F.col("y"), "NAME_COMPARISON", F.col("w"))
+    e = evidence(F.concat(F.lower("entity"), F.lit("_"), F.col("c")), F.col("label"), F.col("x"), F.col("y"), "NAME_COMPARISON_V4", F.col("w"))
     return found.groupBy("name_set", "entity", "id").agg(F.max_by(e, F.struct(F.col("w"), -F.col("i"), -F.col("j"))).alias("e"))
 
 
@@ -140,12 +140,12 @@ def attribute_evidence(d: DataFrame) -> Column:
     worth = lambda x: F.when(a(x) == r(x), pick(f"{x}_exact")).otherwise(pick(f"{x}_conflict"))
     cask = contains_run(tokens(a("cask")), tokens(r("cask")))
     return F.array_compact(F.array(
-        F.when(a("age").isNotNull() & r("age").isNotNull(), evidence(same("age"), "age", a("age"), r("age"), "AGE_CANONICAL", worth("age"))),
-        F.when(gap.isNotNull(), evidence(kind, "abv", number(a("abv")), number(r("abv")), "ABV_TOLERANCE", weight)),
-        F.when(a("volume").isNotNull() & r("volume").isNotNull(), evidence(same("volume"), "volume", a("volume"), r("volume"), "VOLUME_ML", worth("volume"))),
-        F.when((a("cask") != "") & (r("cask") != "") & cask, evidence("cask_exact", "cask", a("cask"), r("cask"), "CASK_TOKEN", pick("cask_exact"))),
-        F.when((a("edition") != "") & F.exists(r("names"), lambda n: contains_run(n, a("edition_tokens"))), evidence("edition_exact", "edition", a("edition"), a("edition"), "EDITION_TOKEN", pick("edition_exact"))),
-        F.when(category_group(a("category")) != category_group(r("category")), evidence("category_conflict", "category", a("category"), r("category"), "CATEGORY_GUARD", pick("category_conflict"))),
+        F.when(a("age").isNotNull() & r("age").isNotNull(), evidence(same("age"), "age", a("age"), r("age"), "AGE_CANONICAL_V4", worth("age"))),
+        F.when(gap.isNotNull(), evidence(kind, "abv", number(a("abv")), number(r("abv")), "ABV_TOLERANCE_V4", weight)),
+        F.when(a("volume").isNotNull() & r("volume").isNotNull(), evidence(same("volume"), "volume", a("volume"), r("volume"), "VOLUME_ML_V4", worth("volume"))),
+        F.when((a("cask") != "") & (r("cask") != "") & cask, evidence("cask_exact", "cask", a("cask"), r("cask"), "CASK_TOKEN_V4", pick("cask_exact"))),
+        F.when((a("edition") != "") & F.exists(r("names"), lambda n: contains_run(n, a("edition_tokens"))), evidence("edition_exact", "edition", a("edition"), a("edition"), "EDITION_TOKEN_V4", pick("edition_exact"))),
+        F.when(category_group(a("category")) != category_group(r("category")), evidence("category_conflict", "category", a("category"), r("category"), "CATEGORY_GUARD_V4", pick("category_conflict"))),
         F.when(r("conflict").isNotNull(), evidence(r("conflict"), "reference", None, None, "REFERENCE_ATTRIBUTE_CONFLICT", 0.0)),
     ))
 
@@ -305,7 +305,7 @@ def match(inputs: DataFrame, alcohols: DataFrame, distilleries: DataFrame, regio
 
     def pointed(column: str, known: DataFrame) -> tuple[DataFrame, DataFrame]:
         p = propagate(decided, shared, alcohols, column, known)
-        e = evidence(F.lower("path"), F.col("path"), None, None, "REFERENCE_PATH", WEIGHTS["reference_propagation"], F.col("upstream"))
+        e = evidence(F.lower("path"), F.col("path"), None, None, "REFERENCE_PATH_V4", WEIGHTS["reference_propagation"], F.col("upstream"))
         return p, p.where("exists").select("input_id", "id", F.lit(0).alias("ord"), e.alias("e"))
 
     to_maker, maker_more = pointed("distillery_id", distilleries)
@@ -314,11 +314,11 @@ def match(inputs: DataFrame, alcohols: DataFrame, distilleries: DataFrame, regio
     to_region, region_more = pointed("region_id", regions)
     prior = maker_decided.where("selected_id is not null").select("input_id", F.col("selected_id").alias("distillery_id")).join(region_prior(alcohols, distilleries, regions), "distillery_id")
     from_prior = prior.select("input_id", F.col("region_id").alias("id"), F.lit(1).alias("ord"), evidence(
-        "region_from_distillery_prior", F.col("distillery_id").cast("string"), F.col("n"), F.col("total"), "DISTILLERY_REGION_PRIOR", F.col("prior"), F.col("distillery_id")).alias("e"))
+        "region_from_distillery_prior", F.col("distillery_id").cast("string"), F.col("n"), F.col("total"), "DISTILLERY_REGION_PRIOR_V4", F.col("prior"), F.col("distillery_id")).alias("e"))
     above = prior.join(region_ancestors(regions).withColumnRenamed("id", "region_id"), "region_id").groupBy("input_id", F.col("ancestor").alias("id")).agg(F.min("region_id").alias("child"))
-    parents = above.select("input_id", "id", F.lit(2).alias("ord"), evidence("region_parent_compatible", F.col("child").cast("string"), None, None, "REGION_PARENT", WEIGHTS["parent_compatible"], F.col("child")).alias("e"))
+    parents = above.select("input_id", "id", F.lit(2).alias("ord"), evidence("region_parent_compatible", F.col("child").cast("string"), None, None, "REGION_PARENT_V4", WEIGHTS["parent_compatible"], F.col("child")).alias("e"))
     roots = country_root(inputs, index, regions).select("input_id", "id", F.lit(3).alias("ord"), evidence(
-        "region_from_country_root", "manufacture_country", F.col("country"), F.col("name"), "COUNTRY_ROOT", WEIGHTS["country_root"]).alias("e"))
+        "region_from_country_root", "manufacture_country", F.col("country"), F.col("name"), "COUNTRY_ROOT_V4", WEIGHTS["country_root"]).alias("e"))
     more = cut(region_more.unionByName(from_prior).unionByName(parents).unionByName(roots))
     areas = cut(rank(_added(direct("REGION"), more)))
     return {"alcohol": (ranked, decided), "distillery": (makers, maker_decided), "region": (areas, cut(decide_reference(areas, to_region))), "consensus": shared}
