@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -19,3 +20,8 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(found or f"file://{tempfile.mkdtemp(prefix='spark-')}")
     return df.checkpoint()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, whose columns the optimiser takes as given: it neither spells them out again at each use nor moves filters on them below."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
