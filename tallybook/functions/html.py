@@ -19,19 +19,25 @@ TAG = r"""<!--(?s:.*?)-->|</?[a-zA-Z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
 NAME = r"(?s)^<(/?)([a-zA-Z][a-zA-Z0-9]*)"
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once; lambdas would work out an expression again at each use."""
+    return F.transform(F.array(value), body)[0]
+
+
 def tags(page: Column) -> Column:
     """array<struct<gap, tag, close, name>>: every tag or comment in order, with the length of the text before it; name is '' for comments."""
     p = F.lit(TAG)
     found = F.regexp_extract_all(page, p, F.lit(0))
-    between = F.slice(F.split(page, TAG, -1), F.lit(1), F.size(found))
+    between = F.slice(F.split(page, TAG, -1), F.lit(1), F.size(F.split(page, TAG, -1)) - 1)
     return F.zip_with(between, found, lambda gap, t: F.struct(
-        F.length(gap).alias("gap"), t.alias("tag"), (F.regexp_extract(t, NAME, 1) == "/").alias("close"), F.lower(F.regexp_extract(t, NAME, 2)).alias("name")))
+        F.length(gap).alias("gap"), t.alias("tag"), t.startswith("</").alias("close"), F.lower(F.regexp_extract(t, NAME, 2)).alias("name")))
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Decoded value of an attribute of a tag; '' where it has none."""
-    quoted = rf"""(?is)^<[a-z][a-z0-9]*(?:\s+[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*?\s+{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-    return decoded(F.concat(*[F.regexp_extract(tag, quoted, i) for i in (1, 2, 3)]))
+    place = rf"""(?is)^<[a-z][a-z0-9]*(?:\s+[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*?\s+{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+    value = F.regexp_extract(tag, place, 1)
+    return bound(F.regexp_replace(value, r"""^["']|["']\z""", ""), decoded)
 
 
 def has_class(tag: Column, *names: str) -> Column:
@@ -53,7 +59,7 @@ def decoded(text: Column) -> Column:
 
     def one(r: Column) -> Column:
         number = F.when(r.rlike("^&#[xX]"), F.conv(F.regexp_extract(r, "([0-9a-fA-F]+);", 1), 16, 10)).otherwise(F.regexp_extract(r, "([0-9]+);", 1)).cast("long")
-        return F.when(r.startswith("&#"), hexed(number)).otherwise(F.coalesce(F.try_element_at(named, r), r))
+        return F.when(r.startswith("&#"), bound(number, hexed)).otherwise(F.coalesce(F.try_element_at(named, r), r))
 
     found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), one)
     joined = F.array_join(F.zip_with(F.split(text, pattern, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
@@ -62,7 +68,7 @@ def decoded(text: Column) -> Column:
 
 def text_of(part: Column) -> Column:
     """The text of a piece of a page: tags as spaces, references decoded, white space as one space, none at the ends."""
-    return ws_collapse(decoded(F.regexp_replace(part, TAG, " ")))
+    return ws_collapse(bound(F.regexp_replace(part, TAG, " "), decoded))
 
 
 def elements(page: Column, name: str, where=None, unclosed: bool = False) -> Column:
@@ -100,9 +106,8 @@ def children(part: Column, *names: str) -> Column:
     start = F.struct(
         F.lit(0).alias("at"), F.lit(0).alias("tables"), F.lit(-1).alias("from"), F.lit("").alias("name"), F.lit("").alias("tag"), F.array().cast(f"array<{item}>").alias("out"),
     )
-    inner = F.regexp_replace(part, rf"(?s)^(?:{TAG})|(?i:</[a-z][a-z0-9]*\s*>)\z", "")
 
-    def step(s: Column, t: Column) -> Column:
+    def step(inner: Column, s: Column, t: Column) -> Column:
         at = s["at"] + t["gap"]
         table = t["name"] == "table"
         tables = F.when(table & ~t["close"], s["tables"] + 1).when(table & (s["tables"] > 0), s["tables"] - 1).otherwise(s["tables"])
@@ -116,8 +121,9 @@ def children(part: Column, *names: str) -> Column:
             F.when(done, F.array_append(s["out"], F.struct(s["name"].alias("name"), s["tag"].alias("tag"), source.alias("source")))).otherwise(s["out"]).alias("out"),
         )
 
-    last = lambda s: F.when(s["from"] >= 0, F.array_append(s["out"], F.struct(s["name"].alias("name"), s["tag"].alias("tag"), F.substring(inner, s["from"] + 1, F.length(inner)).alias("source")))).otherwise(s["out"])
-    return F.aggregate(tags(inner), start, step, last)
+    last = lambda inner, s: F.when(s["from"] >= 0, F.array_append(s["out"], F.struct(s["name"].alias("name"), s["tag"].alias("tag"), F.substring(inner, s["from"] + 1, F.length(inner)).alias("source")))).otherwise(s["out"])
+    content = F.regexp_replace(part, rf"(?s)^(?:{TAG})|(?i:</[a-z][a-z0-9]*\s*>)\z", "")
+    return bound(content, lambda inner: F.aggregate(tags(inner), start, lambda s, t: step(inner, s, t), lambda s: last(inner, s)))
 
 
 def start_tags(page: Column, name: str) -> Column:

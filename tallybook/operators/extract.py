@@ -78,8 +78,8 @@ def ledger_facts(pages: DataFrame) -> DataFrame:
         "headers": F.transform(H.elements(only(F.col("theads"))["source"], "th"), H.text_of), "raw_rows": H.elements(only(F.col("tbodies"))["source"], "tr"),
         "dom_rows": F.transform(H.children(only(F.col("tbodies"))["source"], "tr"), lambda r: r["source"]), "hidden_total": number(H.attribute(only(F.col("hidden")), "value")),
     }))
-    anchor = lambda c: H.start_tags(c, "a")
-    cell = lambda c: F.struct(H.text_of(c["source"]).alias("text"), F.size(anchor(c["source"])).alias("anchors"), H.attribute(only(anchor(c["source"])), "href").alias("href"))
+    anchors = lambda text, a: F.struct(text.alias("text"), F.size(a).alias("anchors"), H.attribute(only(a), "href").alias("href"))
+    cell = lambda c: H.bound(H.start_tags(c["source"], "a"), lambda a: anchors(H.text_of(c["source"]), a))
     d = settled(d.withColumn("rows", F.transform("dom_rows", lambda r: F.transform(H.children(r, "td"), cell))))
     empty = H.children(only(F.col("dom_rows")), "td")
     marks = H.elements(only(empty)["source"], "span", lambda t: H.has_class(t, "nodata"))
@@ -94,8 +94,9 @@ def _echo(label: str, kind: str, name: str, value: Column) -> list[Column]:
 
 def _row_breach(row: Column, n: Column, item_name: Column, day: Column) -> Column:
     """The first breach of a ledger row, as ``row n: reason``."""
-    codes = F.transform(row, lambda c: F.regexp_extract(c["href"], DETAIL, 1))
-    of_cell = F.transform(F.arrays_zip(row.alias("c"), codes.alias("k")), lambda x: F.when(x["c"]["anchors"] != 1, F.lit("anchor_count")).when(x["k"] == "", F.lit("detail_href")).when(x["k"] != codes[0], F.lit("rcno_differs")))
+    code = lambda c: F.regexp_extract(c["href"], DETAIL, 1)
+    judged = lambda c, k, first: F.when(c["anchors"] != 1, F.lit("anchor_count")).when(k == "", F.lit("detail_href")).when(k != first, F.lit("rcno_differs"))
+    of_cell = H.bound(code(row[0]), lambda first: F.transform(row, lambda c: H.bound(code(c), lambda k: judged(c, k, first))))
     stated = row[6]["text"]
     reason = F.coalesce(
         F.when(F.size(row) != len(HEADERS), F.lit("cell_count")), only(F.array_compact(of_cell)),

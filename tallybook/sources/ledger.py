@@ -59,12 +59,13 @@ GALLERY = """SELECT CAST(o_orderkey AS BIGINT) AS rcno, 'IMP' || CAST(o_custkey
 FROM orders WHERE o_orderkey % 2 = 0"""
 
 
-TABLES = ("part", "events", "lineitem", "orders", "supplier", "pages")
+TABLES = ("part", "events", "lineitem", "orders", "supplier", "pages", "customer")
 
 
 def frame(spark: SparkSession, sf_dir: str, sql: str, **given: DataFrame) -> DataFrame:
     """A ledger-shaped frame; tables that the SQL reads come from sf_dir.  Nothing is registered in the session."""
     found = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if re.search(rf"\b(?:FROM|JOIN) {t}\b", sql)} | given
+    sql = sql.replace("{", "{{").replace("}", "}}")
     for name in found:
         sql = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", sql)
     return spark.sql(sql, **found)
