@@ -4,21 +4,26 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows of a frame, written once to ``spark.checkpoint.dir``: later plans read them instead of working them out again at each use.
+def shared(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.  Only a local session may leave it unset; it gets a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
 
-    Only a local session may leave that folder unset; it gets a temporary one.
-    """
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of a frame, written once to the shared folder: later plans read them instead of working them out again at each use."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not found and not context.master.startswith("local[") and context.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        context.setCheckpointDir(found or f"file://{tempfile.mkdtemp(prefix='spark-')}")
+        context.setCheckpointDir(shared(df.sparkSession))
     return df.checkpoint()
 
 
