@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import blank_to_null, percent
+from tallybook.functions.text import percent, plain_number
 
 DIMENSIONS = ("item_name", "importer_name", "manufacture_country_name", "normalization_status")
 
@@ -53,13 +53,6 @@ def vocabularies(d: DataFrame, columns: tuple[str, ...] = DIMENSIONS) -> DataFra
     return values.unionByName(d.select(F.lit("review_reason").alias("dimension"), F.explode("review_reasons").alias("value"))).distinct()
 
 
-def review_distribution(d: DataFrame, columns: tuple[str, ...] = DIMENSIONS) -> DataFrame:
-    """Declarations and those under review, by the values of several columns."""
-    review = (F.col("normalization_status") == "REVIEW_REQUIRED").alias("review")
-    long = d.select(review, *columns).unpivot(["review"], list(columns), "dimension", "value")
-    return long.groupBy("dimension", "value").agg(F.count("*").alias("n"), F.count_if("review").alias("review"))
-
-
 def search(d: DataFrame, text: str | None = None, columns: tuple[str, ...] = (), equal: dict | None = None, reason: str | None = None) -> DataFrame:
     """Rows that hold the text, taken literally, in one of the columns, and meet the other conditions."""
     if text:
@@ -77,11 +70,20 @@ def page(d: DataFrame, order: list[Column], number: int, size: int) -> DataFrame
     return d.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
+def product_name() -> Column:
+    """Base name, else source name, Korean before English, else the item; blanks do not count."""
+    names = ("base_name_ko", "base_name_en", "product_name_ko", "product_name_en", "item_name")
+    return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in names], F.lit("이름 미정"))
+
+
+def product_key() -> Column:
+    return F.concat(F.lit("name:"), F.sha2(product_name(), 256))
+
+
 def product_groups(d: DataFrame) -> DataFrame:
-    """Declarations by product name: Korean, else English, else none."""
-    name = F.coalesce(blank_to_null(F.col("product_name_ko")), blank_to_null(F.col("product_name_en")), F.lit("미분류"))
-    g = d.groupBy(name.alias("name")).agg(F.count("*").alias("n"))
-    return g.select("name", F.concat(F.lit("name:"), F.sha2("name", 256)).alias("product_key"), "n")
+    """Declarations by product, with their first and last day ('' where no day is known)."""
+    day = lambda f: F.coalesce(F.date_format(f("processed_date"), "yyyy-MM-dd"), F.lit(""))
+    return d.groupBy(product_key().alias("product_key")).agg(F.min(product_name()).alias("name"), F.count("*").alias("n"), day(F.min).alias("first_day"), day(F.max).alias("last_day"))
 
 
 def extraction_rates(d: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -154,11 +156,12 @@ def defect_samples(d: DataFrame, defect: Column, key: str, n: int = 3) -> DataFr
 
 
 def three_keys(d: DataFrame) -> DataFrame:
-    """(item_id, product_key, volume_key, variant_key): names, volume and what tells variants apart."""
-    name = F.coalesce(F.nullif("base_name_ko", F.lit("")), F.nullif("base_name_en", F.lit("")), F.lit("미분류"))
-    parts = ("strength_type", "version_marker", "edition_name", "cask_number", "batch_number", "age_years", "vintage_year")
-    variant = F.concat_ws(" · ", *[F.col(c).cast("string") for c in parts])
-    return d.select("item_id", name.alias("product_key"), F.col("unit_volume_ml").alias("volume_key"), F.when(variant != "", variant).alias("variant_key"))
+    """(item_id, product_key, volume_key, variant_key): name, volume in mL, and all that tells variants apart; '' for nothing."""
+    shown = lambda c, tail: F.concat(plain_number(F.col(c)), F.lit(tail))
+    texts = ("strength_type", "version_marker", "edition_name", "variant_marker_raw", "variant_marker_type", "material_code", "cask_number", "batch_number")
+    variant = F.concat_ws(" · ", shown("age_years", "년"), F.col("vintage_year").cast("string"), shown("abv_percent", "%"), shown("proof", " proof"), *[F.nullif(F.col(c).cast("string"), F.lit("")) for c in texts])
+    volume = F.coalesce(F.concat(F.col("unit_volume_ml").cast("string"), F.lit(" mL")), F.lit(""))
+    return d.select("item_id", F.coalesce(F.nullif("base_name_ko", F.lit("")), F.nullif("base_name_en", F.lit("")), F.lit("")).alias("product_key"), volume.alias("volume_key"), variant.alias("variant_key"))
 
 
 def evidence_lines(d: DataFrame) -> DataFrame:
@@ -178,10 +181,9 @@ def importer_profile(d: DataFrame, importer: str) -> DataFrame:
     )
 
 
-def product_declarations(d: DataFrame, product_key: str, number: int, size: int) -> DataFrame:
-    """One page of the declarations of a product, newest key first."""
-    name = F.coalesce(blank_to_null(F.col("product_name_ko")), blank_to_null(F.col("product_name_en")), F.lit("미분류"))
-    return page(d.where(F.concat(F.lit("name:"), F.sha2(name, 256)) == product_key), [F.desc("item_id")], number, size)
+def product_declarations(d: DataFrame, key: str, number: int, size: int) -> DataFrame:
+    """One page of the declarations of a product, newest first."""
+    return page(d.where(product_key() == key), [F.desc("processed_date"), F.desc("item_id")], number, size)
 
 
 def page_warnings(pages: DataFrame, keys: DataFrame, size: int) -> DataFrame:

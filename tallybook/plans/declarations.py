@@ -227,10 +227,15 @@ def q12_defect_samples(spark, d):
     return quality.defect_samples(ledger.items(spark, d), F.when(en.contains("#"), "marker").when(en.contains("/"), "slash"), "item_id")
 
 
-@query(_named("""coalesce(nullif(base_ko, ''), nullif(base_en, ''), '미분류') product_key, ml volume_key,
- nullif(concat_ws(' · ', strength_type, version_marker, edition_name, cask_number, batch_number, CAST(age_years AS VARCHAR), CAST(vintage_year AS VARCHAR)), '') variant_key"""))
+_PLAIN = "CASE WHEN {0} = floor({0}) THEN CAST(CAST({0} AS BIGINT) AS VARCHAR) ELSE CAST({0} AS VARCHAR) END"
+
+
+@query(_named(f"""coalesce(nullif(base_ko, ''), nullif(base_en, ''), '') product_key, coalesce(CAST(ml AS VARCHAR) || ' mL', '') volume_key,
+ concat_ws(' · ', CAST(age_years AS VARCHAR) || '년', CAST(vintage_year AS VARCHAR), {_PLAIN.format('abv')} || '%', {_PLAIN.format('CAST(proof AS DOUBLE)')} || ' proof', nullif(strength_type, ''), nullif(version_marker, ''), nullif(edition_name, ''),
+ nullif(variant_marker_raw, ''), nullif(variant_marker_type, ''), nullif(material_code, ''), nullif(cask_number, ''), nullif(batch_number, '')) variant_key"""))
 def h7_three_keys(spark, d):
-    return quality.three_keys(_normalized(spark, d, "base_name_ko", "base_name_en", "unit_volume_ml", "strength_type", "version_marker", "edition_name", "cask_number", "batch_number", "age_years", "vintage_year"))
+    return quality.three_keys(_normalized(
+        spark, d, "base_name_ko", "base_name_en", "unit_volume_ml", "age_years", "vintage_year", "abv_percent", "proof", "strength_type", "version_marker", "edition_name", "variant_marker_raw", "variant_marker_type", "material_code", "cask_number", "batch_number"))
 
 
 @query(rules.NAMES + """, l AS (SELECT item_id, [x FOR x IN [CASE WHEN ml IS NOT NULL THEN 'unit_volume_ml: ' || volume_raw || ' -> ' || ml END, CASE WHEN age_years IS NOT NULL THEN 'age_years: ' || age_years END,
@@ -245,10 +250,10 @@ def h12_importer_profile(spark, d):
     return quality.importer_profile(ledger.items(spark, d), "(주)IMP0")
 
 
-@query(_ITEMS + "SELECT item_id, rcno, product_name_en FROM items WHERE product_name_ko = '글렌 12년 1.75L' ORDER BY item_id DESC LIMIT 20 OFFSET 20")
+@query(rules.NAMES + " SELECT item_id, rcno, product_name_en FROM d WHERE trim(base_ko) = '글렌' ORDER BY processed_date DESC NULLS LAST, item_id DESC LIMIT 20 OFFSET 20")
 def h14_product_declarations(spark, d):
-    key = "name:" + sha256("글렌 12년 1.75L".encode()).hexdigest()
-    return quality.product_declarations(ledger.items(spark, d), key, 2, 20).select("item_id", "rcno", "product_name_en")
+    key = "name:" + sha256("글렌".encode()).hexdigest()
+    return quality.product_declarations(_normalized(spark, d, "base_name_ko", "base_name_en"), key, 2, 20).select("item_id", "rcno", "product_name_en")
 
 
 @query(f"""WITH syn_keys AS ({ledger.KEYS}), syn_pages AS ({ledger.PAGES}), r AS (SELECT task_id, attempt, item_code, count(*) - count(DISTINCT rcno) repeats FROM syn_keys GROUP BY ALL)

@@ -188,10 +188,13 @@ def d29_status(spark, d):
     return _normalized(spark, d, "normalization_status").select("item_id", "normalization_status")
 
 
-@query(_named("""count(*) total, count(*) FILTER (normalization_status = 'REVIEW_REQUIRED') review, round(count(*) FILTER (normalization_status = 'REVIEW_REQUIRED') * 100.0 / count(*), 2) review_pct,
- count(*) FILTER (normalization_status <> 'UNPARSED') preserved, round(count(*) FILTER (normalization_status <> 'UNPARSED') * 100.0 / count(*), 2) preserved_pct, max(expiry_last) latest"""))
+_OPEN = "normalization_status IN ('REVIEW_REQUIRED', 'PARTIAL', 'UNPARSED')"
+
+
+@query(_named(f"""count(*) total, count(*) FILTER ({_OPEN}) review, round(count(*) FILTER ({_OPEN}) * 100.0 / count(*), 2) review_pct,
+ count(item_id) preserved, round(count(item_id) * 100.0 / count(*), 2) preserved_pct, coalesce(strftime(max(processed_date), '%Y-%m-%d'), '') latest"""))
 def h1_overview(spark, d):
-    return report.overview(_normalized(spark, d, "normalization_status", "expiry_last"))
+    return report.overview(_normalized(spark, d, "normalization_status").withColumn("source_item_id", F.col("item_id")))
 
 
 @query(rules.NAMES + " SELECT normalization_status, count(*) n FROM d GROUP BY 1")
@@ -199,12 +202,16 @@ def h2_status_counts(spark, d):
     return report.counts_by(_normalized(spark, d, "normalization_status"), "normalization_status")
 
 
-_COVERED = ", ".join(f"count({c}) {c}" for c in report.COVERED)
+_COVERAGE = (
+    ("normalized_name", "coalesce(display_ko, display_en, '') <> ''"), ("volume", "ml IS NOT NULL"), ("abv", "abv IS NOT NULL"), ("ingredient_percent", "ingredient_raw IS NOT NULL"), ("variant_marker", "variant_marker_raw IS NOT NULL"),
+    ("age", "age_years IS NOT NULL"), ("vintage", "vintage_year IS NOT NULL"), ("importer", "coalesce(importer_base, '') <> ''"),
+)
 
 
-@query(rules.NAMES + f", o AS (SELECT count(*) total, {_COVERED} FROM d) SELECT field, populated, total, round(populated * 100.0 / total, 2) pct FROM o UNPIVOT (populated FOR field IN ({', '.join(report.COVERED)}))")
+@query(rules.NAMES + ", " + "c AS (" + " UNION ALL ".join(f"SELECT '{f}' AS field, count(*) FILTER ({x}) AS populated, count(*) AS total FROM d" for f, x in _COVERAGE) + ") SELECT *, round(populated * 100.0 / total, 2) AS pct FROM c")
 def h3_field_coverage(spark, d):
-    return report.field_coverage(_normalized(spark, d, *report.COVERED))
+    used = ("display_name_ko", "display_name_en", "unit_volume_ml", "abv_percent", "ingredient_raw", "variant_marker_raw", "age_years", "vintage_year", "importer_base")
+    return report.field_coverage(_normalized(spark, d, *used))
 
 
 @query(_OBS.rstrip(", ") + " SELECT strftime(processed_date, '%Y-%m') AS month, count(*) n FROM obs GROUP BY 1")
@@ -217,18 +224,19 @@ def h16_item_distribution(spark, d):
     return report.top_counts(ledger.items(spark, d), "item_name")
 
 
-@query(rules.NAMES + " SELECT sku_key, unit_volume_ml, count(*) n, count(DISTINCT importer_base) importers FROM d WHERE sku_key IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY n DESC, sku_key LIMIT 20")
+@query(rules.NAMES + """ SELECT coalesce(min(nullif(display_ko, '')), min(nullif(base_ko, '')), '이름 미정') AS name, coalesce(unit_volume_ml, 0) AS unit_volume_ml, count(*) n, count(DISTINCT coalesce(importer_base, importer_name)) importers, sku_key
+ FROM d WHERE sku_key IS NOT NULL GROUP BY sku_key, d.unit_volume_ml HAVING count(*) > 1 ORDER BY n DESC, name, sku_key LIMIT 20""")
 def h17_sku_groups(spark, d):
-    return report.sku_groups(_normalized(spark, d, "sku_key", "unit_volume_ml", "importer_base"))
+    return report.sku_groups(_normalized(spark, d, "sku_key", "unit_volume_ml", "importer_base", "display_name_ko", "base_name_ko"))
 
 
-@query(rules.NAMES + """ SELECT reason, count(*) n FROM (SELECT unnest(string_split(reasons, ',')) reason FROM d WHERE normalization_status IN ('REVIEW_REQUIRED', 'PARTIAL') AND reasons <> '') GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""")
+@query(rules.NAMES + """ SELECT reason, count(*) n FROM (SELECT unnest(string_split(reasons, ',')) reason FROM d WHERE normalization_status IN ('REVIEW_REQUIRED', 'PARTIAL', 'UNPARSED') AND reasons <> '') GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""")
 def h18_review_reasons(spark, d):
     return report.review_reasons(_normalized(spark, d, "normalization_status", "review_reasons"))
 
 
-@query(_OBS.rstrip(", ") + """, k AS (SELECT queried_item_name, rcno, count(*) r FROM obs GROUP BY 1, 2 HAVING count(*) > 1)
- SELECT queried_item_name, count(*) keys, CAST(sum(r) AS BIGINT) AS rows FROM k GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 20""")
+@query(_OBS.rstrip(", ") + """, k AS (SELECT rcno FROM obs GROUP BY rcno HAVING count(*) > 1)
+ SELECT coalesce(queried_item_name, '미분류') queried_item_name, count(DISTINCT rcno) keys, count(*) AS rows FROM obs JOIN k USING (rcno) GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 20""")
 def h20_duplicate_observations(spark, d):
     return report.duplicate_observations(ledger.observations(spark, d))
 
@@ -337,9 +345,16 @@ def h4_vocabularies(spark, d):
     return quality.vocabularies(_with_status(spark, d))
 
 
-@query(_DIMS + " SELECT dimension, value, count(*) n, count(*) FILTER (review) review FROM long GROUP BY 1, 2")
+_REVIEW = " UNION ALL ".join(
+    f"(SELECT '{name}' AS dimension, {value} AS value, count(*) AS n FROM d WHERE {_OPEN} GROUP BY 2 ORDER BY 3 DESC, 2{limit})" for name, value, limit in (
+        ("item", "coalesce(queried_item_name, '미분류')", " LIMIT 20"), ("importer", "coalesce(importer_base, importer_name, '미분류')", " LIMIT 20"),
+        ("country", "coalesce(manufacture_country_name, '미분류')", " LIMIT 20"), ("status", "normalization_status", ""),
+    ))
+
+
+@query(rules.NAMES + " " + _REVIEW)
 def h19_review_distribution(spark, d):
-    return quality.review_distribution(_with_status(spark, d))
+    return report.review_distribution(_normalized(spark, d, "normalization_status", "importer_base"))
 
 
 def _with_status(spark, d):
@@ -352,9 +367,10 @@ def h5_search_page(spark, d):
     return quality.page(found, [F.desc("item_id")], 2, 20).select("item_id", "product_name_en", "item_name")
 
 
-@query(_ITEMS + "SELECT name, 'name:' || sha256(name) product_key, count(*) n FROM (SELECT coalesce(nullif(trim(product_name_ko), ''), nullif(trim(product_name_en), ''), '미분류') AS name FROM items) GROUP BY 1")
+@query(rules.NAMES + """, p AS (SELECT *, coalesce(nullif(trim(base_ko), ''), nullif(trim(base_en), ''), nullif(trim(product_name_ko), ''), nullif(trim(product_name_en), ''), nullif(trim(item_name), ''), '이름 미정') AS name FROM d)
+ SELECT 'name:' || sha256(name) product_key, name, count(*) n, coalesce(strftime(min(processed_date), '%Y-%m-%d'), '') first_day, coalesce(strftime(max(processed_date), '%Y-%m-%d'), '') last_day FROM p GROUP BY name""")
 def h13_product_groups(spark, d):
-    return quality.product_groups(ledger.items(spark, d))
+    return quality.product_groups(_normalized(spark, d, "base_name_ko", "base_name_en"))
 
 
 @query(_OBS.rstrip(", ") + " SELECT count(*) AS rows, count(DISTINCT rcno) AS keys FROM obs")

@@ -27,7 +27,9 @@ ITEMS = """SELECT p_partkey AS item_id, lpad(CAST(p_partkey AS VARCHAR(20)), 12,
   CASE WHEN p_partkey % 7 = 0 THEN '(주)' WHEN p_partkey % 7 = 1 THEN '주식회사 ' WHEN p_partkey % 7 = 2 THEN '㈜' WHEN p_partkey % 7 = 3 THEN '(유)' ELSE '' END || 'IMP' || CAST(p_partkey % 20 AS VARCHAR(20)) AS importer_name,
   CASE p_partkey % 11 WHEN 0 THEN '미등록국' WHEN 1 THEN '미국' WHEN 2 THEN '일본' WHEN 3 THEN '프랑스' WHEN 4 THEN '아일랜드' ELSE '영국' END AS manufacture_country_name,
   CASE p_partkey % 9 WHEN 0 THEN '-' WHEN 1 THEN '2025-06-03 ~' WHEN 2 THEN '2026-02-27 ~ 2026-08-26' WHEN 3 THEN '~ 2026-08-26' WHEN 4 THEN '2026-02-30 ~' WHEN 5 THEN '2025-06-03 ~ abc' ELSE ' ' END AS expiry_text,
-  CAST(p_size AS INTEGER) AS p_size, p_brand
+  CAST(p_size AS INTEGER) AS p_size, p_brand,
+  CASE WHEN p_partkey % 37 <> 5 THEN CAST(DATE '2025-01-01' + CAST(p_partkey % 400 AS INTEGER) AS DATE) END AS processed_date,
+  CASE WHEN p_partkey % 31 = 7 THEN NULL WHEN p_partkey % 2 = 0 THEN '위스키' ELSE '브랜디' END AS queried_item_name
 FROM part"""
 
 OBSERVATIONS = """SELECT event_id AS item_id, user_id AS rcno, ts AS observed_at, CAST(ts AS DATE) AS processed_date,
