@@ -15,7 +15,7 @@ from tallybook.functions.text import plain_number, tidy, ws_collapse
 
 #: Stands where something was removed, until separators are cleaned up.
 MARK = "\x01"
-#: Brackets nest to this depth; deeper ones read as not closed.
+#: Names with at most so many opening brackets are cut by one pattern; a fold that counts depth cuts the others, however deep they nest.
 DEPTH = 6
 
 
@@ -49,8 +49,61 @@ def has(text: Column, pattern: str) -> Column:
     return text.rlike(P.java(pattern))
 
 
+def _deep(text: Column) -> Column:
+    return F.length(text) - F.length(F.translate(text, "([", "")) > DEPTH
+
+
+def _characters(text: Column) -> Column:
+    """array<struct<c, i>> of a text's characters."""
+    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c, i: F.struct(c.alias("c"), i.alias("i")))
+
+
+def _deep_segments(text: Column) -> Column:
+    """As ``segments``, for any depth: only the kind of bracket that opened a group counts in it, and what never closes is plain with all the rest."""
+    part = "struct<text:string,inner:string,is_group:boolean>"
+    cut = lambda a, b: F.substring(text, a + 1, b - a)
+    plain = lambda a, b: F.when(b > a, F.array(F.struct(cut(a, b).alias("text"), F.lit(None).cast("string").alias("inner"), F.lit(False).alias("is_group")))).otherwise(F.array().cast(f"array<{part}>"))
+    group = lambda a, b: F.array(F.struct(cut(a, b).alias("text"), cut(a + 1, b - 1).alias("inner"), F.lit(True).alias("is_group")))
+    start = F.struct(F.lit("").alias("kind"), F.lit(0).alias("depth"), F.lit(0).alias("open"), F.lit(0).alias("done"), F.array().cast(f"array<{part}>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        first = (s["depth"] == 0) & x["c"].isin("(", "[")
+        deeper = (s["depth"] > 0) & (x["c"] == s["kind"])
+        closes = (s["depth"] > 0) & (x["c"] == F.when(s["kind"] == "(", ")").otherwise("]"))
+        ends = closes & (s["depth"] == 1)
+        return F.struct(
+            F.when(first, x["c"]).otherwise(s["kind"]).alias("kind"), F.when(first | deeper, s["depth"] + 1).when(closes, s["depth"] - 1).otherwise(s["depth"]).alias("depth"),
+            F.when(first, x["i"]).otherwise(s["open"]).alias("open"), F.when(ends, x["i"] + 1).otherwise(s["done"]).alias("done"),
+            F.when(ends, F.concat(s["out"], plain(s["done"], s["open"]), group(s["open"], x["i"] + 1))).otherwise(s["out"]).alias("out"),
+        )
+
+    return F.aggregate(_characters(text), start, step, lambda s: F.concat(s["out"], plain(s["done"], F.length(text))))
+
+
+def _deep_tokens(text: Column) -> Column:
+    """As ``tokens_of``, for any depth: brackets of both kinds count together."""
+    item = "struct<token:string,join:string,t:string>"
+    cut = lambda a, b: F.substring(text, a + 1, b - a)
+    token = lambda s, b: F.array_append(s["out"], F.struct(cut(s["start"], b).alias("token"), s["join"].alias("join"), tidy(cut(s["start"], b)).alias("t")))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("start"), F.lit("").alias("join"), F.array().cast(f"array<{item}>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        between_digits = (x["c"] == ",") & (x["i"] > 0) & F.substring(text, x["i"], F.lit(1)).rlike("^[0-9]$") & F.substring(text, x["i"] + 2, F.lit(1)).rlike("^[0-9]$")
+        cuts = (s["depth"] == 0) & x["c"].isin(",", "/") & ~between_digits
+        return F.struct(
+            F.when(x["c"].isin("(", "["), s["depth"] + 1).when(x["c"].isin(")", "]") & (s["depth"] > 0), s["depth"] - 1).otherwise(s["depth"]).alias("depth"),
+            F.when(cuts, x["i"] + 1).otherwise(s["start"]).alias("start"), F.when(cuts, x["c"]).otherwise(s["join"]).alias("join"), F.when(cuts, token(s, x["i"])).otherwise(s["out"]).alias("out"),
+        )
+
+    return F.aggregate(_characters(text), start, step, lambda s: token(s, F.length(text)))
+
+
 def segments(text: Column) -> Column:
     """array<struct<text, inner, is_group>> in order; joined texts give the name back."""
+    return F.when(_deep(text), _deep_segments(text)).otherwise(_shallow_segments(text))
+
+
+def _shallow_segments(text: Column) -> Column:
     parts = F.regexp_extract_all(text, F.lit("(?s)" + SEGMENT), F.lit(0))
     return F.transform(parts, lambda s: F.struct(
         s.alias("text"), F.when(s.rlike("(?s)" + WHOLE_GROUP), F.substring(s, F.lit(2), F.length(s) - 2)).alias("inner"), s.rlike("(?s)" + WHOLE_GROUP).alias("is_group")))
@@ -61,6 +114,10 @@ def tokens_of(text: Column) -> Column:
 
     A comma between digits separates nothing.
     """
+    return F.when(_deep(text), _deep_tokens(text)).otherwise(_shallow_tokens(text))
+
+
+def _shallow_tokens(text: Column) -> Column:
     pieces = F.regexp_extract_all(text, F.lit("(?s)" + TOKEN), F.lit(1))
     joins = F.filter(F.regexp_extract_all(text, F.lit("(?s)" + TOKEN), F.lit(2)), lambda j: j != "")
     return F.zip_with(F.slice(pieces, F.lit(1), F.size(joins) + 1), F.concat(F.array(F.lit("")), joins), lambda t, j: F.struct(t.alias("token"), j.alias("join"), tidy(t).alias("t")))
