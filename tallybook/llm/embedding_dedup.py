@@ -121,6 +121,11 @@ def near_blocks(wa: np.ndarray, wb: np.ndarray, far: float, size: int = BLOCK) -
         yield int(x) * size, int(y) * size
 
 
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component to about one: cosines stay the same, and no square leaves the range of doubles."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, initial=0))[1][:, None])
+
+
 def embedding_links(df: DataFrame, stages: Stages, vec_id="vec_id", embedding="embedding", label="label", threshold: float = 0.93, tile: int = TILE) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     kind = dict(df.dtypes)[embedding]
@@ -195,7 +200,7 @@ def embedding_links(df: DataFrame, stages: Stages, vec_id="vec_id", embedding="e
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples():
-                va, vb = (np.frombuffer(x, width).reshape(-1, r.d_a).astype(np.float64) for x in (r.v_a, r.v_b))
+                va, vb = (_scaled(np.frombuffer(x, width).reshape(-1, r.d_a).astype(np.float64)) for x in (r.v_a, r.v_b))
                 (ka, ma), (kb, mb) = ((np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)) for x, y in ((r.nodes_a, r.ms_a), (r.nodes_b, r.ms_b)))
                 ua, ub = _unit(va), _unit(vb)
                 wa, wb = ua @ axes[r.d_a], ub @ axes[r.d_a]

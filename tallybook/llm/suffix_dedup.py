@@ -20,7 +20,7 @@ are covered at once, and only the others are expanded into single positions.
 
 Defined cases: a null text is empty bytes; texts shorter than the threshold keep everything; a text of any length is one array in a task;
 a null id is never smaller than another id, so it covers nothing and loses nothing; rows
-that share an id never cover each other (texts of one id are told apart by their CRC-32);
+that share an id never cover each other (texts of one id are told apart by 60 bits of their SHA-256);
 a repeated row gets the same result again; an empty table gives an empty result.  Other columns of the input are ignored.
 """
 
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import join_hot
@@ -273,17 +273,22 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
     return out
 
 
+def version() -> Column:
+    """What tells the texts of one id apart: the first 60 bits of a text's SHA-256."""
+    return F.conv(F.substring(F.sha2("text", 256), 1, 15), 16, 10).cast("long")
+
+
 def remove_repeats(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text: str = "text", length: int = 50, with_kept: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     ``with_kept`` adds ``kept``, the remaining bytes of each row that lost some (else null).
     """
     rows = df.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    facts = stages.save(rows.select("doc", F.crc32("text").alias("v"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole")), "facts")
+    facts = stages.save(rows.select("doc", version().alias("v"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole")), "facts")
     own = facts.where(F.col("doc").isNotNull() & (F.col("n_bytes") >= length))
     groups = stages.save(own.groupBy("whole").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1"), "groups")
     copies = stages.save(join_hot(own, groups, "whole", "n", facts.count()).where("doc > first").select("doc", "v").distinct(), "copies")
-    docs = rows.where("doc is not null").withColumn("v", F.crc32("text"))
+    docs = rows.where("doc is not null").withColumn("v", version())
     few = copies.count() <= BROADCAST_COPIES
     docs = docs.join(F.broadcast(copies) if few else copies, ["doc", "v"], "left_anti")
     docs = docs if few else stages.save(docs, "distinct")

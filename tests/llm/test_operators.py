@@ -65,6 +65,14 @@ def test_embeddings(spark):
     assert all(got[i] == (0, i, True) for i in range(n, n + 6))
 
 
+def test_embeddings_of_any_magnitude(spark):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=12)
+    rows = [(i, [float(x) for x in (base + rng.normal(size=12) * 0.05) * m], 1) for i, m in enumerate((1e-200, 1e200, 1.0, 1e-150, 1e-305, 1e307 / np.abs(base).max()))]
+    got = {r.vec_id: r.n_links for r in embedding_links(frame(spark, rows, "vec_id long, embedding array<double>, label int"), Stages(spark, "t")).collect()}
+    assert got == {i: 5 for i in range(6)}
+
+
 def test_bounds_lose_no_pair():
     rng = np.random.default_rng(2)
     a = rng.normal(size=(60, 24)) * np.linspace(2, 0.1, 24)
@@ -98,6 +106,16 @@ def test_suffix_removal(spark):
     assert got == sorted(want, key=str)
 
 
+def test_suffix_removal_of_texts_with_one_checksum(spark):
+    """Two texts of one id whose CRC-32 are equal are still two texts."""
+    assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
+    shared = prose(random.Random(8), 12)[:76]
+    rows = [(1, "plumless" + shared), (5, "plumless" + shared), (5, "buckeroo" + shared)]
+    got = sorted((r.doc_id, r.n_removed, r.kept_sha256) for r in remove_repeats(frame(spark, rows), Stages(spark, "t")).collect())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == sorted([(1, 0, sha("plumless" + shared)), (5, 84, sha("")), (5, 76, sha("buckeroo"))])
+
+
 @pytest.mark.parametrize("per_batch, waiting", [(1, 1000), (3, 0), (10_000, 1000)])
 def test_suffix_removal_of_a_block_repeated_inside_one_document(spark, monkeypatch, per_batch, waiting):
     monkeypatch.setattr("tallybook.llm.suffix_dedup.WAITING", waiting)
