@@ -67,8 +67,9 @@ def luhn(digits: str) -> str:
 
 def refilled(value: str, digits: str) -> str:
     """SQL: the value with its digits replaced in order, everything else in place."""
-    return f"""aggregate(sequence(1, length({value})), struct('' as t, 1 as k), (z, j) -> case when substring({value}, j, 1) between '0' and '9'
-        then struct(concat(z.t, substring({digits}, z.k, 1)) as t, z.k + 1 as k) else struct(concat(z.t, substring({value}, j, 1)) as t, z.k as k) end, z -> z.t)"""
+    put = f"""aggregate(sequence(1, length({value})), struct('' as t, 1 as k), (z, j) -> case when substring({value}, j, 1) between '0' and '9'
+        then struct(concat(z.t, substring(w, z.k, 1)) as t, z.k + 1 as k) else struct(concat(z.t, substring({value}, j, 1)) as t, z.k as k) end, z -> z.t)"""
+    return bound(digits, "w", put)
 
 
 def _permuted_digits(digits: str, n: int, tag: str, key: str) -> str:
@@ -76,6 +77,26 @@ def _permuted_digits(digits: str, n: int, tag: str, key: str) -> str:
     return f"lpad(cast({feistel(f'cast({digits} as bigint)', 10 ** (n // 2), 10 ** (n - n // 2), tag, key)} as string), {n}, '0')"
 
 
+def _permuted_ten(digits: str, key: str) -> str:
+    """SQL: ten permuted digits of a telephone number.
+
+    Numbers whose area and exchange both start with 2 to 9 move among these 800 * 800 * 10,000, all others among the other 3,600,000,000.
+    """
+    area, exchange, line = (f"cast(substring({digits}, {at}, {n}) as bigint)" for at, n in ((1, 3), (4, 3), (7, 4)))
+    # the others: areas below 200 with any exchange, then areas from 200 with exchanges below 200
+    other = f"case when {area} < 200 then cast({digits} as bigint) else 2000000000L + (({area} - 200) * 200 + {exchange}) * 10000 + {line} end"
+    back = "case when v < 2000000000L then v else (200 + (v - 2000000000L) div 2000000L) * 10000000L + (v - 2000000000L) % 2000000L end"
+    moved = bound(feistel(f"(({area} - 200) * 800 + {exchange} - 200) * 10000 + {line}", 80_000, 80_000, "phone10", key), "v", "concat(200 + v div 8000000L, 200 + v div 10000L % 800, lpad(v % 10000L, 4, '0'))")
+    return f"case when {area} >= 200 and {exchange} >= 200 then {moved} else lpad({bound(feistel(f'({other})', 60_000, 60_000, 'phone', key), 'v', back)}, 10, '0') end"
+
+
+def _permuted_ssn(digits: str, key: str) -> str:
+    """SQL: nine permuted digits of a valid social security number: 998 areas (not 000 and 666), 99 groups and 9,999 serials (not zero)."""
+    area = f"cast(substring({digits}, 1, 3) as bigint)"
+    number = f"(({area} - if({area} > 666, 2, 1)) * 99 + cast(substring({digits}, 4, 2) as bigint) - 1) * 9999 + cast(right({digits}, 4) as bigint) - 1"
+    return bound(feistel(f"({number})", 998 * 99, 9_999, "ssn", key), "v", "concat(lpad(v div 989901L + if(v div 989901L >= 665, 2, 1), 3, '0'), lpad(v div 9999L % 99 + 1, 2, '0'), lpad(v % 9999L + 1, 4, '0'))")
+
+
 def pseudonym(kind: str, m: str, key: str) -> str:
     """SQL: the pseudonym of match ``m`` of a kind, or m itself where it is not valid."""
     digits = f"regexp_replace({m}, '[^0-9]', '')"
@@ -90,8 +111,8 @@ def pseudonym(kind: str, m: str, key: str) -> str:
         text = bound(f"{m} rlike '(?:^|[.])0[0-9]'", "padded", bound(feistel(number, 65536, 65536, "ip", key), "v", f"concat_ws('.', {', '.join(part(x) for x in (24, 16, 8, 0))})"))
         return f"case when forall(split({m}, '[.]'), o -> cast(o as int) <= 255) then {text} else {m} end"
     if kind == "phone":
-        moved = lambda n: f"concat(substring({digits}, 1, length({digits}) - {n}), {_permuted_digits(f'right({digits}, {n})', n, f'phone{n}', key)})"
-        return f"case when length({digits}) >= 10 then {refilled(m, moved(10))} else {refilled(m, moved(7))} end"
+        moved = lambda n, put: bound(digits, "d", refilled(m, f"concat(substring(d, 1, length(d) - {n}), {put})"))
+        return f"case when length({digits}) >= 10 then {moved(10, _permuted_ten('right(d, 10)', key))} else {moved(7, _permuted_digits('right(d, 7)', 7, 'phone7', key))} end"
     if kind == "card":
         cases = []
         for n in range(13, 20):
@@ -102,7 +123,7 @@ def pseudonym(kind: str, m: str, key: str) -> str:
         return bound(card_part(m), "c", f"case when c.n > 0 then concat(substring({m}, 1, c.at - 1), {bound(f'substring({m}, c.at, c.n)', 'x', put)}, substring({m}, c.at + c.n, 40)) else {m} end")
     if kind == "ssn":
         valid = f"substring({m}, 1, 3) not in ('000', '666') and substring({m}, 5, 2) <> '00' and right({m}, 4) <> '0000'"
-        return f"case when {valid} then {refilled(m, _permuted_digits(digits, 9, 'ssn', key))} else {m} end"
+        return f"case when {valid} then {bound(digits, 'd', refilled(m, _permuted_ssn('d', key)))} else {m} end"
     # dates of the 146097 = 189 * 773 days from 1800 to 2199, a whole Gregorian cycle
     moved = lambda iso, layout: f"date_format(date_add(date'1800-01-01', cast({feistel(f'datediff(try_cast({iso} as date), date\'1800-01-01\')', 189, 773, 'date', key)} as int)), '{layout}')"
     if kind == "date":

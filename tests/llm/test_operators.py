@@ -390,6 +390,47 @@ def test_personal_data_in_other_spellings(spark):
     assert (got[1].n_phone, got[1].n_card, got[1].n_date, got[1].n_ip) == (4, 2, 1, 1) and got[2].n_email == 1
 
 
+def feistel_in_python(n, a, b, tag, key="change-this-key"):
+    left, right = divmod(n, b)
+    for i in range(1, 9):
+        half, size = (right, a) if i % 2 else (left, b)
+        add = int(hashlib.sha256(f"{key}:{tag}:{i}:{half}".encode()).hexdigest()[:15], 16) % size
+        left, right = ((left + add) % a, right) if i % 2 else (left, (right + add) % b)
+    return left * b + right
+
+
+def test_pseudonyms_are_valid_numbers_and_equal_brute_force(spark):
+    rng = random.Random(5)
+    phones = {f"{rng.randint(2, 9)}{rng.randint(0, 99):02d}-{rng.randint(2, 9)}{rng.randint(0, 99):02d}-{rng.randint(0, 9999):04d}" for _ in range(3000)} | {"200-200-0000", "999-999-9999"}
+    ssns = {f"{rng.choice([1, 2, 665, 667, 999, rng.randint(1, 665)]):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}" for _ in range(3000)} | {"001-01-0001", "999-99-9999", "665-99-9999", "667-01-0001"}
+    abroad = {f"+33 {rng.choice([0, 1, 19, 199, 200, 999, rng.randint(0, 999)]):03d} {rng.choice([0, 1, 199, rng.randint(0, 199)]):03d} {rng.randint(0, 9999):04d}" for _ in range(1000)}
+
+    def phone(x):
+        head, d = re.sub(r"\D", "", x)[:-10], re.sub(r"\D", "", x)[-10:]
+        area, exchange, line = int(d[:3]), int(d[3:6]), int(d[6:])
+        if area >= 200 and exchange >= 200:
+            v = feistel_in_python(((area - 200) * 800 + exchange - 200) * 10000 + line, 80000, 80000, "phone10")
+            return f"{head}{200 + v // 8000000}{200 + v // 10000 % 800}{v % 10000:04d}"
+        v = feistel_in_python(int(d) if area < 200 else 2 * 10**9 + ((area - 200) * 200 + exchange) * 10000 + line, 60000, 60000, "phone")
+        return head + (f"{v:010d}" if v < 2 * 10**9 else f"{200 + (v - 2 * 10**9) // 2000000:03d}{(v - 2 * 10**9) % 2000000:07d}")
+
+    def ssn(x):
+        area, group, serial = (int(p) for p in x.split("-"))
+        v = feistel_in_python(((area - (2 if area > 666 else 1)) * 99 + group - 1) * 9999 + serial - 1, 998 * 99, 9999, "ssn")
+        area = v // 989901
+        return f"{area + (2 if area >= 665 else 1):03d}-{v // 9999 % 99 + 1:02d}-{v % 9999 + 1:04d}"
+
+    values = sorted(phones | ssns | abroad)
+    got = dict(zip(values, (r.text for r in pseudonymise(frame(spark, list(enumerate(values)))).orderBy("doc_id").collect())))
+    for x in phones | abroad:
+        assert re.sub(r"\d", "0", got[x]) == re.sub(r"\d", "0", x) and re.sub(r"\D", "", got[x]) == phone(x), x
+    for x in ssns:
+        assert got[x] == ssn(x), x
+    for kind, pattern in ((phones, r"[2-9]\d\d-[2-9]\d\d-\d{4}"), (ssns, r"(?!000|666)\d{3}-(?!00)\d\d-(?!0000)\d{4}"), (abroad, r"\+33 (?![2-9]\d\d [2-9])[\d ]+")):
+        out = {got[x] for x in kind}
+        assert len(out) == len(kind) and all(re.fullmatch(pattern, x) for x in out)
+
+
 def test_permutation_has_no_collisions(spark):
     from tallybook.llm.pii import feistel
 
