@@ -6,7 +6,8 @@ page of a host; copies of a page count as one page.  Tokens of a host with equal
 are compared by a commutative hash, so no page list is ever gathered).  A class is valid as template if it occurs on most of the
 host's pages, has two tokens or more, and its texts stand in one order on all pages and nest: an
 instance of one class lies within one gap of another.  Of two classes that cross, the one of fewer
-texts is not valid.  The texts of valid classes are the fixed text of the site, also inside the article.  Blocks
+texts is not valid.  Nor is a class that holds more than half of what its pages would give without a template, and 100 characters a page: that is an
+article which stands under several addresses of the host, not the frame around articles that differ.  The texts of valid classes are the fixed text of the site, also inside the article.  Blocks
 that are left are the slots.  A slot whose path runs through a menu, header, footer, sidebar,
 notice, advert, form or comment section is not main text, whatever it holds, so such blocks take no part
 in the classes either.  Class and id words mark block elements alone, not the page itself nor words inside a line; a marked
@@ -15,7 +16,7 @@ only slots inside it count, its own header among them; elsewhere all remaining s
 
 Defined cases: pages of any length are read whole; blocks of equal text are told apart by path, ties of classes go to the lesser number; null and empty html give an empty text; a null url groups under the empty host; a
 page alone on its host has no template and keeps the slots its paths allow; broken markup
-is read to the end of the page; repeated rows are separate pages with equal results; an empty table gives an
+is read to the end of the page, a tag whose quotes do not close ends at its first >; repeated rows are separate pages with equal results; an empty table gives an
 empty result.  Other columns of the input are ignored.
 """
 
@@ -46,6 +47,8 @@ MAIN = frozenset("article main".split())
 UNMARKED = frozenset("html body a abbr b bdi bdo cite code data dfn em font i kbd label mark math q s samp small span strong sub sup time u var".split())
 #: A marked part with this share of a page's text is its content.
 MOST = 0.9
+#: A class with more than this share of the text of its pages, and at least so many characters a page, is an article with copies.
+HALF, ARTICLE = 0.5, 100
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Words of class and id names that mark the same kinds of parts.
 MARKED = re.compile(
@@ -54,9 +57,12 @@ MARKED = re.compile(
     re.I,
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
+#: SQL: a slot ``b`` that is main text as far as paths tell.
+MAIN_TEXT = "(b.inside or not exists(blocks, x -> x.inside and not x.dropped))"
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|noscript|svg|iframe|template|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    r"|<(?P<shut>/?)(?P<open>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>[^>]*)(?:>|\Z)",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -101,16 +107,16 @@ def blocks_of(page: str | None) -> list[tuple[str, str, bool, bool]]:
         if m.start() > at:
             held.append(page[at : m.start()])
         at = m.end()
-        name = m.group(3)
+        closing, name, attributes = m.group(2, 3, 4) if m.group(3) else m.group("shut", "open", "rest")
         if name is None:
             continue
-        name = name.lower()
+        name, attributes = name.lower(), attributes or ""
         if name in ("br", "td", "th", "img", "input"):
             held.append(" ")
-        marked = "=" in (m.group(4) or "") and name not in VOID and name not in UNMARKED and _kind(name, m.group(4))[1]
+        marked = "=" in attributes and name not in VOID and name not in UNMARKED and _kind(name, attributes)[1]
         if name in VOID and name != "hr":
             continue
-        if m.group(2):
+        if closing:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if name in BLOCKS or depth is not None:
                 flush()
@@ -125,7 +131,7 @@ def blocks_of(page: str | None) -> list[tuple[str, str, bool, bool]]:
             if name == "body":
                 del stack[next((i for i, s in enumerate(stack) if s[0] == "head"), len(stack)) :]
             if name != "hr":
-                step, flag = _kind(name, m.group(4) or "")
+                step, flag = _kind(name, attributes)
                 if flag == 2 and not named:
                     named = True  # further articles may be comments
                     holds = {k for _, _, f, k in stack if f == 3}
@@ -196,6 +202,7 @@ def main_text(pages: DataFrame, stages: Stages, page_id="page_id", url="url", ht
         parsed.select(
             "host", F.expr("xxhash64(transform(blocks, b -> b.token))").alias("copy"),
             F.expr(f"transform({slots}, b -> b.token)").alias("tokens"), F.expr(f"transform({slots}, b -> b.place)").alias("places"),
+            F.expr(f"transform({slots}, b -> if({MAIN_TEXT}, length(b.text), 0))").alias("chars"),
         ).dropDuplicates(["host", "copy"]), "witnesses"
     )
     every = "concat(array(struct(0L as token, false as text)), transform(tokens, t -> struct(t as token, true as text)), transform(places, t -> struct(t as token, false as text)))"
@@ -215,20 +222,28 @@ def main_text(pages: DataFrame, stages: Stages, page_id="page_id", url="url", ht
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [(h, *e) for h, t, c in zip(pdf["host"], pdf["tokens"], pdf["classes"]) for e in evidence(list(t), [list(x) for x in c])]
-            out = pd.DataFrame(found, columns=["host", "number", "order", "crossed"])
-            yield out.astype({"number": "int32", "order": "Int64", "crossed": bool})
+            found = []
+            for h, t, n, c in zip(pdf["host"], pdf["tokens"], pdf["chars"], pdf["classes"]):
+                tokens, groups = list(t), [list(x) for x in c]
+                size: dict[int, int] = defaultdict(int)
+                for token, chars in zip(tokens, n):
+                    size[token] += int(chars)
+                total = sum(size.values())
+                found += [(h, *e, sum(size[x] for x in groups[e[0]]), total) for e in evidence(tokens, groups)]
+            out = pd.DataFrame(found, columns=["host", "number", "order", "crossed", "held", "total"])
+            yield out.astype({"number": "int32", "order": "Int64", "crossed": bool, "held": "int64", "total": "int64"})
 
     valid = (
-        witnesses.select("host", "tokens").join(spread(classes), "host").mapInPandas(judge, "host string, number int, order long, crossed boolean")
-        .groupBy("host", "number").agg(F.min("order").alias("least"), F.max("order").alias("most"), F.expr("bool_or(crossed or order is null)").alias("bad"))
-        .where("not bad and least = most").groupBy("host").agg(F.collect_list("number").alias("valid"))
+        witnesses.select("host", "tokens", "chars").join(spread(classes), "host").mapInPandas(judge, "host string, number int, order long, crossed boolean, held long, total long")
+        .groupBy("host", "number").agg(
+            F.min("order").alias("least"), F.max("order").alias("most"), F.expr("bool_or(crossed or order is null)").alias("bad"), F.sum("held").alias("held"), F.sum("total").alias("total"), F.count("*").alias("pages"),
+        )
+        .where(f"not bad and least = most and (held <= {HALF} * total or held < {ARTICLE} * pages)").groupBy("host").agg(F.collect_list("number").alias("valid"))
     )
     template = stages.save(
         classes.join(valid, "host").select("host", F.expr("flatten(transform(valid, n -> classes[n]))").alias("template")), "template"
     )
     template = spread(template)
-    keep = F.expr("""filter(blocks, b -> not b.dropped and not array_contains(coalesce(template, array()), b.token)
-        and (b.inside or not exists(blocks, x -> x.inside and not x.dropped)))""")
+    keep = F.expr(f"filter(blocks, b -> not b.dropped and not array_contains(coalesce(template, array()), b.token) and {MAIN_TEXT})")
     text = F.array_join(F.transform(keep, lambda b: b["text"]), "\n")
     return parsed.join(template, "host", "left").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -269,6 +269,27 @@ def test_html_parts_that_hold_the_page(spark):
     assert got[6] == ("long " * 50_000).strip() and got[7] == "tail open" and got[8] == "<p> éA"
 
 
+def test_html_article_under_several_addresses(spark):
+    rng = random.Random(8)
+    story = [prose(rng, 20) for _ in range(3)]
+    body = "".join(f"<p>{x}</p>" for x in story)
+    frame_ = "<p>Written by the staff of this site, which gives its words to all who ask</p><p>Sent to readers each day at noon, by post and by wire, free of any charge</p>"
+    rows = [(i, f"http://one/{i}", f"<article>{body}<p>Updated at minute {i}</p></article>") for i in range(4)]
+    # three addresses of one story among five pages, all in the site's frame
+    rows += [(10 + i, f"http://two/{i}", f"<article>{frame_}{body if i < 3 else '<p>' + prose(rng, 90) + '</p>'}<p>seen {i}</p></article>") for i in range(5)]
+    # stories that differ lose a frame that is longer than some of them
+    rows += [(20 + i, f"http://three/{i}", f"<article>{frame_}<p>{prose(rng, 5 + 30 * (i % 4))} own {i}</p></article>") for i in range(8)]
+    rows += [(40, "http://q/0", '<p class="foo>Hello world</p><div id="b">more <b class=x>text</b></div>'), (41, "http://r/0", "<div title='it>one</div>"), (42, "http://u/0", "<p>a < b</p>")]
+    got = {r.page_id: r.text.split("\n") for r in main_text(frame(spark, rows, "page_id long, url string, html string"), Stages(spark, "t")).collect()}
+    for i in range(4):
+        assert got[i] == [*story, f"Updated at minute {i}"]
+    for i in range(5):
+        assert got[10 + i][:-1] == story if i < 3 else len(got[10 + i]) == 2
+    for i in range(8):
+        assert len(got[20 + i]) == 1 and got[20 + i][0].endswith(f"own {i}")
+    assert got[40] == ["Hello world", "more text"] and got[41] == ["one"] and got[42] == ["a < b"]
+
+
 def test_mixing(spark):
     assert capped_targets([10, 100, 0], [5, 2, 1], 110) == [30.0, 80.0, 0.0]
     rng = random.Random(5)
