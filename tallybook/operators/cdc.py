@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TERMINAL = ("NORMALIZED", "PARTIAL", "REVIEW_REQUIRED", "UNPARSED")
+#: What a new or changed declaration starts with; columns not named hold null.
+CLAIM = {"claim_owner": None, "claim_lease_until": None, "claim_attempts": 0, "claim_next_attempt_at": None, "claim_last_error": None}
+FRESH = CLAIM | {"review_status": "NOT_REQUIRED", "reviewed_by": None, "reviewed_at": None, "review_note": None, "importer_id": None, "importer_link_source": None, "importer_linked_at": None}
 
 
 def latest_by_key(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -36,23 +39,27 @@ def sync_declarations(current: DataFrame, latest: DataFrame) -> DataFrame:
     """The next state: (rcno, source_item_id, semantic_sha256, status, changed).
 
     A new key starts PENDING; a newer row of equal hash only moves the source; another hash makes
-    it STALE.  Comparison is null-safe, and syncing again changes nothing.
+    it STALE.  Comparison is null-safe, and syncing again changes nothing.  Columns of ``FRESH`` that ``current`` has come along: another hash
+    or a new key sets them back.
     """
     c, n = current.alias("c"), latest.alias("n")
     same = F.col("c.semantic_sha256").eqNullSafe(F.col("n.semantic_sha256"))
     status = (
         F.when(F.col("c.source_item_id").isNull(), "PENDING").when(F.col("n.source_item_id").isNull() | same, F.col("c.status")).otherwise("STALE")
     )
+    changed = F.col("c.source_item_id").isNull() | (F.col("n.source_item_id").isNotNull() & ~same)
     return c.join(n, F.col("c.rcno") == F.col("n.rcno"), "full_outer").select(
         F.coalesce("c.rcno", "n.rcno").alias("rcno"), F.coalesce("n.source_item_id", "c.source_item_id").alias("source_item_id"),
         F.when(F.col("n.source_item_id").isNull(), F.col("c.semantic_sha256")).otherwise(F.col("n.semantic_sha256")).alias("semantic_sha256"),
-        status.alias("status"), (F.col("c.source_item_id").isNull() | (F.col("n.source_item_id").isNotNull() & ~same)).alias("changed"),
+        status.alias("status"), changed.alias("changed"), *[F.when(changed, F.lit(FRESH[x])).otherwise(F.col(f"c.{x}")).alias(x) for x in current.columns if x in FRESH],
     )
 
 
 def force_requeue(state: DataFrame) -> DataFrame:
-    """Terminal rows become STALE again; derived values stay."""
-    return state.withColumn("status", F.when(F.col("status").isin(*TERMINAL), "STALE").otherwise(F.col("status")))
+    """Terminal rows become STALE again and lose their claim; derived values stay."""
+    done = F.col("status").isin(*TERMINAL)
+    claim = {c: F.when(done, F.lit(v)).otherwise(F.col(c)) for c, v in CLAIM.items() if c in state.columns}
+    return state.withColumns({**claim, "status": F.when(done, "STALE").otherwise(F.col("status"))})
 
 
 def select_work(latest: DataFrame, state: DataFrame, limit: int) -> DataFrame:
@@ -62,6 +69,19 @@ def select_work(latest: DataFrame, state: DataFrame, limit: int) -> DataFrame:
     return latest.join(known, "rcno", "left").where(open_).orderBy(F.desc("processed_date"), F.desc("source_item_id")).limit(limit)
 
 
+def due_work(latest: DataFrame, state: DataFrame, now: Column, max_attempts: int, limit: int, key: str | None = None) -> DataFrame:
+    """Like ``select_work`` for a state with claims: no live lease, next attempt due, attempts left.
+
+    One ``key`` asks for that declaration in whatever state it is, unless somebody holds it.
+    """
+    known = state.select("rcno", F.lit(True).alias("known"), "status", *[c for c in CLAIM if c != "claim_last_error"])
+    free = F.col("claim_owner").isNull() | (F.col("claim_lease_until") < now)
+    due = (F.col("claim_next_attempt_at").isNull() | (F.col("claim_next_attempt_at") <= now)) & (F.col("claim_attempts") < max_attempts)
+    wanted = F.col("known").isNull() | (F.col("status").isin("PENDING", "STALE") & due) if key is None else F.col("rcno") == key
+    found = latest.join(known, "rcno", "left").where(free & wanted).withColumn("claim_attempts", F.coalesce("claim_attempts", F.lit(0)))
+    return found.orderBy(F.desc("processed_date"), F.desc("source_item_id")).limit(limit).drop("known")
+
+
 def remaining(ledger: DataFrame, state: DataFrame) -> DataFrame:
     """(missing, pending, stale) counts."""
     missing = ledger.select("rcno").distinct().join(state.select("rcno"), "rcno", "left_anti").agg(F.count("*").alias("missing"))
@@ -79,6 +99,15 @@ def apply_results(state: DataFrame, results: DataFrame, key: str, fence: list[st
     return joined.withColumn("applied", ok).withColumns(changed).drop("_hit", *[f"_f_{c}" for c in fence], *[f"_v_{c}" for c in values])
 
 
+def rejected_results(state: DataFrame, results: DataFrame, key: str, fence: list[str]) -> DataFrame:
+    """Results whose key the state lacks or whose fence no longer matches it: what ``apply_results`` does not write."""
+    s, r = state.alias("s"), results.alias("r")
+    same = F.col(f"s.{key}") == F.col(f"r.{key}")
+    for c in fence:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return r.join(s, same, "left_anti")
+
+
 def merge_selection(selected: Column, auto: Column) -> Column:
     """A manual choice stays; else the automatic one."""
     return F.coalesce(selected, auto)

@@ -59,3 +59,31 @@ def key_diff(keys: DataFrame, before: int, after: int) -> DataFrame:
     cols = ["task_id", "item_code", "rcno"]
     a, b = (keys.where(F.col("attempt") == n).select(*cols).distinct() for n in (before, after))
     return a.join(b, cols, "left_anti").withColumn("side", F.lit("missing")).unionByName(b.join(a, cols, "left_anti").withColumn("side", F.lit("unexpected")))
+
+
+def judge_tasks(recon: DataFrame, keys: DataFrame, targets: list[tuple[str, str]]) -> DataFrame:
+    """Per (task, attempt): verdict, and of the target that gave it item_code, item_name, reason, missing and unexpected keys.
+
+    ``targets`` are the (code, name) that every task must hold, in order; one without rows is invalid (``not_collected``).  The first
+    invalid target decides; without one, the first of several pages that has no earlier valid scan or differs from it.
+    """
+    order = F.array(*[F.struct(F.lit(k).alias("place"), F.lit(code).alias("item_code"), F.lit(name).alias("item_name")) for k, (code, name) in enumerate(targets)])
+    wanted = recon.select("task_id", "attempt").distinct().select("task_id", "attempt", F.inline(order))
+    # attempts without rows of an item are no earlier scans of it, so the scan before is found on the rows there are
+    r = wanted.join(previous_valid(recon), ["task_id", "attempt", "item_code"], "left")
+    multi, valid = F.col("pages") > 1, F.coalesce("valid", F.lit(False))
+    fault = (
+        F.when(~valid, "RECONCILIATION_FAILED").when(multi & F.col("prev_attempt").isNull(), "VERIFICATION_REQUIRED")
+        .when(multi & ((F.col("prev_total") != F.col("total")) | (F.col("prev_sha") != F.col("key_sha"))), "SET_CHANGED")
+    )
+    why = F.when(~valid, F.coalesce("reason", F.lit("not_collected")))
+    first = F.min_by(F.struct("fault", "item_code", "item_name", "why", "prev_attempt"), F.when(F.col("fault").isNotNull(), F.struct(valid.alias("stage"), "place")))
+    judged = r.withColumns({"fault": fault, "why": why}).groupBy("task_id", "attempt").agg(first.alias("f")).select(
+        "task_id", "attempt", F.coalesce("f.fault", F.lit("COMPLETE")).alias("verdict"), "f.item_code", "f.item_name", F.col("f.why").alias("reason"), "f.prev_attempt",
+    )
+    changed = judged.where("verdict = 'SET_CHANGED'").select("task_id", "attempt", "item_code", "prev_attempt")
+    scans = changed.select("task_id", "item_code", "attempt", F.explode(F.array(F.struct(F.col("attempt").alias("scan"), F.lit(True).alias("new")), F.struct(F.col("prev_attempt").alias("scan"), F.lit(False).alias("new")))).alias("s"))
+    scans = scans.select("task_id", "item_code", F.col("attempt").alias("judged"), F.col("s.scan").alias("attempt"), "s.new")
+    sides = keys.select("task_id", "item_code", "attempt", "rcno").join(scans, ["task_id", "item_code", "attempt"]).groupBy("task_id", "item_code", "judged", "rcno").agg(F.bool_or("new").alias("now"), F.bool_and("new").alias("only"))
+    diff = sides.groupBy("task_id", "item_code", F.col("judged").alias("attempt")).agg(F.count_if(~F.col("now")).alias("missing"), F.count_if(F.col("only")).alias("unexpected"))
+    return judged.drop("prev_attempt").join(diff, ["task_id", "attempt", "item_code"], "left").select("task_id", "attempt", "verdict", "item_code", "item_name", "reason", "missing", "unexpected")
