@@ -17,9 +17,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a new one only where that is unset."""
+    """The folder in ``spark.checkpoint.dir``.  Only a local session may leave it unset; it gets a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
