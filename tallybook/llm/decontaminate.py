@@ -12,7 +12,9 @@ join shuffles.  Items of fewer than ``WINDOW`` words have shorter masks as well,
 accepts holds a seed; documents are cut by those masks that some item of the benchmark needs.
 
 Defined cases: null and empty texts and items match nothing; null ids are kept out of hits (a hit names its
-document); repeated rows are reported once; other columns are ignored; empty tables give an empty result.
+document), and items without an id match nothing; repeated rows are reported once, rows of one id as one document with the best of its overlaps; of overlaps
+with equally many equal words the leftmost counts, then the longest; texts of any length are cut whole, into as many seeds as they have
+windows; other columns are ignored, whatever their names; empty tables give an empty result.
 """
 
 from __future__ import annotations

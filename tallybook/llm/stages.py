@@ -1,7 +1,9 @@
 """Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns documents.
 
 Each stage reads what the one before it kept.  Rows with a null id pass the filters that name documents by id (toxicity, benchmark); a
-decision of these about an id holds for all its rows.  Near-dedup decides by row, rows without id included.
+decision of these about an id holds for all its rows.  Near-dedup decides by row, rows without id included.  Null and empty texts score
+as texts without toxic hits, are near copies of nothing, hold no passage, stay as they are, and count no words in the mix.  Ties and repeated rows are settled by each operator as its module says; texts of
+any length are read whole; an empty table passes every stage as an empty one.
 """
 
 from __future__ import annotations

@@ -469,6 +469,41 @@ def test_decontamination(spark):
     assert got == {(1, 0, 20, 15, 15), (2, 1, 50, 40, 38), (6, 2, 0, 30, 30)}
 
 
+def test_decontamination_equals_brute_force(spark):
+    from tallybook.llm.decontaminate import AGREE, WINDOW
+
+    rng = random.Random(12)
+    items = [(i, prose(rng, n)) for i, n in enumerate((8, 10, 13, 16, 25, 40))] + [(None, prose(rng, 20))]
+
+    def spoiled(words, swaps):
+        words = list(words)
+        for k in rng.sample(range(len(words)), min(swaps, len(words))):
+            words[k] = "other"
+        return words
+
+    docs = []
+    for i in range(60):
+        item = items[i % 6][1].split()
+        cut = item[: rng.randint(max(1, len(item) // 2), len(item))]
+        docs.append((i, prose(rng, rng.randint(0, 40)) + " " + " ".join(spoiled(cut, rng.randint(0, 4))) + " " + prose(rng, rng.randint(0, 40))))
+    # two equally good places far apart in a very long text, one id with two texts, repeated rows, an item without an id
+    docs += [(100, " ".join((prose(rng, 15_000), items[3][1], prose(rng, 5_000), items[3][1], prose(rng, 5_000)))), (101, items[4][1]), (101, "x " + items[4][1]), (102, items[2][1]), (102, items[2][1]), (103, items[6][1])]
+    want = {}
+    for doc, text in docs:
+        words = text.lower().split()
+        for name, item in items[:6]:
+            item = item.split()
+            run = min(WINDOW, len(item))
+            for offset in range(-len(item) + 1, len(words)):
+                eq = [a == b for a, b in zip(item[max(0, -offset) :], words[max(0, offset) :])]
+                if sum(eq) >= AGREE * run and any(sum(eq[k : k + run]) >= AGREE * run for k in range(len(eq) - run + 1)):
+                    found = (sum(eq), -max(offset, 0), len(eq))
+                    want[doc, name] = max(found, want.get((doc, name), found))
+    got = {tuple(r) for r in overlaps(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"), Stages(spark, "t")).collect()}
+    assert got == {(doc, name, -back, n, equal) for (doc, name), (equal, back, n) in want.items()} and len(got) > 30
+    assert any(r[:3] == (100, 3, 15_000) for r in got) and (101, 4, 0, 25, 25) in got
+
+
 def test_masks_hold_a_seed_for_every_accepted_placement():
     from itertools import combinations
 
