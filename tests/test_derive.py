@@ -146,3 +146,12 @@ def test_evidence_prior_and_links(spark):
     assert {tuple(r) for r in importers.search_candidates(decls, links).collect()} == {("A", "x"), ("B", "y")}
     picked = quality.defect_samples(spark.range(10), F.when(F.col("id") % 2 == 0, "even"), "id")
     assert {r.id for r in picked.collect()} == {0, 2, 4}
+
+
+def test_blank_korean_name_is_no_kind(spark, tmp_path):
+    from tallybook.plans import declarations
+
+    # part 9880 has the names '' and WHISKY, part 230 a kind in Korean
+    spark.createDataFrame([(9880, "x", 1, "b"), (230, "x", 1, "b")], "p_partkey long, p_name string, p_size int, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r.item_id: (r.key_ko, r.generic_name) for r in declarations.QUERIES["d26_keys"](spark, str(tmp_path)).collect()}
+    assert got == {9880: ("", False), 230: ("위스키", True)}
