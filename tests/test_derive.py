@@ -155,3 +155,18 @@ def test_blank_korean_name_is_no_kind(spark, tmp_path):
     spark.createDataFrame([(9880, "x", 1, "b"), (230, "x", 1, "b")], "p_partkey long, p_name string, p_size int, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
     got = {r.item_id: (r.key_ko, r.generic_name) for r in declarations.QUERIES["d26_keys"](spark, str(tmp_path)).collect()}
     assert got == {9880: ("", False), 230: ("위스키", True)}
+
+
+def test_names_are_worked_out_once(spark):
+    """Each rule spells out the cutting of a name once; what it read twice was worked out twice."""
+    t, a, m = F.col("t"), F.col("a"), F.col("m")
+    whole = lambda c: str(c).count("array_join(transform(")
+    assert [whole(x) for x in (names.base_name(t, a, m), names.alcohol_name(t, a), names.display_name(t, F.col("v"), F.col("n"), a))] == [1, 1, 2]  # display names join the tokens of a group as well
+    rows = [("cc dd 2008123YO", [2008]), ("20(700ml)08", []), ("A 2008 12YO 1999", [1999, 2008]), ("20 08", []), ("A2008", []), (None, [])]
+    got = spark.createDataFrame([(i, r[0], "X") for i, r in enumerate(rows)], f"i int, {NAMES}").select("i", normalize.parse_vintage(F.col("product_name_ko"), F.col("product_name_en")).alias("y")).orderBy("i").collect()
+    assert [list(r.y) for r in got] == [r[1] for r in rows]
+    lots = [("A,L 12", "L 12"), ("A (L-5)", "L-5"), ("AL12/B", None), ("가L1234", None), ("A / L12A", "L12A"), ("A,　L5", "L5"), ("LEMON", None)]
+    got = spark.createDataFrame([(i, r[0], None) for i, r in enumerate(lots)], f"i int, {NAMES}").select("i", normalize.parse_unlabelled_lot(F.col("product_name_ko"), F.col("product_name_en"), F.lit(None).cast("string")).alias("lot")).orderBy("i").collect()
+    assert [r.lot for r in got] == [r[1] for r in lots]
+    got = spark.createDataFrame([("한#1 NO. 22@3",), ("none",)], "t string").select(normalize.places(F.col("t"), normalize.P.MARKER).alias("p")).collect()
+    assert [[tuple(x) for x in r.p] for r in got] == [[("#1", 1), ("NO. 22", 4), ("@3", 10)], []]
