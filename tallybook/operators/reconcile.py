@@ -57,8 +57,9 @@ def reconcile_tasks(recon: DataFrame) -> DataFrame:
 def key_diff(keys: DataFrame, before: int, after: int) -> DataFrame:
     """(task, item, rcno, side): keys missing from or unexpected in the later attempt."""
     cols = ["task_id", "item_code", "rcno"]
-    a, b = (keys.where(F.col("attempt") == n).select(*cols).distinct() for n in (before, after))
-    return a.join(b, cols, "left_anti").withColumn("side", F.lit("missing")).unionByName(b.join(a, cols, "left_anti").withColumn("side", F.lit("unexpected")))
+    held = lambda n: F.bool_or(F.col("attempt") == n)
+    sides = keys.where(F.col("attempt").isin(before, after)).groupBy(*cols).agg(held(before).alias("old"), held(after).alias("new"))
+    return sides.where(F.col("old") != F.col("new")).select(*cols, F.when(F.col("old"), "missing").otherwise("unexpected").alias("side"))
 
 
 def judge_tasks(recon: DataFrame, keys: DataFrame, targets: list[tuple[str, str]]) -> DataFrame:
