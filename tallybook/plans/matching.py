@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallybook.functions.lineage import cut
 from tallybook.operators import match
 from tallybook.sources import ledger
 
@@ -38,9 +39,10 @@ def query(oracle: str | None = None):
 
 
 def _ranked(spark, d):
+    """Ranked candidates of profiles, the inputs of each profile, and the products."""
     alcohols, distilleries, regions = ledger.references(spark, d)
-    inputs = match.with_name_set(ledger.wanted(spark, d))
-    return match.rank(match.score_alcohols(inputs, alcohols, match.build_name_index(alcohols, distilleries, regions))), alcohols
+    kinds, members = match.profiles(ledger.wanted(spark, d))
+    return match.rank(match.score_alcohols(cut(kinds), alcohols, cut(match.build_name_index(alcohols, distilleries, regions)))), members, alcohols
 
 
 def _matched(spark, d):
@@ -61,25 +63,28 @@ def e6_name_index(spark, d):
 
 @query(_SCORES + "SELECT input_id, id, score, CAST(strength AS INTEGER) strength, CAST(rank AS INTEGER) AS rank FROM k")
 def e16_scored_candidates(spark, d):
-    return _ranked(spark, d)[0].select("input_id", "id", "score", "strength", "rank")
+    ranked, members, _ = _ranked(spark, d)
+    return match.told(ranked.select("input_id", "id", "score", "strength", "rank"), members)
 
 
 @query(_SCORES + "SELECT input_id, " + ", ".join(f"max(CASE WHEN rank = {k} THEN {c} END) candidate_{k}_{c}" for k in (1, 2, 3) for c in ("id", "score")) + " FROM k WHERE rank <= 3 GROUP BY 1")
 def e18_top_three(spark, d):
-    return match.top3(_ranked(spark, d)[0])
+    ranked, members, _ = _ranked(spark, d)
+    return match.told(match.top3(ranked), members)
 
 
 @query(_SCORES + """SELECT input_id, CASE stop_reason WHEN 'A_ATTRIBUTE_CONFLICT' THEN 'CONFLICT_REVIEW' WHEN 'A_AMBIGUOUS' THEN 'AMBIGUOUS' WHEN 'A_UNIQUE_STRONG' THEN 'AUTO_SELECTED' ELSE 'REVIEW' END decision, stop_reason,
  CASE WHEN stop_reason = 'A_UNIQUE_STRONG' THEN top_id END selected_id, top_score, CAST(margin AS DOUBLE) margin, competitive FROM d""")
 def e20_match_names(spark, d):
-    return match.decide_alcohol(_ranked(spark, d)[0]).select("input_id", "decision", "stop_reason", "selected_id", "top_score", "margin", "competitive")
+    ranked, members, _ = _ranked(spark, d)
+    return match.told(match.decide_alcohol(ranked).select("input_id", "decision", "stop_reason", "selected_id", "top_score", "margin", "competitive"), members)
 
 
 @query(_SCORES + """SELECT input_id, CASE WHEN min(distillery_id) = max(distillery_id) THEN min(distillery_id) ELSE 0 END distillery_id, CASE WHEN min(region_id) = max(region_id) THEN min(region_id) ELSE 0 END region_id
  FROM k WHERE score >= 10 AND top - score < 3 GROUP BY 1 HAVING count(*) > 1""")
 def e21_consensus(spark, d):
-    ranked, alcohols = _ranked(spark, d)
-    return match.consensus(ranked, alcohols)
+    ranked, members, alcohols = _ranked(spark, d)
+    return match.told(match.consensus(ranked, alcohols), members)
 
 
 @query(f"""WITH a AS ({ledger.ALCOHOLS}), m AS ({ledger.DISTILLERIES}), r AS ({ledger.REGIONS}), n AS (SELECT distillery_id, region_id, count(*) n FROM a WHERE distillery_id IN (SELECT id FROM m) AND region_id IN (SELECT id FROM r) GROUP BY ALL)
