@@ -1,8 +1,8 @@
 """Near-dedup by improved consistent weighted sampling over TF-IDF shingles.
 
 Elements are five-word shingles; a shingle weighs tf * idf.  Document frequencies are
-counted over all documents into two count-min rows of fixed size, so the table, and nothing else, goes to
-the driver and the tasks.  A slot's excess share of documents is the mean number of shingles a document over the
+counted over all documents into two count-min rows of fixed size, which stay with the tasks; the driver and the tasks are told
+the slots whose share exceeds ``COMMON``, and all others weigh the same.  A slot's excess share of documents is the mean number of shingles a document over the
 number of slots, whatever the number of documents, and lies below ``COMMON`` for documents of some hundred words.
 The idf is 0 for a shingle in every document and 1 from the share ``COMMON`` down; as weight it is damped into
 [1, 1 + DAMPING]: a group of thousands of near copies must not make its own shared shingles
@@ -63,42 +63,43 @@ def _slots(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & size).astype(np.int64), ((h >> np.uint64(32)) & size).astype(np.int64) + (1 << bits)
 
 
-def document_frequencies(docs: DataFrame, bits: int = DF_BITS) -> tuple[np.ndarray, int]:
-    """(counts by slot of both rows, number of documents); every document counts."""
+def common_slots(docs: DataFrame, bits: int = DF_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """(slot, weight) of the slots of both rows that a share of more than ``COMMON`` of the documents has; every document counts."""
     size = 2 << bits
     step = min(DF_SLICE, size)
+    n = docs.count()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, n = np.zeros(size, np.uint32), 0
+        table = np.zeros(size, np.uint32)
         for pdf in batches:
             texts = lowered(list(pdf["text"]))
-            n += len(texts)
             for lo, hi in blocks(texts):
                 h, _, _ = _shingles(texts[lo:hi])
                 for slot in _slots(h, bits):
                     table += np.bincount(slot, minlength=size).astype(np.uint32)
         parts = table.reshape(-1, step)
         some = np.flatnonzero(parts.any(axis=1))
-        yield pd.DataFrame({"slot": [-1, *some.tolist()], "counts": [np.array([n], np.int64).tobytes(), *(parts[i].astype(np.int64).tobytes() for i in some)]})
+        yield pd.DataFrame({"part": some, "counts": [parts[i].astype(np.int64).tobytes() for i in some]})
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A running sum a slice: memory follows the slices of a task, not the number of input partitions."""
         total: dict[int, np.ndarray] = {}
         for pdf in batches:
-            for slot, counts in zip(pdf["slot"], pdf["counts"]):
-                total[slot] = total.get(slot, 0) + np.frombuffer(counts, np.int64)
-        yield pd.DataFrame({"slot": list(total), "counts": [x.tobytes() for x in total.values()]})
-
-    kind = "slot int, counts binary"
-    rows = docs.select("text").mapInPandas(count, kind).repartition("slot").mapInPandas(add, kind).toArrow()
-    table, n = np.zeros(size, np.int64), 0
-    for slot, counts in zip(rows["slot"].to_pylist(), rows["counts"]):
-        counts = np.frombuffer(counts.as_buffer(), np.int64)
-        if slot < 0:
-            n = int(counts[0])
-        else:
-            table[slot * step : slot * step + len(counts)] = counts
-    return table, n
+            for part, counts in zip(pdf["part"], pdf["counts"]):
+                total[part] = total.get(part, 0) + np.frombuffer(counts, np.int64)
+        for part, counts in total.items():
+            often = np.flatnonzero(counts > COMMON * n)
+            yield pd.DataFrame({"slot": part * step + often, "weight": idf_table(counts[often], n)})
+
+    rows = docs.select("text").mapInPandas(count, "part int, counts binary").repartition("part").mapInPandas(add, "slot int, weight float").toArrow()
+    return rows["slot"].to_numpy(), rows["weight"].to_numpy()
+
+
+def told_weights(slots: np.ndarray, weight: np.ndarray, bits: int = DF_BITS) -> np.ndarray:
+    """Weight by slot from what ``common_slots`` gives."""
+    idf = np.full(2 << bits, 1 + DAMPING, np.float32)
+    idf[slots] = weight
+    return idf
 
 
 def idf_table(table: np.ndarray, n: int) -> np.ndarray:
@@ -249,16 +250,17 @@ def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Da
 def near_duplicates(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, component_id (least id of its class), kept, and version, the hash of its text."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    idf = df.sparkSession.sparkContext.broadcast(idf_table(*document_frequencies(docs)))  # 8 MB
+    told = df.sparkSession.sparkContext.broadcast(common_slots(docs))  # at most 16 MB, some kilobytes unless documents are very long
     k = BANDS * ROWS
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        idf = told_weights(*told.value)
         for pdf in batches:
             texts = lowered(list(pdf["text"]))
             for lo, hi in blocks(texts):
                 words = Words(texts[lo:hi])
                 h, t, tf = _shingles(texts[lo:hi])
-                sig = samples(h, t, weights(h, idf.value) * tf.astype(np.float32), hi - lo, k)
+                sig = samples(h, t, weights(h, idf) * tf.astype(np.float32), hi - lo, k)
                 n = np.diff(words.first)
                 place = (np.arange(len(words.hash)) - words.first[words.text]).astype(np.uint64)
                 at = np.minimum(words.first[:-1], max(len(words.hash) - 1, 0))
@@ -341,12 +343,13 @@ def near_duplicates(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text:
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Links (a, b) of each tile, and as (a, null) the members that no links join to the first representative."""
+        idf = told_weights(*told.value)
         for g in _grouped(batches, ["component", "tile"]):
             g = g[~g["node"].duplicated()]
             if len(g) < 2:
                 continue
             nodes, heads = g["node"].to_numpy(), np.flatnonzero(g["head"].to_numpy())
-            tile = Tile(lowered(list(g["text"])), idf.value)
+            tile = Tile(lowered(list(g["text"])), idf)
             i, j, rest = joined(len(g), heads if len(heads) else np.zeros(1, np.int64), lambda a, b: tile.similar(a, b, threshold))
             a, b = [nodes[i]], [pd.array(nodes[j], dtype="Int64")]
             if g["tiles"].iloc[0] > 1:
@@ -363,7 +366,7 @@ def near_duplicates(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text:
     links = found.where("b is not null")
     left = found.where("b is null").select(F.col("a").alias("node")).distinct()
     if not left.isEmpty():
-        links = links.unionByName(_rest_links(stages, placed, stages.save(left, "left"), with_text, idf, threshold))
+        links = links.unionByName(_rest_links(stages, placed, stages.save(left, "left"), with_text, told, threshold))
     comp = components(links, stages, "classes")
 
     owned = texts.select("node", "seq", "lead", "n").join(comp, "node", "left").withColumn("class", F.coalesce("component", "node"))
@@ -379,7 +382,7 @@ def near_duplicates(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text:
     return out.unionByName(rows.where("seq is null").select("doc_id", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "version"))
 
 
-def _rest_links(stages: Stages, placed: DataFrame, left: DataFrame, with_text, idf, threshold: float) -> DataFrame:
+def _rest_links(stages: Stages, placed: DataFrame, left: DataFrame, with_text, told, threshold: float) -> DataFrame:
     """Links between the texts in ``left`` (node), cut into tiles of their own, and all other tiles of their groups."""
     rest = placed.where("not head").join(left, "node")
     many = stages.save(rest.groupBy("component").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts")), "rest-sizes")  # texts may be long
@@ -389,6 +392,7 @@ def _rest_links(stages: Stages, placed: DataFrame, left: DataFrame, with_text, i
     columns = ["component", "tile", "part", "node", "asks"]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        idf = told_weights(*told.value)
         for g in _grouped(batches, ["component", "tile", "part"]):
             g = g.sort_values("asks", ascending=False, kind="stable")
             g = g[~g["node"].duplicated()]
@@ -396,7 +400,7 @@ def _rest_links(stages: Stages, placed: DataFrame, left: DataFrame, with_text, i
             if len(asks) == 0 or len(g) < 2:
                 continue
             nodes = g["node"].to_numpy()
-            i, j = Tile(lowered(list(g["text"])), idf.value).similar(asks, np.arange(len(g)), threshold)
+            i, j = Tile(lowered(list(g["text"])), idf).similar(asks, np.arange(len(g)), threshold)
             keep = union_forest(len(g), i, j)
             yield pd.DataFrame({"a": nodes[i[keep]], "b": nodes[j[keep]]})
 

@@ -166,6 +166,20 @@ def brute_classes(rows, threshold=0.8):
     return groups(len(rows), links)
 
 
+def test_only_common_slots_are_told(spark):
+    rng = random.Random(9)
+    rows = [(i, "five words that all share " + prose(rng, 20 + i % 30)) for i in range(4000)]
+    texts = M.lowered([t for _, t in rows])
+    h, t, _ = M._shingles(texts)
+    table = np.zeros(2 << M.DF_BITS, np.int64)
+    for slot in M._slots(h, M.DF_BITS):
+        table += np.bincount(slot, minlength=len(table))
+    slots, weight = M.common_slots(frame(spark, rows).repartition(3))
+    assert 2 <= len(slots) < 1000 and len(slots) == len(set(slots.tolist())) == np.count_nonzero(table > 4)
+    assert np.array_equal(M.told_weights(slots, weight), M.idf_table(table, len(rows)))
+    assert not len(M.common_slots(frame(spark, []))[0])
+
+
 def check_classes(spark, rows):
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(frame(spark, rows), Stages(spark, "t")).collect()), key=str)
     root = brute_classes(rows)
