@@ -45,14 +45,22 @@ PAIR = 0xD6E8FEB86659FD93
 SAMPLED, COMMON = 64, 500
 #: Whole copies, 16 bytes each, whose list a join with the documents broadcasts at most.
 BROADCAST_COPIES = 1_000_000
+#: Bytes of texts whose hashes are worked out at once.
+BLOCK = 1 << 16
 #: Open rows of one anchor name that a task holds back at most.
 WAITING = 1_000_000
 
 
-def rolling(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of data[p:p + size] for every p."""
-    sums = prefix_sums(data)
-    return mix((sums[size:] - sums[:-size]) * powers(BASE_INVERSE, len(data))[: len(sums) - size])
+def rolling(sums: np.ndarray, size: int) -> np.ndarray:
+    """Hash of data[p:p + size] for every p, from the prefix sums of data."""
+    return mix((sums[size:] - sums[:-size]) * powers(BASE_INVERSE, len(sums))[: len(sums) - size])
+
+
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if len(known) == 0:
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
 def window_argmin(values: np.ndarray, width: int) -> np.ndarray:
@@ -70,15 +78,24 @@ def window_argmin(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Anchors:
-    """Anchor positions of one text, with the first and last window that each one serves."""
+    """Anchor positions of texts that lie one after the other, with the first and last window that each one serves.
+
+    ``border`` has the start of each text and the end of the last; no window crosses a border, and no text is shorter than one.
+    """
 
-    def __init__(self, data: np.ndarray, length: int, half: int):
-        self.names = rolling(data, half)
+    def __init__(self, data: np.ndarray, border: np.ndarray, length: int, half: int):
+        self.sums = prefix_sums(data)
+        self.names = rolling(self.sums, half)
         owner = window_argmin(self.names, length - half + 1)
+        inside = np.ones(len(owner), bool)
+        inside[(border[1:-1, None] - np.arange(1, length)).ravel()] = False
+        window = np.flatnonzero(inside)
+        owner = owner[window]
         cut = np.flatnonzero(np.diff(owner)) + 1
-        self.first = np.concatenate([[0], cut])
-        self.last = np.concatenate([cut - 1, [len(owner) - 1]])
-        self.at = owner[self.first]
+        self.first = window[np.concatenate([[0], cut])]
+        self.last = window[np.concatenate([cut - 1, [len(owner) - 1]])]
+        self.at = owner[np.concatenate([[0], cut])]
+        self.text = np.searchsorted(border, self.at, side="right") - 1
 
 
 def _texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, np.ndarray]]:
@@ -92,6 +109,19 @@ def _texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, np.
         yield i, raw[offs[i] : offs[i + 1]]
 
 
+def _blocks(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, borders) of runs of texts of at most ``BLOCK`` bytes together; a longer text stands alone."""
+    col = batch.column(name)
+    _, offsets, data = col.buffers()
+    offs = np.frombuffer(offsets, dtype=np.int64 if pa.types.is_large_string(col.type) else np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+    raw = np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, np.uint8)
+    lo = 0
+    while lo < len(col):
+        hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + BLOCK, side="right")) - 1)
+        yield lo, hi, raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
+        lo = hi
+
+
 def _frame(columns: dict[str, list], types: dict[str, pa.DataType]) -> pa.RecordBatch:
     out = [pa.array(np.concatenate(v) if v else np.zeros(0, np.int64)).cast(types[k]) for k, v in columns.items()]
     return pa.RecordBatch.from_arrays(out, names=list(columns))
@@ -112,14 +142,17 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
         for batch in batches:
             ids = batch.column("doc").to_numpy()
             h, d, held = [], [], 0
-            for i, data in _texts(batch):
-                a = Anchors(data, whole, half)
-                found = np.unique(a.names[a.at])
+            for lo, _, data, border in _blocks(batch):
+                a = Anchors(data, border, whole, half)
+                found, text = a.names[a.at], a.text
+                order = np.argsort(found, kind="stable")  # texts are in order, so a name that a text repeats follows itself
+                found, text = found[order], text[order]
+                keep = np.concatenate([[True], (found[1:] != found[:-1]) | (text[1:] != text[:-1])])
                 if known_hot is not None:
-                    found = found[~np.isin(found, known_hot.value, assume_unique=True)]
-                h.append(found.view(np.int64))
-                d.append(np.full(len(found), ids[i]))
-                held += len(found)
+                    keep &= ~among(found, known_hot.value)
+                h.append(found[keep].view(np.int64))
+                d.append(ids[lo + text[keep]])
+                held += len(h[-1])
                 if held > 200_000:
                     yield _frame({"h": h, "doc": d}, types)
                     h, d, held = [], [], 0
@@ -165,23 +198,23 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
         for batch in batches:
             ids, vs, hs = batch.column("doc").to_numpy(), batch.column("v").to_numpy(), batch.column("hs")
             out: dict[str, list] = {k: [] for k in types}
-            for i, data in _texts(batch):
-                a = Anchors(data, whole, half)
-                own = hs[i].values.to_numpy().view(np.uint64) if hs[i].is_valid else np.zeros(0, np.uint64)
+            for lo, hi, data, border in _blocks(batch):
+                a = Anchors(data, border, whole, half)
+                # a name that repeats does so for all texts that hold it, so the lists of a block's texts are as good as each text's own
+                own = np.sort(hs.slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False).view(np.uint64))
                 name = a.names[a.at]
-                often = np.isin(name, known_hot.value)
-                hit = often | np.isin(name, own)
-                first, last, at = a.first[hit], a.last[hit], a.at[hit]
-                sums = prefix_sums(data)
+                often = among(name, known_hot.value)
+                hit = often | among(name, own)
+                first, last, at, text, sums = a.first[hit], a.last[hit], a.at[hit], a.text[hit], a.sums
                 key = (sums[last + whole] - sums[first]) * powers(BASE_INVERSE, len(sums))[first]
                 key = mix(mix(key) + ((at - first) * whole + (last - first)).astype(np.uint64) * np.uint64(PAIR))
                 out["h"].append(name[hit].view(np.int64))
                 out["k"].append(key.view(np.int64))
                 out["salt"].append(np.where(often[hit], key.view(np.int64) | 1, 0))
-                out["doc"].append(np.full(len(key), ids[i]))
-                out["v"].append(np.full(len(key), vs[i]))
-                out["first"].append(first)
-                out["last"].append(last)
+                out["doc"].append(ids[lo + text])
+                out["v"].append(vs[lo + text])
+                out["first"].append(first - border[text])
+                out["last"].append(last - border[text])
             yield _frame(out, types)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,19 +275,23 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int = 50) -> DataFra
         for batch in batches:
             ids, vs, opened = batch.column("doc").to_numpy(), batch.column("v").to_numpy(), batch.column("open")
             out: dict[str, list] = {k: [] for k in types}
-            for i, data in _texts(batch):
-                name = rolling(data, half)
-                tail = name if whole == 2 * half else rolling(data, whole - half)
-                flat = opened[i].values
-                lo, hi = flat.field("first").to_numpy(), flat.field("last").to_numpy()
-                n = (hi - lo + 1).astype(np.int64)
-                p = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            for at, end, data, border in _blocks(batch):
+                sums = prefix_sums(data)
+                name = rolling(sums, half)
+                tail = name if whole == 2 * half else rolling(sums, whole - half)
+                runs = opened.slice(at, end - at)
+                flat = runs.flatten()
+                of = np.repeat(np.arange(end - at), runs.value_lengths().to_numpy())
+                first, last = flat.field("first").to_numpy() + border[of], flat.field("last").to_numpy() + border[of]
+                n = last - first + 1
+                p = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                text = np.repeat(of, n)
                 key = mix(name[p] * np.uint64(PAIR) + tail[p + half])
                 out["k"].append(key.view(np.int64))
                 out["c"].append(((name[p] ^ (tail[p + half] * np.uint64(PAIR))) >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                out["doc"].append(np.full(len(p), ids[i]))
-                out["v"].append(np.full(len(p), vs[i]))
-                out["p"].append(p)
+                out["doc"].append(ids[at + text])
+                out["v"].append(vs[at + text])
+                out["p"].append(p - border[text])
             yield _frame(out, types)
 
     open_ = ranged.where("not all").groupBy("doc", "v").agg(F.collect_set(F.struct("first", "last")).alias("open"))

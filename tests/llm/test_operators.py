@@ -106,6 +106,24 @@ def test_suffix_removal(spark):
     assert got == sorted(want, key=str)
 
 
+def test_anchors_of_several_texts_at_once_equal_those_of_each():
+    from tallybook.llm.suffix_dedup import Anchors
+
+    rng = random.Random(12)
+    texts = [bytes(rng.choice(b"ab c") for _ in range(n)) for n in (50, 51, 300, 75, 50, 1000)]
+    texts += [texts[2], b"a" * 200, texts[5][100:400]]
+    border = np.cumsum([0, *map(len, texts)])
+    whole = Anchors(np.frombuffer(b"".join(texts), np.uint8), border, 50, 25)
+    got = [(i, at - border[i], whole.names[at], f - border[i], x - border[i]) for i, at, f, x in zip(whole.text, whole.at, whole.first, whole.last)]
+    want = []
+    for i, t in enumerate(texts):
+        one = Anchors(np.frombuffer(t, np.uint8), np.array([0, len(t)]), 50, 25)
+        want += [(i, at, one.names[at], f, x) for at, f, x in zip(one.at, one.first, one.last)]
+        owners = [min(range(p, p + 26), key=lambda q: (one.names[q], q)) for p in range(len(t) - 49)]
+        assert owners == [at for at, f, x in zip(one.at, one.first, one.last) for _ in range(f, x + 1)]
+    assert got == want
+
+
 def test_suffix_removal_of_texts_with_one_checksum(spark):
     """Two texts of one id whose CRC-32 are equal are still two texts."""
     assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
