@@ -317,6 +317,7 @@ def near_duplicates(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text:
 
     near = small.repartition("band").sortWithinPartitions("band").mapInPandas(estimate, "a long, b long").unionByName(crowded)
     group = components(near, stages, "candidates")
+    stages.drop("full")
     # size and representatives of each group: the least node of each of HEADS residues
     sized = stages.save(
         group.join(texts.select("node", "n_bytes"), "node").groupBy("component").agg(
@@ -368,6 +369,7 @@ def near_duplicates(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text:
     if not left.isEmpty():
         links = links.unionByName(_rest_links(stages, placed, stages.save(left, "left"), with_text, told, threshold))
     comp = components(links, stages, "classes")
+    stages.drop("links", "sized", "placed")
 
     owned = texts.select("node", "seq", "lead", "n").join(comp, "node", "left").withColumn("class", F.coalesce("component", "node"))
     owned = stages.save(owned.select("seq", "lead", "n", "class"), "owned")
@@ -378,7 +380,7 @@ def near_duplicates(df: DataFrame, stages: Stages, doc_id: str = "doc_id", text:
     rows = signed.select("doc_id", "version", "seq")
     mine = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("version") == F.col("best.version"))
     out = join_hot(rows.where("seq is not null"), known, "seq", "n", n_docs).select("doc_id", F.col("best.doc_id").alias("component_id"), mine.alias("kept"), "version")
-    stages.drop("full", "links", "sized", "placed", "owned", "best")
+    stages.drop("owned", "best")
     return out.unionByName(rows.where("seq is null").select("doc_id", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "version"))
 
 

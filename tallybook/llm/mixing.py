@@ -112,6 +112,7 @@ def mix(df: DataFrame, stages: Stages, doc_id="doc_id", text="text", source="sou
     wanted = capped_targets(sizes, [weights[i % len(weights)] for i in range(len(names))], share * sum(sizes), cap)
     units = {s: max(size / max(n, 1), 1.0) for s, size, n in zip(names, sizes, counts, strict=True)}
     lam = balance(sized.select("source", "size"), dict(zip(names, wanted, strict=True)), units, cap)
+    stages.release()  # the tables of multipliers that were told in the rounds
     rows = [(s, size, target, lam[s] if target < cap * size else 701.0 * units[s], units[s]) for s, size, target in zip(names, sizes, wanted, strict=True)]
     plan = _beside(spark, rows, "s string, source_size long, target double, lam double, unit double")
     rate = f"case when target <= 0 then 0D when size = 0 then 1D else {_rate('lam', 'size', 'unit', cap)} end"

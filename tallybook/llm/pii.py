@@ -53,10 +53,12 @@ def feistel(n: str, a: int, b: int, tag: str, key: str) -> str:
     part = lambda half, mod: (
         f"pmod(cast(conv(substring(sha2(concat({_text(key)}, ':{tag}:', cast(i as string), ':', cast({half} as string)), 256), 1, 15), 16, 10) as bigint), {mod}L)"
     )
-    return f"""aggregate(sequence(1, {ROUNDS}), struct(cast(({n}) div {b}L as bigint) as l, cast(({n}) % {b}L as bigint) as r),
+    moved = f"""aggregate(sequence(1, {ROUNDS}), struct(n div {b}L as l, n % {b}L as r),
         (h, i) -> case when i % 2 = 1 then struct(pmod(h.l + {part("h.r", a)}, {a}L) as l, h.r as r)
                   else struct(h.l as l, pmod(h.r + {part("h.l", b)}, {b}L) as r) end,
         h -> h.l * {b}L + h.r)"""
+    # a name, not brackets: the parser reads a bracket to its end before it knows what it is, and keeps all that it has seen there
+    return bound(f"cast({n} as bigint)", "n", moved)
 
 
 def luhn(digits: str) -> str:
@@ -82,19 +84,21 @@ def _permuted_ten(digits: str, key: str) -> str:
 
     Numbers whose area and exchange both start with 2 to 9 move among these 800 * 800 * 10,000, all others among the other 3,600,000,000.
     """
-    area, exchange, line = (f"cast(substring({digits}, {at}, {n}) as bigint)" for at, n in ((1, 3), (4, 3), (7, 4)))
     # the others: areas below 200 with any exchange, then areas from 200 with exchanges below 200
-    other = f"case when {area} < 200 then cast({digits} as bigint) else 2000000000L + (({area} - 200) * 200 + {exchange}) * 10000 + {line} end"
+    other = f"case when area < 200 then cast({digits} as bigint) else 2000000000L + area * 2000000L - 400000000L + exchange * 10000L + line end"
     back = "case when v < 2000000000L then v else (200 + (v - 2000000000L) div 2000000L) * 10000000L + (v - 2000000000L) % 2000000L end"
-    moved = bound(feistel(f"(({area} - 200) * 800 + {exchange} - 200) * 10000 + {line}", 80_000, 80_000, "phone10", key), "v", "concat(200 + v div 8000000L, 200 + v div 10000L % 800, lpad(v % 10000L, 4, '0'))")
-    return f"case when {area} >= 200 and {exchange} >= 200 then {moved} else lpad({bound(feistel(f'({other})', 60_000, 60_000, 'phone', key), 'v', back)}, 10, '0') end"
+    moved = bound(feistel("area * 8000000L + exchange * 10000L + line - 1602000000L", 80_000, 80_000, "phone10", key), "v", "concat(200 + v div 8000000L, 200 + v div 10000L % 800, lpad(v % 10000L, 4, '0'))")
+    out = f"case when area >= 200 and exchange >= 200 then {moved} else lpad({bound(feistel(other, 60_000, 60_000, 'phone', key), 'v', back)}, 10, '0') end"
+    for name, at, n in (("line", 7, 4), ("exchange", 4, 3), ("area", 1, 3)):
+        out = bound(f"cast(substring({digits}, {at}, {n}) as bigint)", name, out)
+    return out
 
 
 def _permuted_ssn(digits: str, key: str) -> str:
     """SQL: nine permuted digits of a valid social security number: 998 areas (not 000 and 666), 99 groups and 9,999 serials (not zero)."""
     area = f"cast(substring({digits}, 1, 3) as bigint)"
     number = f"(({area} - if({area} > 666, 2, 1)) * 99 + cast(substring({digits}, 4, 2) as bigint) - 1) * 9999 + cast(right({digits}, 4) as bigint) - 1"
-    return bound(feistel(f"({number})", 998 * 99, 9_999, "ssn", key), "v", "concat(lpad(v div 989901L + if(v div 989901L >= 665, 2, 1), 3, '0'), lpad(v div 9999L % 99 + 1, 2, '0'), lpad(v % 9999L + 1, 4, '0'))")
+    return bound(feistel(number, 998 * 99, 9_999, "ssn", key), "v", "concat(lpad(v div 989901L + if(v div 989901L >= 665, 2, 1), 3, '0'), lpad(v div 9999L % 99 + 1, 2, '0'), lpad(v % 9999L + 1, 4, '0'))")
 
 
 def pseudonym(kind: str, m: str, key: str) -> str:
@@ -168,7 +172,7 @@ def pseudonymise(df: DataFrame, key: str = "change-this-key", text: str = "text"
     found, kinds = (next(n for n in (f"_{x}{i or ''}" for i in range(len(df.columns) + 1)) if n not in df.columns) for x in ("found", "kinds"))
     rebuilt = f"""case when size(`{found}`) > 0 then array_join(zip_with(split({column}, {quoted(ANY)}, -1), concat(transform(`{found}`, f -> f.put), array('')),
         (part, put) -> concat(part, put)), '') else {column} end"""
-    df = df.withColumn(found, F.expr(f"case when {column} rlike '[0-9@]' then {seen} else null end"))
+    df = df.withColumn(found, F.when(F.expr(f"{column} rlike '[0-9@]'"), F.expr(seen)))
     df = df.withColumn(kinds, F.expr(f"transform(filter(`{found}`, f -> f.ok), f -> replace(f.k, 'day', 'date'))"))
     count = lambda k: F.expr(f"cast(greatest(coalesce(size(filter(`{kinds}`, k -> k = '{k}')), 0), 0) as bigint)")
     return df.withColumns({text: F.expr(rebuilt), **{f"n_{k}": count(k) for k in ("email", "ip", "phone", "card", "ssn", "date")}}).drop(found, kinds)

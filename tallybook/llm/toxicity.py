@@ -128,6 +128,7 @@ def mine(docs: DataFrame, labels: DataFrame, stages: Stages, sample: int = SAMPL
     strong = seen.groupBy("cut", "h").agg(F.sum("y").alias("n1"), F.count("*").alias("n")).where("n1 >= 5 and n - n1 <= 0.02 * n1")
     best = seen.where("y = 1").join(strong, ["cut", "h"]).groupBy("doc_id", "cut").agg(F.max(F.struct("n1", "h")).alias("best"))
     picked = best.select("cut", "best.h").distinct().orderBy("cut", "h").toArrow()
+    stages.drop("terms")
     return list(zip(picked["cut"].to_pylist(), (h % (1 << 64) for h in picked["h"].to_pylist())))
 
 
@@ -203,6 +204,7 @@ def fit(table: DataFrame, labels: DataFrame, n_voters: int, stages: Stages, samp
         return x, model.posterior(x[:, :n_voters]), pdf["n"].to_numpy()
 
     weights = logistic_all(patterns, size, read, l2=1e-5)
+    stages.drop("patterns")
     margin = lambda x: x @ weights[:-1] + weights[-1]
 
     @F.pandas_udf("double")

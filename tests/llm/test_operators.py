@@ -491,6 +491,26 @@ def test_permutation_has_no_collisions(spark):
     assert out.distinct().count() == 146097 and out.where("x < 0 or x >= 146097").isEmpty()
 
 
+def test_the_driver_keeps_little(spark, monkeypatch):
+    """Long brackets and cases around long texts grow the parser's memory; tables go when no later step reads them."""
+    import tallybook.llm.pii as P
+
+    read, expr = [], P.F.expr
+    monkeypatch.setattr(P.F, "expr", lambda s: (read.append(s), expr(s))[1])
+    pseudonymise(frame(spark, []))
+    monkeypatch.undo()
+    assert all(not s.startswith("case") for s in read if len(s) > 2000)
+    for number in ("n", "m"):
+        assert f"({number} + 1)" not in P.feistel(f"({number} + 1)", 7, 9, "t", "k").replace(f"cast(({number} + 1) as bigint)", "")
+    rows, labels = marked_documents()
+    stages = Stages(spark, "t")
+    toxicity_scores(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), stages)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{stages.root}/{name}")
+    held = {name: path(name).getFileSystem(conf).exists(path(name)) for name in ("terms", "patterns", "ballots")}
+    assert held == {"terms": False, "patterns": False, "ballots": True}
+
+
 def test_decontamination(spark):
     rng = random.Random(6)
     items = [(i, prose(rng, n)) for i, n in enumerate((15, 40, 30))] + [(9, None), (8, "")]
