@@ -1,25 +1,27 @@
 """Alignment of two tokenizers' tokens by whitespace anchors.
 
-Each text is tokenised in full by a byte-level BPE (A, ``tokenizers``) and a piece model with byte fallback (B, ``sentencepiece``).  A place is an
-anchor if a token of A and a token of B both end there and the next token of each starts with a space; that is verified for every
-anchor on the byte offsets of the very texts.  Anchors split a document into windows, pairs of id tuples.  Words repeat, so windows do: groups and links of
-a window are worked out once a task for each pair of id tuples, and documents are put together from remembered windows.
+Each text is tokenised in full by a byte-level BPE (A, ``tokenizers``) and a piece model with byte fallback (B, ``sentencepiece``).  Both encode a
+word, cut before a space, alone as in its text; if both spell its bytes, its two ends are anchors, where tokens of A and of B end and the next ones start with
+a space.  That is verified for every word.  Words repeat, so groups and links of a word are worked out once a task, and documents are put together from
+remembered words; a text with a word that A or B spells otherwise is compared as a whole.
 
-Within a window, offsets where tokens of A and B both end cut the tokens into groups, and every run between neighbouring ends of either side is one link: two
+Within a word, offsets where tokens of A and B both end cut the tokens into groups, and every run between neighbouring ends of either side is one link: two
 byte ranges overlap in one run at most.  The counts of linked id pairs are summed over the corpus; a document then reads the counts of its own pairs.
 
 Counts reach the documents in one of two ways with equal results: at most ``TOLD`` pairs of the corpus, which Spark counts first, are told to all
 tasks; more are joined by pair, each document's pairs counted beforehand, so that a hot pair has one row a document.
 
 Defined cases: a null or empty text, and one whose joined token bytes of A or B differ from a space and the text (the piece model's own space mark in a
-text, for one) has no tokens: zeros and an empty groups text; repeated rows get equal results; long runs without a shared end are one window, which is not remembered.
+text, for one) has no tokens: zeros and an empty groups text; repeated rows get equal results; long words are not remembered.
 """
 
 from __future__ import annotations
 
 import gc
+import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +33,13 @@ from .tables import Stages
 
 #: Pairs of ids that a corpus may hold to be told to all tasks: 16 bytes each.
 TOLD = 2_000_000
-#: Words and windows that a task remembers; code points and tokens of the longest among them.
-MEMO, LONGEST, TOKENS = 240_000, 64, 48
+#: Words that a task remembers; code points and tokens of the longest among them.
+MEMO, LONGEST, TOKENS = 400_000, 64, 48
 SPACE = "▁"
-#: Bits of an id in a pair (A id, B id), and links of windows that a task remembers.
+#: Bits of an id in a pair (A id, B id), and links of words that a task remembers.
 ID_BITS, LINKS = 20, 4_000_000
 #: New words that are encoded in a row, and bytes of texts that are aligned at once.
 ROW, BLOCK = 500, 1 << 20
-NOTHING = np.zeros(0, np.int64)
 
 
 class Pieces:
@@ -62,21 +63,17 @@ class Pieces:
 
 def words(text: str) -> list[str]:
     """A space and the text, cut before each space that follows a character other than white space, unless only white space is left."""
-    out: list[str] = []
-    held = ""
-    for part in text.split(" "):
-        held += " " + part
-        if part and not part[-1].isspace():
-            out.append(held)
-            held = ""
-    if held:
-        if out:
-            out[-1] += held
-        else:
-            out.append(held)
+    first, *rest = _CUT(" " + text)
+    out = [first, *[" " + x for x in rest]]
+    if rest and (not rest[-1] or rest[-1].isspace()):
+        last = out.pop()
+        out[-1] += last
     return out
 
 
+_CUT = re.compile(r"(?<=\S) ").split
+
+
 def gather(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Indices start[i], start[i] + 1, ... of all runs, one after the other."""
     before = np.cumsum(count) - count
@@ -84,9 +81,10 @@ def gather(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 class Both:
-    """The two tokenizers of a task, with words and windows that were met before.
+    """The two tokenizers of a task, with words that were met before.
 
-    Window c has the groups text ``texts[c]``, ``groups[c]`` groups and the links ``flat[first[c] : first[c + 1]]``.
+    Word c has ``count[0][c]`` tokens of A and ``count[1][c]`` of B, the groups text ``texts[c]``, ``groups[c]`` groups and the links
+    ``flat[first[c] : first[c + 1]]``.
     """
 
     def __init__(self, a_data: bytes, b_data: bytes, pattern: str):
@@ -94,40 +92,17 @@ class Both:
         if max(len(self.a.bytes), len(self.b.bytes)) > 1 << ID_BITS:
             raise ValueError(f"ids need more than {ID_BITS} bits")
         self.length = tuple(np.array([len(x) for x in t.bytes], dtype=np.int64) for t in (self.a, self.b))
-        self.spaced = tuple(np.array([x[:1] == b" " for x in t.bytes]) for t in (self.a, self.b))
         self.decimal = [str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))]
-        self.words: dict[str, tuple[bytes, bytes, bool]] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.windows: dict[tuple[bytes, bytes], int] = {}
+        self.words: dict[str, int] = {}
         self.texts: list[str] = []
-        self.groups = np.zeros(0, np.int64)
+        self.count = np.zeros((2, 0), np.int32)
+        self.groups = np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.int64)
 
-    def tokenise(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Packed ids of A and B for a space and each text; none where the bytes differ."""
-        cut = [words(t) if self.b.by_word else [" " + t] for t in texts]
-        known = self.words
-        new = [w for w in {w for ws in cut for w in ws} if w not in known]
-        if len(known) + len(new) > MEMO:
-            known.clear()
-            new = [*{w for ws in cut for w in ws}]
-        fresh = self._fresh(new)
-        if any(len(w) > LONGEST for w in new):
-            known.update((w, f) for w, f in zip(new, fresh, strict=True) if len(w) <= LONGEST)
-            known = known | {w: f for w, f in zip(new, fresh, strict=True) if len(w) > LONGEST}
-        else:
-            known.update(zip(new, fresh, strict=True))
-        out: list[tuple[bytes, bytes] | None] = []
-        for t, ws in zip(texts, cut, strict=True):
-            found = [*map(known.__getitem__, ws)]
-            a, b = b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
-            agree = all([f[2] for f in found]) or self.a.decode(a) == self.b.decode(b) == (" " + t).encode()
-            out.append((a, b) if agree else None)
-        return out
-
     def _fresh(self, new: list[str]) -> list[tuple[bytes, bytes, bool]]:
         """For texts that start with a space: packed ids of A and B, and whether both spell it.
 
@@ -156,64 +131,65 @@ class Both:
                 out[w] = (x, y, self.a.decode(x) == self.b.decode(y) == w.encode())
         return [*map(out.__getitem__, new)]
 
-    def align(self, texts: list[str]) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
-        """For each text n_a, n_b, n_groups, n_links, groups text, distinct linked pairs and their links."""
-        if len(self.texts) > MEMO or len(self.flat) > LINKS:
+    def align(self, texts: list[str]) -> tuple[list[np.ndarray], list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """For each text [n_a, n_b, n_groups, n_links] and its groups text; then the places where a text's pairs start, its distinct linked pairs and their links."""
+        cut = [(words(t) if self.b.by_word else [" " + t]) if t else [] for t in texts]
+        every = [*chain.from_iterable(cut)]
+        found = [*map(self.words.get, every)]
+        new = {w for w, c in zip(every, found, strict=True) if c is None}
+        if len(self.words) + len(new) > MEMO or len(self.flat) > LINKS:
             self.forget()
-        found = self.tokenise(texts)
-        at = [i for i, f in enumerate(found) if f and texts[i]]
-        a, b = (np.frombuffer(b"".join(found[i][k] for i in at), "<u4").astype(np.int64) for k in (0, 1))
-        n_a, n_b = (np.array([len(found[i][k]) // 4 for i in at], dtype=np.int64) for k in (0, 1))
-        out = [(0, 0, 0, 0, "", NOTHING, NOTHING)] * len(texts)
-        if not at:
-            return out
-        # both sides spell the same bytes, so places of one text after the other stay comparable
-        a_end, b_end = np.cumsum(self.length[0][a]), np.cumsum(self.length[1][b])
-        bi = np.searchsorted(b_end, a_end)
-        ai = np.flatnonzero(b_end[bi] == a_end)
-        bi = bi[ai]
-        text_end = np.zeros(len(a), bool)
-        text_end[np.cumsum(n_a) - 1] = True
-        spaced = self.spaced[0][np.append(a, 0)[ai + 1]] & self.spaced[1][np.append(b, 0)[bi + 1]]
-        anchor = spaced | text_end[ai]
-        a_cut, b_cut = np.append(0, ai[anchor] + 1), np.append(0, bi[anchor] + 1)
-        codes = self._codes(a, b, a_cut, b_cut)
-        links = self.first[codes + 1] - self.first[codes]
-        last = np.searchsorted(a_cut[1:], np.cumsum(n_a)) + 1
-        start = np.append(0, last[:-1])
-        text_of = np.repeat(np.repeat(np.arange(len(at)), last - start), links)
-        keys, counts = np.unique((text_of << (2 * ID_BITS)) | self.flat[gather(self.first[codes], links)], return_counts=True)
-        pairs = keys & ((1 << 2 * ID_BITS) - 1)
-        edge = np.searchsorted(keys >> (2 * ID_BITS), np.arange(len(at) + 1))
-        groups, n_links = (np.append(0, np.cumsum(x)) for x in (self.groups[codes], links))
-        listed = codes.tolist()
-        for k, i in enumerate(at):
-            s, e = start[k], last[k]
-            text = ";".join([self.texts[c] for c in listed[s:e]])
-            out[i] = (int(n_a[k]), int(n_b[k]), int(groups[e] - groups[s]), int(n_links[e] - n_links[s]), text, pairs[edge[k] : edge[k + 1]], counts[edge[k] : edge[k + 1]])
+            new, found = set(every), [None] * len(every)
+        # those that the task is to remember come first; the others are forgotten after these texts
+        fresh = [(len(w) > LONGEST or len(f[0]) > 4 * TOKENS, w, f) for w, f in zip(new, self._fresh([*new]), strict=True) if f[2]]
+        fresh.sort(key=lambda x: x[0])
+        known, kept = len(self.texts), sum(not x[0] for x in fresh)
+        self._learn([f[0] for _, _, f in fresh], [f[1] for _, _, f in fresh])
+        own = {w: known + i for i, (_, w, _) in enumerate(fresh)}
+        codes = np.array([own.get(w, -1) if c is None else c for w, c in zip(every, found, strict=True)], dtype=np.int64)
+        n_words = np.array([len(ws) for ws in cut], dtype=np.int64)
+        if len(codes) and codes.min() < 0:
+            codes, n_words = self._odd(texts, cut, codes, n_words)
+        out = self._facts(codes, n_words)
+        self.words.update((w, c) for w, c in own.items() if c < known + kept)
+        if len(self.texts) > known + kept:
+            del self.texts[known + kept :]
+            self.count, self.groups, self.first = self.count[:, : known + kept], self.groups[: known + kept], self.first[: known + kept + 1]
+            self.flat = self.flat[: self.first[-1]].copy()
         return out
 
-    def _codes(self, a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.ndarray) -> np.ndarray:
-        """The number of each window; windows that are not known are aligned together."""
-        a_raw, b_raw, known = a.astype("<u4").tobytes(), b.astype("<u4").tobytes(), self.windows
-        p, r = (4 * a_cut).tolist(), (4 * b_cut).tolist()
-        keys = [(a_raw[s:e], b_raw[u:v]) for s, e, u, v in zip(p, p[1:], r, r[1:], strict=False)]
-        codes, new, size = [*map(known.get, keys)], [], len(self.texts)
-        for i in [i for i, code in enumerate(codes) if code is None]:
-            codes[i] = known.get(keys[i])  # an earlier one of these windows may have the same ids
-            if codes[i] is None:
-                codes[i] = size + len(new)
-                new.append(i)
-                if len(keys[i][0]) <= 4 * TOKENS:
-                    known[keys[i]] = codes[i]
-        if new:
-            at = np.array(new)
-            n_a, n_b = np.diff(a_cut)[at], np.diff(b_cut)[at]
-            self._learn(a[gather(a_cut[at], n_a)], b[gather(b_cut[at], n_b)], n_a)
-        return np.array(codes, dtype=np.int64)
-
-    def _learn(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray) -> None:
-        """Groups and links of windows that lie one after the other, with ``n_a`` tokens of A each."""
+    def _odd(self, texts: list[str], cut: list[list[str]], codes: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes without texts that hold a word of which A or B spells other bytes; one code for the whole text if both spell the text all the same."""
+        parts = np.split(codes, np.cumsum(n_words)[:-1])
+        for i, own in enumerate(parts):
+            if len(own) and own.min() < 0:
+                found = self._fresh(cut[i])
+                a, b = (b"".join([f[k] for f in found]) for k in (0, 1))
+                agree = self.a.decode(a) == self.b.decode(b) == (" " + texts[i]).encode()
+                parts[i] = np.array([len(self.texts)] if agree else [], dtype=np.int64)
+                if agree:
+                    self._learn([a], [b])
+        return np.concatenate(parts), np.array([*map(len, parts)], dtype=np.int64)
+
+    def _facts(self, codes: np.ndarray, n_words: np.ndarray):
+        """What ``align`` gives, for texts of ``n_words`` codes each."""
+        edge = np.append(0, np.cumsum(n_words))
+        links = self.first[codes + 1] - self.first[codes]
+        facts = [np.diff(np.append(0, np.cumsum(x, dtype=np.int64))[edge]) for x in (self.count[0][codes], self.count[1][codes], self.groups[codes], links)]
+        text_of = np.repeat(np.repeat(np.arange(len(n_words)), n_words), links)
+        keys, counts = np.unique((text_of << (2 * ID_BITS)) | self.flat[gather(self.first[codes], links)], return_counts=True)
+        listed, at = [*map(self.texts.__getitem__, codes.tolist())], edge.tolist()
+        groups = [";".join(listed[s:e]) for s, e in zip(at, at[1:], strict=False)]
+        start = np.searchsorted(keys >> (2 * ID_BITS), np.arange(len(n_words) + 1))
+        return facts, groups, start, keys & ((1 << 2 * ID_BITS) - 1), counts
+
+    def _learn(self, a_packed: list[bytes], b_packed: list[bytes]) -> None:
+        """Tokens, groups and links of words, or texts, that both sides spell."""
+        if not a_packed:
+            return
+        a, b = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in (a_packed, b_packed))
+        n_a, n_b = (np.array([len(x) // 4 for x in side], dtype=np.int32) for side in (a_packed, b_packed))
+        # both sides spell the same bytes, so places of one word after the other stay comparable
         a_end, b_end = np.cumsum(self.length[0][a]), np.cumsum(self.length[1][b])
         run = np.union1d(a_end, b_end)
         pairs = (a[np.searchsorted(a_end, run)] << ID_BITS) | b[np.searchsorted(b_end, run)]
@@ -226,7 +202,8 @@ class Both:
         group_end = np.searchsorted(ai, window_end) + 1
         cut = group_end.tolist()
         self.texts += [";".join(groups[x:y]) for x, y in zip([0, *cut], cut, strict=False)]
-        self.groups = np.append(self.groups, np.diff(group_end, prepend=0))
+        self.count = np.hstack([self.count, [n_a, n_b]])
+        self.groups = np.append(self.groups, np.diff(group_end, prepend=0).astype(np.int32))
         self.first = np.append(self.first, self.first[-1] + np.searchsorted(run, a_end[window_end]) + 1)
         self.flat = np.append(self.flat, pairs)
 
@@ -244,10 +221,10 @@ def align(df: DataFrame, key: str, text: str, a_vocabulary: str, b_model: str, p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = made(Both, files[0].value, files[1].value, pattern)
         gc.disable()  # nothing here is part of a cycle, and walking what is remembered takes a tenth of the time
-        kinds = [*[pa.int64()] * 4, pa.string(), *[pa.list_(pa.int64())] * 2]
         for batch in (part for whole in batches for part in parts(whole, "text", BLOCK)):
-            rows = both.align(batch.column("text").to_pylist())
-            cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            facts, groups, start, pairs, links = both.align(batch.column("text").to_pylist())
+            lists = [pa.ListArray.from_arrays(pa.array(start, pa.int32()), pa.array(x, pa.int64())) for x in (pairs, links)]
+            cols = [*[pa.array(x, pa.int64()) for x in facts], pa.array(groups, pa.string()), *lists]
             yield pa.RecordBatch.from_arrays([batch.column("key"), *cols], names=[key, *(f.split()[0] for f in FACTS.split(", "))])
 
     kind = df.schema[key].dataType.simpleString()

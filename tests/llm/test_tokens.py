@@ -172,3 +172,13 @@ def test_token_operators_on_empty_tables(spark):
     df = frame(spark, ["a"]).where("false")
     assert E.token_digests(df, MULTI, public.PATTERN).count() == 0
     assert T.alignment_scores(df, Stages(spark, "t"), A, B, public.PATTERN).count() == 0
+
+
+def test_a_task_remembers_short_words_and_nothing_else():
+    both = T.Both(open(A, "rb").read(), open(B, "rb").read(), public.PATTERN)
+    values = ["one two one", "z" * 200 + " two", "a ▁ two", ""]
+    first = both.align(values)
+    assert {*both.words} == {" one", " two", " a"} and len(both.texts) == len(both.groups) == len(both.first) - 1 == 3
+    assert len(both.flat) == both.first[-1] and both.count.shape == (2, 3)
+    again = both.align(values)
+    assert all(np.array_equal(x, y) for x, y in zip([*first[0], *first[1:]], [*again[0], *again[1:]], strict=True))
