@@ -134,6 +134,67 @@ def test_suffix_removal_of_texts_with_one_checksum(spark):
     assert got == sorted([(1, 0, sha("plumless" + shared)), (5, 84, sha("")), (5, 76, sha("buckeroo"))])
 
 
+class Counted(Stages):
+    """Stages that count the rows of each table."""
+
+    def __init__(self, spark):
+        super().__init__(spark, "t")
+        self.rows = {}
+
+    def save(self, df, name):
+        out = super().save(df, name)
+        self.rows[name] = out.count()
+        return out
+
+
+def test_suffix_removal_writes_no_row_for_each_window_of_strings_that_differ(spark):
+    """Phrases shorter than the threshold are in many documents; no window around them repeats, so none is written."""
+    rng = random.Random(21)
+    phrases = [prose(rng, 30)[:30] for _ in range(5)]
+    rows = [(i, "".join(prose(rng, 20) + p for p in rng.sample(phrases, 3)) + prose(rng, 20)) for i in range(40)]
+    stages = Counted(spark)
+    assert not any(r.n_removed for r in remove_repeats(frame(spark, rows), stages, length=50).collect())
+    assert sum(n for name, n in stages.rows.items() if name.startswith("single")) <= len(rows)
+
+
+@pytest.mark.parametrize("length, per_batch, waiting, least_size, sampled", [(50, 10_000, 1000, 1, 1 << 40), (50, 2, 1000, 1 << 26, 1), (31, 3, 0, 1, 1)])
+def test_suffix_removal_of_parts_in_several_turns_and_with_common_names(spark, monkeypatch, length, per_batch, waiting, least_size, sampled):
+    for name, value in (("WAITING", waiting), ("LEAST_SIZE", least_size), ("SAMPLED", sampled), ("SPAN_ROOM", 150), ("OPEN_ROOM", 150)):
+        monkeypatch.setattr(f"tallybook.llm.suffix_dedup.{name}", value)
+    rng = random.Random(22)
+    passages = [prose(rng, 30)[: rng.randrange(25, 140)] for _ in range(12)]
+    rows = []
+    for i in range(30):
+        parts = [rng.choice(passages) for _ in range(3)]
+        cut = [p[rng.randrange(0, 12) : len(p) - rng.randrange(0, 12)] for p in parts]
+        rows.append((rng.randrange(20), "".join(prose(rng, 4) + p for p in cut) + prose(rng, 3)))
+    rows += [(2**40, rows[3][1] + "é"), (-5, passages[0] * 2), (4, "ab" * 90), (3, "ab" * 60), rows[7], (None, rows[5][1])]
+    least = {}
+    for i, t in rows:
+        b = t.encode()
+        for p in range(len(b) - length + 1):
+            if i is not None:
+                least[b[p : p + length]] = min(least.get(b[p : p + length], i), i)
+    want = []
+    for i, t in rows:
+        b = t.encode()
+        cov = [False] * len(b)
+        for p in range(len(b) - length + 1):
+            if i is not None and least[b[p : p + length]] < i:
+                cov[p : p + length] = [True] * length
+        rest = bytes(x for x, c in zip(b, cov) if not c)
+        want.append((i, len(b), sum(cov), sum(c and not (j and cov[j - 1]) for j, c in enumerate(cov)), hashlib.sha256(rest).hexdigest()))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
+    stages = Counted(spark)
+    try:
+        got = sorted(map(tuple, remove_repeats(frame(spark, rows), stages, length=length).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == sorted(want, key=str)
+    assert ("ranged-1" in stages.rows) == ("single-1" in stages.rows) == (least_size == 1) and ("common-0" in stages.rows) == (sampled == 1)
+
+
 @pytest.mark.parametrize("per_batch, waiting", [(1, 1000), (3, 0), (10_000, 1000)])
 def test_suffix_removal_of_a_block_repeated_inside_one_document(spark, monkeypatch, per_batch, waiting):
     monkeypatch.setattr("tallybook.llm.suffix_dedup.WAITING", waiting)
